@@ -3,113 +3,129 @@
 A window over a whole key would put a hot key into one task. Here the 64-bit sequence
 number is cut into blocks of 2**20 numbers and those into spans of 2**20 blocks. Counts
 are added up over the spans of a key, then over the blocks of a span, then inside a block,
-each level starting from what the level above carries in. No window group can exceed
-2**20 rows (2**24 spans for a key), however the events are spread over keys and numbers.
+each level starting from what the level above carries in. However the events are spread
+over keys and numbers, no window group exceeds 2**20 rows (2**24 spans for a key); blocks
+that hold more events than that can only do so with copies, which are combined first.
+
 What is carried in travels as one more row of its group, so no join is needed and null
-keys or sequence numbers are counted like any other.
+keys or sequence numbers are counted like any other; null numbers come first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 20
-# Copies written by one row before the rest of them goes to other tasks.
+BLOCK_ROWS = 1 << BLOCK_BITS
+NULL_BLOCK = -(1 << 62)
+# Blocks with too many events are told apart by a broadcast of at most this many block ids.
+CROWDED_BLOCKS = 1_000_000
+# Copies of one event that are written by one row of a task.
 COPIES_PER_ROW = 65_536
 
 
-def counts_before(
+def running_counts(
     events: DataFrame,
     keys: Sequence[str],
     sequence: str,
     base: DataFrame | None = None,
     unique: bool = False,
 ) -> DataFrame:
-    """``copies`` and ``before`` (events of the key that came earlier) per key and number.
+    """One row per event: its key, its number and the count of the key up to it.
 
-    Equal numbers of a key are combined on the map side first. ``unique=True`` says there
-    are none, as for broker offsets, and saves that shuffle. ``base`` holds
+    Unless ``unique`` says that a key's numbers do not repeat, as with broker offsets, a
+    first job counts the events of each block to find the crowded ones. ``base`` holds
     ``event_count`` per key from earlier input.
     """
-    if unique:
-        cells = events.select(*keys, sequence, F.lit(1).cast("bigint").alias("copies"))
-    else:
-        cells = events.groupBy(*keys, sequence).agg(F.count(F.lit(1)).alias("copies"))
-    cells = _with_blocks(cells, sequence)
-    blocks = _block_offsets(cells, keys, base)
-    return _carry_in(cells, blocks, [*keys, "_block"], sequence).select(
-        *keys, sequence, "copies", "before"
+    rows = _with_blocks(events.select(*keys, sequence), F.col(sequence))
+    blocks = _block_counts(rows, keys)
+    offsets = _block_offsets(blocks, keys, base)
+    crowded = blocks.filter(F.col("copies") > BLOCK_ROWS)
+    found = 0 if unique else crowded.count()
+    if found == 0:
+        return _count_rows(rows, offsets, keys, sequence)
+    if found > CROWDED_BLOCKS:
+        return _count_copies(rows, offsets, keys, sequence)
+
+    ids = F.broadcast(crowded.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_block").alias("_c__block")))
+    same = _same([*keys, "_block"], "_c_")
+    sparse = _count_rows(
+        rows.join(ids, same, "left_anti"), offsets.filter(F.col("copies") <= BLOCK_ROWS), keys, sequence
     )
-
-
-def running_counts(
-    events: DataFrame,
-    keys: Sequence[str],
-    sequence: str,
-    base: DataFrame | None = None,
-    unique: bool = False,
-) -> DataFrame:
-    """One row per event: its key, its number and the count of the key up to it."""
-    cells = counts_before(events, keys, sequence, base, unique)
-    single = cells if unique else cells.filter("copies = 1")
-    single = single.select(*keys, sequence, (F.col("before") + 1).alias("running_count"))
-    if unique:
-        return single
-    # Copies of one event are written by several tasks, a run of them at a time.
-    first = F.col("_run") * COPIES_PER_ROW
-    last = F.least(F.col("copies"), first + COPIES_PER_ROW)
-    runs = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("copies") - 1) / COPIES_PER_ROW)))
-    copied = (
-        cells.filter("copies > 1")
-        .withColumn("_run", runs)
-        .repartition(*keys, sequence, "_run")
-        .select(
-            *keys,
-            sequence,
-            F.explode(F.sequence(F.col("before") + first + 1, F.col("before") + last)).alias("running_count"),
-        )
+    dense = _count_copies(
+        rows.join(ids, same, "left_semi"), offsets.filter(F.col("copies") > BLOCK_ROWS), keys, sequence
     )
-    return single.unionByName(copied)
+    return sparse.unionByName(dense)
 
 
-def nth_event(events: DataFrame, keys: Sequence[str], order: str, sequence, n: int) -> DataFrame:
+def nth_event(events: DataFrame, keys: Sequence[str], order: str, sequence: Column, n: int) -> DataFrame:
     """Value of ``order`` at which each key reaches ``n`` events; keys below ``n`` have no row.
 
-    ``sequence`` is the bigint form of ``order``. Only the one block per key in which the
-    count passes ``n`` is looked at event by event.
+    ``sequence`` is the bigint form of ``order``. Events are counted per block; only those
+    between the first and the last block in which some key passes ``n`` are then looked at.
     """
-    cells = events.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("copies"))
-    cells = _with_blocks(cells.withColumn("_at", sequence), "_at")
-    passing = _block_offsets(cells, keys, None).filter(
-        (F.col("before") < n) & (F.col("before") + F.col("count") >= n)
+    rows = _with_blocks(events.select(*keys, order, sequence.alias("_at")), F.col("_at"))
+    passing = _block_offsets(_block_counts(rows, keys), keys, None).filter(
+        (F.col("before") < n) & (F.col("before") + F.col("copies") >= n)
+    )
+    ends = passing.agg(F.struct(F.min("_block").alias("low"), F.max("_block").alias("high"))).scalar()
+    near = rows.filter(F.col("_block").between(ends["low"], ends["high"]))
+    cells = near.groupBy(*keys, "_block", "_at", order).agg(F.count(F.lit(1)).alias("copies"))
+    hit = passing.select(
+        *[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_block").alias("_p__block"), "before"
     )
-    hit = passing.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_block").alias("_p_block"), "before")
-    same = F.col("_block").eqNullSafe(F.col("_p_block"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_p_{k}"))
     inside = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    reached = cells.join(hit, same).withColumn("_reached", F.col("before") + F.sum("copies").over(inside))
+    reached = cells.join(hit, _same([*keys, "_block"], "_p_")).withColumn(
+        "_reached", F.col("before") + F.sum("copies").over(inside)
+    )
     return reached.filter(F.col("_reached") >= n).groupBy(*keys).agg(F.min(order).alias(order))
 
 
-def _with_blocks(cells: DataFrame, sequence: str) -> DataFrame:
-    return cells.withColumns({
-        "_block": F.shiftright(F.col(sequence), BLOCK_BITS),
-        "_span": F.shiftright(F.col(sequence), 2 * BLOCK_BITS),
+def _with_blocks(rows: DataFrame, number: Column) -> DataFrame:
+    return rows.withColumns({
+        "_block": F.coalesce(F.shiftright(number, BLOCK_BITS), F.lit(NULL_BLOCK)),
+        "_span": F.coalesce(F.shiftright(number, 2 * BLOCK_BITS), F.lit(NULL_BLOCK)),
     })
 
 
-def _block_offsets(cells: DataFrame, keys: Sequence[str], base: DataFrame | None) -> DataFrame:
-    """Count of each block and of everything before it."""
-    blocks = cells.groupBy(*keys, "_span", "_block").agg(F.sum("copies").alias("copies"))
+def _block_counts(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return rows.groupBy(*keys, "_span", "_block").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _block_offsets(blocks: DataFrame, keys: Sequence[str], base: DataFrame | None) -> DataFrame:
+    """``before``: the events of the key ahead of each block."""
     spans = blocks.groupBy(*keys, "_span").agg(F.sum("copies").alias("copies"))
     start = None if base is None else base.select(*keys, F.col("event_count").alias("before"))
     spans = _carry_in(spans, start, list(keys), "_span")
-    blocks = _carry_in(blocks, spans, [*keys, "_span"], "_block")
-    return blocks.withColumnRenamed("copies", "count")
+    return _carry_in(blocks, spans, [*keys, "_span"], "_block")
+
+
+def _count_rows(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    single = rows.withColumn("copies", F.lit(1).cast("bigint"))
+    counted = _carry_in(single, offsets, [*keys, "_block"], sequence)
+    return counted.select(*keys, sequence, (F.col("before") + 1).alias("running_count"))
+
+
+def _count_copies(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
+    """Copies are combined on the map side, counted as one, and written out again by several
+    tasks, a run of them at a time."""
+    cells = rows.groupBy(*keys, "_block", sequence).agg(F.count(F.lit(1)).alias("copies"))
+    counted = _carry_in(cells, offsets, [*keys, "_block"], sequence)
+    first = F.col("_run") * COPIES_PER_ROW
+    last = F.least(F.col("copies"), first + COPIES_PER_ROW)
+    last_run = F.floor((F.col("copies") - 1) / COPIES_PER_ROW)
+    return (
+        counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
+        .repartition(*keys, sequence, "_run")
+        .select(
+            *keys,
+            sequence,
+            F.explode(F.sequence(F.col("before") + first + 1, F.col("before") + last)).alias("running_count"),
+        )
+    )
 
 
 def _carry_in(rows: DataFrame, carried: DataFrame | None, group: list[str], order: str) -> DataFrame:
@@ -125,3 +141,11 @@ def _carry_in(rows: DataFrame, carried: DataFrame | None, group: list[str], orde
     )
     summed = rows.withColumn("before", F.sum("copies").over(ahead) - F.col("copies"))
     return summed.filter(~F.col("_carried")).drop("_carried")
+
+
+def _same(names: Sequence[str], prefix: str) -> Column:
+    """Null-safe equality of columns with their prefixed counterparts."""
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & F.col(name).eqNullSafe(F.col(f"{prefix}{name}"))
+    return condition

@@ -41,20 +41,11 @@ def first_violations(documents: DataFrame) -> DataFrame:
     doc = F.col("doc")
     parsed = documents.select("submission", "text", parse_document(F.col("text")).alias("doc"))
     elements = F.coalesce(F.try_variant_get(doc, "$.scenarios", "array<variant>"), F.array().cast("array<variant>"))
-    facts = parsed.select(
-        "submission",
-        "text",
-        "doc",
-        F.transform(elements, _element).alias("elements"),
-    ).withColumn("duplicate", _second_use())
-    element_rules = F.transform("elements", _element_rule)
-    first_bad = F.array_min(
-        F.transform(
-            F.filter(element_rules, lambda e: e["rule"].isNotNull()),
-            lambda e: F.struct(e["position"].alias("position"), e["rule"].alias("rule")),
-        )
+    facts = parsed.select("submission", "text", "doc", F.transform(_members(elements), _facts).alias("elements"))
+    candidates = F.concat(
+        F.filter(F.transform("elements", _element_rule), lambda e: e["rule"].isNotNull()), _second_uses()
     )
-    judged = facts.withColumn("bad", first_bad)
+    judged = facts.withColumn("bad", F.array_min(candidates))
     rule = (
         F.when(F.col("text").isNull(), 1)
         .when(doc.isNull(), 2)
@@ -76,46 +67,58 @@ def first_violations(documents: DataFrame) -> DataFrame:
     )
 
 
-def _element(e: Column, position: Column) -> Column:
-    """The facts about one element that the rules need."""
-    is_object = F.coalesce(_kind(e).startswith("OBJECT"), F.lit(False))
-    elapsed = _member(e, "elapsed_ms")
+def _members(elements: Column) -> Column:
+    """Each element's position, kind and the members that have rules, looked up once."""
+
+    def looked_up(e: Column, position: Column) -> Column:
+        named = [_member(e, name).alias(name) for name in ("id", "passed", "elapsed_ms")]
+        return F.struct(position.alias("position"), _kind(e).alias("kind"), *named)
+
+    return F.transform(elements, looked_up)
+
+
+def _facts(e: Column) -> Column:
+    """The members as typed values, null where the type is wrong."""
+    none = F.lit(0).cast("decimal(38,0)")
     return F.struct(
-        position.alias("position"),
-        is_object.alias("is_object"),
-        F.when(_is(e, "id", "^STRING$"), F.try_variant_get(e, "$.id", "string")).alias("id"),
-        F.when(_is(e, "passed", "^BOOLEAN$"), F.try_variant_get(e, "$.passed", "boolean")).alias("passed"),
+        e["position"].alias("position"),
+        F.coalesce(e["kind"].startswith("OBJECT"), F.lit(False)).alias("is_object"),
+        F.when(_kind(e["id"]) == "STRING", F.try_variant_get(e["id"], "$", "string")).alias("id"),
+        F.when(_kind(e["passed"]) == "BOOLEAN", F.try_variant_get(e["passed"], "$", "boolean")).alias("passed"),
         # A missing time counts as 0, a null or any other type is a violation.
-        F.when(elapsed.isNull(), F.lit(0).cast("decimal(38,0)"))
-        .when(_is(e, "elapsed_ms", INTEGER_TYPES), F.try_variant_get(e, "$.elapsed_ms", "decimal(38,0)"))
+        F.when(e["elapsed_ms"].isNull(), none)
+        .when(_kind(e["elapsed_ms"]).rlike(INTEGER_TYPES), F.try_variant_get(e["elapsed_ms"], "$", "decimal(38,0)"))
         .alias("elapsed_ms"),
     )
 
 
-def _second_use() -> Column:
-    """Positions at which an id is used again, found among neighbours after sorting by id."""
-    with_id = F.filter("elements", lambda e: e["id"].isNotNull())
-    by_id = F.array_sort(
-        F.transform(with_id, lambda e: F.struct(e["id"].alias("id"), e["position"].alias("position")))
-    )
-    pairs = F.arrays_zip(
-        by_id.alias("a"), F.slice(by_id, 2, F.greatest(F.size(by_id) - 1, F.lit(0))).alias("b")
-    )
-    again = F.filter(pairs, lambda p: p["a"]["id"] == p["b"]["id"])
-    return F.array_min(F.transform(again, lambda p: p["b"]["position"]))
-
-
 def _element_rule(e: Column) -> Column:
     rule = (
         F.when(~e["is_object"], 6)
         .when(e["id"].isNull(), 7)
-        .when(e["position"] == F.col("duplicate"), 8)
         .when(e["passed"].isNull(), 9)
         .when(e["elapsed_ms"].isNull(), 10)
     )
     return F.struct(e["position"].alias("position"), rule.alias("rule"))
 
 
+def _second_uses() -> Column:
+    """Rule 8 at every position whose id an earlier element has: neighbours after sorting by id.
+
+    The sorted array is bound once, as the only element of an array that is transformed.
+    """
+    used = F.filter("elements", lambda e: e["id"].isNotNull())
+    by_id = F.sort_array(F.transform(used, lambda e: F.struct(e["id"].alias("id"), e["position"].alias("position"))))
+
+    def repeated(ids: Column) -> Column:
+        following = F.slice(ids, 2, F.greatest(F.size(ids) - 1, F.lit(0)))
+        pairs = F.arrays_zip(ids.alias("a"), following.alias("b"))
+        again = F.filter(pairs, lambda p: p["a"]["id"] == p["b"]["id"])
+        return F.transform(again, lambda p: F.struct(p["b"]["position"].alias("position"), F.lit(8).alias("rule")))
+
+    return F.element_at(F.transform(F.array(by_id), repeated), 1)
+
+
 def _penalty() -> Column:
     return F.aggregate(
         F.filter("elements", lambda e: ~e["passed"]),
