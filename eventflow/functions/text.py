@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 # The characters that count as blanks at either end of a text (ASCII blanks and
 # separators, next line, no-break space, and the Unicode space characters), the key of a
-# message that cannot be parsed, the separator of a message and the form of an integer.
+# message that cannot be parsed, the separator of a message and the form of an integer, around
+# which the separators among the blanks are not allowed.
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+INTEGER_BLANKS = "".join(c for c in BLANKS if not "\x1c" <= c <= "\x1f")
 UNKNOWN_KEY = "unknown"
 SEPARATOR = ":"
 INTEGER = r"^[+-]?[0-9]+(_[0-9]+)*$"
@@ -24,8 +26,15 @@ def strip(text: Column) -> Column:
 
 
 def event_key(message: Column) -> Column:
-    """Key of a message: the stripped text before the first separator, or all of it (PRJ-1)."""
-    return F.coalesce(strip(F.substring_index(message, SEPARATOR, 1)), F.lit(UNKNOWN_KEY))
+    """Key of a message: the stripped text before the first separator, or all of it (PRJ-1).
+
+    Nearly every key begins and ends with a visible ASCII character, which comparing its
+    first and last byte tells at a fraction of the cost of stripping it.
+    """
+    key = F.substring_index(message, SEPARATOR, 1)
+    last_byte = F.substring(key.cast("binary"), -1, 1)
+    clean = key.between("!", "\x7f") & last_byte.between(F.lit(b"!"), F.lit(b"~"))
+    return F.coalesce(F.when(clean, key).otherwise(strip(key)), F.lit(UNKNOWN_KEY))
 
 
 def event_sequence(message: Column) -> Column:
@@ -36,7 +45,7 @@ def event_sequence(message: Column) -> Column:
 
 def to_integer(text: Column) -> Column:
     """Integer value of a text, null if it is not an integer of 64 bits."""
-    bare = strip(text)
+    bare = F.btrim(text, F.lit(INTEGER_BLANKS))
     return F.when(bare.rlike(INTEGER), F.replace(bare, F.lit("_"), F.lit("")).try_cast("bigint"))
 
 

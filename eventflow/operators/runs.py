@@ -39,22 +39,22 @@ def summary_lines(runs: DataFrame) -> DataFrame:
     One line per run: a document of any number of runs is written by many tasks and is
     never held as one value. Ids are unique within a summary.
     """
-    totals = roll_up(runs)
-    head = totals.select(
-        F.lit(0).alias("section"),
-        F.lit("").alias("id"),
-        F.concat(
-            F.lit('{"scenarios_passed":'), F.col("scenarios_passed").cast("string"),
-            F.lit(',"scenarios_total":'), F.col("scenarios_total").cast("string"),
-            F.lit(',"penalty_ms":'), F.col("penalty_ms").cast("string"),
-            F.lit(',"total_elapsed_ms":'), F.col("total_elapsed_ms").cast("string"),
-            F.lit(',"scenarios":['),
-        ).alias("line"),
+    c = F.col
+    opening = F.concat(
+        F.lit('{"scenarios_passed":'), c("scenarios_passed").cast("string"),
+        F.lit(',"scenarios_total":'), c("scenarios_total").cast("string"),
+        F.lit(',"penalty_ms":'), c("penalty_ms").cast("string"),
+        F.lit(',"total_elapsed_ms":'), c("total_elapsed_ms").cast("string"),
+        F.lit(',"scenarios":['),
     )
-    foot = totals.select(F.lit(2).alias("section"), F.lit("").alias("id"), F.lit("]}").alias("line"))
+    ends = F.array(*[
+        F.struct(F.lit(section).alias("section"), F.lit("").alias("id"), text.alias("line"))
+        for section, text in ((0, opening), (2, F.lit("]}")))
+    ])
+    frame = roll_up(runs).select(F.inline(ends))
     first = runs.agg(F.min("id").alias("id")).scalar()
     comma = F.when(F.col("id") > first, F.lit(",")).otherwise(F.lit(""))
     body = runs.select(
         F.lit(1).alias("section"), "id", F.concat(comma, F.col("record_json")).alias("line")
     )
-    return head.unionByName(body).unionByName(foot)
+    return frame.unionByName(body)

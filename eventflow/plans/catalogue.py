@@ -47,6 +47,8 @@ QUERIES: dict[str, Query] = {}
 NTH = 1000
 SEED, LOW, HIGH = 42, 1, 100
 STREAM_TIMEOUT = 3600.0
+# A backlog is worked off in micro-batches of this size, so that a failure repeats one of them.
+BATCH_BYTES = 1 << 40
 
 
 def query(build: Query) -> Query:
@@ -64,7 +66,7 @@ def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_messages(stream_table(spark, f"{sf_dir}/events.parquet", schemas.EVENTS))
+    return as_messages(stream_table(spark, f"{sf_dir}/events.parquet", schemas.EVENTS, max_bytes=BATCH_BYTES))
 
 
 def _stream_counts(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:

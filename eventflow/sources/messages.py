@@ -20,7 +20,7 @@ def read_messages(
     start: str = "earliest",
     since: datetime | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Messages as one string column ``value``.
@@ -57,7 +57,7 @@ def stream_table(
     schema: T.StructType,
     *,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """A parquet table as a stream, whether ``path`` is one file or a folder of files.
 
@@ -73,7 +73,7 @@ def as_messages(events: DataFrame, key: str = "event_type", sequence: str = "eve
     return events.select(message(F.col(key), F.col(sequence)).alias("value"))
 
 
-def _bounded(reader, max_files: int | None, max_bytes: str | None):
+def _bounded(reader, max_files: int | None, max_bytes: int | None):
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:

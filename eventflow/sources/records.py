@@ -39,14 +39,18 @@ def read_submissions(
 ) -> DataFrame:
     """``<root>/<submission>/result.json`` for all submissions in one job.
 
-    ``expected`` (column ``submission``) adds the ones without a file, with a null text.
+    ``expected`` (column ``submission``) adds those without a file, with a null text; only
+    names are compared, the texts are not shuffled.
     """
     files = spark.read.text(f"{root.rstrip('/')}/*/result.json", wholetext=True)
     found = files.select(
         F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/result\.json$", 1).alias("submission"),
         F.col("value").alias("text"),
     )
-    return found if expected is None else expected.select("submission").join(found, "submission", "left")
+    if expected is None:
+        return found
+    missing = expected.select("submission").distinct().join(found.select("submission"), "submission", "left_anti")
+    return found.unionByName(missing.withColumn("text", F.lit(None).cast("string")))
 
 
 def _get(field: str, kind: str) -> Column:

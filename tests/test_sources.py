@@ -12,6 +12,7 @@ from eventflow.functions.text import render_line
 from eventflow.operators.filters import bad_integers, data_lines, select_runs
 from eventflow.operators.summary import grouped_summary, key_counts, parse_messages
 from eventflow.operators.verify import canonical_digest
+from eventflow.sinks.tables import show_stream
 from eventflow.sources import generators
 from eventflow.sources.delimited import bad_rows, good_rows, parse_snapshot_lines, read_event_csv, read_snapshot_text
 from eventflow.sources.messages import read_messages
@@ -148,6 +149,24 @@ def test_message_source_from_now(spark, folder):
         read_messages(spark, landing, format="carrier pigeon")
 
 
+def test_micro_batches_are_bounded(spark, folder):
+    for i in range(4):
+        write(f"{folder}/landing/{i}.txt", "a:1\n" * 100)
+    sizes = []
+    stream = read_messages(spark, f"{folder}/landing", max_bytes=500)
+    sink = stream.writeStream.foreachBatch(lambda batch, _: sizes.append(batch.count()))
+    assert sink.trigger(availableNow=True).option("checkpointLocation", f"{folder}/c").start().awaitTermination(60)
+    assert sizes == [100] * 4
+
+
+def test_console_sink(spark, folder):
+    write(f"{folder}/landing/a.txt", "a:1\n")
+    query = show_stream(key_counts(parse_messages(read_messages(spark, f"{folder}/landing"))), f"{folder}/c")
+    query.processAllAvailable()
+    assert query.lastProgress is None or query.exception() is None
+    query.stop()
+
+
 def test_run_records(spark, folder):
     write(f"{folder}/scenario_01.json", json.dumps({"id": "01", "name": "n", "passed": True, "elapsed_ms": 5, "x": [1]}, indent=1))
     write(f"{folder}/scenario_02.json", '{"id": "02", "passed": tr')
@@ -172,4 +191,4 @@ def test_submissions(spark, folder):
     expected = spark.createDataFrame([("ann",), ("eve",)], "submission string")
     assert sorted(r.submission for r in read_submissions(spark, folder).collect()) == ["ann", "bob"]
     rows = {r.submission: r.text for r in read_submissions(spark, folder, expected).collect()}
-    assert rows == {"ann": '{"a":1}', "eve": None}
+    assert rows == {"ann": '{"a":1}', "bob": "{\n}\n", "eve": None}
