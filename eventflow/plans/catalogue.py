@@ -60,6 +60,10 @@ def _cents(table: DataFrame) -> DataFrame:
     return table.withColumn("value", cents(F.col("value")))
 
 
+def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derived.spread(derived.events(spark, sf_dir).select("event_id", "event_type", "value"))
+
+
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch form of the running counts."""
     return key_counts(parse_messages(as_messages(derived.events(spark, sf_dir))))
@@ -124,14 +128,14 @@ def orders_summary(spark, sf_dir):
 @query
 def csv_summary(spark, sf_dir):
     """SRC-4, FLT-1, AGG-2 over CSV lines."""
-    lines = data_lines(derived.csv_lines(derived.events(spark, sf_dir)))
+    lines = data_lines(derived.csv_lines(_spread_events(spark, sf_dir)))
     return grouped_summary(good_rows(parse_event_lines(lines)))
 
 
 @query
 def csv_quarantine(spark, sf_dir):
     """SRC-4: the rows that are kept out, by key and bad field."""
-    lines = data_lines(derived.csv_lines(derived.events(spark, sf_dir)))
+    lines = data_lines(derived.csv_lines(_spread_events(spark, sf_dir)))
     bad = bad_rows(parse_event_lines(lines)).select("event_type", F.explode("bad_fields").alias("bad_field"))
     return bad.groupBy("event_type", "bad_field").agg(F.count(F.lit(1)).alias("row_count"))
 
@@ -315,7 +319,8 @@ def digest_check(spark, sf_dir):
 @query
 def table_digest(spark, sf_dir):
     """VER-1 for tables of any size."""
-    table = derived.lineitem(spark, sf_dir)
+    columns = "l_orderkey l_linenumber l_partkey l_suppkey l_extendedprice l_returnflag l_linestatus".split()
+    table = derived.spread(derived.lineitem(spark, sf_dir).select(*columns))
     c = F.col
     line = render_line(
         c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey"), cents(c("l_extendedprice")),
@@ -346,7 +351,7 @@ def completeness_check(spark, sf_dir):
 @query
 def summary_violations(spark, sf_dir):
     """VER-6."""
-    return first_violations(derived.documents(derived.events(spark, sf_dir)))
+    return first_violations(derived.documents(_spread_events(spark, sf_dir)))
 
 
 # Run records
@@ -355,7 +360,7 @@ def summary_violations(spark, sf_dir):
 @query
 def run_records(spark, sf_dir):
     """SRC-6: records and unreadable texts."""
-    return parse_run_records(derived.run_texts(derived.events(spark, sf_dir))).drop("record")
+    return parse_run_records(derived.run_texts(_spread_events(spark, sf_dir))).drop("record")
 
 
 @query

@@ -29,6 +29,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.ORDERS).parquet(f"{sf_dir}/orders.parquet")
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Rows of a table read from fewer splits than there are cores, over all cores.
+
+    For work that costs much more per row than moving it. A table of many splits, as any
+    large one is, stays as it is and is not shuffled.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def index(table: DataFrame, key: str = "event_id") -> DataFrame:
     """The row number column of a table as the index of a generator."""
     return table.select(F.col(key).alias("i"))

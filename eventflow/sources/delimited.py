@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,12 +46,21 @@ def type_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def good_rows(typed: DataFrame) -> DataFrame:
-    return typed.filter(F.size("bad_fields") == 0).drop("bad_fields")
+    return typed.filter(_all_typed(typed)).drop("bad_fields")
 
 
 def bad_rows(typed: DataFrame) -> DataFrame:
     """Rows for the quarantine table."""
-    return typed.filter(F.size("bad_fields") > 0)
+    return typed.filter(~_all_typed(typed))
+
+
+def _all_typed(typed: DataFrame) -> Column:
+    """Every field but the texts has a value, which is the same as no ``bad_fields``."""
+    valid = F.lit(True)
+    for field in typed.schema.fields:
+        if not isinstance(field.dataType, (T.StringType, T.ArrayType)):
+            valid = valid & F.col(field.name).isNotNull()
+    return valid
 
 
 def read_snapshot_text(spark: SparkSession, path: str) -> DataFrame:

@@ -85,14 +85,16 @@ def start_changelog(
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*keys, sequence).persist()
         try:
-            new = key_counts(rows, list(keys))
-            earlier = store.read(before=batch_id)
-            same = [F.col(f"e.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
-            base = earlier.alias("e").join(new.alias("n"), same, "left_semi").select(*keys, "event_count")
+            total = key_counts(rows, list(keys))
+            base = None
+            if not store.is_empty():
+                same = [F.col(f"e.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
+                earlier = store.read(before=batch_id).alias("e")
+                base = earlier.join(total.alias("n"), same, "left_semi").select(*keys, "event_count")
+                total = total.unionByName(base).groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
             log = running_counts(rows, keys, sequence, base, unique)
             log.write.mode("overwrite").parquet(f"{changelog_path(out)}/batch_id={batch_id}")
-            both = new.unionByName(base).groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
-            store.write_delta(both, batch_id, compact_every)
+            store.write_delta(total, batch_id, compact_every)
         finally:
             rows.unpersist()
 
