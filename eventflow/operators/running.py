@@ -22,7 +22,7 @@ BLOCK_BITS = 20
 BLOCK_ROWS = 1 << BLOCK_BITS
 NULL_BLOCK = -(1 << 62)
 # Blocks with too many events are told apart by a broadcast of at most this many block ids.
-CROWDED_BLOCKS = 1_000_000
+CROWDED_BLOCKS = 100_000
 # Copies of one event that are written by one row of a task.
 COPIES_PER_ROW = 65_536
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventflow import schemas
 from eventflow.functions.numbers import cents, epoch_micros
-from eventflow.functions.text import event_key, event_sequence, message, render_line, scenario_id
+from eventflow.functions.text import event_key, event_sequence, render_line, scenario_id
 from eventflow.operators.filters import bad_integers, data_lines, select_runs
 from eventflow.operators.running import nth_event, running_counts
 from eventflow.operators.runs import add_metrics, roll_up, summary_lines

@@ -14,7 +14,7 @@ from eventflow.functions.numbers import latency_ratio, per_second, speedup
 from eventflow.functions.text import render_line
 from eventflow.operators.filters import select_runs
 from eventflow.operators.runs import roll_up
-from eventflow.operators.summary import grouped_summary, handoff, key_counts, parse_messages
+from eventflow.operators.summary import grouped_summary, handoff, parse_messages
 from eventflow.operators.validate import first_violations
 from eventflow.operators.verify import CANONICAL_LINES, canonical_digest, key_diff, multiset_digest
 from eventflow.sinks.records import write_run, write_summary

@@ -76,6 +76,7 @@ def start_changelog(
 ) -> StreamingQuery:
     """Write one row per event with the running count of its key (STR-5).
 
+    Batches count in the order of their arrival, the events of a batch by their number.
     A stateful function per key would send all events of a hot key through one task. Here
     every batch is counted with the block-wise batch operator, starting from the counts the
     batches before it left behind; both outputs of a batch are overwritten if it runs again.

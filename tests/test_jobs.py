@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from eventflow import __main__ as command_line
 from eventflow.operators.summary import grouped_summary
-from eventflow.operators.validate import first_violations
 from eventflow.plans import jobs
 from eventflow.sinks import tables
 from eventflow.sinks.tables import publish_csv, write_messages

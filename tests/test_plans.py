@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from eventflow.operators.summary import grouped_summary, key_counts, parse_messages
