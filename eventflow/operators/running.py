@@ -8,7 +8,8 @@ over keys and numbers, no window group exceeds 2**20 rows (2**24 spans for a key
 that hold more events than that can only do so with copies, which are combined first.
 
 What is carried in travels as one more row of its group, so no join is needed and null
-keys or sequence numbers are counted like any other; null numbers come first.
+keys or sequence numbers are counted like any other; null numbers come first. The time of
+the n-th event is found by going down the same levels.
 """
 
 from __future__ import annotations
@@ -64,24 +65,30 @@ def running_counts(
 def nth_event(events: DataFrame, keys: Sequence[str], order: str, sequence: Column, n: int) -> DataFrame:
     """Value of ``order`` at which each key reaches ``n`` events; keys below ``n`` have no row.
 
-    ``sequence`` is the bigint form of ``order``. Events are counted per block; only those
-    between the first and the last block in which some key passes ``n`` are then looked at.
+    ``sequence`` is the bigint form of ``order``. The events of each key are counted per
+    span, then per block of the span in which the count passes ``n``, then one by one in
+    the block in which it does. What lies outside of all such spans or blocks is left out
+    before it is shuffled.
     """
     rows = _with_blocks(events.select(*keys, order, sequence.alias("_at")), F.col("_at"))
-    passing = _block_offsets(_block_counts(rows, keys), keys, None).filter(
-        (F.col("before") < n) & (F.col("before") + F.col("copies") >= n)
-    )
-    ends = passing.agg(F.struct(F.min("_block").alias("low"), F.max("_block").alias("high"))).scalar()
-    near = rows.filter(F.col("_block").between(ends["low"], ends["high"]))
-    cells = near.groupBy(*keys, "_block", "_at", order).agg(F.count(F.lit(1)).alias("copies"))
-    hit = passing.select(
-        *[F.col(k).alias(f"_p_{k}") for k in keys], F.col("_block").alias("_p__block"), "before"
-    )
-    inside = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    reached = cells.join(hit, _same([*keys, "_block"], "_p_")).withColumn(
-        "_reached", F.col("before") + F.sum("copies").over(inside)
-    )
-    return reached.filter(F.col("_reached") >= n).groupBy(*keys).agg(F.min(order).alias(order))
+    spans = rows.groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("copies"))
+    passing = _passing(spans.withColumn("before", F.lit(0)), keys, "_span", n)
+    for outer, inner in (("_span", ["_block"]), ("_block", ["_at", order])):
+        ends = passing.agg(F.struct(F.min(outer).alias("low"), F.max(outer).alias("high"))).scalar()
+        near = rows.filter(F.col(outer).between(ends["low"], ends["high"]))
+        counts = near.groupBy(*keys, outer, *inner).agg(F.count(F.lit(1)).alias("copies"))
+        names = [*keys, outer]
+        chosen = passing.select(*[F.col(k).alias(f"_p_{k}") for k in names], "before")
+        passing = _passing(counts.join(chosen, _same(names, "_p_")), keys, inner[0], n)
+    return passing.select(*keys, order)
+
+
+def _passing(counts: DataFrame, keys: Sequence[str], at: str, n: int) -> DataFrame:
+    """The one row per key in which its count passes ``n``, ``before`` being the count ahead of it."""
+    ahead = Window.partitionBy(*keys).orderBy(F.asc_nulls_first(at)).rowsBetween(Window.unboundedPreceding, 0)
+    reached = counts.withColumn("_reached", F.col("before") + F.sum("copies").over(ahead))
+    passes = (F.col("_reached") >= n) & (F.col("_reached") - F.col("copies") < n)
+    return reached.filter(passes).withColumn("before", F.col("_reached") - F.col("copies")).drop("_reached")
 
 
 def _with_blocks(rows: DataFrame, number: Column) -> DataFrame:
