@@ -75,5 +75,8 @@ def epoch_micros(ts: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Exact integer cents of an amount held as a double."""
-    return F.round(amount * 100).cast("bigint")
+    """Integer cents of an amount of whole cents held as a double.
+
+    ``rint`` stays in double arithmetic where ``round`` makes a decimal of every value.
+    """
+    return F.rint(amount * 100).cast("bigint")
