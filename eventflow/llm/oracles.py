@@ -1,5 +1,7 @@
 """The same results in DuckDB's SQL, where SQL can express them."""
 
+from eventflow.llm.licenses import RULES, SENTENCES, pattern
+
 OP10_EXACT_DEDUP = r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
@@ -41,3 +43,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+def _licenses() -> str:
+    """The rules one after the other; each takes its sentences away."""
+    known = ", ".join(f"('{sentence}', '{name}')" for sentence, name in SENTENCES.items())
+    steps = "".join(
+        f"""), s{k + 1} AS (
+  SELECT doc_id, r, sentence_ids, CASE WHEN regexp_matches(rest, '{pattern(rule)}')
+         THEN list_append(names, '{name}') ELSE names END AS names,
+         regexp_replace(rest, '{pattern(rule)}', ',', 'g') AS rest FROM s{k}
+"""
+        for k, (name, rule) in enumerate(RULES)
+    )
+    return rf"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, string_split(regexp_replace(coalesce(text, ''),
+    '([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n', '\1' || chr(1), 'g'), chr(1)) AS parts FROM documents
+), c AS (
+  SELECT doc_id, r, flatten(list_transform(parts, lambda p: CASE WHEN contains(p, chr(10))
+    THEN list_concat([p], string_split(p, chr(10))) ELSE [p] END)) AS parts FROM d
+), e AS (
+  SELECT r, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM c
+), n AS (
+  SELECT r, place, regexp_replace(regexp_replace(
+    translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9.]+', ' ', 'g'),
+    '^[ .]+|[ .]+$', '', 'g') AS sentence FROM e
+), k(sentence, name) AS (VALUES {known}
+), f AS (
+  SELECT r, string_agg(name, ',' ORDER BY place) AS sentence_ids FROM n JOIN k USING (sentence) GROUP BY r
+), s0 AS (
+  SELECT doc_id, r, coalesce(sentence_ids, '') AS sentence_ids, []::VARCHAR[] AS names,
+         ',' || coalesce(sentence_ids, '') || ',' AS rest FROM d LEFT JOIN f USING (r)
+{steps})
+SELECT doc_id, sentence_ids, array_to_string(list_sort(list_distinct(names)), ',') AS licenses FROM s{len(RULES)}
+"""
+
+
+OP8_LICENSES = _licenses()

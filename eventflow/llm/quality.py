@@ -77,15 +77,15 @@ def fit_quality(sample: DataFrame) -> np.ndarray:
             both = [word_ngrams(t) for t in frame["text"]]
             yield pd.DataFrame({
                 "doc_id": frame["doc_id"], "label": frame["label"].astype("int32"),
-                "at": [a for a, _ in both], "value": [v for _, v in both],
+                "at": [a.tobytes() for a, _ in both], "value": [v.tobytes() for _, v in both],
             })
 
     found = sample.select("doc_id", "text", "label").mapInPandas(
-        vectors, "doc_id long, label int, at array<int>, value array<float>"
-    ).toPandas().sort_values("doc_id", kind="stable")
+        vectors, "doc_id long, label int, at binary, value binary"
+    )
     rows = [
-        (*with_bias(np.asarray(a, np.int32), np.asarray(v, np.float32)), float(y))
-        for a, v, y in zip(found["at"], found["value"], found["label"])
+        (*with_bias(np.frombuffer(r.at, np.int32), np.frombuffer(r.value, np.float32)), float(r.label))
+        for r in sorted(found.toLocalIterator(), key=lambda r: r.doc_id)
     ]
     leader = Leader()
     order = np.random.default_rng(7)

@@ -11,7 +11,10 @@ from eventflow.llm import oracles
 from eventflow.llm.common import fold, read_table
 from eventflow.llm.decontaminate import contamination
 from eventflow.llm.exact_dedup import label_copies
+from eventflow.llm.html import extract
+from eventflow.llm.licenses import scan
 from eventflow.llm.packing import pack
+from eventflow.llm.pii import KINDS, personal_data
 from eventflow.llm.quality import ACCEPT, fit_quality, labelled_sample, score_quality
 from eventflow.llm.simhash import near_duplicates
 
@@ -32,6 +35,21 @@ def op1_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_pii(spark, sf_dir):
+    """Personal data in all documents."""
+    def written(column):
+        return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    found = personal_data(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *map(number, KINDS), F.sha2(written("base").cast("binary"), 256).alias("base_sha256"), written("spans").alias("spans")
+    )
+
+
 @query
 def op5_simhash(spark, sf_dir):
     """SimHash classes of all documents."""
@@ -67,6 +85,20 @@ def op7_quality(spark, sf_dir):
     )
 
 
+@query
+def op8_licenses(spark, sf_dir):
+    """Licences of all documents."""
+    return scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses")
+    )
+
+
+@query
+def op9_html(spark, sf_dir):
+    """Main text of all pages."""
+    return extract(read_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op10_exact_dedup(spark, sf_dir):
     """Groups of equal documents, and which of each stays."""
