@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -41,7 +42,25 @@ def word_ngrams(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     return _vector(np.concatenate([_hashed(PIECE.findall(data)), pairs, case]), bits)
 
 
-def sentence_words(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and values of a text's lower-case words, each counted once, of value 1."""
-    index = np.unique(_hashed(list(set(PIECE.findall(text.lower().encode())))) & np.uint32((1 << bits) - 1))
-    return index.astype(np.int32), np.ones(len(index), np.float32)
+LETTERS = re.compile(rb"[a-z\x80-\xff]+")
+# Beginnings of words that are features, in bytes; the length of their vectors.
+BEGINNINGS = range(4, 9)
+LENGTH = 10.0
+
+
+def word_beginnings(text: str, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in ascending order and values of a text's lower-case words and their beginnings.
+
+    Words of one stem share beginnings, so an inflected word counts as its stem does. Values
+    are dampened counts; the vector has length ``LENGTH``. An empty text has no positions.
+    """
+    counts = Counter(LETTERS.findall(text.lower().encode()))
+    parts, times = list(counts), list(counts.values())
+    for size in BEGINNINGS:
+        longer = [w for w in counts if len(w) > size]
+        parts += [w[:size] + b"-" for w in longer]
+        times += [counts[w] for w in longer]
+    at, back = np.unique(_hashed(parts) & np.uint32((1 << bits) - 1), return_inverse=True)
+    values = np.log1p(np.bincount(back, weights=times, minlength=len(at)))
+    norm = np.sqrt(np.dot(values, values))
+    return at.astype(np.int32), (LENGTH * values / norm if len(values) else values).astype(np.float32)

@@ -12,7 +12,7 @@ from eventflow.llm.features import BITS, word_ngrams
 
 # Bound of the sample that the classifier is fitted on; passes over it.
 MOST_ROWS = 10_000
-PASSES = 3
+PASSES = 5
 # Step size, its start, and the strengths of the absolute and the squared penalty.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.1
 ACCEPT = 0.7
@@ -22,18 +22,22 @@ BIAS = 0
 class Leader:
     """Follow-the-regularised-leader updates, each coordinate with its own step size."""
 
-    def __init__(self, bits: int = BITS):
+    def __init__(self, bits: int = BITS, absolute: float = L1):
         self.gradients = np.zeros(1 << bits)
         self.squares = np.zeros(1 << bits)
+        self.absolute = absolute
 
     def weights(self, at) -> np.ndarray:
         total, squares = self.gradients[at], self.squares[at]
-        pulled = np.sign(total) * np.maximum(np.abs(total) - L1, 0)
+        pulled = np.sign(total) * np.maximum(np.abs(total) - self.absolute, 0)
         return -pulled / ((BETA + np.sqrt(squares)) / ALPHA + L2)
 
     def learn(self, at: np.ndarray, values: np.ndarray, label: float) -> None:
+        score = 1 / (1 + np.exp(-np.dot(self.weights(at), values)))
+        self.step(at, (score - label) * values)
+
+    def step(self, at: np.ndarray, gradient: np.ndarray) -> None:
         weights = self.weights(at)
-        gradient = (1 / (1 + np.exp(-np.dot(weights, values))) - label) * values
         before = self.squares[at]
         after = before + gradient * gradient
         self.gradients[at] += gradient - (np.sqrt(after) - np.sqrt(before)) / ALPHA * weights

@@ -17,6 +17,7 @@ from eventflow.llm.packing import pack
 from eventflow.llm.pii import KINDS, personal_data
 from eventflow.llm.quality import ACCEPT, fit_quality, labelled_sample, score_quality
 from eventflow.llm.simhash import near_duplicates
+from eventflow.llm.toxicity import fit_toxicity, score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -50,6 +51,18 @@ def op2_pii(spark, sf_dir):
     )
 
 
+@query
+def op4_toxicity(spark, sf_dir):
+    """Toxicity of all documents, learned from four fifths of the labels."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    training = fold("doc_id", 5) != 0
+    weights = fit_toxicity(labelled_sample(docs, read_table(spark, sf_dir, "labels"), "toxic", training))
+    return score_toxicity(docs, weights).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op5_simhash(spark, sf_dir):
     """SimHash classes of all documents."""
