@@ -13,6 +13,7 @@ from eventflow.llm.decontaminate import contamination
 from eventflow.llm.exact_dedup import label_copies
 from eventflow.llm.html import extract
 from eventflow.llm.licenses import scan
+from eventflow.llm.lm import fit, read_corpus, score
 from eventflow.llm.packing import pack
 from eventflow.llm.pii import KINDS, personal_data
 from eventflow.llm.quality import ACCEPT, fit_quality, labelled_sample, score_quality
@@ -51,6 +52,19 @@ def op2_pii(spark, sf_dir):
     )
 
 
+@query
+def op3_lm_scoring(spark, sf_dir):
+    """Likelihood of all documents, learned from nine tenths of them."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    training = fold("doc_id", 10) != 0
+    corpus = read_corpus(docs, training)
+    scored = score(docs, fit(docs, training, corpus), corpus)
+    return scored.select(
+        "doc_id", (fold("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known",
+        F.lit(corpus.tokens).cast("bigint").alias("train_tokens"), "base_score", "score",
+    )
+
+
 @query
 def op4_toxicity(spark, sf_dir):
     """Toxicity of all documents, learned from four fifths of the labels."""
