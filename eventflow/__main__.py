@@ -7,14 +7,17 @@ import json
 import sys
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventflow import schemas
+from eventflow.operators.summary import grouped_summary
 from eventflow.operators.validate import first_violations
 from eventflow.plans import jobs
 from eventflow.session import build_session, work_dir
 from eventflow.sinks.tables import write_messages
 from eventflow.sources import generators
+from eventflow.sources.delimited import good_rows, read_event_csv, read_snapshot_text
 from eventflow.sources.messages import read_messages
 from eventflow.sources.records import read_submissions
 
@@ -38,18 +41,33 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, Any]:
             options["topic"] = args.topic
         write_messages(generators.messages(n), args.path, format=args.format, options=options)
         total = spark.range(1).select(F.lit(args.count).cast("bigint").alias("n"))
-        digest = jobs.result_digest(generators.expected_counts(total))
+        digest = jobs.result_digest(generators.expected_counts(total), jobs.CANONICAL)
         result = {
             "count": args.count, "sha256_of_expected_output": digest,
             "scenario_id": args.scenario, "topic": args.topic or args.path,
         }
     elif args.job == "stream-counts":
-        messages = read_messages(
-            spark, args.path, format=args.format, start=args.start, options=json.loads(args.options)
+        messages, injected, expected = _messages(spark, args)
+        result = jobs.stream_counts(
+            spark, messages, args.out, args.checkpoint, expected, injected, args.mode, args.timeout, args.digest
+        )
+    elif args.job == "pipeline":
+        messages, injected, expected = _messages(spark, args)
+        result = jobs.pipeline(spark, messages, args.out, expected, injected, args.timeout, args.digest)
+    elif args.job == "compare":
+        result = jobs.compare_stream_batch(
+            spark, args.path, args.out, args.timeout, args.digest, max_files=args.max_files, max_bytes=args.max_bytes
         )
-        result = jobs.stream_counts(spark, messages, args.out, args.checkpoint, mode=args.mode, timeout=args.timeout)
     elif args.job == "batch-summary":
-        result = jobs.batch_summary(spark, args.path, args.out)
+        expected = args.expected and spark.read.schema(schemas.SUMMARY).option("header", True).csv(args.expected)
+        result = jobs.batch_summary(
+            spark, args.path, args.out, expected or None, args.single_file, args.timeout, args.digest
+        )
+    elif args.job == "partitions":
+        result = jobs.compare_partitions(
+            spark, lambda s: good_rows(read_event_csv(s, args.path)), grouped_summary, args.count, args.baseline,
+            args.at_most, timeout=args.timeout, digest=args.digest,
+        )
     elif args.job == "run-all":
         ids = args.scenarios.split(",") if args.scenarios else None
         work = args.out or work_dir(spark, "run-all")
@@ -62,6 +80,20 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, Any]:
     return result
 
 
+def _messages(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, int | None, DataFrame | None]:
+    """The stream, the number of messages as the batch reader counts them, and expected counts if given.
+
+    A topic that is still being written to has no fixed number; it needs expected counts.
+    """
+    options = json.loads(args.options)
+    common = {"format": args.format, "start": args.start, "options": options}
+    stream = read_messages(spark, args.path, max_files=args.max_files, max_bytes=args.max_bytes, **common)
+    expected = args.expected and read_snapshot_text(spark, args.expected).select("event_type", "event_count")
+    if expected:
+        return stream, None, expected
+    return stream, read_messages(spark, args.path, streaming=False, **common).count(), None
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="eventflow")
     parser.add_argument("--shuffle-partitions", type=int, help="about the cores of the cluster; a stream keeps its first value")
@@ -75,19 +107,38 @@ def _parser() -> argparse.ArgumentParser:
     generate.add_argument("--format", default="text")
     generate.add_argument("--options", default="{}", help="JSON object of sink options")
 
-    stream = commands.add_parser("stream-counts", help="count a message stream")
-    stream.add_argument("--path")
-    stream.add_argument("--format", default="text")
-    stream.add_argument("--start", default="earliest")
-    stream.add_argument("--options", default="{}", help="JSON object of source options")
-    stream.add_argument("--out", required=True)
+    def job(name: str, text: str, timeout: float) -> argparse.ArgumentParser:
+        added = commands.add_parser(name, help=text)
+        added.add_argument("--path")
+        added.add_argument("--out", required=name != "partitions")
+        added.add_argument("--timeout", type=float, default=timeout)
+        added.add_argument("--digest", default=jobs.CANONICAL, choices=[jobs.CANONICAL, jobs.MULTISET])
+        return added
+
+    def streaming(added: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        added.add_argument("--format", default="text")
+        added.add_argument("--start", default="earliest")
+        added.add_argument("--options", default="{}", help="JSON object of source options")
+        added.add_argument("--max-files", type=int, help="most files of a micro-batch")
+        added.add_argument("--max-bytes", type=int, help="most bytes of a micro-batch")
+        added.add_argument("--expected", help="lines key<TAB>count to compare with; else the messages are counted")
+        return added
+
+    stream = streaming(job("stream-counts", "count a message stream", 120))
     stream.add_argument("--checkpoint", required=True)
-    stream.add_argument("--mode", default="complete", choices=["complete", "update"])
-    stream.add_argument("--timeout", type=float, default=120)
+    stream.add_argument("--mode", default="update", choices=["complete", "update"])
+
+    streaming(job("compare", "the same messages as a stream and as a batch", 120))
+    streaming(job("pipeline", "stream counts, summarised by the batch stage", 90))
+
+    batch = job("batch-summary", "summarise an event CSV", 120)
+    batch.add_argument("--expected", help="a summary CSV to compare with")
+    batch.add_argument("--single-file", action="store_true", help="one file, written by one task")
 
-    batch = commands.add_parser("batch-summary", help="summarise an event CSV")
-    batch.add_argument("--path", required=True)
-    batch.add_argument("--out", required=True)
+    partitions = job("partitions", "compare shuffle partition counts on an event CSV", 90)
+    partitions.add_argument("--count", type=int, required=True)
+    partitions.add_argument("--baseline", type=int, default=jobs.BASELINE_PARTITIONS)
+    partitions.add_argument("--at-most", type=int, default=jobs.MOST_PARTITIONS)
 
     everything = commands.add_parser("run-all", help="run the jobs on generated events and write the summary")
     everything.add_argument("--scenarios", help="ids such as 1,2,3")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +25,27 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The first line of every data file at these files, folders or patterns, by its path."""
+    found = {}
+    for path in paths:
+        fs, p = _path(spark, path)
+        stack = [status.getPath() for status in fs.globStatus(p) or ()]
+        while stack:
+            at = stack.pop()
+            if fs.getFileStatus(at).isDirectory():
+                stack += [s.getPath() for s in fs.listStatus(at) if not s.getPath().getName().startswith(("_", "."))]
+                continue
+            stream = fs.open(at)
+            try:
+                jvm = spark._jvm
+                reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+                found[at.toString()] = reader.readLine() or ""
+            finally:
+                stream.close()
+    return found
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)

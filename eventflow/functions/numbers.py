@@ -27,14 +27,18 @@ def round_half_even(x: Column, digits: int) -> Column:
     """
     scale = 10**digits
     x = x.cast("double")
-    # 2, 20 and 200 as sums of powers of two.
-    twice, error = _exact_multiple(x, {0: [2], 1: [16, 4], 2: [128, 64, 8]}[digits])
+    if digits == 0:
+        return F.rint(x)
+    # 20 and 200 as sums of powers of two.
+    twice, error = _exact_multiple(x, {1: [16, 4], 2: [128, 64, 8]}[digits])
     low = F.floor(twice / 2).cast("double")
     over = twice - low * 2
     up = (over > 1) | ((over == 1) & ((error > 0) | ((error == 0) & (F.pmod(low, F.lit(2.0)) == 1))))
     exact = (low + F.when(up, 1.0).otherwise(0.0)) / F.lit(float(scale))
-    # Doubles this large have no fraction that could be rounded away.
-    return F.when(F.abs(x) < 2.0**43, exact).otherwise(x)
+    # Doubles this large have fractions of at most nine bits, whose multiples are exact; they are
+    # also so far apart that adding the quotient rounds as the exact sum would.
+    part = x % F.lit(1.0)
+    return F.when(F.abs(x) < 2.0**43, exact).otherwise(x - part + F.rint(part * scale) / F.lit(float(scale)))
 
 
 def per_second(n: Column, millis: Column, digits: int) -> Column:

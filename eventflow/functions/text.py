@@ -54,6 +54,18 @@ def render_line(*columns: Column, sep: str = "\t") -> Column:
     return F.concat_ws(sep, *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
 
 
+def escaped_line(*columns: Column, sep: str = ",") -> Column:
+    """One text line from which each column's text can be told, for digests of any table.
+
+    A null is ``\\N``; backslashes and separators inside a value get a backslash in front.
+    """
+    def field(c: Column) -> Column:
+        text = F.replace(F.replace(c.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(sep), F.lit("\\" + sep))
+        return F.coalesce(text, F.lit("\\N"))
+
+    return F.concat_ws(sep, *map(field, columns))
+
+
 def message(key: Column, sequence: Column) -> Column:
     """The message form of an event: ``key:sequence``."""
     return F.concat(key, F.lit(SEPARATOR), sequence.cast("string"))

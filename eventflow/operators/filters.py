@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +42,11 @@ def bad_integers(on_bad: str, number: Column, text: Column) -> Column:
     raise ValueError("on_bad is 'skip', 'zero' or 'fail'")
 
 
-def require_columns(df: DataFrame, names: Iterable[str]) -> None:
+def require_columns(found: Sequence[str], names: Iterable[str]) -> None:
     """Refuse an input that lacks a required column, before any job runs (FLT-4)."""
-    missing = sorted(set(names) - set(df.columns))
+    missing = sorted(set(names) - set(found))
     if missing:
-        raise ValueError(f"input is missing columns {missing}; found {df.columns}")
+        raise ValueError(f"input is missing columns {missing}; found {list(found)}")
 
 
 def select_runs(runs: DataFrame, ids: Iterable[str]) -> DataFrame:

@@ -4,8 +4,8 @@ A window over a whole key would put a hot key into one task. Here the 64-bit seq
 number is cut into blocks of 2**20 numbers and those into spans of 2**20 blocks. Counts
 are added up over the spans of a key, then over the blocks of a span, then inside a block,
 each level starting from what the level above carries in. However the events are spread
-over keys and numbers, no window group exceeds 2**20 rows (2**24 spans for a key); blocks
-that hold more events than that can only do so with copies, which are combined first.
+over keys and numbers, no window group exceeds 2**20 rows (2**24 spans for a key): copies
+of an event, which alone could fill a block further, are combined first.
 
 What is carried in travels as one more row of its group, so no join is needed and null
 keys or sequence numbers are counted like any other; null numbers come first. The time of
@@ -20,10 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 20
-BLOCK_ROWS = 1 << BLOCK_BITS
 NULL_BLOCK = -(1 << 62)
-# Blocks with too many events are told apart by a broadcast of at most this many block ids.
-CROWDED_BLOCKS = 100_000
 # Copies of one event that are written by one row of a task.
 COPIES_PER_ROW = 65_536
 
@@ -37,50 +34,38 @@ def running_counts(
 ) -> DataFrame:
     """One row per event: its key, its number and the count of the key up to it.
 
-    Unless ``unique`` says that a key's numbers do not repeat, as with broker offsets, a
-    first job counts the events of each block to find the crowded ones. ``base`` holds
-    ``event_count`` per key from earlier input.
+    ``unique`` says that a key's numbers do not repeat, as with broker offsets; copies then
+    need not be looked for. ``base`` holds ``event_count`` per key from earlier input.
     """
     rows = _with_blocks(events.select(*keys, sequence), F.col(sequence))
-    blocks = _block_counts(rows, keys)
-    offsets = _block_offsets(blocks, keys, base)
-    crowded = blocks.filter(F.col("copies") > BLOCK_ROWS)
-    found = 0 if unique else crowded.count()
-    if found == 0:
-        return _count_rows(rows, offsets, keys, sequence)
-    if found > CROWDED_BLOCKS:
-        return _count_copies(rows, offsets, keys, sequence)
-
-    ids = F.broadcast(crowded.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_block").alias("_c__block")))
-    same = _same([*keys, "_block"], "_c_")
-    sparse = _count_rows(
-        rows.join(ids, same, "left_anti"), offsets.filter(F.col("copies") <= BLOCK_ROWS), keys, sequence
-    )
-    dense = _count_copies(
-        rows.join(ids, same, "left_semi"), offsets.filter(F.col("copies") > BLOCK_ROWS), keys, sequence
-    )
-    return sparse.unionByName(dense)
+    offsets = _block_offsets(_block_counts(rows, keys), keys, base)
+    count = _count_rows if unique else _count_copies
+    return count(rows, offsets, keys, sequence)
 
 
 def nth_event(events: DataFrame, keys: Sequence[str], order: str, sequence: Column, n: int) -> DataFrame:
     """Value of ``order`` at which each key reaches ``n`` events; keys below ``n`` have no row.
 
-    ``sequence`` is the bigint form of ``order``. The events of each key are counted per
-    span, then per block of the span in which the count passes ``n``, then one by one in
-    the block in which it does. What lies outside of all such spans or blocks is left out
-    before it is shuffled.
+    ``sequence`` is the bigint form of ``order``. One pass counts the events of each key per
+    block; the span and the block in which a key's count passes ``n`` are found from these
+    counts. A second pass takes the events of those blocks, one a key, and counts them one
+    by one.
     """
     rows = _with_blocks(events.select(*keys, order, sequence.alias("_at")), F.col("_at"))
-    spans = rows.groupBy(*keys, "_span").agg(F.count(F.lit(1)).alias("copies"))
+    blocks = _block_counts(rows, keys)
+    spans = blocks.groupBy(*keys, "_span").agg(F.sum("copies").alias("copies"))
     passing = _passing(spans.withColumn("before", F.lit(0)), keys, "_span", n)
-    for outer, inner in (("_span", ["_block"]), ("_block", ["_at", order])):
-        ends = passing.agg(F.struct(F.min(outer).alias("low"), F.max(outer).alias("high"))).scalar()
-        near = rows.filter(F.col(outer).between(ends["low"], ends["high"]))
-        counts = near.groupBy(*keys, outer, *inner).agg(F.count(F.lit(1)).alias("copies"))
-        names = [*keys, outer]
-        chosen = passing.select(*[F.col(k).alias(f"_p_{k}") for k in names], "before")
-        passing = _passing(counts.join(chosen, _same(names, "_p_")), keys, inner[0], n)
-    return passing.select(*keys, order)
+    passing = _passing(_inside(blocks, passing, [*keys, "_span"]), keys, "_block", n)
+    cells = _inside(rows, passing, [*keys, "_block"]).groupBy(*keys, "_at", order, "before").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+    return _passing(cells, keys, "_at", n).select(*keys, order)
+
+
+def _inside(rows: DataFrame, passing: DataFrame, names: list[str]) -> DataFrame:
+    """The rows in a passing span or block, with what is counted before it."""
+    chosen = passing.select(*[F.col(k).alias(f"_p_{k}") for k in names], "before")
+    return rows.join(chosen, _same(names, "_p_")).drop(*[f"_p_{k}" for k in names])
 
 
 def _passing(counts: DataFrame, keys: Sequence[str], at: str, n: int) -> DataFrame:
@@ -117,21 +102,21 @@ def _count_rows(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], sequen
 
 
 def _count_copies(rows: DataFrame, offsets: DataFrame, keys: Sequence[str], sequence: str) -> DataFrame:
-    """Copies are combined on the map side, counted as one, and written out again by several
-    tasks, a run of them at a time."""
+    """Copies are combined on the map side, counted as one, and written out again. More than
+    ``COPIES_PER_ROW`` of them are written out by several tasks."""
     cells = rows.groupBy(*keys, "_block", sequence).agg(F.count(F.lit(1)).alias("copies"))
     counted = _carry_in(cells, offsets, [*keys, "_block"], sequence)
     first = F.col("_run") * COPIES_PER_ROW
     last = F.least(F.col("copies"), first + COPIES_PER_ROW)
-    last_run = F.floor((F.col("copies") - 1) / COPIES_PER_ROW)
-    return (
-        counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-        .repartition(*keys, sequence, "_run")
-        .select(
-            *keys,
-            sequence,
-            F.explode(F.sequence(F.col("before") + first + 1, F.col("before") + last)).alias("running_count"),
-        )
+    last_run = F.call_function("div", F.col("copies") - 1, F.lit(COPIES_PER_ROW))
+    few = counted.filter(F.col("copies") <= COPIES_PER_ROW).withColumn("_run", F.lit(0).cast("bigint"))
+    many = counted.filter(F.col("copies") > COPIES_PER_ROW).withColumn(
+        "_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run))
+    )
+    return few.unionByName(many.repartition(*keys, sequence, "_run")).select(
+        *keys,
+        sequence,
+        F.explode(F.sequence(F.col("before") + first + 1, F.col("before") + last)).alias("running_count"),
     )
 
 

@@ -34,10 +34,11 @@ def add_metrics(runs: DataFrame) -> DataFrame:
 
 
 def summary_lines(runs: DataFrame) -> DataFrame:
-    """The summary document as lines in the order ``section``, ``id`` (SNK-7).
+    """The summary document as lines in the order ``section``, ``id``, ``place`` (SNK-7).
 
     One line per run: a document of any number of runs is written by many tasks and is
-    never held as one value. Ids are unique within a summary.
+    never held as one value. Every line but the first run's begins with a comma. Ids may
+    repeat, which rule 8 reports; equal records of one id are numbered by ``place``.
     """
     c = F.col
     opening = F.concat(
@@ -48,13 +49,17 @@ def summary_lines(runs: DataFrame) -> DataFrame:
         F.lit(',"scenarios":['),
     )
     ends = F.array(*[
-        F.struct(F.lit(section).alias("section"), F.lit("").alias("id"), text.alias("line"))
+        F.struct(F.lit(section).alias("section"), F.lit("").alias("id"), F.lit(0).cast("bigint").alias("place"), text.alias("line"))
         for section, text in ((0, opening), (2, F.lit("]}")))
     ])
     frame = roll_up(runs).select(F.inline(ends))
-    first = runs.agg(F.min("id").alias("id")).scalar()
-    comma = F.when(F.col("id") > first, F.lit(",")).otherwise(F.lit(""))
-    body = runs.select(
-        F.lit(1).alias("section"), "id", F.concat(comma, F.col("record_json")).alias("line")
+    key = F.struct("id", "record_json")
+    # Equal records are one row with a count, written out again by number.
+    counted = runs.groupBy("id", "record_json").agg(F.count(F.lit(1)).alias("times"))
+    first = runs.agg(F.min(key).alias("first")).scalar()
+    placed = counted.select(
+        "id", "record_json", (key == first).alias("is_first"), F.explode(F.sequence(F.lit(1), c("times"))).alias("place")
     )
+    comma = F.when(c("is_first") & (c("place") == 1), F.lit("")).otherwise(F.lit(","))
+    body = placed.select(F.lit(1).alias("section"), "id", c("place").cast("bigint"), F.concat(comma, c("record_json")).alias("line"))
     return frame.unionByName(body)

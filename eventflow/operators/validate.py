@@ -31,40 +31,84 @@ REQUIRED = ("scenarios_passed", "scenarios_total", "penalty_ms", "scenarios")
 INTEGER_TYPES = r"^(BIGINT|DECIMAL\((19|2[0-9]|3[0-8]),0\))$"
 
 
-def first_violations(documents: DataFrame) -> DataFrame:
-    """``rule`` and element ``position`` of each document's first violation, nulls if valid.
+def all_violations(documents: DataFrame) -> DataFrame:
+    """Every violation of each document, one row each.
 
     ``documents`` has columns ``submission`` and ``text``, a null text being a missing file.
-    Documents are read as variants: plain JSON inference would turn a ``passed`` of mixed
-    types into strings and hide the violation.
+    Returns submission, position (of the element, null for rules on the whole document),
+    rule, detail, stated (the value in the document) and computed (what it should be, for
+    rules that compute one). A document that cannot be read that far has the one violation
+    that stops the reading. Documents are read as variants: plain JSON inference would turn a
+    ``passed`` of mixed types into strings and hide the violation.
     """
+    judged = _judged(documents)
+    return judged.select("submission", F.explode("violations").alias("v")).select(
+        "submission", "v.position", "v.rule", _described(F.col("v.rule")).alias("detail"), "v.stated", "v.computed"
+    )
+
+
+def first_violations(documents: DataFrame) -> DataFrame:
+    """``rule`` and element ``position`` of each document's first violation, nulls if valid."""
+    first = F.array_min("violations")
+    judged = _judged(documents).select("submission", first.alias("v"))
+    return judged.select(
+        "submission", "v.rule", "v.position", _described(F.col("v.rule")).alias("detail"), F.col("v").isNull().alias("valid")
+    )
+
+
+def _described(rule: Column) -> Column:
+    names = F.create_map(*[F.lit(x) for pair in RULES.items() for x in pair])
+    return F.when(rule.isNotNull(), F.element_at(names, rule))
+
+
+def _violation(rule: int | Column, position: Column | None = None, stated: Column | None = None, computed: Column | None = None) -> Column:
+    """Ordered as violations are found: what stops the reading, elements by position, totals."""
+    rule = F.lit(rule) if isinstance(rule, int) else rule
+    place = F.lit(None).cast("int") if position is None else position
+    text = F.lit(None).cast("string")
+    stage = F.when(rule <= 5, 0).when(rule <= 10, 1).otherwise(2)
+    return F.struct(
+        stage.alias("stage"), F.coalesce(place, F.lit(-1)).alias("at"), rule.alias("rule"), place.alias("position"),
+        (text if stated is None else stated).alias("stated"), (text if computed is None else computed).alias("computed"),
+    )
+
+
+def _text(v: Column) -> Column:
+    return F.when(_kind(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))
+
+
+def _judged(documents: DataFrame) -> DataFrame:
+    """``submission`` and the array of its violations."""
     doc = F.col("doc")
     parsed = documents.select("submission", "text", parse_document(F.col("text")).alias("doc"))
-    elements = F.coalesce(F.try_variant_get(doc, "$.scenarios", "array<variant>"), F.array().cast("array<variant>"))
-    facts = parsed.select("submission", "text", "doc", F.transform(_members(elements), _facts).alias("elements"))
-    candidates = F.concat(
-        F.filter(F.transform("elements", _element_rule), lambda e: e["rule"].isNotNull()), _second_uses()
+    # Each member is looked up once.
+    found = parsed.select(
+        "submission", "text", doc.isNull().alias("unreadable"),
+        F.coalesce(_kind(doc).startswith("OBJECT"), F.lit(False)).alias("is_object"),
+        *[_member(doc, name).alias(name) for name in REQUIRED],
+    )
+    elements = F.coalesce(
+        F.try_variant_get(F.col("scenarios"), "$", "array<variant>"), F.array().cast("array<variant>")
     )
-    judged = facts.withColumn("bad", F.array_min(candidates))
-    rule = (
-        F.when(F.col("text").isNull(), 1)
-        .when(doc.isNull(), 2)
-        .when(~_kind(doc).startswith("OBJECT"), 3)
-        .when(_any_missing(), 4)
-        .when(~_kind(_member(doc, "scenarios")).startswith("ARRAY"), 5)
-        .when(F.col("bad").isNotNull(), F.col("bad.rule"))
-        .when(~_claims("scenarios_passed", F.size(F.filter("elements", lambda e: e["passed"]))), 11)
-        .when(~_claims("penalty_ms", _penalty()), 12)
+    facts = found.withColumn("elements", F.transform(_members(elements), _facts))
+    missing = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED]))
+    stop = (
+        F.when(F.col("text").isNull(), _violation(1))
+        .when(F.col("unreadable"), _violation(2))
+        .when(~F.col("is_object"), _violation(3))
+        .when(F.size(missing) > 0, _violation(4, stated=F.concat(F.lit("missing: "), F.array_join(missing, ", "))))
+        .when(~_kind(F.col("scenarios")).startswith("ARRAY"), _violation(5, stated=_kind(F.col("scenarios"))))
     )
-    ruled = judged.select("submission", "bad", rule.alias("rule"))
-    described = F.element_at(F.create_map(*[F.lit(x) for pair in RULES.items() for x in pair]), F.col("rule"))
-    return ruled.select(
-        "submission",
-        "rule",
-        F.when(F.col("rule").between(6, 10), F.col("bad.position")).alias("position"),
-        F.when(F.col("rule").isNotNull(), described).alias("detail"),
-        F.col("rule").isNull().alias("valid"),
+    passed = F.size(F.filter("elements", lambda e: e["passed"]))
+    totals = F.array_compact(F.array(
+        F.when(~_states("scenarios_passed", passed), _violation(11, stated=_text(F.col("scenarios_passed")), computed=passed.cast("string"))),
+        F.when(~_states("penalty_ms", F.col("penalty")), _violation(12, stated=_text(F.col("penalty_ms")), computed=F.col("penalty").cast("string"))),
+    ))
+    each = F.flatten(F.transform("elements", _element_violations))
+    judged = facts.withColumns({"penalty": _penalty(), "stop": stop}).withColumn(
+        "violations", F.when(F.col("stop").isNotNull(), F.array("stop")).otherwise(F.concat(each, _second_uses(), totals))
     )
+    return judged.select("submission", F.array_sort("violations").alias("violations"))
 
 
 def _members(elements: Column) -> Column:
@@ -78,7 +122,7 @@ def _members(elements: Column) -> Column:
 
 
 def _facts(e: Column) -> Column:
-    """The members as typed values, null where the type is wrong."""
+    """The members as typed values, null where the type is wrong, and as texts."""
     none = F.lit(0).cast("decimal(38,0)")
     return F.struct(
         e["position"].alias("position"),
@@ -89,17 +133,17 @@ def _facts(e: Column) -> Column:
         F.when(e["elapsed_ms"].isNull(), none)
         .when(_kind(e["elapsed_ms"]).rlike(INTEGER_TYPES), F.try_variant_get(e["elapsed_ms"], "$", "decimal(38,0)"))
         .alias("elapsed_ms"),
+        e["kind"].alias("kind"),
+        *[_text(e[name]).alias(f"{name}_text") for name in ("id", "passed", "elapsed_ms")],
     )
 
 
-def _element_rule(e: Column) -> Column:
-    rule = (
-        F.when(~e["is_object"], 6)
-        .when(e["id"].isNull(), 7)
-        .when(e["passed"].isNull(), 9)
-        .when(e["elapsed_ms"].isNull(), 10)
-    )
-    return F.struct(e["position"].alias("position"), rule.alias("rule"))
+def _element_violations(e: Column) -> Column:
+    at = e["position"]
+    own = F.array_compact(F.array(*[
+        F.when(e[name].isNull(), _violation(rule, at, e[f"{name}_text"])) for rule, name in ((7, "id"), (9, "passed"), (10, "elapsed_ms"))
+    ]))
+    return F.when(e["is_object"], own).otherwise(F.array(_violation(6, at, e["kind"])))
 
 
 def _second_uses() -> Column:
@@ -114,7 +158,7 @@ def _second_uses() -> Column:
         following = F.slice(ids, 2, F.greatest(F.size(ids) - 1, F.lit(0)))
         pairs = F.arrays_zip(ids.alias("a"), following.alias("b"))
         again = F.filter(pairs, lambda p: p["a"]["id"] == p["b"]["id"])
-        return F.transform(again, lambda p: F.struct(p["b"]["position"].alias("position"), F.lit(8).alias("rule")))
+        return F.transform(again, lambda p: _violation(8, p["b"]["position"], p["b"]["id"]))
 
     return F.element_at(F.transform(F.array(by_id), repeated), 1)
 
@@ -127,17 +171,10 @@ def _penalty() -> Column:
     )
 
 
-def _claims(field: str, actual: Column) -> Column:
+def _states(field: str, actual: Column) -> Column:
     """Whether the document states this integer."""
-    stated = F.try_variant_get(F.col("doc"), f"$.{field}", "decimal(38,0)")
-    return F.coalesce(_is(F.col("doc"), field, INTEGER_TYPES) & (stated == actual), F.lit(False))
-
-
-def _any_missing() -> Column:
-    missing = F.lit(False)
-    for field in REQUIRED:
-        missing = missing | _member(F.col("doc"), field).isNull()
-    return missing
+    stated = F.try_variant_get(F.col(field), "$", "decimal(38,0)")
+    return F.coalesce(_kind(F.col(field)).rlike(INTEGER_TYPES) & (stated == actual), F.lit(False))
 
 
 def _member(v: Column, field: str) -> Column:
@@ -146,7 +183,3 @@ def _member(v: Column, field: str) -> Column:
 
 def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
-
-
-def _is(v: Column, field: str, pattern: str) -> Column:
-    return F.coalesce(_kind(_member(v, field)).rlike(pattern), F.lit(False))

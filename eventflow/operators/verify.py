@@ -7,65 +7,60 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventflow.functions.text import escaped_line
 from eventflow.operators.filters import data_lines
 
-# The canonical digest hashes one text, so its lines must fit into one task.
-CANONICAL_LINES = 1_000_000
-DIGEST_DIGITS = 15
+# Hexadecimal digits of a digest that are summed as one number, which fits into a bigint.
+DIGITS = 15
 
 
 def canonical_digest(lines: DataFrame, header_start: str | None = None) -> DataFrame:
     """SHA-256 of the stripped, non-blank lines of ``value`` in code-point order (VER-1, SRT-3).
 
-    The digest is defined over one sorted text, which only a small result may become. More
-    than ``CANONICAL_LINES`` lines end the job with an error, never with a digest of part
-    of them; ``multiset_digest`` takes results of any size. The limit below stops such an
-    input from being gathered before the error is raised.
+    The digest is defined over one sorted text, so all lines meet in one task. It is for
+    results as short as one text may be; ``multiset_digest`` takes tables of any size.
     """
-    kept = data_lines(lines, header_start).limit(CANONICAL_LINES + 1)
     text = F.concat(F.array_join(F.sort_array(F.collect_list("value")), "\n"), F.lit("\n"))
-    too_many = F.raise_error(F.lit(f"more than {CANONICAL_LINES} lines: use multiset_digest"))
-    digest = F.when(F.col("line_count") > CANONICAL_LINES, too_many.cast("string")).otherwise(F.sha2("text", 256))
-    gathered = kept.agg(F.count(F.lit(1)).alias("line_count"), text.alias("text"))
-    return gathered.select("line_count", digest.alias("sha256"))
+    gathered = data_lines(lines, header_start).agg(F.count(F.lit(1)).alias("line_count"), text.alias("text"))
+    return gathered.select("line_count", F.sha2("text", 256).alias("sha256"))
 
 
 def multiset_digest(lines: DataFrame) -> DataFrame:
-    """Order-insensitive digest of a result of any size.
+    """Order-insensitive digest of a result of any size: row count, and sums over each line's SHA-256."""
+    return _summed(lines.select(F.sha2("value", 256).alias("hash")), 64)
 
-    Two numbers of 60 bits are taken from the SHA-256 of every line of ``value``; the digest
-    is the row count and the sum of each. Sums combine on the map side, need no sort and,
-    unlike an exclusive or, notice lines that appear twice. Each number is summed in three
-    parts of 20 bits: those stay in a bigint for 2**43 rows and avoid decimal arithmetic
-    for every row.
+
+def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Cheaper digest of a table: sums over the MD5 of each row's escaped line.
+
+    Columns are taken by their text form; nulls, empty texts and separators inside a value
+    all differ from each other.
+    """
+    line = escaped_line(*[F.col(c) for c in columns or df.columns])
+    return _summed(df.select(F.md5(line).alias("hash")), 32)
+
+
+def _summed(hashes: DataFrame, length: int) -> DataFrame:
+    """Row count and, for every ``DIGITS`` hexadecimal digits, the sum of that number over all rows.
+
+    Sums combine on the map side, need no sort and, unlike an exclusive or, notice lines that
+    appear twice. Each number is summed in three parts of 20 bits, which stay in a bigint
+    for 2**43 rows and avoid decimal arithmetic for every row. All digits are summed.
     """
-    sha = F.sha2("value", 256)
-    starts = (1, 1 + DIGEST_DIGITS)
-    numbers = [F.conv(F.substring("sha", s, DIGEST_DIGITS), 16, 10).cast("bigint") for s in starts]
+    starts = range(1, length + 1, DIGITS)
+    numbers = {s: F.conv(F.substring("hash", s, DIGITS), 16, 10).cast("bigint") for s in starts}
     parts = [
-        F.coalesce(F.sum(F.shiftright(f"n{i}", shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0)).alias(f"n{i}_{shift}")
-        for i in range(len(numbers))
+        F.coalesce(F.sum(F.shiftright(f"n{s}", shift).bitwiseAND(F.lit(0xFFFFF))), F.lit(0)).alias(f"n{s}_{shift}")
+        for s in starts
         for shift in (0, 20, 40)
     ]
 
-    def total(i: int) -> Column:
-        wide = [F.col(f"n{i}_{shift}").cast("decimal(20,0)") * F.lit(1 << shift) for shift in (0, 20, 40)]
+    def total(s: int) -> Column:
+        wide = [F.col(f"n{s}_{shift}").cast("decimal(20,0)") * F.lit(1 << shift) for shift in (0, 20, 40)]
         return (wide[0] + wide[1] + wide[2]).cast("decimal(38,0)").cast("string")
 
-    hashed = lines.select(sha.alias("sha")).select(*[n.alias(f"n{i}") for i, n in enumerate(numbers)])
-    summed = hashed.agg(F.count(F.lit(1)).alias("line_count"), *parts)
-    return summed.select("line_count", F.concat_ws("-", *[total(i) for i in range(len(numbers))]).alias("digest"))
-
-
-def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Cheap fingerprint of a large table for comparing runs of this library."""
-    names = list(columns or df.columns)
-    h = F.xxhash64(*names)
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.bit_xor(h).alias("xor_hash"),
-        F.coalesce(F.sum(F.shiftright(h, 24)), F.lit(0)).cast("bigint").alias("sum_high"),
-    )
+    summed = hashes.select(*[n.alias(f"n{s}") for s, n in numbers.items()]).agg(F.count(F.lit(1)).alias("line_count"), *parts)
+    return summed.select("line_count", F.concat_ws("-", *map(total, starts)).alias("digest"))
 
 
 def digests_match(actual: DataFrame, expected: DataFrame, column: str = "sha256") -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from eventflow import schemas
 from eventflow.functions.numbers import cents, epoch_micros
-from eventflow.functions.text import event_key, event_sequence, render_line, scenario_id
-from eventflow.operators.filters import bad_integers, data_lines, select_runs
+from eventflow.functions.text import escaped_line, event_key, event_sequence, render_line, scenario_id
+from eventflow.operators.filters import bad_integers, select_runs
 from eventflow.operators.running import nth_event, running_counts
 from eventflow.operators.runs import add_metrics, roll_up, summary_lines
 from eventflow.operators.summary import (
@@ -21,7 +21,7 @@ from eventflow.operators.summary import (
     parse_messages,
     row_count,
 )
-from eventflow.operators.validate import first_violations
+from eventflow.operators.validate import all_violations, first_violations
 from eventflow.operators.verify import (
     canonical_digest,
     completeness,
@@ -35,10 +35,17 @@ from eventflow.plans import derived
 from eventflow.session import work_dir
 from eventflow.sinks.snapshots import SnapshotStore
 from eventflow.sources import generators
-from eventflow.sources.delimited import bad_rows, good_rows, parse_event_lines, parse_snapshot_lines
+from eventflow.sources.delimited import (
+    accounting,
+    bad_rows,
+    good_rows,
+    parse_event_lines,
+    parse_snapshot_lines,
+    read_event_csv,
+)
 from eventflow.sources.messages import as_messages, stream_table
 from eventflow.sources.records import parse_run_records
-from eventflow.streaming.counter import changelog_path, run_to_end, start_changelog, start_counter
+from eventflow.streaming.counter import read_changelog, run_to_end, start_changelog, start_counter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,8 +67,18 @@ def _cents(table: DataFrame) -> DataFrame:
     return table.withColumn("value", cents(F.col("value")))
 
 
-def _spread_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.spread(derived.events(spark, sf_dir).select("event_id", "event_type", "value"))
+def _event_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table and damaged lines as CSV text in the shared folder, read back."""
+    path = work_dir(spark, "event-csv")
+    derived.csv_lines(derived.events(spark, sf_dir)).write.text(path)
+    return read_event_csv(spark, path, header=False)
+
+
+def _lineitem_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns as whole numbers and texts, which every engine writes alike."""
+    table = derived.lineitem(spark, sf_dir)
+    exact = {c: cents(F.col(c)) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+    return table.withColumns({**exact, "l_shipdate": epoch_micros(F.col("l_shipdate"))})
 
 
 def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,8 +127,8 @@ def lineitem_summary(spark, sf_dir):
     """AGG-2 on the largest table."""
     table = derived.lineitem(spark, sf_dir)
     return grouped_summary(
-        table, ["l_returnflag", "l_linestatus"], F.col("l_quantity").cast("bigint"), "l_shipdate",
-        "total_quantity", "max_shipdate",
+        table, ["l_returnflag", "l_linestatus"], cents(F.col("l_quantity")), "l_shipdate",
+        "total_quantity_hundredths", "max_shipdate",
     )
 
 
@@ -127,19 +144,24 @@ def orders_summary(spark, sf_dir):
 
 @query
 def csv_summary(spark, sf_dir):
-    """SRC-4, FLT-1, AGG-2 over CSV lines."""
-    lines = data_lines(derived.csv_lines(_spread_events(spark, sf_dir)))
-    return grouped_summary(good_rows(parse_event_lines(lines)))
+    """SRC-4, AGG-2 over CSV text."""
+    return grouped_summary(good_rows(_event_csv(spark, sf_dir)))
 
 
 @query
 def csv_quarantine(spark, sf_dir):
-    """SRC-4: the rows that are kept out, by key and bad field."""
-    lines = data_lines(derived.csv_lines(_spread_events(spark, sf_dir)))
+    """SRC-4, FLT-1: the rows that are kept out, by key and bad field; lines in a table column."""
+    lines = derived.csv_lines(derived.events(spark, sf_dir)).filter(F.trim("value") != "")
     bad = bad_rows(parse_event_lines(lines)).select("event_type", F.explode("bad_fields").alias("bad_field"))
     return bad.groupBy("event_type", "bad_field").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def csv_accounting(spark, sf_dir):
+    """SRC-4, JOB-2: every row read is summed, without a value, or rejected."""
+    return accounting(_event_csv(spark, sf_dir))
+
+
 # Messages and generators
 
 
@@ -155,6 +177,7 @@ def parse_events(spark, sf_dir):
     table = derived.dirty_messages(derived.events(spark, sf_dir))
     return table.select(
         "event_id",
+        "shape",
         event_key(F.col("value")).alias("event_type"),
         event_sequence(F.col("value")).alias("sequence"),
     )
@@ -219,9 +242,11 @@ def count_changelog_stream(spark, sf_dir):
     parsed = _stream(spark, sf_dir).select(
         event_key(F.col("value")).alias("event_type"), event_sequence(F.col("value")).alias("event_id")
     )
-    started = start_changelog(parsed, out=f"{work}/out", checkpoint=f"{work}/checkpoint", sequence="event_id")
+    started = start_changelog(
+        parsed, out=f"{work}/out", checkpoint=f"{work}/checkpoint", sequence="event_id"
+    )
     run_to_end(started, STREAM_TIMEOUT)
-    return spark.read.parquet(changelog_path(f"{work}/out")).select("event_type", "event_id", "running_count")
+    return read_changelog(spark, f"{work}/out", parsed.withColumn("running_count", F.lit(0).cast("bigint")).schema)
 
 
 @query
@@ -247,6 +272,13 @@ def snapshot_rows(spark, sf_dir):
     return parse_snapshot_lines(lines).select("event_type", "count_text", "event_count")
 
 
+@query
+def snapshot_rows_loose(spark, sf_dir):
+    """SRC-5 as JOB-3 reads it: any line with a tab, nothing stripped."""
+    lines = derived.snapshot_lines(derived.events(spark, sf_dir))
+    return parse_snapshot_lines(lines, exact=False).select("event_type", "count_text", "event_count")
+
+
 @query
 def snapshot_total_skip(spark, sf_dir):
     """FLT-3: bad integers are skipped."""
@@ -293,7 +325,7 @@ def handoff_table(spark, sf_dir):
 @query
 def pipeline_summary(spark, sf_dir):
     """JOB-5: stream counts, hand-off, AGG-4."""
-    return grouped_summary(handoff(_stream_counts(spark, sf_dir, "complete")))
+    return grouped_summary(handoff(_stream_counts(spark, sf_dir, "update")))
 
 
 # Verification
@@ -319,20 +351,14 @@ def digest_check(spark, sf_dir):
 @query
 def table_digest(spark, sf_dir):
     """VER-1 for tables of any size."""
-    columns = "l_orderkey l_linenumber l_partkey l_suppkey l_extendedprice l_returnflag l_linestatus".split()
-    table = derived.spread(derived.lineitem(spark, sf_dir).select(*columns))
-    c = F.col
-    line = render_line(
-        c("l_orderkey"), c("l_linenumber"), c("l_partkey"), c("l_suppkey"), cents(c("l_extendedprice")),
-        c("l_returnflag"), c("l_linestatus"), sep=",",
-    )
-    return multiset_digest(table.select(line.alias("value")))
+    table = _lineitem_columns(spark, sf_dir)
+    return multiset_digest(table.select(escaped_line(*[F.col(c) for c in table.columns]).alias("value")))
 
 
 @query
 def table_fingerprint(spark, sf_dir):
-    """VER-1, cheap form; its hash function is Spark's own."""
-    return fingerprint(derived.lineitem(spark, sf_dir))
+    """VER-1, the cheaper form."""
+    return fingerprint(_lineitem_columns(spark, sf_dir))
 
 
 @query
@@ -351,7 +377,13 @@ def completeness_check(spark, sf_dir):
 @query
 def summary_violations(spark, sf_dir):
     """VER-6."""
-    return first_violations(derived.documents(_spread_events(spark, sf_dir)))
+    return first_violations(derived.documents(derived.events(spark, sf_dir)))
+
+
+@query
+def all_violations_of_documents(spark, sf_dir):
+    """VER-6: every violation with the stated and the computed value."""
+    return all_violations(derived.documents(derived.events(spark, sf_dir)))
 
 
 # Run records
@@ -360,7 +392,7 @@ def summary_violations(spark, sf_dir):
 @query
 def run_records(spark, sf_dir):
     """SRC-6: records and unreadable texts."""
-    return parse_run_records(derived.run_texts(_spread_events(spark, sf_dir))).drop("record")
+    return parse_run_records(derived.run_texts(derived.events(spark, sf_dir))).drop("record")
 
 
 @query

@@ -29,16 +29,6 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.ORDERS).parquet(f"{sf_dir}/orders.parquet")
 
 
-def spread(table: DataFrame) -> DataFrame:
-    """Rows of a table read from fewer splits than there are cores, over all cores.
-
-    For work that costs much more per row than moving it. A table of many splits, as any
-    large one is, stays as it is and is not shuffled.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
-
 def index(table: DataFrame, key: str = "event_id") -> DataFrame:
     """The row number column of a table as the index of a generator."""
     return table.select(F.col(key).alias("i"))
@@ -49,47 +39,56 @@ def table_size(table: DataFrame) -> DataFrame:
 
 
 def dirty_messages(table: DataFrame) -> DataFrame:
-    """Messages in eight shapes: clean, blanks, no separator, no key, more fields, null."""
+    """A clean message per event, and beside it one in another shape: blanks, no separator, no key, more fields, null."""
     kind, key, seq = F.col("event_id") % 8, F.col("event_type"), F.col("event_id").cast("string")
-    value = (
-        F.when(kind == 0, F.concat(key, F.lit(":"), seq))
-        .when(kind == 1, F.concat(F.lit(" "), key, F.lit(" :"), seq, F.lit(":x")))
+    other = (
+        F.when(kind == 1, F.concat(F.lit(" "), key, F.lit(" :"), seq, F.lit(":x")))
         .when(kind == 2, key)
         .when(kind == 3, F.concat(F.lit(":"), seq))
         .when(kind == 4, F.lit("  "))
         .when(kind == 5, F.concat(key, F.lit("\t:"), seq))
         .when(kind == 6, F.concat(F.lit("\t"), key, F.lit("\r\n")))
     )
-    return table.select("event_id", value.alias("value"))
+    return table.select(
+        "event_id", F.posexplode(F.array(F.concat(key, F.lit(":"), seq), other)).alias("shape", "value")
+    )
 
 
 def snapshot_lines(table: DataFrame) -> DataFrame:
-    """Snapshot lines with a third field, a missing one, a bad number and blanks among them."""
+    """A snapshot line per event; beside some one with a third field, a missing one, a bad number or blanks."""
     kind, key, n = F.col("event_id") % 8, F.col("event_type"), F.col("event_id").cast("string")
-    value = (
+    other = (
         F.when(kind == 1, F.concat(key, F.lit("\t"), n, F.lit("\t5")))
         .when(kind == 2, key)
         .when(kind == 3, F.concat(key, F.lit("\tx"), n))
         .when(kind == 4, F.lit("   "))
         .when(kind == 5, F.concat(F.lit("  "), key, F.lit("\t"), n, F.lit(" ")))
         .when(kind == 6, F.concat(key, F.lit("\t-"), n))
-        .otherwise(F.concat(key, F.lit("\t"), n))
     )
-    return table.select("event_id", value.alias("value"))
+    return _beside(table, F.concat(key, F.lit("\t"), n), other)
 
 
 def csv_lines(table: DataFrame) -> DataFrame:
-    """CSV lines ``event_type,value,timestamp``; some values are empty or no integer, some lines blank or headers."""
-    kind = F.col("event_id") % 10
-    value = (
-        F.when(kind == 3, F.lit(""))
-        .when(kind == 7, F.concat(F.lit("n"), F.col("event_id").cast("string")))
-        .otherwise(cents(F.col("value")).cast("string"))
-    )
-    line = F.concat_ws(",", F.col("event_type"), value, (F.col("event_id") + 1_700_000_000).cast("string"))
-    return table.select(
-        F.when(kind == 4, F.lit(" ")).when(kind == 5, F.lit("event_type,value,timestamp")).otherwise(line).alias("value")
+    """A CSV line ``event_type,value,timestamp`` per event; beside some a damaged one.
+
+    That has a field too many or too few, no value, no integer as a value, or is blank or a header.
+    """
+    kind, key = F.col("event_id") % 10, F.col("event_type")
+    time = (F.col("event_id") + 1_700_000_000).cast("string")
+    clean = F.concat_ws(",", key, cents(F.col("value")).cast("string"), time)
+    other = (
+        F.when(kind == 1, F.concat(clean, F.lit(",more")))
+        .when(kind == 2, F.concat_ws(",", key, F.lit("5")))
+        .when(kind == 3, F.concat_ws(",", key, F.lit(""), time))
+        .when(kind == 4, F.lit(" "))
+        .when(kind == 5, F.lit("event_type,value,timestamp"))
+        .when(kind == 7, F.concat_ws(",", key, F.concat(F.lit("n"), F.col("event_id").cast("string")), time))
     )
+    return _beside(table, clean, other)
+
+
+def _beside(table: DataFrame, clean: Column, other: Column) -> DataFrame:
+    return table.select(F.explode(F.array_compact(F.array(clean, other))).alias("value"))
 
 
 def runs(table: DataFrame) -> DataFrame:
@@ -122,16 +121,17 @@ def runs(table: DataFrame) -> DataFrame:
 
 
 def run_texts(table: DataFrame) -> DataFrame:
-    """Run records as JSON texts, one per event, some cut off in the middle."""
+    """A run record as a JSON text per event; beside some one that is cut off in the middle."""
     record = F.concat(
         F.lit('{"id":"'), F.col("event_id").cast("string"),
         F.lit('","name":"'), F.col("event_type"),
         F.lit('","passed":'), F.when(F.col("event_type") == "error", F.lit("false")).otherwise(F.lit("true")),
         F.lit(',"elapsed_ms":'), cents(F.col("value")).cast("string"), F.lit("}"),
     )
-    broken = F.col("event_id") % 9 == 0
-    text = F.when(broken, F.substr(record, F.lit(1), F.length(record) - 1)).otherwise(record)
-    return table.select(F.col("event_id").cast("string").alias("id"), text.alias("text"))
+    broken = F.when(F.col("event_id") % 9 == 0, F.substr(record, F.lit(1), F.length(record) - 1))
+    return table.select(
+        F.col("event_id").cast("string").alias("id"), F.explode(F.array_compact(F.array(record, broken))).alias("text")
+    )
 
 
 def documents(table: DataFrame) -> DataFrame:

@@ -1,15 +1,13 @@
-"""The same results as ANSI SQL for an independent engine, by query name.
-
-``table_fingerprint`` has none: its hash function exists in Spark only.
-"""
+"""The same results as ANSI SQL for an independent engine, by query name."""
 
 CENTS = "CAST(round(value * 100) AS BIGINT)"
 ORIGIN = "TIMESTAMP '2024-01-01 00:00:00'"
 BLANKS = "' ' || chr(9) || chr(10) || chr(13)"
 
 DIRTY = """
-    SELECT event_id, CASE event_id % 8
-        WHEN 0 THEN event_type || ':' || event_id
+    SELECT event_id, CAST(0 AS INTEGER) AS shape, event_type || ':' || event_id AS value FROM events
+    UNION ALL
+    SELECT event_id, 1, CASE event_id % 8
         WHEN 1 THEN ' ' || event_type || ' :' || event_id || ':x'
         WHEN 2 THEN event_type
         WHEN 3 THEN ':' || event_id
@@ -19,20 +17,42 @@ DIRTY = """
     END AS value FROM events"""
 
 SNAPSHOT = """
+    SELECT event_type, CAST(event_id AS VARCHAR) AS count_text, event_id AS event_count FROM events
+    UNION ALL
     SELECT event_type, CASE event_id % 8
         WHEN 3 THEN 'x' || event_id
         WHEN 6 THEN '-' || event_id
-        ELSE CAST(event_id AS VARCHAR) END AS count_text,
+        ELSE CAST(event_id AS VARCHAR) END,
+    CASE event_id % 8
+        WHEN 3 THEN NULL
+        WHEN 6 THEN -event_id
+        ELSE event_id END
+    FROM events WHERE event_id % 8 IN (3, 5, 6)"""
+
+# The second field of any line with a tab, nothing stripped.
+SNAPSHOT_LOOSE = """
+    SELECT event_type, CAST(event_id AS VARCHAR) AS count_text, event_id AS event_count FROM events
+    UNION ALL
+    SELECT CASE event_id % 8 WHEN 5 THEN '  ' || event_type ELSE event_type END, CASE event_id % 8
+        WHEN 3 THEN 'x' || event_id
+        WHEN 5 THEN event_id || ' '
+        WHEN 6 THEN '-' || event_id
+        ELSE CAST(event_id AS VARCHAR) END,
     CASE event_id % 8
         WHEN 3 THEN NULL
         WHEN 6 THEN -event_id
-        ELSE event_id END AS event_count
-    FROM events WHERE event_id % 8 NOT IN (1, 2, 4)"""
+        ELSE event_id END
+    FROM events WHERE event_id % 8 IN (1, 3, 5, 6)"""
 
 CSV = f"""
-    SELECT event_type, event_id + 1700000000 AS ts,
-        CASE WHEN event_id % 10 NOT IN (3, 7) THEN {CENTS} END AS cents
-    FROM events WHERE event_id % 10 NOT IN (4, 5)"""
+    SELECT event_type, event_id + 1700000000 AS ts, {CENTS} AS cents, NULL AS bad FROM events
+    UNION ALL
+    SELECT event_type, event_id + 1700000000, NULL, NULL FROM events WHERE event_id % 10 = 3
+    UNION ALL
+    SELECT event_type, NULL, NULL, CASE event_id % 10 WHEN 7 THEN 'value' ELSE '<line>' END
+    FROM events WHERE event_id % 10 IN (1, 2, 7)
+    UNION ALL
+    SELECT 'event_type', NULL, NULL, unnest(['value', 'timestamp']) FROM events WHERE event_id % 10 = 5"""
 
 COUNTS = "SELECT event_type, count(*) AS event_count FROM events GROUP BY event_type"
 
@@ -52,6 +72,17 @@ RUNS = f"""
         (epoch_us(max(ts)) - epoch_us({ORIGIN})) // 1000 AS baseline_time_ms
     FROM events GROUP BY user_id, event_type"""
 
+DETAIL = """CASE rule
+            WHEN 1 THEN 'file exists' WHEN 2 THEN 'document parses' WHEN 3 THEN 'top level is an object'
+            WHEN 4 THEN 'required fields present' WHEN 5 THEN 'scenarios is an array'
+            WHEN 6 THEN 'element is an object' WHEN 7 THEN 'id is a string' WHEN 8 THEN 'id is unique'
+            WHEN 9 THEN 'passed is a boolean' WHEN 10 THEN 'elapsed_ms is an integer'
+            WHEN 11 THEN 'scenarios_passed is the number of passed runs'
+            WHEN 12 THEN 'penalty_ms is the time of the failed runs' END"""
+
+VIOLATIONS = f"""
+    SELECT event_id AS submission, event_id % 17 AS kind, {CENTS} AS ms FROM events"""
+
 ROLLUP = """
     count(*) FILTER (WHERE passed) AS scenarios_passed,
     count(*) AS scenarios_total,
@@ -64,8 +95,17 @@ def _digest(counts: str) -> str:
     return f"sha256(string_agg({lines}, chr(10) ORDER BY {lines}) || chr(10)) FROM ({counts})"
 
 
-def _number(start: int) -> str:
-    return f"CAST(sum(CAST('0x' || substr(h, {start}, 15) AS HUGEINT)) AS VARCHAR)"
+def _sums(length: int) -> str:
+    """Row count, and sums of every 15 hexadecimal digits of ``h``."""
+    sums = [f"CAST(sum(CAST('0x' || substr(h, {s}, 15) AS HUGEINT)) AS VARCHAR)" for s in range(1, length + 1, 15)]
+    return "count(*) AS line_count, " + " || '-' || ".join(sums) + " AS digest"
+
+
+LINEITEM_LINE = """
+    l_orderkey || ',' || l_partkey || ',' || l_suppkey || ',' || l_linenumber || ',' ||
+    CAST(round(l_quantity * 100) AS BIGINT) || ',' || CAST(round(l_extendedprice * 100) AS BIGINT) || ',' ||
+    CAST(round(l_discount * 100) AS BIGINT) || ',' || CAST(round(l_tax * 100) AS BIGINT) || ',' ||
+    l_returnflag || ',' || l_linestatus || ',' || epoch_us(l_shipdate)"""
 
 
 ORACLES = {
@@ -81,7 +121,8 @@ ORACLES = {
             count(*) AS event_count, max(ts) AS max_ts
         FROM events GROUP BY user_id, event_type""",
     "lineitem_summary": """
-        SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_quantity,
+        SELECT l_returnflag, l_linestatus,
+            CAST(sum(CAST(round(l_quantity * 100) AS BIGINT)) AS BIGINT) AS total_quantity_hundredths,
             count(*) AS event_count, max(l_shipdate) AS max_shipdate
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
     "orders_summary": """
@@ -92,13 +133,18 @@ ORACLES = {
     "csv_summary": f"""
         SELECT event_type, CAST(sum(cents) AS BIGINT) AS total_value, count(*) AS event_count,
             CAST(max(ts) AS INTEGER) AS max_timestamp
-        FROM ({CSV}) WHERE cents IS NOT NULL GROUP BY event_type""",
+        FROM ({CSV}) WHERE bad IS NULL GROUP BY event_type""",
     "csv_quarantine": f"""
-        SELECT event_type, 'value' AS bad_field, count(*) AS row_count
-        FROM ({CSV}) WHERE cents IS NULL GROUP BY event_type""",
+        SELECT event_type, bad AS bad_field, count(*) AS row_count
+        FROM ({CSV}) WHERE bad IS NOT NULL GROUP BY event_type, bad""",
+    "csv_accounting": f"""
+        SELECT event_type, count(*) AS rows_read, count(*) FILTER (WHERE bad IS NULL AND cents IS NOT NULL) AS rows_summed,
+            count(*) FILTER (WHERE bad IS NULL AND cents IS NULL) AS rows_without_value,
+            count(*) FILTER (WHERE bad IS NOT NULL) AS rows_rejected
+        FROM ({CSV}) WHERE bad IS DISTINCT FROM 'timestamp' GROUP BY event_type""",
     "event_messages": "SELECT event_type || ':' || event_id AS value FROM events",
     "parse_events": f"""
-        SELECT event_id, coalesce(trim(split_part(value, ':', 1), {BLANKS}), 'unknown') AS event_type,
+        SELECT event_id, shape, coalesce(trim(split_part(value, ':', 1), {BLANKS}), 'unknown') AS event_type,
             TRY_CAST(CASE WHEN contains(value, ':') THEN substr(value, instr(value, ':') + 1) END AS BIGINT)
                 AS sequence
         FROM ({DIRTY})""",
@@ -134,6 +180,7 @@ ORACLES = {
             SELECT ts, count(*) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING) AS running_count FROM events)
         WHERE running_count >= 1000 HAVING count(*) > 0""",
     "snapshot_rows": SNAPSHOT,
+    "snapshot_rows_loose": SNAPSHOT_LOOSE,
     "snapshot_total_skip": f"""
         SELECT event_type, CAST(coalesce(sum(event_count), 0) AS BIGINT) AS total
         FROM ({SNAPSHOT}) GROUP BY event_type""",
@@ -157,12 +204,8 @@ ORACLES = {
     "digest_check": f"""
         SELECT a AS output_sha256, b AS expected_sha256, a = b AS passed
         FROM (SELECT (SELECT {_digest(GENERATED)}) AS a, (SELECT {_digest(CLOSED_FORM)}) AS b)""",
-    "table_digest": f"""
-        SELECT count(*) AS line_count,
-            {" || '-' || ".join(_number(start) for start in (1, 16))} AS digest
-        FROM (SELECT sha256(l_orderkey || ',' || l_linenumber || ',' || l_partkey || ',' || l_suppkey || ',' ||
-            CAST(round(l_extendedprice * 100) AS BIGINT) || ',' || l_returnflag || ',' || l_linestatus) AS h
-            FROM lineitem)""",
+    "table_digest": f"SELECT {_sums(64)} FROM (SELECT sha256({LINEITEM_LINE}) AS h FROM lineitem)",
+    "table_fingerprint": f"SELECT {_sums(32)} FROM (SELECT md5({LINEITEM_LINE}) AS h FROM lineitem)",
     "stream_batch_diff": f"""
         SELECT event_type, event_count AS stream_event_count, event_count AS batch_event_count, 'same' AS status
         FROM ({COUNTS})""",
@@ -171,14 +214,8 @@ ORACLES = {
             (SELECT count(*) FROM events) AS injected, count(*) >= 5 AS enough_rows,
             sum(event_count) = (SELECT count(*) FROM events) AS complete
         FROM ({COUNTS})""",
-    "summary_violations": """
-        SELECT submission, rule, position, valid, CASE rule
-            WHEN 1 THEN 'file exists' WHEN 2 THEN 'document parses' WHEN 3 THEN 'top level is an object'
-            WHEN 4 THEN 'required fields present' WHEN 5 THEN 'scenarios is an array'
-            WHEN 6 THEN 'element is an object' WHEN 7 THEN 'id is a string' WHEN 8 THEN 'id is unique'
-            WHEN 9 THEN 'passed is a boolean' WHEN 10 THEN 'elapsed_ms is an integer'
-            WHEN 11 THEN 'scenarios_passed is the number of passed runs'
-            WHEN 12 THEN 'penalty_ms is the time of the failed runs' END AS detail
+    "summary_violations": f"""
+        SELECT submission, rule, position, valid, {DETAIL} AS detail
         FROM (SELECT event_id AS submission,
             CAST(CASE event_id % 17
                 WHEN 0 THEN NULL WHEN 1 THEN 1 WHEN 2 THEN 2 WHEN 3 THEN 3 WHEN 4 THEN 4 WHEN 5 THEN 5
@@ -189,13 +226,29 @@ ORACLES = {
                 WHEN event_id % 17 IN (7, 8, 10) THEN 0 END AS INTEGER) AS position,
             event_id % 17 = 0 AS valid
             FROM events)""",
+    "all_violations_of_documents": f"""
+        SELECT submission, position, rule, {DETAIL} AS detail, stated, computed FROM (
+            SELECT submission, CAST(NULL AS INTEGER) AS position, CAST(kind AS INTEGER) AS rule,
+                CASE kind WHEN 4 THEN 'missing: scenarios_total' WHEN 5 THEN 'OBJECT<`01`: BOOLEAN>' END AS stated,
+                CAST(NULL AS VARCHAR) AS computed FROM ({VIOLATIONS}) WHERE kind BETWEEN 1 AND 5
+            UNION ALL
+            SELECT submission, CASE WHEN kind IN (7, 8, 10) THEN 0 ELSE 1 END,
+                CASE kind WHEN 6 THEN 6 WHEN 7 THEN 7 WHEN 8 THEN 7 WHEN 9 THEN 8 WHEN 10 THEN 9 ELSE 10 END,
+                CASE kind WHEN 6 THEN 'BIGINT' WHEN 7 THEN '1' WHEN 8 THEN 'null' WHEN 9 THEN '01' WHEN 10 THEN 'yes'
+                    WHEN 11 THEN '1.5' ELSE 'true' END, NULL FROM ({VIOLATIONS}) WHERE kind BETWEEN 6 AND 12
+            UNION ALL
+            SELECT submission, NULL, 11, CASE kind WHEN 10 THEN '1' WHEN 13 THEN '2' ELSE 'true' END,
+                CASE kind WHEN 10 THEN '0' ELSE '1' END FROM ({VIOLATIONS}) WHERE kind IN (10, 13, 14)
+            UNION ALL
+            SELECT submission, NULL, 12,
+                CASE kind WHEN 15 THEN CAST(ms + 8 AS VARCHAR) WHEN 16 THEN 'none' ELSE CAST(ms + 7 AS VARCHAR) END,
+                CASE WHEN kind IN (15, 16) THEN CAST(ms + 7 AS VARCHAR) ELSE '7' END
+            FROM ({VIOLATIONS}) WHERE kind IN (15, 16) OR kind IN (6, 11, 12) AND ms <> 0)""",
     "run_records": f"""
-        SELECT CAST(event_id AS VARCHAR) AS id,
-            CASE WHEN event_id % 9 <> 0 THEN event_type END AS name,
-            event_id % 9 <> 0 AND event_type <> 'error' AS passed,
-            CASE WHEN event_id % 9 <> 0 THEN {CENTS} ELSE 0 END AS elapsed_ms,
-            CASE WHEN event_id % 9 = 0 THEN 'unreadable' END AS error
-        FROM events""",
+        SELECT CAST(event_id AS VARCHAR) AS id, event_type AS name, event_type <> 'error' AS passed,
+            {CENTS} AS elapsed_ms, NULL::VARCHAR AS error FROM events
+        UNION ALL
+        SELECT CAST(event_id AS VARCHAR), NULL, false, 0, 'unreadable' FROM events WHERE event_id % 9 = 0""",
     "run_rollup": f"SELECT submission, {ROLLUP} FROM ({RUNS}) GROUP BY submission",
     "run_metrics": f"""
         SELECT id,
@@ -222,12 +275,12 @@ ORACLES = {
         WHERE user_id IN (1, 2, 5) GROUP BY user_id""",
     "summary_document": f"""
         WITH runs AS ({RUNS}), totals AS (SELECT {ROLLUP} FROM runs)
-        SELECT 0 AS section, '' AS id, '{{"scenarios_passed":' || scenarios_passed || ',"scenarios_total":' ||
+        SELECT 0 AS section, '' AS id, 0::BIGINT AS place, '{{"scenarios_passed":' || scenarios_passed || ',"scenarios_total":' ||
             scenarios_total || ',"penalty_ms":' || penalty_ms || ',"total_elapsed_ms":' || total_elapsed_ms ||
             ',"scenarios":[' AS line FROM totals
         UNION ALL
-        SELECT 1, id, CASE WHEN id > (SELECT min(id) FROM runs) THEN ',' ELSE '' END || '{{"id":"' || id ||
+        SELECT 1, id, 1, CASE WHEN id > (SELECT min(id) FROM runs) THEN ',' ELSE '' END || '{{"id":"' || id ||
             '","name":"' || name || '","passed":' || passed || ',"elapsed_ms":' || elapsed_ms || '}}' FROM runs
         UNION ALL
-        SELECT 2, '', ']}}' FROM totals""",
+        SELECT 2, '', 0, ']}}' FROM totals""",
 }

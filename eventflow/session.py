@@ -40,11 +40,15 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by the cluster.
 
-    Only when the session names none (a local test session) one is made and set.
+    Only a local session that names none gets one made; on a cluster a folder of the
+    driver's machine would hold a part of each result only, so that is refused.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not base and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="eventflow-")
         spark.sparkContext.setCheckpointDir(base)

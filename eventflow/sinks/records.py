@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from eventflow import files
 from eventflow.operators.runs import summary_lines
-from eventflow.sinks.tables import SINGLE_FILE_ROWS
 
 
 def append_run(spark: SparkSession, path: str, record: dict[str, Any]) -> None:
@@ -26,19 +25,14 @@ def write_run(spark: SparkSession, folder: str, record: dict[str, Any]) -> str:
     return target
 
 
-def write_summary(runs: DataFrame, path: str, single_file: bool = True) -> None:
-    """The summary document of ``read_run_records`` rows.
+def write_summary(runs: DataFrame, path: str) -> None:
+    """The summary document of ``read_run_records`` rows, one file as its readers expect.
 
-    The usual summary of a handful of runs becomes one file. A large one, or any with
-    ``single_file=False``, is written by as many tasks as it needs: a folder whose part
-    files, in name order, are the document.
+    Its lines are ordered by all tasks and written by one, which holds none of them.
     """
     record = F.coalesce(F.to_json("record"), F.to_json(F.struct("id", "error", "passed")))
     lines = summary_lines(runs.withColumn("record_json", record))
-    text = lines.orderBy("section", "id").select(F.col("line").alias("value"))
-    if not single_file or runs.count() > SINGLE_FILE_ROWS:
-        text.write.mode("overwrite").text(path)
-        return
+    text = lines.orderBy("section", "id", "place").select(F.col("line").alias("value"))
     text.coalesce(1).write.mode("overwrite").text(f"{path}_parts")
     _single_part(runs.sparkSession, f"{path}_parts", path)
 

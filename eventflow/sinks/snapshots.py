@@ -38,14 +38,17 @@ class SnapshotStore:
         """Write changed keys; every so many batches merge them into a full folder."""
         self._write(changed, DELTA, batch_id)
         if batch_id and batch_id % compact_every == 0:
-            self._write(self.read(before=batch_id + 1), FULL, batch_id)
+            # Never from a full folder of this batch, which a run before a failure may have left.
+            self._write(self._latest(batch_id, batch_id + 1), FULL, batch_id)
             self._drop_obsolete()
 
     def read(self, before: int | None = None) -> DataFrame:
         """Latest count of every key, as of the batches below ``before`` if given."""
-        fulls, deltas = self._batches(FULL), self._batches(DELTA)
-        if before is not None:
-            fulls, deltas = [b for b in fulls if b < before], [b for b in deltas if b < before]
+        return self._latest(before, before)
+
+    def _latest(self, fulls_before: int | None, deltas_before: int | None) -> DataFrame:
+        fulls = [b for b in self._batches(FULL) if fulls_before is None or b < fulls_before]
+        deltas = [b for b in self._batches(DELTA) if deltas_before is None or b < deltas_before]
         base = max(fulls, default=None)
         later = [b for b in deltas if base is None or b > base]
         if base is None and not later:

@@ -8,36 +8,32 @@ from pyspark.sql import functions as F
 from eventflow import files
 from eventflow.operators.summary import handoff
 
-# Up to this many rows a result is published as one file.
-SINGLE_FILE_ROWS = 100_000
 
-
-def publish_csv(result: DataFrame, path: str, order_by: str = "event_type", single_file: bool = True) -> int:
+def publish_csv(result: DataFrame, path: str, order_by: str = "event_type", single_file: bool = False) -> int:
     """Write an ordered CSV with a header to ``path``; returns the number of rows (SNK-2).
 
-    The result is computed once, into a staging table that also counts its rows. A small
-    one is then published as a single file; a larger one, or with ``single_file=False``, as
-    a folder whose part files, taken in name order, hold the same rows in the same order.
+    The result is computed once, into a staging table that also counts its rows. It becomes
+    a folder whose part files, taken in name order, hold the rows in order; with
+    ``single_file``, which one task writes, a file.
     """
     spark = result.sparkSession
     staging = f"{path.rstrip('/')}_staging"
     counted = Observation()
     result.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staging)
-    rows = counted.get["rows"]
     ordered = spark.read.schema(result.schema).parquet(staging).orderBy(order_by)
     parts = f"{path.rstrip('/')}_parts"
-    if single_file and rows <= SINGLE_FILE_ROWS:
-        ordered.coalesce(1).write.mode("overwrite").option("header", True).csv(parts)
+    ordered = ordered.coalesce(1) if single_file else ordered
+    ordered.write.mode("overwrite").option("header", True).csv(parts)
+    if single_file:
         written = [name for name in files.children(spark, parts) if name.startswith("part-")]
         if len(written) != 1:
             raise OSError(f"expected one part file in {parts}, found {written}")
         files.move(spark, f"{parts}/{written[0]}", path)
         files.remove(spark, parts)
     else:
-        ordered.write.mode("overwrite").option("header", True).csv(parts)
         files.move(spark, parts, path)
     files.remove(spark, staging)
-    return rows
+    return counted.get["rows"]
 
 
 def write_messages(messages: DataFrame, path: str | None = None, *, format: str = "text", options: dict[str, str] | None = None) -> None:

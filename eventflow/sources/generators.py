@@ -61,7 +61,7 @@ def expected_counts(total: DataFrame, types: int = EVENT_TYPES) -> DataFrame:
     """
     i, n = F.col("i"), F.col("n")
     each = total.select("n", F.explode(F.sequence(F.lit(0), F.lit(types - 1))).alias("i"))
-    count = F.floor(n / types) + F.when(i < n % types, 1).otherwise(0)
+    count = F.call_function("div", n, F.lit(types)) + F.when(i < n % types, 1).otherwise(0)
     return each.select(
         round_robin_type(i, types).alias("event_type"), count.cast("bigint").alias("event_count")
     )

@@ -36,6 +36,8 @@ def read_messages(
         reader = reader.option(key, value)
     if format == "kafka":
         position = "startingOffsets"
+        if streaming and (max_files or max_bytes):
+            raise ValueError("a topic's micro-batches are bounded by its options maxOffsetsPerTrigger or maxBytesPerTrigger")
         return reader.format("kafka").option(position, start).load().select(F.col("value").cast("string"))
     if format != "text":
         raise ValueError(f"unknown message format: {format}")

@@ -20,16 +20,30 @@ def read_run_records(spark: SparkSession, glob: str) -> DataFrame:
 def parse_run_records(texts: DataFrame) -> DataFrame:
     """Columns ``id`` (of the file) and ``text`` to run records.
 
-    A text that is no JSON becomes a failed record with an error instead of being lost.
+    A text that is no JSON object becomes a failed record with an error instead of being
+    lost. A field counts only if its value is of the right kind; those that are not are
+    named in ``error``, next to the record's own, and the run has not passed.
     """
     record = texts.select("id", parse_document(F.col("text")).alias("record"))
-    failed = F.col("record").isNull()
-    return record.select(
-        F.coalesce(_get("id", "string"), F.col("id")).alias("id"),
-        _get("name", "string").alias("name"),
-        F.coalesce(_get("passed", "boolean"), F.lit(False)).alias("passed"),
-        F.coalesce(_get("elapsed_ms", "bigint"), F.lit(0)).cast("bigint").alias("elapsed_ms"),
-        F.when(failed, F.lit("unreadable")).otherwise(_get("error", "string")).alias("error"),
+    is_object = F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
+    kinds = {"id": "STRING", "name": "STRING", "passed": "BOOLEAN", "elapsed_ms": "BIGINT", "error": "STRING"}
+    wrong = F.array_compact(F.array(*[
+        F.when(F.schema_of_variant(_get(field, "variant")) != kind, F.lit(field)) for field, kind in kinds.items()
+    ]))
+    checked = record.withColumns({"wrong": F.when(is_object, wrong), "readable": is_object})
+
+    def value(field: str, kind: str) -> Column:
+        return F.when(F.col("readable") & ~F.array_contains("wrong", field), _get(field, kind))
+
+    unusable = F.when(F.size("wrong") > 0, F.concat(F.lit("wrong type: "), F.array_join("wrong", ", ")))
+    return checked.select(
+        F.coalesce(value("id", "string"), F.col("id")).alias("id"),
+        value("name", "string").alias("name"),
+        (F.coalesce(value("passed", "boolean"), F.lit(False)) & F.coalesce(F.size("wrong") == 0, F.lit(False))).alias("passed"),
+        F.coalesce(value("elapsed_ms", "bigint"), F.lit(0)).cast("bigint").alias("elapsed_ms"),
+        F.when(~F.col("readable"), F.lit("unreadable")).otherwise(
+            F.nullif(F.concat_ws("; ", value("error", "string"), unusable), F.lit(""))
+        ).alias("error"),
         "record",
     )
 

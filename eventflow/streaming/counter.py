@@ -6,8 +6,9 @@ import time
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from eventflow import files
@@ -38,14 +39,14 @@ def start_counter(
     out: str | None,
     checkpoint: str | None,
     keys: Sequence[str] = ("event_type",),
-    mode: str = "complete",
+    mode: str = "update",
     trigger: dict[str, Any] | None = None,
     compact_every: int = 50,
 ) -> StreamingQuery:
     """Count a stream of keys into a ``SnapshotStore``.
 
-    ``mode="complete"`` rewrites all keys per batch, ``"update"`` writes the changed ones
-    and suits many keys. Offsets and counts survive in the checkpoint: the same checkpoint
+    ``mode="update"`` writes the keys that a batch changed, ``"complete"`` rewrites all keys
+    per batch. Offsets and counts survive in the checkpoint: the same checkpoint
     and output continue a run, a new run takes new folders. The default trigger works off
     what is there and stops.
     """
@@ -84,7 +85,10 @@ def start_changelog(
     store = _open(events, out, checkpoint, keys)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*keys, sequence).persist()
+        # Read several times; a batch that runs again overwrites it.
+        held = f"{out.rstrip('/')}/batch"
+        batch.select(*keys, sequence).write.mode("overwrite").parquet(held)
+        rows = batch.sparkSession.read.schema(batch.select(*keys, sequence).schema).parquet(held)
         try:
             total = key_counts(rows, list(keys))
             base = None
@@ -97,7 +101,7 @@ def start_changelog(
             log.write.mode("overwrite").parquet(f"{changelog_path(out)}/batch_id={batch_id}")
             store.write_delta(total, batch_id, compact_every)
         finally:
-            rows.unpersist()
+            files.remove(batch.sparkSession, held)
 
     return _start(events.writeStream.foreachBatch(write), checkpoint, trigger)
 
@@ -106,6 +110,15 @@ def changelog_path(out: str) -> str:
     return f"{out.rstrip('/')}/changelog"
 
 
+def read_changelog(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The changelog's finished batches: a folder without its success marker was interrupted."""
+    root = changelog_path(out)
+    done = [n for n in files.children(spark, root) if files.exists(spark, f"{root}/{n}/_SUCCESS")]
+    if not done:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root}/{n}" for n in done])
+
+
 def run_to_end(query: StreamingQuery, timeout: float) -> None:
     """Wait for a query that ends by itself; stop it and raise if it takes too long."""
     if not query.awaitTermination(timeout):
@@ -113,12 +126,12 @@ def run_to_end(query: StreamingQuery, timeout: float) -> None:
         raise TimeoutError(f"stream did not finish within {timeout} s")
 
 
-def wait_for_total(store: SnapshotStore, n: int, timeout: float, poll: float = 1.0) -> bool:
-    """Whether the counts of a running stream reach ``n`` events in time (STR-6)."""
+def wait_for_total(store: SnapshotStore, n: int, timeout: float, poll: float = 1.0, keys: int = 0) -> bool:
+    """Whether the counts of a running stream reach ``n`` events, of ``keys`` keys at least, in time (STR-6)."""
     deadline = time.monotonic() + timeout
     while True:
-        total = store.read().agg(F.sum("event_count")).first()[0] or 0
-        if total >= n:
+        found = store.read().agg(F.sum("event_count").alias("total"), F.count(F.lit(1)).alias("keys")).first()
+        if (found.total or 0) >= n and found["keys"] >= keys:
             return True
         if time.monotonic() >= deadline:
             return False

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from eventflow import __main__ as command_line
 from eventflow.operators.summary import grouped_summary
 from eventflow.plans import jobs
-from eventflow.sinks import tables
 from eventflow.sinks.tables import publish_csv, write_messages
 from eventflow.sources import generators
 from eventflow.sources.delimited import good_rows, read_event_csv
@@ -34,25 +33,40 @@ def table(folder, rows=10_000, seed=42, high=100):
 
 
 def test_stream_counts(spark, folder, landing):
-    record = jobs.stream_counts(spark, read_messages(spark, landing), f"{folder}/out", f"{folder}/c", expected(spark, 1000))
+    record = jobs.stream_counts(spark, read_messages(spark, landing), f"{folder}/out", f"{folder}/c", expected(spark, 1000), digest=jobs.CANONICAL)
     assert record["passed"] and record["events_injected"] == 1000 and record["processing_latency_ms"] > 0
     assert record["output_sha256"] == "f6ff1613256f362856bf797e26bb1093ff8bb5013ffc922e98462f90cd576faa"
     wrong = jobs.stream_counts(spark, read_messages(spark, landing), f"{folder}/2", f"{folder}/c2", expected(spark, 1001))
-    assert not wrong["passed"]
+    assert not wrong["passed"] and wrong["digest"] == "multiset"
+    short = jobs.stream_counts(spark, read_messages(spark, landing), f"{folder}/3", f"{folder}/c3", injected=1001)
+    assert not short["passed"] and short["expected_sha256"] is None and short["events_counted"] == 1000
+    with pytest.raises(ValueError, match="not checked by itself"):
+        jobs.stream_counts(spark, read_messages(spark, landing), f"{folder}/4", f"{folder}/c4")
 
 
 def test_batch_summary(spark, folder):
-    record = jobs.batch_summary(spark, table(folder), f"{folder}/out/result.csv")
-    assert record["rows_processed"] == 10_000
+    record = jobs.batch_summary(spark, table(folder), f"{folder}/out/result.csv", single_file=True, digest=jobs.CANONICAL)
+    assert record["passed"] and record["expected_sha256"] is None
+    assert (record["rows_read"], record["rows_processed"], record["rows_rejected"]) == (10_000, 10_000, 0)
     assert record["output_sha256"] == "55b1f846166943d0bfc850490f97beb4e4c31821abdfea2ad77db05674e8e2df"
     lines = open(f"{folder}/out/result.csv").read().splitlines()
     assert lines[0] == "event_type,total_value,event_count,max_timestamp"
     assert lines[1] == "event_type_0,102167,2000,1700009995" and len(lines) == 6
-    assert os.listdir(f"{folder}/out") == ["result.csv"] or sorted(os.listdir(f"{folder}/out"))[-1] == "result.csv"
+    assert sorted(n for n in os.listdir(f"{folder}/out") if not n.startswith(".")) == ["result.csv", "result.csv_quarantine"]
 
 
-def test_large_results_are_published_as_ordered_parts(spark, folder, monkeypatch):
-    monkeypatch.setattr(tables, "SINGLE_FILE_ROWS", 50)
+def test_every_row_of_a_batch_is_accounted_for(spark, folder):
+    with open(f"{folder}/events.csv", "w") as f:
+        f.write("event_type,value,timestamp\nx,1,1700000000\nx,,1700000009\nx,bad,1700000010\ny,5,1700000001,EXTRA\ny,6\n")
+    record = jobs.batch_summary(spark, f"{folder}/events.csv", f"{folder}/result.csv", single_file=True)
+    assert record["passed"]
+    assert (record["rows_read"], record["rows_processed"], record["rows_rejected"]) == (5, 2, 3)
+    assert open(f"{folder}/result.csv").read().splitlines()[1:] == ["x,1,2,1700000009"]
+    kept = spark.read.json(f"{folder}/result.csv_quarantine").collect()
+    assert sorted((r.event_type, r.bad_fields) for r in kept) == [("x", ["value"]), ("y", ["<line>"]), ("y", ["<line>"])]
+
+
+def test_results_are_published_as_ordered_parts(spark, folder):
     frame = spark.range(200).select(F.format_string("k%03d", "id").alias("event_type"), "id")
     assert publish_csv(frame.repartition(5), f"{folder}/large") == 200
     read = [
@@ -62,12 +76,12 @@ def test_large_results_are_published_as_ordered_parts(spark, folder, monkeypatch
         if not line.startswith("event_type,")
     ]
     assert read == [f"k{i:03d}" for i in range(200)]
-    assert publish_csv(frame.limit(0), f"{folder}/empty.csv") == 0
+    assert publish_csv(frame.limit(0), f"{folder}/empty.csv", single_file=True) == 0
     assert open(f"{folder}/empty.csv").read() == "event_type,id\n"
 
 
 def test_compare_stream_batch(spark, folder, landing):
-    record = jobs.compare_stream_batch(spark, landing, f"{folder}/work")
+    record = jobs.compare_stream_batch(spark, landing, f"{folder}/work", digest=jobs.CANONICAL, max_files=1)
     assert record["passed"] and record["events_count"] == 1000 and record["latency_ratio"] >= 0
     assert record["spark_output_sha256"] == "af6383ba78c36e0babe7078be7f11a8d90291730fee7b583c21e0e5745f83904"
 
@@ -75,22 +89,40 @@ def test_compare_stream_batch(spark, folder, landing):
 def test_compare_partitions(spark, folder):
     path = table(folder, 50_000, 2024, 1000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    query = lambda s: grouped_summary(good_rows(read_event_csv(s, path)))
-    record = jobs.compare_partitions(spark, query, 4, 20, rows=50_000)
+    source = lambda s: good_rows(read_event_csv(s, path))
+    record = jobs.compare_partitions(spark, source, grouped_summary, 4, 20, runs=1, digest=jobs.CANONICAL)
+    assert record["rows_processed"] == 50_000
     assert record["passed"] and record["shuffle_partitions_used"] == 4 and record["speedup_factor"] > 0
     assert record["output_sha256"] == "9d4b341869b2fa7b105ff2192c923c2de5f41775215b45c0ce98e7f98635bb72"
-    assert not jobs.compare_partitions(spark, query, 9, 10)["passed"]
+    assert not jobs.compare_partitions(spark, source, grouped_summary, 9, 10, runs=1)["passed"]
+    assert jobs.compare_partitions(spark, source, grouped_summary, 9, 10, at_most=9, runs=1)["passed"]
+
+    def fails_at_baseline(session):
+        if jobs.shuffle_partitions(session) == 10:
+            raise RuntimeError("no resources")
+        return source(session)
+
+    record = jobs.compare_partitions(spark, fails_at_baseline, grouped_summary, 4, 10, runs=1)
+    assert record["passed"] and (record["baseline_time_ms"], record["speedup_factor"]) == (-1, 0)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_pipeline(spark, folder):
     write_messages(generators.messages(generators.indices(spark, 2000)), f"{folder}/landing")
-    record = jobs.pipeline(spark, read_messages(spark, f"{folder}/landing"), f"{folder}/work", expected(spark, 2000))
+    record = jobs.pipeline(spark, read_messages(spark, f"{folder}/landing"), f"{folder}/work", expected(spark, 2000), digest=jobs.CANONICAL)
     assert record["passed"] and record["events_injected"] == 2000
     assert record["flink_output_sha256"] == "eb395e4aab6aa623087308a8aeed3854b5450d134a37b3038d46d0b1bdbe9367"
     assert record["spark_output_sha256"] == "bb68c7a165e1a9b53f602d8abd6814036a9b51f5a3f024c934371f5fa7295c3c"
 
 
+def test_time_limits(spark, folder):
+    slow = lambda s: s.range(40).repartition(4).select(F.expr("java_method('java.lang.Thread', 'sleep', 2000L)").alias("event_type"))
+    with pytest.raises(TimeoutError):
+        with jobs._limit(spark, 1.5):
+            slow(spark).write.format("noop").mode("overwrite").save()
+    assert spark.range(3).count() == 3
+
+
 def test_run_all_and_failures(spark, folder, monkeypatch):
     def fails(*args, **kwargs):
         raise TimeoutError("too slow")
@@ -117,6 +149,14 @@ def test_command_line(spark, folder, monkeypatch, capsys):
     assert code == 0 and record["output_sha256"] == generated["sha256_of_expected_output"]
     code, record = call("batch-summary", "--path", table(folder, 100), "--out", f"{folder}/r.csv")
     assert code == 0 and record["rows_processed"] == 100
+    code, record = call("batch-summary", "--path", table(folder, 100), "--out", f"{folder}/r2.csv", "--expected", f"{folder}/r.csv")
+    assert code == 0 and record["expected_sha256"] == record["output_sha256"]
+    code, record = call("compare", "--path", f"{folder}/landing", "--out", f"{folder}/compared", "--max-bytes", "1000")
+    assert code == 0 and record["events_count"] == 1000
+    code, record = call("pipeline", "--path", f"{folder}/landing", "--out", f"{folder}/piped")
+    assert code == 0 and record["events_injected"] == 1000
+    code, record = call("partitions", "--path", table(folder, 100), "--count", "4", "--baseline", "6")
+    assert code == 0 and record["rows_processed"] == 100
     os.makedirs(f"{folder}/submissions/ann")
     with open(f"{folder}/submissions/ann/result.json", "w") as f:
         f.write('{"scenarios_passed":0}')

@@ -19,10 +19,11 @@ def check_rounding(spark, values):
 
 def test_rounding_near_ties(spark):
     check_rounding(spark, [i / 20 for i in range(-500, 500)] + [i / 200 for i in range(3000)] + [2.675, 0.35, 3750.5, 0.125])
+    check_rounding(spark, [2.0**e + k / 8 for e in range(40, 53) for k in range(-16, 17)])
 
 
 @SLOW
-@given(st.lists(st.floats(-1e9, 1e9), min_size=1, max_size=200))
+@given(st.lists(st.one_of(st.floats(-1e9, 1e9), st.floats(-(2.0**60), 2.0**60)), min_size=1, max_size=200))
 def test_rounding_like_python(spark, values):
     check_rounding(spark, values)
 

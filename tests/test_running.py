@@ -55,13 +55,10 @@ def test_starts_from_base(spark):
     assert found(running_counts(spark.createDataFrame(rows, SCHEMA), ["k"], "seq", given)) == brute_force(rows, base)
 
 
-@pytest.mark.parametrize("most_blocks", [1000, 0])
-def test_crowded_blocks(spark, monkeypatch, most_blocks):
+def test_crowded_blocks(spark, monkeypatch):
     """A third of all events are copies of one, and blocks are small enough for that to matter."""
     monkeypatch.setattr(running, "BLOCK_BITS", 4)
-    monkeypatch.setattr(running, "BLOCK_ROWS", 16)
     monkeypatch.setattr(running, "COPIES_PER_ROW", 7)
-    monkeypatch.setattr(running, "CROWDED_BLOCKS", most_blocks)
     rows = events(4, 300, 2**12) + [("hot", 77)] * 150 + [(None, None)] * 40
     assert found(running_counts(spark.createDataFrame(rows, SCHEMA), ["k"], "seq")) == brute_force(rows)
 

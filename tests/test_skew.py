@@ -5,10 +5,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from compare import difference
 from eventflow.operators import running
 from eventflow.plans import derived
+from eventflow.plans.catalogue import QUERIES
+from eventflow.plans.oracles import ORACLES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -33,10 +34,8 @@ def duck(skewed):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, skewed, duck, monkeypatch, name):
     monkeypatch.setattr(running, "BLOCK_BITS", 6)
-    monkeypatch.setattr(running, "BLOCK_ROWS", 64)
     monkeypatch.setattr(running, "COPIES_PER_ROW", 50)
-    sql = entry_points.oracle_sql()[name]
-    assert difference(entry_points.queries()[name](spark, skewed), duck.sql(sql)) is None
+    assert difference(QUERIES[name](spark, skewed), duck.sql(ORACLES[name])) is None

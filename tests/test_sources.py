@@ -14,7 +14,9 @@ from eventflow.operators.summary import grouped_summary, key_counts, parse_messa
 from eventflow.operators.verify import canonical_digest
 from eventflow.sinks.tables import show_stream
 from eventflow.sources import generators
-from eventflow.sources.delimited import bad_rows, good_rows, parse_snapshot_lines, read_event_csv, read_snapshot_text
+from eventflow.sources.delimited import (
+    accounting, bad_rows, good_rows, parse_event_lines, parse_snapshot_lines, read_event_csv, read_snapshot_text,
+)
 from eventflow.sources.messages import read_messages
 from eventflow.sources.records import read_run_records, read_submissions
 
@@ -58,13 +60,35 @@ def test_csv_quarantine(spark, folder):
         "timestamp,extra,event_type,value\n1,x,a,5\n2,x,a,\n3,x,b,seven\n-4,x,b,8\n5,x,,9\n6,x,c\n\n",
     )
     typed = read_event_csv(spark, path)
-    good = sorted(tuple(r) for r in good_rows(typed).na.fill("").collect())
+    rows = [tuple(r) for r in good_rows(typed).na.fill("").collect()]
+    assert ("a", None, 2) in rows
+    good = sorted(r for r in rows if r[1] is not None)
     assert good == [("", 9, 5), ("a", 5, 1), ("b", 8, -4)]
     bad = sorted((r.event_type, r.timestamp, r.bad_fields) for r in bad_rows(typed).collect())
-    assert bad == [("a", 2, ["value"]), ("b", 3, ["value"]), ("c", 6, ["value"])]
+    assert bad == [("b", 3, ["value"]), ("c", 6, ["<line>"])]
     assert grouped_summary(good_rows(typed)).filter("event_type = 'b'").first().max_timestamp == -4
 
 
+def test_csv_files_of_different_headers(spark, folder):
+    write(f"{folder}/t/a.csv", "event_type,value,timestamp\nx,7,1700000003\n")
+    write(f"{folder}/t/b.csv", "event_type,timestamp,value\ny,1700000004,8\n")
+    with pytest.raises(Exception, match="header"):
+        read_event_csv(spark, f"{folder}/t").collect()
+    rows = good_rows(read_event_csv(spark, f"{folder}/t", mixed_headers=True)).collect()
+    assert sorted(tuple(r) for r in rows) == [("x", 7, 1700000003), ("y", 8, 1700000004)]
+
+
+def test_csv_lines_with_too_many_or_too_few_fields(spark, folder):
+    path = write(f"{folder}/e.csv", "event_type,value,timestamp\na,1,2\nb,1,2,EXTRA\nc,1\n")
+    typed = read_event_csv(spark, path)
+    assert [tuple(r) for r in good_rows(typed).collect()] == [("a", 1, 2)]
+    assert sorted((r.event_type, r.bad_fields) for r in bad_rows(typed).collect()) == [("b", ["<line>"]), ("c", ["<line>"])]
+    lines = spark.createDataFrame([("a,1,2",), ("b,1,2,EXTRA",), ("c,1",)], "value string")
+    typed = parse_event_lines(lines)
+    assert [r.event_type for r in good_rows(typed).collect()] == ["a"] and bad_rows(typed).count() == 2
+    assert [tuple(r)[1:] for r in accounting(typed).orderBy("event_type").collect()] == [(1, 1, 0, 0), (1, 0, 0, 1), (1, 0, 0, 1)]
+
+
 def test_csv_without_a_required_column(spark, folder):
     path = write(f"{folder}/no.csv", "event_type,timestamp\na,1\n")
     with pytest.raises(ValueError, match="missing columns \\['value'\\]"):
@@ -172,7 +196,11 @@ def test_run_records(spark, folder):
     write(f"{folder}/scenario_02.json", '{"id": "02", "passed": tr')
     write(f"{folder}/scenario_03.json", '{"id": "03", "passed": true} x')
     write(f"{folder}/scenario_04.json", '{"id":"04","passed":false,"error":"timeout","elapsed_ms":7}')
+    write(f"{folder}/scenario_05.json", '{"id":5,"passed":"yes","elapsed_ms":1.9,"name":"n"}')
+    write(f"{folder}/scenario_06.json", '[1]')
     rows = {r.id: r for r in read_run_records(spark, f"{folder}/scenario_*.json").collect()}
+    assert (rows["05"].passed, rows["05"].elapsed_ms, rows["05"].error) == (False, 0, "wrong type: id, passed, elapsed_ms")
+    assert rows["06"].error == "unreadable"
     assert (rows["01"].passed, rows["01"].elapsed_ms, rows["01"].error) == (True, 5, None)
     assert [(rows[i].passed, rows[i].error) for i in ("02", "03")] == [(False, "unreadable")] * 2
     assert (rows["04"].passed, rows["04"].error, rows["04"].elapsed_ms) == (False, "timeout", 7)

@@ -14,7 +14,7 @@ from eventflow.operators.verify import key_diff
 from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
 from eventflow.sources.messages import read_messages
 from eventflow.streaming.counter import (
-    ConfigurationMissing, changelog_path, run_to_end, start_changelog, start_counter, wait_for_total,
+    ConfigurationMissing, changelog_path, read_changelog, run_to_end, start_changelog, start_counter, wait_for_total,
 )
 
 
@@ -98,6 +98,31 @@ def test_failed_batch_is_written_again(spark, folder, monkeypatch, mode, when):
     assert run.go() == {f"event_type_{i}": 20 for i in range(5)}
 
 
+@pytest.mark.parametrize("step", range(1, 5))
+def test_a_compaction_that_dies_at_any_step_is_repeated_once(spark, folder, monkeypatch, step):
+    """Before or after the delta, before or after the full folder; one restart has to do."""
+    run = Run(spark, folder, "update", compact_every=1)
+    for part in range(3):
+        land(run.landing, f"p{part}", generate(50 * part, 50 * part + 50))
+        if part < 2:
+            run.go()
+    original, calls = SnapshotStore._write, []
+
+    def dies(self, *args):
+        calls.append(args[1])
+        if len(calls) == (step + 1) // 2:
+            if step % 2 == 0:
+                original(self, *args)
+            raise RuntimeError("killed")
+        original(self, *args)
+
+    monkeypatch.setattr(SnapshotStore, "_write", dies)
+    with pytest.raises(Exception):
+        run_to_end(run.start(), 120)
+    monkeypatch.setattr(SnapshotStore, "_write", original)
+    assert run.go() == {f"event_type_{i}": 30 for i in range(5)}
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 @pytest.mark.parametrize("mode", ["complete", "update"])
 def test_stream_equals_batch_on_any_split(spark, folder, seed, mode):
@@ -150,7 +175,8 @@ def test_refused_starts(spark, folder):
 
 
 def changelog(spark, out):
-    rows = spark.read.parquet(changelog_path(out)).select("event_type", "seq", "running_count").collect()
+    schema = "event_type string, seq bigint, running_count bigint"
+    rows = read_changelog(spark, out, T.StructType.fromDDL(schema)).collect()
     return sorted((tuple(r) for r in rows), key=repr)
 
 
@@ -178,6 +204,7 @@ def test_changelog_over_restarts_and_failures(spark, folder, monkeypatch):
     with pytest.raises(Exception):
         go()
     monkeypatch.setattr(SnapshotStore, "write_delta", original)
+    os.makedirs(f"{changelog_path(out)}/batch_id=99")
     go()
     parsed = spark.createDataFrame([(m.split(":")[0], int(m.split(":")[1])) for m in messages], "event_type string, seq bigint")
     expected = running_counts(parsed, ["event_type"], "seq").collect()
@@ -190,7 +217,9 @@ def test_wait_for_total(spark, folder):
     query = run.start()
     try:
         assert wait_for_total(run.store, 100, 120, poll=0.3)
+        assert wait_for_total(run.store, 100, 5, poll=0.3, keys=5)
         assert not wait_for_total(run.store, 101, 1, poll=0.3)
+        assert not wait_for_total(run.store, 100, 1, poll=0.3, keys=6)
     finally:
         query.stop()
 
