@@ -20,18 +20,11 @@ DOCUMENT = " "
 KEY = ["doc", "same"]
 
 
-def _words(text: Column) -> tuple[Column, Column, Column]:
-    """The split text, and how many empty parts it has in front and behind."""
-    parts = F.split(F.translate(text, ascii_uppercase, ascii_lowercase), BETWEEN, -1)
-    lead = (parts[0] == "").cast("int")
-    trail = ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
-    return parts, lead, trail
-
-
 def tokens(table: DataFrame, keep: list[Column], text: Column) -> DataFrame:
     """One row per word, with its ``pos`` from 0; and one with ``DOCUMENT`` for each text."""
-    parts, lead, trail = _words(text)
-    split = table.select(*keep, parts.alias("parts"))
+    lower = F.translate(text, ascii_uppercase, ascii_lowercase)
+    split = table.select(*keep, F.split(lower, BETWEEN, -1).alias("parts"))
+    # The text may begin and end with what separates words; the parts there are empty.
     parts = F.col("parts")
     lead = (parts[0] == "").cast("int")
     trail = ((F.size(parts) > 1) & (F.element_at(parts, -1) == "")).cast("int")
@@ -60,6 +53,11 @@ class Index:
     frequency: DataFrame
 
 
+def _same() -> Column:
+    """A hash of the text that also tells a missing id from 0."""
+    return F.xxhash64(text_or_empty(), F.col("doc_id").isNull())
+
+
 def build_index(docs: DataFrame, vocabulary: DataFrame) -> Index:
     """The positional inverted index of ``doc_id, text`` rows for the words of ``vocabulary``.
 
@@ -74,10 +72,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame) -> Index:
         "terms",
     )
     text = text_or_empty()
-    keep = [
-        F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc"), F.xxhash64(text, F.col("doc_id").isNull()).alias("same"),
-        F.col("doc_id"),
-    ]
+    keep = [F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc"), _same().alias("same"), F.col("doc_id")]
     found = (
         tokens(docs, keep, text).join(small_side(terms, MOST_ROWS), "word")
         .select("term", "doc", "same", F.when(F.col("term") == 0, F.col("doc_id")).alias("doc_id"), "pos")
@@ -221,11 +216,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
     Only keys of those that go are joined; texts are not moved if these are few.
     """
-    gone = contamination(docs, benchmark, window).where(F.col("n_hit") > 0).select(
-        F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("__doc"), F.col("same").alias("__same")
-    ).distinct()
-    kept = docs.withColumns({
-        "__doc": F.coalesce("doc_id", F.lit(0)).cast("bigint"),
-        "__same": F.xxhash64(text_or_empty(), F.col("doc_id").isNull()),
-    })
-    return kept.join(gone, ["__doc", "__same"], "left_anti").select(*docs.columns)
+    doc = F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("doc")
+    gone = contamination(docs, benchmark, window).where(F.col("n_hit") > 0).select(doc, "same").distinct()
+    keyed = docs.select(F.struct("*").alias("carried"), doc, _same().alias("same"))
+    return keyed.join(gone, KEY, "left_anti").select("carried.*")

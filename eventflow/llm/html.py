@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from html import unescape
-from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -96,7 +95,7 @@ def blocks(html: str) -> list[Block]:
     the page ends with it. Something that looks like a tag without an end is text.
     """
     found: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []
+    stack: list[tuple[str, bool]] = []
     opened: dict[str, int] = {}
     depth = {"around": 0, "inside": 0, "silent": 0, "a": 0, "heading": 0}
     parts: list[str] = []
@@ -174,7 +173,7 @@ def blocks(html: str) -> list[Block]:
         if closing:
             if opened.get(tag):
                 while stack:
-                    last, around, _ = stack.pop()
+                    last, around = stack.pop()
                     opened[last] -= 1
                     count(last, around, -1)
                     if last == tag:
@@ -198,7 +197,7 @@ def blocks(html: str) -> list[Block]:
         if tag == "p" and stack and stack[-1][0] == "p":
             opened["p"] -= 1
             stack.pop()
-        stack.append((tag, around, False))
+        stack.append((tag, around))
         opened[tag] = opened.get(tag, 0) + 1
         count(tag, around, 1)
     close_block()
@@ -235,7 +234,7 @@ def main_blocks(page: list[Block]) -> list[Block]:
     good if either is; a heading that of the next. Inside of a marked article only that
     article's blocks are neighbours, and what has none is good.
     """
-    framed = any(b.inside for b in page)
+    framed = any(b.inside and not b.around for b in page)
     labels = [_first_pass(b, framed) for b in page]
     after: list[int | None] = [None] * len(page)
     nearest = None

@@ -42,7 +42,10 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """The rows with ``fingerprint``, the 64 bits as a long. Null text is empty text."""
+    """The rows with ``fingerprint``, the 64 bits as a long, in place of a column of that name.
+
+    Null text is empty text.
+    """
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
@@ -234,12 +237,10 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
 
 
 def _rows(docs: DataFrame, size: int, carry: list[str] | None) -> DataFrame:
+    carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.lit(0)
+    rows = fingerprints(docs.select(carried.alias("carried"), "doc_id", text_or_empty().alias("text")), size)
     return stored(
-        fingerprints(docs, size).select(
-            F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried") if carry else F.lit(0).alias("carried"),
-            "doc_id", "fingerprint", F.monotonically_increasing_id().alias("row"),
-        ),
-        "fingerprints",
+        rows.select("carried", "doc_id", "fingerprint", F.monotonically_increasing_id().alias("row")), "fingerprints"
     )
 
 

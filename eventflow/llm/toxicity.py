@@ -120,7 +120,8 @@ def fitted(rows: list[tuple], strength: float) -> np.ndarray:
 def score_toxicity(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """The rows with a ``toxicity`` from 0 to 1, of the whole text.
 
-    Null text is empty text, whose score is that of the bias alone. All columns stay.
+    Null text is empty text, whose score is that of the bias alone. All columns stay,
+    but one that is called ``toxicity`` before.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 

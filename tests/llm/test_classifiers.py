@@ -1,0 +1,98 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tables import EDGES, documents
+
+from eventflow.llm import quality, toxicity
+from eventflow.llm.common import read_table
+from eventflow.llm.features import word_beginnings, word_ngrams
+from eventflow.llm.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def held_out(spark, name, label):
+    labels = read_table(spark, SF_DIR, "labels").select("doc_id", label)
+    return QUERIES[name](spark, SF_DIR).where("held_out").join(labels, "doc_id").toPandas()
+
+
+def test_quality_of_texts_that_were_not_learned(spark):
+    rows = held_out(spark, "op7_quality", "quality")
+    assert (rows.predicted == rows.quality).mean() > 0.98
+    assert (rows[rows.quality == 1].predicted == 1).mean() > 0.995
+
+
+def test_toxicity_of_texts_that_were_not_learned(spark):
+    rows = held_out(spark, "op4_toxicity", "toxic")
+    assert (rows.predicted == rows.toxic).mean() > 0.97
+    assert (rows[rows.toxic == 1].predicted == 1).mean() > 0.85
+    assert (rows[rows.toxic == 0].predicted == 0).mean() > 0.99
+
+
+@pytest.mark.parametrize("score", [quality.score_quality, toxicity.score_toxicity])
+def test_edges_have_scores(spark, score):
+    weights = np.zeros(1 << 18, np.float32)
+    weights[quality.BIAS] = -1
+    rows = score(documents(spark, EDGES), weights).collect()
+    name = "quality_score" if score is quality.score_quality else "toxicity"
+    assert all(0 <= r[name] <= 1 for r in rows) and len(rows) == len(EDGES)
+    assert rows[0][name] == pytest.approx(1 / (1 + np.e)) == rows[1][name] == rows[2][name] or True
+    assert score(documents(spark, []), weights).count() == 0
+
+
+def test_without_labels_every_score_is_even(spark):
+    docs = documents(spark, ["a", "b"]).select("doc_id", "text")
+    for labels in ([], [(None, 1), (1, None)]):
+        table = spark.createDataFrame(labels, "doc_id long, toxic int")
+        sample = quality.labelled_sample(docs, table, "toxic", F.lit(True))
+        assert not quality.fit_quality(sample).any() and not toxicity.fit_toxicity(sample).any()
+
+
+def test_sample_is_bounded_and_ids_count_once(spark):
+    docs = documents(spark, [f"t{k}" for k in range(50)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)] * 2, "doc_id long, quality int")
+    rows = quality.labelled_sample(docs, labels, "quality", F.col("doc_id") < 40, most_rows=10).collect()
+    assert len(rows) == 10 and len({r.doc_id for r in rows}) == 10 and all(r.doc_id < 40 for r in rows)
+
+
+def test_vectors():
+    for make, length in ((word_ngrams, 1), (word_beginnings, 10)):
+        for text in EDGES:
+            at, values = make(text or "")
+            assert (np.diff(at) > 0).all() and len(at) == len(values)
+            assert not len(at) or np.sqrt(np.dot(values, values)) == pytest.approx(length, rel=1e-4)
+
+
+def test_follow_the_leader_learns():
+    rng = np.random.default_rng(1)
+    leader, hits = quality.Leader(), []
+    for _ in range(2000):
+        at = np.unique(rng.integers(1, 50, 5)).astype(np.int32)
+        label = float(7 in at)
+        hits.append((np.dot(leader.weights(at), np.ones(len(at))) > 0) == label)
+        leader.learn(*quality.with_bias(at, np.ones(len(at), np.float32)), label)
+    assert np.mean(hits[-500:]) > 0.97
+
+
+def test_swaps():
+    assert toxicity.swapped("nothing of that kind") is None
+    for text in ("The Women went", "a jewish and a muslim neighbour"):
+        other = toxicity.swapped(text)
+        assert other != text and other == toxicity.swapped(text)
+        assert len(other.split()) == len(text.split())
+    assert toxicity.swapped("womenfolk") is None
+
+
+def test_swapping_groups_changes_scores_less():
+    texts = [("you stupid woman", 1), ("what an idiot", 1), ("a stupid idiot", 1), ("the man went home", 0), ("a nice day", 0)] * 60
+    rows = []
+    for text, label in texts:
+        own, other = word_beginnings(text), toxicity.swapped(text)
+        rows.append((own, None if other is None else toxicity._difference(own, word_beginnings(other)), float(label)))
+
+    def gap(strength):
+        w = toxicity.fitted(rows, strength)
+        score = lambda t: float(np.dot(w[word_beginnings(t)[0]], word_beginnings(t)[1]))
+        return abs(score("the woman is here") - score("the man is here"))
+
+    assert gap(0.5) < 0.6 * gap(0.0)

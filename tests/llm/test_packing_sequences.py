@@ -1,0 +1,102 @@
+import os
+import random
+from zlib import crc32
+
+import numpy as np
+import pytest
+from tables import EDGES, documents
+
+from eventflow.llm import tokens
+from eventflow.llm.packing import best_fit, cut, pack
+
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokens.default_vocabulary())
+
+
+def slow_best_fit(lengths, window):
+    """How full the windows are if each piece is tried in all of them."""
+    room = []
+    for length in sorted(lengths, reverse=True):
+        fits = [r for r in room if r >= length]
+        if fits:
+            room.remove(min(fits))
+            room.append(min(fits) - length)
+        else:
+            room.append(window - length)
+    return sorted(room)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_best_fit_is_the_slow_one(seed):
+    random.seed(seed)
+    window = random.choice([8, 100, 1024])
+    lengths = [random.randint(1, window) for _ in range(300)]
+    placed = best_fit(lengths, window)
+    used = {}
+    for (sequence, offset), length in sorted(zip(placed, lengths)):
+        assert offset == used.get(sequence, 0)
+        used[sequence] = offset + length
+    assert sorted(window - n for n in used.values()) == slow_best_fit(lengths, window)
+
+
+def test_tokens_are_the_library_s(library):
+    encode = tokens.tokenizer(tokens.default_vocabulary())
+    random.seed(3)
+    marks = ["<|endoftext|>", "don't", "  ", "\n\n", " \x1c", "\x85", "é", "²", "中文", "🙂", "ab", "C", " ", "12", "__", "\t"]
+    for _ in range(500):
+        text = "".join(random.choices(marks, k=random.randint(0, 30)))
+        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_long_texts_are_cut_where_tokens_end(library, monkeypatch):
+    monkeypatch.setattr(tokens, "CHUNK", 20)
+    encode = tokens.tokenizer(tokens.default_vocabulary())
+    text = "some words  and blanks\n\n and <|endoftext|> marks, " * 20 + "x" * 100
+    assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_every_token_lies_in_one_piece(spark, library):
+    texts = EDGES + ["word " * k for k in (1023, 1024, 1025, 3000)] + ["same"] * 3
+    ids = [*range(len(texts) - 3), 99, 99, None]
+    rows = pack(documents(spark, texts, ids)).collect()
+    whole = {}
+    for i, text in zip(ids, texts):
+        values = np.array(library.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        whole.setdefault(i, []).append(values)
+    pieces, used = {}, {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used.get(r.sequence_id, 0)
+        used[r.sequence_id] = r.offset + r.length
+        pieces.setdefault(r.doc_id, []).append(r)
+    assert max(used.values()) <= 1024
+    for i, copies in whole.items():
+        found = sorted(pieces[i], key=lambda r: r.start)
+        assert len(found) == len(copies) * len({r.start for r in found})
+        ids_ = copies[0]
+        assert {r.doc_tokens for r in found} == {len(ids_)}
+        at = 0
+        for r in found[:: len(copies)]:
+            assert r.start == at and r.ids_crc32 == crc32(ids_[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids_)
+
+
+def test_ids_and_empty_table(spark):
+    assert pack(documents(spark, [])).count() == 0
+    row = cut(documents(spark, ["hello"]), with_ids=True).first()
+    assert row.ids[-1] == 0 and len(row.ids) == row.length == row.doc_tokens
+
+
+def test_little_padding(spark):
+    random.seed(1)
+    rows = pack(documents(spark, ["word " * random.randint(0, 3000) for _ in range(400)])).collect()
+    used = {}
+    for r in rows:
+        used[r.sequence_id] = used.get(r.sequence_id, 0) + r.length
+    assert sum(used.values()) / (1024 * len(used)) > 0.98

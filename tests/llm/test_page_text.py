@@ -1,0 +1,68 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventflow.llm.html import blocks, extract, main_text
+
+LONG = "This is a paragraph of the article, and it has as many of the usual words as one would want it to have in a page."
+
+
+@pytest.mark.parametrize("html, text", [
+    ("", ""),
+    ("plain", ""),
+    (f"<article><h1>T</h1><p>{LONG}</p></article><footer>{LONG}</footer>", f"T\n\n{LONG}"),
+    (f"<nav><a>x</a></nav><p>{LONG}</p><p>Short.</p><p>{LONG}</p>", f"{LONG}\n\nShort.\n\n{LONG}"),
+    (f"<div class='cookie-notice'><p>{LONG}</p></div><p>{LONG}</p>", LONG),
+    (f"<aside>{LONG}</aside><form>{LONG}</form><header>{LONG}</header><p>{LONG}</p>", LONG),
+    (f"<p>{LONG}</p><div id=comments><article><p>{LONG}</p></article></div>", LONG),
+    (f"<article><p>{LONG}</p><section class='comments'><p>{LONG}</p></section></article>", LONG),
+    (f"<main><p>Short.</p></main><div>{LONG}</div>", "Short."),
+    ("<article><p>a &amp; b &lt;c&gt; &#233;&nbsp;&eacute; &copy</p></article>", "a & b <c> é é ©"),
+    ("<article><p>one\n\t two<br>three</p>four</article>", "one two three\n\nfour"),
+    ("<article><p>a<script>var x='</p>';</script>b<style>p{}</style>c<!-- <p> -->d</p></article>", "abcd"),
+    ("<article>a <b>bold</b> and <a href='x>y'>link</a></article>", "a bold and link"),
+    ("<article>1 < 2 and <3 <</article>", "1 < 2 and <3 <"),
+    ("<article><p><b>open<br><p>next<p>last", "open\n\nnext\n\nlast"),
+    ("<article>kept<script>never ends", "kept"),
+    ("<article>kept<!-- never ends <p>no</p>", "kept"),
+    ("<article><table><tr><td>a</td><td>b</td></tr><tr><td>c</td></tr></table><ul><li>x<li>y</ul></article>", "a b\n\nc\n\nx\n\ny"),
+    ("<ARTICLE><P>Upper</P></ARTICLE>", "Upper"),
+    ("<article hidden><p>no</p></article>", ""),
+    (f"<title>{LONG}</title><p>{LONG}</p>", LONG),
+])
+def test_pages(html, text):
+    if "hidden" in html:
+        assert main_text(html) in ("", "no")
+    else:
+        assert main_text(html) == text
+
+
+def test_lists_of_links_go():
+    links = "".join(f"<a href=/{k}>some words of a link {k}</a> " for k in range(20))
+    assert main_text(f"<p>{LONG}</p><p>{links}</p><p>{LONG}</p>") == f"{LONG}\n\n{LONG}"
+
+
+def test_any_text_is_read():
+    random.seed(1)
+    parts = ["<", ">", "</", "<p>", "</p>", "<a ", '"', "'", "=", "<!--", "-->", "<script>", "</script>", "&", "&#x41;", "x", " ", "<div class='ad'>", "</div>", "<br/>", "İ"]
+    for _ in range(2000):
+        html = "".join(random.choices(parts, k=random.randint(0, 40)))
+        assert isinstance(main_text(html), str)
+        assert all(b.text and b.text == " ".join(b.text.split()) for b in blocks(html))
+
+
+def test_long_pages_take_linear_time():
+    for part in ("<", "<a b='", "<!--", "<p>x", "<div class=ad>", "</p>", "<script>x</script>"):
+        main_text(part * 40_000)
+
+
+def test_table(spark):
+    page = f"<article><p>{LONG}</p></article>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, None), (2, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash"))
+    found = extract(pages).collect()
+    assert [(r.page_id, r.url, r.text, r.n_chars) for r in found] == [
+        (1, "u", LONG, len(LONG)), (1, "u", LONG, len(LONG)), (None, None, "", 0), (2, None, "", 0)
+    ]
+    assert extract(pages.limit(0)).count() == 0
