@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +31,10 @@ from eventflow.operators.verify import (
     multiset_digest,
     partition_rule,
 )
-from eventflow.plans import derived
+from eventflow.plans import derived, jobs
 from eventflow.session import work_dir
-from eventflow.sinks.snapshots import SnapshotStore
+from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
+from eventflow.sinks.tables import publish_csv, write_handoff
 from eventflow.sources import generators
 from eventflow.sources.delimited import (
     accounting,
@@ -43,9 +44,15 @@ from eventflow.sources.delimited import (
     parse_snapshot_lines,
     read_event_csv,
 )
-from eventflow.sources.messages import as_messages, stream_table
+from eventflow.sources.messages import as_messages, read_messages, stream_table
 from eventflow.sources.records import parse_run_records
-from eventflow.streaming.counter import read_changelog, run_to_end, start_changelog, start_counter
+from eventflow.streaming.counter import (
+    read_changelog,
+    run_to_end,
+    start_changelog,
+    start_counter,
+    wait_for_total,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,6 +169,26 @@ def csv_accounting(spark, sf_dir):
     return accounting(_event_csv(spark, sf_dir))
 
 
+@query
+def batch_job_rows(spark, sf_dir):
+    """JOB-2, FLT-4: the batch job on CSV with a header, damaged rows included, as its record tells."""
+    path = work_dir(spark, "batch-job")
+    rows = derived.csv_rows(derived.events(spark, sf_dir))
+    rows.write.option("header", True).csv(f"{path}/events")
+    record = jobs.batch_summary(spark, f"{path}/events", f"{path}/summary", timeout=STREAM_TIMEOUT)
+    found = {k: record[k] for k in ("rows_read", "rows_processed", "rows_rejected", "passed")}
+    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in found.items()])
+
+
+@query
+def published_summary(spark, sf_dir):
+    """SNK-2: the batch summary published as ordered CSV parts, read back."""
+    path = f"{work_dir(spark, 'published')}/summary"
+    summary = grouped_summary(_cents(derived.events(spark, sf_dir)), time="event_id")
+    publish_csv(summary, path)
+    return spark.read.schema(summary.schema).option("header", True).csv(path)
+
+
 # Messages and generators
 
 
@@ -229,6 +256,41 @@ def stream_counts_update(spark, sf_dir):
     return _stream_counts(spark, sf_dir, "update")
 
 
+def _two_landings(spark: SparkSession, sf_dir: str, work: str) -> Iterator[DataFrame]:
+    """The messages as a stream over a landing folder to which the second half is added later."""
+    table = derived.events(spark, sf_dir)
+    for half in (0, 1):
+        as_messages(table.filter(F.col("event_id") % 2 == half)).write.mode("append").text(f"{work}/landing")
+        yield parse_messages(read_messages(spark, f"{work}/landing", max_bytes=BATCH_BYTES))
+
+
+@query
+def stream_restart(spark, sf_dir):
+    """STR-7: a run that ended is continued from its checkpoint when more messages have come."""
+    work = work_dir(spark, "restart")
+    for events in _two_landings(spark, sf_dir, work):
+        run_to_end(start_counter(events, out=f"{work}/out", checkpoint=f"{work}/checkpoint"), STREAM_TIMEOUT)
+    return SnapshotStore(spark, f"{work}/out/counts").read()
+
+
+@query
+def stream_until_complete(spark, sf_dir):
+    """STR-6: a stream without an end, stopped once its counts have the table's total and keys."""
+    work = work_dir(spark, "until-complete")
+    facts = _counts(spark, sf_dir).agg(F.sum("event_count").alias("n"), F.count(F.lit(1)).alias("keys")).first()
+    parsed = parse_messages(_stream(spark, sf_dir))
+    running = start_counter(
+        parsed, out=f"{work}/out", checkpoint=f"{work}/checkpoint", trigger={"processingTime": "1 second"}
+    )
+    store = SnapshotStore(spark, f"{work}/out/counts")
+    try:
+        if not wait_for_total(store, facts.n or 0, STREAM_TIMEOUT, keys=facts["keys"]):
+            raise TimeoutError("the stream's counts stayed incomplete")
+    finally:
+        running.stop()
+    return store.read()
+
+
 @query
 def count_changelog(spark, sf_dir):
     """STR-5 in batch."""
@@ -316,6 +378,24 @@ def result_row_count(spark, sf_dir):
     return row_count(_counts(spark, sf_dir))
 
 
+@query
+def snapshot_file(spark, sf_dir):
+    """SRT-2: the counts written as sorted lines and read back."""
+    path = work_dir(spark, "snapshot")
+    write_snapshot_text(_counts(spark, sf_dir), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query
+def handoff_file(spark, sf_dir):
+    """SNK-5: the counts handed over as a file for the batch stage, and summarised by it."""
+    path = work_dir(spark, "handoff")
+    counts = _counts(spark, sf_dir)
+    write_handoff(counts, path)
+    handed = spark.read.schema(handoff(counts).schema).option("header", True).csv(path)
+    return grouped_summary(handed)
+
+
 @query
 def handoff_table(spark, sf_dir):
     """PRJ-3."""

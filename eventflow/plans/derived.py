@@ -87,6 +87,17 @@ def csv_lines(table: DataFrame) -> DataFrame:
     return _beside(table, clean, other)
 
 
+def csv_rows(table: DataFrame) -> DataFrame:
+    """The event table's rows as texts; beside some one without a value or with one that is no integer."""
+    kind = F.col("event_id") % 10
+    key, value = F.col("event_type"), cents(F.col("value")).cast("string")
+    time = (F.col("event_id") + 1_700_000_000).cast("string").alias("timestamp")
+    other = F.when(kind == 3, F.array(value, F.lit(None))).when(
+        kind == 7, F.array(value, F.concat(F.lit("n"), F.col("event_id").cast("string")))
+    ).otherwise(F.array(value))
+    return table.select(key, F.explode(other).alias("value"), time)
+
+
 def _beside(table: DataFrame, clean: Column, other: Column) -> DataFrame:
     return table.select(F.explode(F.array_compact(F.array(clean, other))).alias("value"))
 

@@ -142,6 +142,13 @@ ORACLES = {
             count(*) FILTER (WHERE bad IS NULL AND cents IS NULL) AS rows_without_value,
             count(*) FILTER (WHERE bad IS NOT NULL) AS rows_rejected
         FROM ({CSV}) WHERE bad IS DISTINCT FROM 'timestamp' GROUP BY event_type""",
+    "batch_job_rows": """
+        SELECT count(*) + count(*) FILTER (WHERE event_id % 10 IN (3, 7)) AS rows_read,
+            count(*) + count(*) FILTER (WHERE event_id % 10 = 3) AS rows_processed,
+            count(*) FILTER (WHERE event_id % 10 = 7) AS rows_rejected, true AS passed FROM events""",
+    "published_summary": f"""
+        SELECT event_type, CAST(sum({CENTS}) AS BIGINT) AS total_value, count(*) AS event_count,
+            max(event_id) AS max_timestamp FROM events GROUP BY event_type""",
     "event_messages": "SELECT event_type || ':' || event_id AS value FROM events",
     "parse_events": f"""
         SELECT event_id, shape, coalesce(trim(split_part(value, ':', 1), {BLANKS}), 'unknown') AS event_type,
@@ -161,6 +168,8 @@ ORACLES = {
         FROM events GROUP BY 1""",
     "stream_counts": COUNTS,
     "stream_counts_update": COUNTS,
+    "stream_restart": COUNTS,
+    "stream_until_complete": COUNTS,
     "count_changelog": """
         SELECT event_type, event_id,
             count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS running_count
@@ -194,6 +203,11 @@ ORACLES = {
         FROM events GROUP BY event_type""",
     "global_total_of_counts": "SELECT count(*) AS total FROM events",
     "result_row_count": "SELECT count(DISTINCT event_type) AS row_count FROM events",
+    "snapshot_file": f"SELECT event_type || chr(9) || event_count AS line FROM ({COUNTS})",
+    "handoff_file": f"""
+        SELECT event_type, CAST(sum(event_count) AS BIGINT) AS total_value, count(*) AS event_count,
+            CAST(0 AS INTEGER) AS max_timestamp
+        FROM ({COUNTS}) GROUP BY event_type""",
     "handoff_table": f"""
         SELECT event_type, event_count AS value, CAST(0 AS INTEGER) AS "timestamp" FROM ({COUNTS})""",
     "pipeline_summary": f"""

@@ -13,7 +13,7 @@ from eventflow.plans.catalogue import QUERIES
 from eventflow.sources.messages import as_messages
 
 SF_DIR = "/root/testdata/sf0.001"
-STREAMS = {"stream_counts", "stream_counts_update", "count_changelog_stream", "pipeline_summary", "stream_batch_diff"}
+STREAMS = {"stream_restart", "stream_until_complete", "batch_job_rows", "stream_counts", "stream_counts_update", "count_changelog_stream", "pipeline_summary", "stream_batch_diff"}
 
 
 def plan(df):
