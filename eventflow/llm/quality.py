@@ -57,14 +57,17 @@ def labelled_sample(
 
     ``training`` is the condition on the id for rows that may be learned from. Only ids go
     through the choice; texts of chosen rows are picked by a broadcast of these few ids.
-    Repeated labels of an id count once, by their smallest; rows without label or id don't.
+    Repeated labels or rows of an id count once, by their smallest; those without label or
+    id don't.
     """
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(training)
         .groupBy("doc_id").agg(F.min(label).alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     )
-    return docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")
+    # Combined on the map side, so that an id of very many rows is one row of the sample.
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
 
 
 def fit_quality(sample: DataFrame) -> np.ndarray:
@@ -86,10 +89,10 @@ def fit_quality(sample: DataFrame) -> np.ndarray:
 
     found = sample.select("doc_id", "text", "label").mapInPandas(
         vectors, "doc_id long, label int, at binary, value binary"
-    )
+    ).toArrow().sort_by("doc_id")
     rows = [
-        (*with_bias(np.frombuffer(r.at, np.int32), np.frombuffer(r.value, np.float32)), float(r.label))
-        for r in sorted(found.toLocalIterator(), key=lambda r: r.doc_id)
+        (*with_bias(np.frombuffer(at.as_buffer(), np.int32), np.frombuffer(value.as_buffer(), np.float32)), float(label.as_py()))
+        for label, at, value in zip(found["label"], found["at"], found["value"])
     ]
     leader = Leader()
     order = np.random.default_rng(7)

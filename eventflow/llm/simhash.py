@@ -17,7 +17,7 @@ RADIUS = 4
 SEED = 42
 # Fingerprints of a tile, the unit that is shuffled and compared; and of its inner tiles.
 TILE = 1 << 16
-INNER = 256
+INNER = 64
 
 
 def fingerprint(text: str, size: int = SHINGLE) -> int:
@@ -91,23 +91,34 @@ def _boxes(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum.reduceat(counts, starts), np.maximum.reduceat(counts, starts)
 
 
-class _Forest:
-    """Union by smallest index, with path halving."""
+class _Labels:
+    """Components of numbered nodes: each has the label of its smallest node."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, k: int) -> int:
-        up = self.up
-        while up[k] != k:
-            up[k] = up[up[k]]
-            k = up[k]
-        return k
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.root(a), self.root(b)
-        if a != b:
-            self.up[max(a, b)] = min(a, b)
+        self.of = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Links ``a`` and ``b``. Links inside a component, most of a large group's, cost nothing more."""
+        x, y = self.of[a], self.of[b]
+        new = x != y
+        if not new.any():
+            return
+        pairs = np.unique(np.stack([np.minimum(x[new], y[new]), np.maximum(x[new], y[new])], axis=1), axis=0)
+        up: dict[int, int] = {}
+
+        def root(k: int) -> int:
+            while k in up:
+                k = up[k]
+            return k
+
+        for x, y in pairs.tolist():
+            x, y = root(x), root(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+        moved = np.arange(len(self.of))
+        for k in up:
+            moved[k] = root(k)
+        self.of = moved[self.of]
 
 
 def link_tiles(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
@@ -115,8 +126,10 @@ def link_tiles(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS)
 
     Every pair is compared but those in inner tiles whose population counts, quarter by
     quarter, differ by more than the radius in sum: the counts of a quarter differ by no
-    more than its bits do. Links are reduced to (node, first node of its component), so
-    the result has fewer rows than the tiles have fingerprints, however many pairs link.
+    more than its bits do. An inner tile is compared with all others in reach at once, first
+    by the lower halves, whose bits are some of all. Links are reduced to (node, first node
+    of its component), so the result has fewer rows than the tiles have fingerprints,
+    however many pairs link.
     """
     same = right is None
     a = _arranged(left)
@@ -124,24 +137,30 @@ def link_tiles(left: np.ndarray, right: np.ndarray | None, radius: int = RADIUS)
     (a_low, a_high), (b_low, b_high) = _boxes(a), _boxes(b)
     both = a if same else np.concatenate([a, b])
     shift = 0 if same else len(a)
-    forest = _Forest(len(both))
+    labels = _Labels(len(both))
+    half = a.astype(np.uint32)
+    # Whole inner tiles, the last filled up with places that are left out again.
+    places = np.arange(len(b_low) * INNER).reshape(-1, INNER)
+    halves = np.resize(b, places.size).astype(np.uint32).reshape(-1, INNER)
     for i in range(len(a_low)):
         apart = np.maximum(np.maximum(a_low[i] - b_high, b_low - a_high[i]), 0).sum(axis=1)
         near = np.flatnonzero(apart <= radius)
         if same:
             near = near[near >= i]
-        mine = a[i * INNER : (i + 1) * INNER, None]
-        for j in near:
-            theirs = b[j * INNER : (j + 1) * INNER]
-            x, y = np.nonzero(np.bitwise_count(mine ^ theirs) <= radius)
-            if same and i == j:
-                keep = x < y
-                x, y = x[keep], y[keep]
-            for p, q in zip((x + i * INNER).tolist(), (y + j * INNER + shift).tolist()):
-                forest.join(p, q)
-    roots = np.fromiter(map(forest.root, range(len(both))), np.int64, len(both))
-    nodes = np.flatnonzero(roots != np.arange(len(both)))
-    return both[nodes], both[roots[nodes]]
+        if not len(near):
+            continue
+        start = i * INNER
+        theirs = halves[near].ravel()
+        x, y = np.nonzero(np.bitwise_count(half[start : start + INNER, None] ^ theirs) <= radius)
+        x, y = x + start, places[near].ravel()[y]
+        keep = y < len(b)
+        if same:
+            keep &= x < y
+        x, y = x[keep], y[keep]
+        linked = np.bitwise_count(a[x] ^ b[y]) <= radius
+        labels.join(x[linked], y[linked] + shift)
+    nodes = np.flatnonzero(labels.of != np.arange(len(both)))
+    return both[nodes], both[labels.of[nodes]]
 
 
 def _tiles(distinct: DataFrame, tile: int) -> DataFrame:

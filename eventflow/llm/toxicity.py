@@ -60,7 +60,7 @@ def _packed(at: np.ndarray, values: np.ndarray) -> bytes:
     return np.rec.fromarrays([at, values], dtype=PAIR).tobytes()
 
 
-def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(data) -> tuple[np.ndarray, np.ndarray]:
     pairs = np.frombuffer(data, PAIR)
     return pairs["at"], pairs["value"]
 
@@ -95,10 +95,10 @@ def fit_toxicity(sample: DataFrame, strength: float = COUNTERFACTUAL) -> np.ndar
 
     found = sample.select("doc_id", "text", "label").mapInPandas(
         positions, "doc_id long, label int, vector binary, change binary"
-    )
+    ).toArrow().sort_by("doc_id")
     rows = [
-        (_unpacked(r.vector), None if r.change is None else _unpacked(r.change), float(r.label))
-        for r in sorted(found.toLocalIterator(), key=lambda r: r.doc_id)
+        (_unpacked(vector.as_buffer()), _unpacked(change.as_buffer()) if change.is_valid else None, float(label.as_py()))
+        for label, vector, change in zip(found["label"], found["vector"], found["change"])
     ]
     return fitted(rows, strength)
 

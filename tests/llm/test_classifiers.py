@@ -49,7 +49,7 @@ def test_without_labels_every_score_is_even(spark):
 
 
 def test_sample_is_bounded_and_ids_count_once(spark):
-    docs = documents(spark, [f"t{k}" for k in range(50)])
+    docs = documents(spark, [f"t{k}" for k in range(50)] + ["again"] * 30, [*range(50)] + [3] * 30)
     labels = spark.createDataFrame([(k, k % 2) for k in range(50)] * 2, "doc_id long, quality int")
     rows = quality.labelled_sample(docs, labels, "quality", F.col("doc_id") < 40, most_rows=10).collect()
     assert len(rows) == 10 and len({r.doc_id for r in rows}) == 10 and all(r.doc_id < 40 for r in rows)
