@@ -38,7 +38,7 @@ def frequent_candidates(digests: DataFrame) -> DataFrame:
         digests.select("digest", (F.spark_partition_id() % MERGES).alias("part"))
         .groupBy("part").agg(F.expr(f"approx_top_k_accumulate(digest, {COUNTERS})").alias("sketch"))
         # Grouped, since a task without rows would add a sketch without type, which cannot be merged.
-        .groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"))
+        .withColumn("all", F.lit(0)).groupBy("all").agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"))
         .select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {SUPPORT})")).alias("found"))
         .select(F.col("found.item").alias("digest"))
     )
