@@ -133,9 +133,10 @@ def pack(
     tasks = max(1, -(-rest.count() // pieces))
 
     def place(batches):
-        held = pa.Table.from_batches(list(batches))
-        if not held.num_rows:
+        found = list(batches)
+        if not sum(b.num_rows for b in found):
             return
+        held = pa.Table.from_batches(found)
         placed = best_fit(held["length"].to_pylist(), window)
         base = TaskContext.get().partitionId() << 33
         out = held.append_column("sequence_id", pa.array([2 * (base + s) + 1 for s, _ in placed], pa.int64()))
