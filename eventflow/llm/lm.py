@@ -21,7 +21,7 @@ END = b"\n"
 # Training documents of the start that all tasks go on from, and passes over them.
 START_DOCUMENTS, START_PASSES = 512, 4
 # Distinct words that a task holds before it hands their counts on.
-HELD = 200_000
+HELD = 500_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -79,7 +79,7 @@ def read_corpus(docs: DataFrame, training: Column, frequent: int = FREQUENT) ->
             break
         least, listed = row["size"], listed + row["count"]
     chosen = [] if least is None else [
-        (bytes(r.word), r["count"]) for r in counts.where(size >= least).toLocalIterator()
+        (bytes(r.word), r["count"]) for r in counts.where(size >= least).collect()
     ]
     chosen.sort(key=lambda x: (-x[1], x[0]))
     return Corpus(counts, int(sums.tokens or 0), int(sums.words), chosen)
@@ -120,7 +120,7 @@ def fit(docs: DataFrame, training: Column, corpus: Corpus) -> LanguageModel:
     weights = recurrent.initial(counts, rare_tokens)
     rows = docs.where(training).select("doc_id", text_or_empty().alias("text"))
     first = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(START_DOCUMENTS)
-    start = rows.join(F.broadcast(first), "doc_id").repartition(1)
+    start = rows.join(F.broadcast(first), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).repartition(1)
     weights = _trained(start, weights, vocabulary, START_PASSES)
     weights = _trained(rows, weights, vocabulary, 1)
     return LanguageModel(vocabulary, weights, rare_tokens, corpus.words - len(counts) + (ends == 0))
@@ -184,53 +184,66 @@ def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
     document and word, are joined with the counts.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.vocabulary, model.weights, dict(corpus.frequent)))
+    # One number for each frequent word, those of the vocabulary first and in its order.
+    number = dict(model.vocabulary)
+    for word, _ in corpus.frequent:
+        number.setdefault(word, len(number))
+    counts = dict(corpus.frequent)
+    logs = np.array([np.log10(counts[w] + SMOOTHING) if w in counts else np.nan for w in number])
+    shared = spark.sparkContext.broadcast((number, logs, model.weights, len(model.vocabulary)))
     base_sum = np.log10(corpus.tokens + SMOOTHING * (corpus.words + 1))
     rare_sum = np.log10(model.rare_tokens + SMOOTHING * (model.rare_words + 1))
-    schema = "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, word binary, times long"
+    schema = (
+        "row long, doc_id long, n_tokens long, n_known long, base_score double, score double, "
+        "words array<binary>, times array<long>"
+    )
 
     def parts(batches):
         single_threaded()
-        known, weights, counts = shared.value
-        logs = {w: float(np.log10(c + SMOOTHING)) for w, c in counts.items()}
+        number, logs, weights, known = shared.value
+        find = number.get
 
         def rows(some):
-            positions, out = [], []
+            positions, out, sizes = [], [], [0]
+            flat, times = [], []
             for row, doc_id, text in some:
                 words = words_of(text)
-                at = np.array([known.get(w, len(known)) for w in words] + [recurrent.END], np.int32)
-                positions.append(at)
-                base, rare, seen, others = logs.get(END, 0.0) - base_sum, 0.0, 1 if END in logs else 0, Counter()
-                if END not in logs:
-                    others[END] += 1
-                    base = 0.0
-                for word in words:
-                    value = logs.get(word)
-                    if value is None:
-                        others[word] += 1
-                    else:
-                        seen += 1
-                        base += value - base_sum
-                        if word not in known:
-                            rare += value - rare_sum
-                out.append([row, doc_id, len(at), seen, base, rare, others])
-            found = recurrent.score_texts(positions, weights) / np.log(10)
-            columns = [[] for _ in range(8)]
-            for (row, doc_id, n, seen, base, rare, others), own in zip(out, found):
-                values = [(row, doc_id, n, seen, base, rare + own, None, None)]
-                values += [(row, None, None, None, None, None, w, k) for w, k in others.items()]
-                for column, value in zip(columns, zip(*values)):
-                    column += value
-            types = [pa.int64()] * 4 + [pa.float64()] * 2 + [pa.binary(), pa.int64()]
+                words.append(END)
+                at = np.array([find(w, -1) for w in words], np.int32)
+                listed = at >= 0
+                value = logs[at[listed]]
+                # The end may be in the vocabulary without being frequent.
+                counted = ~np.isnan(value)
+                in_model = (at >= 0) & (at < known)
+                positions.append(np.where(in_model, at, known))
+                rare = logs[at[listed & ~in_model]]
+                left = np.flatnonzero(~listed).tolist()
+                others = Counter(words[k] for k in left)
+                if not counted.all():
+                    others[END] += int((~counted).sum())
+                flat += others
+                times += others.values()
+                sizes.append(len(flat))
+                base = float(value[counted].sum()) - int(counted.sum()) * base_sum
+                out.append((row, doc_id, len(words), int(counted.sum()), base, float(rare.sum()) - len(rare) * rare_sum))
+            scores = recurrent.score_texts(positions, weights) / np.log(10)
+            columns = list(zip(*out))
+            offsets = pa.array(sizes, pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], [c.split()[0] for c in schema.split(", ")]
+                [
+                    *[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.float64()),
+                    pa.array(np.array(columns[5]) + scores),
+                    pa.ListArray.from_arrays(offsets, pa.array(flat, pa.binary())),
+                    pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+                ],
+                [c.split()[0] for c in schema.split(", ")],
             )
 
         some, size = [], 0
         for row in rows_of(batches, ["row", "doc_id", "text"]):
             some.append(row)
             size += len(row[2])
-            if len(some) >= 1024 or size >= 1 << 22:
+            if len(some) >= 4096 or size >= 1 << 24:
                 yield rows(some)
                 some, size = [], 0
         if some:
@@ -238,7 +251,10 @@ def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
 
     given = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_or_empty().alias("text"))
     found = stored(given.mapInArrow(parts, schema), "scores")
-    others = found.where(F.col("word").isNotNull()).select("row", "word", "times").join(corpus.counts, "word", "left")
+    each = found.select("row", F.explode(F.arrays_zip("words", "times")).alias("pair"))
+    others = each.select("row", F.col("pair.words").alias("word"), F.col("pair.times").alias("times")).join(
+        corpus.counts, "word", "left"
+    )
     value = F.log10(F.coalesce("count", F.lit(0)) + SMOOTHING) * F.col("times")
     outside = F.col("word") != F.lit(END)
     more = others.groupBy("row").agg(
@@ -246,7 +262,7 @@ def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
         F.sum(value - F.col("times") * F.lit(float(base_sum))).alias("more_base"),
         F.sum(F.when(outside, value - F.col("times") * F.lit(float(rare_sum))).otherwise(0.0)).alias("more_score"),
     )
-    whole = found.where(F.col("word").isNull()).drop("word", "times").join(more, "row", "left")
+    whole = found.drop("words", "times").join(more, "row", "left")
     none = F.lit(0)
     return whole.select(
         "doc_id", "n_tokens", (F.col("n_known") + F.coalesce("more_known", none)).alias("n_known"),

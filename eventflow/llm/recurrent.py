@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 
 # Words of the vocabulary and of one class; sizes of inputs and state.
-WORDS = 2048
-CLASS = 64
-INPUTS, STATE = 16, 16
+WORDS = 1024
+CLASS = 32
+INPUTS, STATE = 12, 12
 # Steps through which gradients flow back, and streams that are trained side by side.
-STEPS, STREAMS = 24, 192
+STEPS, STREAMS = 24, 512
 RATE = 0.004
 # Position of the end of a text in the vocabulary.
 END = 0
@@ -82,6 +82,16 @@ def _step(given: np.ndarray, state: np.ndarray, recurrent: np.ndarray):
     return update, reset, candidate, moved, candidate + update * (state - candidate)
 
 
+def _limits(weights: dict[str, np.ndarray]) -> bool:
+    """Whether no score can be too large to be raised without taking the maximum off first.
+
+    States lie between -1 and 1, so a score is at most its weights' sum and its bias.
+    """
+    by_class = np.abs(weights["classes"]).sum(axis=0) + weights["class_bias"]
+    by_word = np.abs(weights["words"]).sum(axis=2) + weights["word_bias"]
+    return max(float(by_class.max()), float(by_word.max())) < 40
+
+
 def _segments(classes: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
     """An order that puts equal classes together, and where each of them begins."""
     order = np.argsort(classes, kind="stable")
@@ -92,21 +102,31 @@ def log_probabilities(states: np.ndarray, targets: np.ndarray, weights: dict[str
     """Natural logarithms of the targets' probabilities; for a rare word, of being one."""
     rare = len(weights["inputs"]) - 1
     number = len(weights["words"])
+    small = _limits(weights)
     classes = np.where(targets == rare, number, targets // CLASS)
-    scores = states @ weights["classes"] + weights["class_bias"]
-    scores -= scores.max(axis=1, keepdims=True)
-    out = scores[np.arange(len(targets)), classes] - np.log(np.exp(scores).sum(axis=1))
+    scores = states @ weights["classes"]
+    scores += weights["class_bias"]
+    out = _picked(scores, classes, small)
     order, starts = _segments(classes, number)
     for k in range(number):
         mine = order[starts[k] : starts[k + 1]]
         if len(mine):
-            inner = states[mine] @ weights["words"][k].T + weights["word_bias"][k]
-            inner -= inner.max(axis=1, keepdims=True)
-            out[mine] += inner[np.arange(len(mine)), targets[mine] % CLASS] - np.log(np.exp(inner).sum(axis=1))
+            inner = states[mine] @ weights["words"][k].T
+            inner += weights["word_bias"][k]
+            out[mine] += _picked(inner, targets[mine] % CLASS, small)
     return out
 
 
-def score_texts(texts: list[np.ndarray], weights: dict[str, np.ndarray], side_by_side: int = 512) -> np.ndarray:
+def _picked(scores: np.ndarray, which: np.ndarray, small: bool) -> np.ndarray:
+    """The logarithm of each row's normalised score at the place picked. Overwrites the scores."""
+    if not small:
+        scores -= scores.max(axis=1, keepdims=True)
+    picked = scores[np.arange(len(which)), which]
+    np.exp(scores, out=scores)
+    return picked - np.log(scores @ np.ones(scores.shape[1], scores.dtype))
+
+
+def score_texts(texts: list[np.ndarray], weights: dict[str, np.ndarray], side_by_side: int = 2048) -> np.ndarray:
     """Natural log-likelihood of each whole sequence of word positions, each ended by ``END``.
 
     Texts of similar length go through side by side. The state is carried from window to
@@ -219,10 +239,8 @@ class Trainer:
         w = self.weights
         n, number, rare = max(1, len(targets)), len(w["words"]), len(w["inputs"]) - 1
         classes = np.where(targets == rare, number, targets // CLASS)
-        scores = states @ w["classes"] + w["class_bias"]
-        scores -= scores.max(axis=1, keepdims=True)
-        np.exp(scores, out=scores)
-        scores /= scores.sum(axis=1, keepdims=True)
+        small = _limits(w)
+        scores = self._shares(states, w["classes"], w["class_bias"], small)
         here = np.arange(len(targets))
         gained = float(np.log(np.maximum(scores[here, classes], 1e-30)).sum())
         scores[here, classes] -= 1
@@ -234,10 +252,7 @@ class Trainer:
             mine = order[starts[k] : starts[k + 1]]
             if len(mine):
                 own = states[mine]
-                inner = own @ w["words"][k].T + w["word_bias"][k]
-                inner -= inner.max(axis=1, keepdims=True)
-                np.exp(inner, out=inner)
-                inner /= inner.sum(axis=1, keepdims=True)
+                inner = self._shares(own, w["words"][k].T, w["word_bias"][k], small)
                 places = np.arange(len(mine)), targets[mine] % CLASS
                 gained += float(np.log(np.maximum(inner[places], 1e-30)).sum())
                 inner[places] -= 1
@@ -249,6 +264,16 @@ class Trainer:
             "classes": states.T @ scores, "class_bias": scores.sum(axis=0), "words": d_words, "word_bias": d_word_bias,
         }, d_states, gained
 
+    @staticmethod
+    def _shares(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, small: bool) -> np.ndarray:
+        scores = states @ weights
+        scores += bias
+        if not small:
+            scores -= scores.max(axis=1, keepdims=True)
+        np.exp(scores, out=scores)
+        scores *= (1 / (scores @ np.ones(scores.shape[1], scores.dtype)))[:, None]
+        return scores
+
     def _apply(self, gradients: dict[str, np.ndarray]) -> None:
         self.count += 1
         length = np.sqrt(sum(float(np.vdot(g, g)) for g in gradients.values()))
