@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.llm.common import single_threaded, text_or_empty
-from eventflow.llm.features import BITS, word_beginnings
+from eventflow.llm.features import word_beginnings
 from eventflow.llm.quality import Leader, with_bias
 
 PASSES = 5
