@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The characters that count as blanks at either end of a text (ASCII blanks and
 # separators, next line, no-break space, and the Unicode space characters), the key of a
@@ -66,6 +69,18 @@ def escaped_line(*columns: Column, sep: str = ",") -> Column:
     return F.concat_ws(sep, *map(field, columns))
 
 
+def escaped_row(rows: DataFrame, names: Sequence[str] | None = None, sep: str = ",") -> Column:
+    """``escaped_line`` of columns of a table; numbers and times have nothing to escape."""
+    plain = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+    def field(name: str) -> Column:
+        if isinstance(rows.schema[name].dataType, plain):
+            return F.coalesce(F.col(name).cast("string"), F.lit("\\N"))
+        return escaped_line(F.col(name), sep=sep)
+
+    return F.concat_ws(sep, *map(field, names or rows.columns))
+
+
 def message(key: Column, sequence: Column) -> Column:
     """The message form of an event: ``key:sequence``."""
     return F.concat(key, F.lit(SEPARATOR), sequence.cast("string"))

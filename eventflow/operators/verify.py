@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventflow.functions.text import escaped_line
+from eventflow.functions.text import escaped_row
 from eventflow.operators.filters import data_lines
 
 # Hexadecimal digits of a digest that are summed as one number, which fits into a bigint.
@@ -36,8 +36,7 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     Columns are taken by their text form; nulls, empty texts and separators inside a value
     all differ from each other.
     """
-    line = escaped_line(*[F.col(c) for c in columns or df.columns])
-    return _summed(df.select(F.md5(line).alias("hash")), 32)
+    return _summed(df.select(F.md5(escaped_row(df, columns)).alias("hash")), 32)
 
 
 def _summed(hashes: DataFrame, length: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventflow import schemas
 from eventflow.functions.numbers import cents, epoch_micros
-from eventflow.functions.text import escaped_line, event_key, event_sequence, render_line, scenario_id
+from eventflow.functions.text import escaped_row, event_key, event_sequence, render_line, scenario_id
 from eventflow.operators.filters import bad_integers, select_runs
 from eventflow.operators.running import nth_event, running_counts
 from eventflow.operators.runs import add_metrics, roll_up, summary_lines
@@ -432,7 +432,7 @@ def digest_check(spark, sf_dir):
 def table_digest(spark, sf_dir):
     """VER-1 for tables of any size."""
     table = _lineitem_columns(spark, sf_dir)
-    return multiset_digest(table.select(escaped_line(*[F.col(c) for c in table.columns]).alias("value")))
+    return multiset_digest(table.select(escaped_row(table).alias("value")))
 
 
 @query
