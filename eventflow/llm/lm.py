@@ -105,12 +105,13 @@ def _positions(text: str, vocabulary: dict[bytes, int]) -> np.ndarray:
 def fit(docs: DataFrame, training: Column, corpus: Corpus) -> LanguageModel:
     """The recurrent model, trained on all documents for which ``training`` holds.
 
-    The vocabulary are the most frequent words; others are one class, in which their
+    The vocabulary are the most frequent words, more of them the more distinct words the
+    corpus has, as far as they are listed as frequent; others are one class, in which their
     smoothed counts tell them apart. One task trains a start on a bounded number of
     documents. From there each task trains on all of its own documents, and the weights are
     averaged by tokens with partial aggregation: what comes to the driver is one set.
     """
-    known = [(w, c) for w, c in corpus.frequent if w != END][: recurrent.WORDS - 1]
+    known = [(w, c) for w, c in corpus.frequent if w != END][: recurrent.vocabulary_size(corpus.words) - 1]
     ends = next((c for w, c in corpus.frequent if w == END), 0)
     if not ends and corpus.tokens:
         ends = corpus.counts.where(F.col("word") == F.lit(END)).first()["count"]

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
 
-# Words of the vocabulary and of one class; sizes of inputs and state.
-WORDS = 1024
-CLASS = 32
-INPUTS, STATE = 12, 12
+# Least words of the vocabulary, which grows by one for so many distinct words; least words of a class.
+WORDS, DISTINCT = 2048, 128
+CLASS = 64
+# Sizes of inputs and state.
+INPUTS, STATE = 16, 16
 # Steps through which gradients flow back, and streams that are trained side by side.
-STEPS, STREAMS = 24, 512
+STEPS, STREAMS = 24, 192
 RATE = 0.004
 # Position of the end of a text in the vocabulary.
 END = 0
@@ -24,9 +26,19 @@ class Shape:
 
     words: int
 
+    @property
+    def size(self) -> int:
+        """Words of a class: about as many as there are classes, so that neither sum outgrows the other."""
+        return max(CLASS, math.isqrt(max(0, self.words - 1)) + 1)
+
     @property
     def classes(self) -> int:
-        return -(-self.words // CLASS)
+        return -(-self.words // self.size)
+
+
+def vocabulary_size(distinct: int) -> int:
+    """Words that the model of a corpus of so many distinct words tells apart."""
+    return max(WORDS, distinct // DISTINCT)
 
 
 def initial(counts: np.ndarray, rare: float, seed: int = 7) -> dict[str, np.ndarray]:
@@ -35,9 +47,9 @@ def initial(counts: np.ndarray, rare: float, seed: int = 7) -> dict[str, np.ndar
     ``counts``: of the words of the vocabulary, in its order; ``rare``: of all other tokens.
     """
     shape, random = Shape(len(counts)), np.random.default_rng(seed)
-    padded = np.zeros(shape.classes * CLASS)
+    padded = np.zeros(shape.classes * shape.size)
     padded[: len(counts)] = counts + 0.1
-    by_class = padded.reshape(shape.classes, CLASS)
+    by_class = padded.reshape(shape.classes, shape.size)
     mass = np.append(by_class.sum(axis=1), rare + 0.1)
     words = np.where(by_class > 0, np.log(np.maximum(by_class, 1e-9) / by_class.sum(axis=1, keepdims=True)), FLOOR)
 
@@ -51,7 +63,7 @@ def initial(counts: np.ndarray, rare: float, seed: int = 7) -> dict[str, np.ndar
         "bias": np.zeros(3 * STATE, np.float32),
         "classes": matrix(STATE, shape.classes + 1, scale=0.1),
         "class_bias": np.log(mass / mass.sum()).astype(np.float32),
-        "words": matrix(shape.classes, CLASS, STATE, scale=0.1),
+        "words": matrix(shape.classes, shape.size, STATE, scale=0.1),
         "word_bias": words.astype(np.float32),
     }
 
@@ -101,9 +113,9 @@ def _segments(classes: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]
 def log_probabilities(states: np.ndarray, targets: np.ndarray, weights: dict[str, np.ndarray]) -> np.ndarray:
     """Natural logarithms of the targets' probabilities; for a rare word, of being one."""
     rare = len(weights["inputs"]) - 1
-    number = len(weights["words"])
+    number, size = weights["word_bias"].shape
     small = _limits(weights)
-    classes = np.where(targets == rare, number, targets // CLASS)
+    classes = np.where(targets == rare, number, targets // size)
     scores = states @ weights["classes"]
     scores += weights["class_bias"]
     out = _picked(scores, classes, small)
@@ -113,7 +125,7 @@ def log_probabilities(states: np.ndarray, targets: np.ndarray, weights: dict[str
         if len(mine):
             inner = states[mine] @ weights["words"][k].T
             inner += weights["word_bias"][k]
-            out[mine] += _picked(inner, targets[mine] % CLASS, small)
+            out[mine] += _picked(inner, targets[mine] % size, small)
     return out
 
 
@@ -237,8 +249,8 @@ class Trainer:
     def _output(self, states: np.ndarray, targets: np.ndarray) -> tuple[dict, np.ndarray, float]:
         """Gradients of the mean loss by the output weights and the states; the sum of log-likelihoods."""
         w = self.weights
-        n, number, rare = max(1, len(targets)), len(w["words"]), len(w["inputs"]) - 1
-        classes = np.where(targets == rare, number, targets // CLASS)
+        n, (number, size), rare = max(1, len(targets)), w["word_bias"].shape, len(w["inputs"]) - 1
+        classes = np.where(targets == rare, number, targets // size)
         small = _limits(w)
         scores = self._shares(states, w["classes"], w["class_bias"], small)
         here = np.arange(len(targets))
@@ -253,7 +265,7 @@ class Trainer:
             if len(mine):
                 own = states[mine]
                 inner = self._shares(own, w["words"][k].T, w["word_bias"][k], small)
-                places = np.arange(len(mine)), targets[mine] % CLASS
+                places = np.arange(len(mine)), targets[mine] % size
                 gained += float(np.log(np.maximum(inner[places], 1e-30)).sum())
                 inner[places] -= 1
                 inner /= n

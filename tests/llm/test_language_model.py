@@ -69,6 +69,25 @@ def test_training_helps():
     assert last > first + 0.5
 
 
+def test_vocabulary_grows_with_the_corpus(spark):
+    texts = [" ".join(f"w{k}" for k in range(start, start + 1000)) for start in range(0, 300_000, 1000)]
+    docs = documents(spark, texts)
+    corpus = lm.read_corpus(docs, F.lit(True), frequent=1 << 19)
+    first = documents(spark, texts[:1])
+    sizes = [len(lm.fit(first, F.lit(True), c).vocabulary) for c in (lm.read_corpus(first, F.lit(True)), corpus)]
+    assert sizes == [1001, 300_001 // recurrent.DISTINCT]
+    assert recurrent.vocabulary_size(0) == recurrent.WORDS >= 2048 and recurrent.CLASS >= 64
+    assert min(recurrent.INPUTS, recurrent.STATE) >= 16
+
+
+def test_classes_grow_with_the_vocabulary():
+    weights = small_weights(5000)
+    assert weights["words"].shape[:2] == (71, 71)
+    state = np.random.default_rng(1).normal(size=(1, recurrent.STATE)).astype(np.float32)
+    logs = recurrent.log_probabilities(np.repeat(state, 5001, axis=0), np.arange(5001), weights)
+    assert np.exp(logs).sum() == pytest.approx(1, abs=1e-3)
+
+
 def slow(texts, ids, held):
     words = [(t or "").encode().lower().split() + [b"\n"] for t in texts]
     counts = Counter(w for i, ws in zip(ids, words) if i not in held for w in ws)
