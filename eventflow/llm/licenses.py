@@ -15,6 +15,8 @@ SENTENCES = {
     "licensed under the apache license version 2.0 the license": "apache2-ref",
     "apache license": "apache-title",
     "version 2.0 january 2004": "apache2-date",
+    "licensed under the apache license 2.0": "apache2-ref",
+    "licensed under the apache 2.0 license": "apache2-ref",
     "you may not use this file except in compliance with the license": "apache2-comply",
     "you may obtain a copy of the license at": "apache2-obtain",
     "released under the mit license": "mit-ref",
@@ -39,12 +41,25 @@ SENTENCES = {
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
     "either version 3 of the license or at your option any later version": "gpl3-later",
     "either version 2 of the license or at your option any later version": "gpl2-later",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl3-terms-later",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl2-terms-later",
+    "licensed under the gnu general public license v3.0": "gpl3-ref",
+    "licensed under the gnu general public license v2.0": "gpl2-ref",
     "licensed under cc by nc 4.0": "cc-by-nc4-ref",
     "licensed under cc by 4.0": "cc-by4-ref",
     "licensed under cc by sa 4.0": "cc-by-sa4-ref",
     "licensed under cc0 1.0": "cc0-ref",
     "this work is licensed under a creative commons attribution 4.0 international license": "cc-by4-ref",
     "this work is licensed under a creative commons attribution noncommercial 4.0 international license": "cc-by-nc4-ref",
+    "licensed under a creative commons attribution 4.0 international license": "cc-by4-ref",
+    "licensed under the creative commons attribution 4.0 international license": "cc-by4-ref",
+    "licensed under a creative commons attribution noncommercial 4.0 international license": "cc-by-nc4-ref",
+    "licensed under the creative commons attribution noncommercial 4.0 international license": "cc-by-nc4-ref",
+    "licensed under a creative commons attribution sharealike 4.0 international license": "cc-by-sa4-ref",
+    "licensed under the creative commons attribution sharealike 4.0 international license": "cc-by-sa4-ref",
+    "this source code form is subject to the terms of the mozilla public license v. 2.0": "mpl2-ref",
+    "licensed under the mozilla public license 2.0": "mpl2-ref",
+    "licensed under the mozilla public license v. 2.0": "mpl2-ref",
     "this source code form is subject to the terms of the mozilla public license v 2.0": "mpl2-ref",
     "licensed under the mozilla public license version 2.0": "mpl2-ref",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
@@ -56,6 +71,10 @@ RULES = [
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("MIT", ["mit-grant", "mit-notice"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl-terms", "gpl3-later"]),
+    ("GPL-3.0-or-later", ["gpl-free", "gpl3-terms-later"]),
+    ("GPL-3.0-or-later", ["gpl3-terms-later"]),
+    ("GPL-2.0-or-later", ["gpl-free", "gpl2-terms-later"]),
+    ("GPL-2.0-or-later", ["gpl2-terms-later"]),
     ("GPL-2.0-or-later", ["gpl-free", "gpl-terms", "gpl2-later"]),
     ("GPL-3.0", ["gpl-title", "gpl3-date"]),
     ("GPL-2.0", ["gpl-title", "gpl2-date"]),
@@ -77,6 +96,9 @@ RULES = [
 TRIGGERS = "(?i)licen|redistribut|permission|software|january|june"
 
 MARK = "\x01"
+# How a sentence may say what is licensed, and where more is to be read.
+SAID = "^(?:(?:this|the) [a-z]+ is )?(?:licensed|released|distributed) under (?:the terms of )?"
+SEE = " (?:please )?see (?:the )?(?:file )?licen[cs]e[a-z0-9. ]*$"
 
 
 def normalise(sentence: Column) -> Column:
@@ -85,12 +107,18 @@ def normalise(sentence: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(lower, "[^a-z0-9.]+", " "), "^[ .]+|[ .]+$", "")
 
 
+def plain(normalised: Column) -> Column:
+    """A reference to a licence without what is licensed and where to read more."""
+    return F.regexp_replace(F.regexp_replace(normalised, SAID, "licensed under "), SEE, "")
+
+
 def sentences(text: Column) -> Column:
     """Sentences in their order. One over several lines is followed by its lines.
 
-    A sentence ends with a stop and white space, or with an empty line.
+    A sentence ends with a stop and white space, or with an empty line; the stop of "v." or
+    "ver." before a number ends none.
     """
-    ended = F.regexp_replace(text, r"([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n", "$1" + MARK)
+    ended = F.regexp_replace(text, r"((?<!\b[vV]|\b[vV]er)\.|\.(?![\x20\x09-\x0D]+[0-9])|[!?;:])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n", "$1" + MARK)
     return F.flatten(F.transform(
         F.split(ended, MARK), lambda s: F.when(s.contains("\n"), F.concat(F.array(s), F.split(s, "\n"))).otherwise(F.array(s))
     ))
@@ -115,8 +143,12 @@ def scan(docs: DataFrame) -> DataFrame:
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
     may = text.rlike(TRIGGERS)
     none = F.array().cast("array<string>")
+
+    def look_up(sentence: Column) -> Column:
+        return F.coalesce(F.try_element_at(known, sentence), F.try_element_at(known, plain(sentence)))
+
     found = F.when(
-        may, F.filter(F.transform(sentences(text), lambda s: F.try_element_at(known, normalise(s))), lambda x: x.isNotNull())
+        may, F.filter(F.transform(F.transform(sentences(text), normalise), look_up), lambda x: x.isNotNull())
     ).otherwise(none)
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(pattern(r)).alias("pattern")) for name, r in RULES])
     start = F.struct(

@@ -45,6 +45,59 @@ def test_rules(spark, text, names):
     assert scan(documents(spark, [text])).first().licenses == names
 
 
+NOTICES = {
+    "MPL-2.0": """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */""",
+    "GPL-3.0-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,""",
+    "GPL-2.0-or-later": """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.""",
+    "GPL-3.0": """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>""",
+    "GPL-2.0": """                    GNU GENERAL PUBLIC LICENSE
+                       Version 2, June 1991
+
+ Copyright (C) 1989, 1991 Free Software Foundation, Inc.,""",
+    "Apache-2.0": """   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0""",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy,",
+}
+PHRASES = {
+    "This project is licensed under the MIT License - see the [LICENSE.md](LICENSE.md) file for details.": ["MIT"],
+    "This project is licensed under the MIT License": ["MIT"],
+    "Distributed under the MIT License. See `LICENSE.txt` for more information.": ["MIT"],
+    "This project is licensed under the Apache License, Version 2.0.": ["Apache-2.0"],
+    "This software is licensed under the Apache License 2.0.": ["Apache-2.0"],
+    "This work is licensed under CC BY-SA 4.0. To view a copy, visit the site.": ["CC-BY-SA-4.0"],
+    "Set to level v. Released under the MIT License.": ["MIT"],
+    "This project is not licensed under the MIT License.": [],
+}
+
+
+def test_standard_notices_as_they_are(spark):
+    names = [*NOTICES, *PHRASES.values()]
+    rows = scan(documents(spark, [*NOTICES.values(), *PHRASES])).orderBy("doc_id").collect()
+    assert [r.licenses for r in rows] == [n if isinstance(n, list) else [n] for n in names]
+
+
 def test_edges_and_repeated_rows(spark):
     rows = scan(documents(spark, EDGES + ["MIT License"] * 2, [*range(len(EDGES)), 70, 70])).collect()
     assert [r.licenses for r in rows] == [[]] * len(EDGES) + [["MIT"], ["MIT"]]
