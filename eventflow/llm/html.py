@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from html import unescape
 
@@ -37,6 +38,10 @@ MARKS = frozenset(
     "pager pagination popup promo promotion recommended related reply respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe subscription toolbar widget complementary contentinfo".split()
 )
+# Before a mark, words by which a name says only what an element has or lacks.
+MODIFIERS = frozenset("has have with without no not non is hide show".split())
+# Marks of what may well be longer than the article itself.
+TALK = frozenset("comment comments disqus reply respond related recommended".split())
 # Frequent function words of four languages.
 STOP = frozenset(
     "a about after all also an and any are as at be because been but by can could did do for from had has have he her his "
@@ -65,26 +70,97 @@ QUOTED = re.compile(r"[^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+>")
 GOOD, BAD, OPEN = 1, 0, None
 
 
-def _marked(attributes: str) -> bool:
-    """Whether names or the like say that an element is not part of an article."""
+def _hidden(attributes: str) -> bool:
+    """Whether an element is not shown."""
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), (a or b or c).lower()
         if key == "hidden" or (key == "aria-hidden" and value == "true"):
             return True
         if key == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if key in ("class", "id", "role") and not MARKS.isdisjoint(PARTS.split(value)):
-            return True
     return False
 
 
+def _marks(attributes: str) -> set[str]:
+    """The marks in an element's names, which say that it may not be part of an article."""
+    found = set()
+    for key, a, b, c in ATTRIBUTE.findall(attributes):
+        if key.lower() in ("class", "id", "role"):
+            for name in (a or b or c).lower().split():
+                for part in PARTS.split(name):
+                    if part in MODIFIERS:
+                        break
+                    if part in MARKS:
+                        found.add(part)
+    return found
+
+
 class Block:
     """Text between two block boundaries, with what is known of its surroundings."""
 
-    __slots__ = ("text", "linked", "inside", "around", "heading")
+    __slots__ = ("text", "linked", "inside", "around", "heading", "named", "_density")
 
-    def __init__(self, text: str, linked: int, inside: bool, around: bool, heading: bool):
+    def __init__(self, text: str, linked: int, inside: bool, around: bool, heading: bool, named: int):
         self.text, self.linked, self.inside, self.around, self.heading = text, linked, inside, around, heading
+        self.named, self._density = named, None
+
+    @property
+    def density(self) -> float:
+        """The share of function words."""
+        if self._density is None:
+            words = [w.lower() for w in WORDS.findall(self.text)]
+            self._density = sum(w in STOP for w in words) / max(1, len(words))
+        return self._density
+
+
+class Named:
+    """An element whose names mark it as surroundings: the one around it (-1: none), its articles."""
+
+    __slots__ = ("outer", "talk", "articles")
+
+    def __init__(self, outer: int, talk: bool):
+        self.outer, self.talk, self.articles = outer, talk, 0
+
+
+def _settle(page: list[Block], named: list[Named], articles: int) -> None:
+    """Mark the blocks below named elements as surroundings, except below those that hold the page's article.
+
+    An element does if it holds an article and none is outside of named ones, or if it holds
+    more good text than there is outside; one of comments or the like, only if there is none
+    outside. Outer elements are settled first, then those with more good text.
+    """
+    own = [0] * (len(named) + 1)  # the last one: outside of all
+    for block in page:
+        good = block.linked <= LINKS * len(block.text) and (
+            block.inside or (len(block.text) >= SHORT and not block.heading and block.density >= STOP_LOW)
+        )
+        own[block.named] += len(block.text) * (good and not block.around)
+    whole, held = own[:-1], [n.articles for n in named]
+    inner: list[list[int]] = [[] for _ in range(len(named) + 1)]
+    for k in range(len(named) - 1, -1, -1):
+        outer = named[k].outer
+        inner[outer].append(k)
+        if outer >= 0:
+            whole[outer] += whole[k]
+            held[outer] += held[k]
+    clean, exempt = own[-1], [False] * len(named) + [True]
+    order = lambda k: (named[k].talk, not held[k], -whole[k], k)
+    heap = [(order(k), k) for k in inner[-1]]
+    heapq.heapify(heap)
+    while heap:
+        _, k = heapq.heappop(heap)
+        if named[k].talk:
+            holds = whole[k] > 0 and not clean
+        else:
+            holds = whole[k] > clean or (held[k] > 0 and not articles)
+        if holds:
+            exempt[k] = True
+            clean += own[k]
+            articles += named[k].articles
+            for m in inner[k]:
+                heapq.heappush(heap, (order(m), m))
+    for block in page:
+        block.around = block.around or not exempt[block.named]
 
 
 def blocks(html: str) -> list[Block]:
@@ -95,7 +171,9 @@ def blocks(html: str) -> list[Block]:
     the page ends with it. Something that looks like a tag without an end is text.
     """
     found: list[Block] = []
-    stack: list[tuple[str, bool]] = []
+    stack: list[tuple[str, bool, int]] = []
+    named: list[Named] = []
+    current, articles = -1, 0
     opened: dict[str, int] = {}
     depth = {"around": 0, "inside": 0, "silent": 0, "a": 0, "heading": 0}
     parts: list[str] = []
@@ -106,7 +184,7 @@ def blocks(html: str) -> list[Block]:
             text = " ".join(unescape("".join(parts)).split())
             if text:
                 links = len(" ".join(unescape("".join(linked)).split())) if linked else 0
-                found.append(Block(text, links, depth["inside"] > 0, depth["around"] > 0, depth["heading"] > 0))
+                found.append(Block(text, links, depth["inside"] > 0, depth["around"] > 0, depth["heading"] > 0, current))
             parts.clear()
             linked.clear()
 
@@ -173,7 +251,7 @@ def blocks(html: str) -> list[Block]:
         if closing:
             if opened.get(tag):
                 while stack:
-                    last, around = stack.pop()
+                    last, around, current = stack.pop()
                     opened[last] -= 1
                     count(last, around, -1)
                     if last == tag:
@@ -182,8 +260,12 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
         around = tag in AROUND or (tag == "header" and not depth["inside"])
-        if not around and attributes and tag not in ("html", "body"):
-            around = tag not in INSIDE and _marked(attributes) or tag in INSIDE and depth["inside"] > 0 and _marked(attributes)
+        marks: set[str] = set()
+        if not around and attributes and tag not in ("html", "body") and (tag not in INSIDE or depth["inside"] > 0):
+            around = _hidden(attributes)
+            marks = _marks(attributes)
+            if depth["inside"]:
+                marks = set() if tag in HEADINGS or tag in ("header", "hgroup") and marks <= {"header", "banner"} else marks - {"header"}
         if tag in RAW:
             lower = lower or html.lower()
             if len(lower) != len(html):  # lower case of another length: look for the end as it is written
@@ -196,11 +278,22 @@ def blocks(html: str) -> list[Block]:
             continue
         if tag == "p" and stack and stack[-1][0] == "p":
             opened["p"] -= 1
-            stack.pop()
-        stack.append((tag, around))
+            last, out, current = stack.pop()
+            count(last, out, -1)
+        stack.append((tag, around, current))
+        if marks:
+            named.append(Named(current, not TALK.isdisjoint(marks)))
+            current = len(named) - 1
+        elif tag in INSIDE and not around and not depth["around"]:
+            if current < 0:
+                articles += 1
+            else:
+                named[current].articles += 1
         opened[tag] = opened.get(tag, 0) + 1
         count(tag, around, 1)
     close_block()
+    if named:
+        _settle(found, named, articles)
     return found
 
 
@@ -217,11 +310,9 @@ def _first_pass(block: Block, framed: bool) -> int | None:
         return OPEN if block.inside and share < 1 else BAD
     if len(block.text) < SHORT or block.heading:
         return OPEN
-    words = [w.lower() for w in WORDS.findall(block.text)]
-    density = sum(w in STOP for w in words) / max(1, len(words))
-    if density >= STOP_HIGH:
+    if block.density >= STOP_HIGH:
         return GOOD
-    if density >= STOP_LOW:
+    if block.density >= STOP_LOW:
         return GOOD if len(block.text) >= LONG else OPEN
     return OPEN if block.inside else BAD
 

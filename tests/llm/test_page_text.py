@@ -38,6 +38,24 @@ def test_pages(html, text):
         assert main_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"<div class='content has-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div id='page' class='no-comments'><p>{LONG}</p></div>", LONG),
+    (f"<div class='layout-with-nav'><article><p>Short.</p></article></div>", "Short."),
+    (f"<div class='page share'><article><p>{LONG}</p></article></div><div class='comments'>{LONG * 3}</div>", LONG),
+    (f"<div class='sidebar-layout'><p>{LONG}</p><p>{LONG}</p><div class='ad'>{LONG}</div></div>", f"{LONG}\n\n{LONG}"),
+    (f"<article><header class='entry-header'><h1>T</h1></header><p>{LONG}</p></article>", f"T\n\n{LONG}"),
+    (f"<article><p>Short.</p><section class='comments'>{LONG * 3}</section></article>", "Short."),
+    (f"<div hidden><article>{LONG}</article></div><p>{LONG}</p>", LONG),
+])
+def test_names_of_wrappers(html, text):
+    assert [t.strip() for t in main_text(html).split("\n\n")] == text.split("\n\n")
+
+
+def test_nested_names_take_linear_time():
+    main_text("<div class=ad>x" * 40_000)
+
+
 def test_lists_of_links_go():
     links = "".join(f"<a href=/{k}>some words of a link {k}</a> " for k in range(20))
     assert main_text(f"<p>{LONG}</p><p>{links}</p><p>{LONG}</p>") == f"{LONG}\n\n{LONG}"
