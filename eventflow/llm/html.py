@@ -297,24 +297,37 @@ def blocks(html: str) -> list[Block]:
     return found
 
 
-def _first_pass(block: Block, framed: bool) -> int | None:
+def _listed(page: list[Block]) -> bool:
+    """Whether the page's language has a list of function words: whether its running text holds any number of them."""
+    told = [b for b in page if not b.around and not b.heading and b.linked <= LINKS * len(b.text)]
+    return sum(b.density * len(b.text) for b in told) >= STOP_LOW * sum(len(b.text) for b in told)
+
+
+def _first_pass(block: Block, framed: bool, listed: bool) -> int | None:
     """A block's own label, or None if it is too short or too plain to tell.
 
     ``framed``: the page marks its article. Then nothing outside of it is part of it, and
-    what is inside needs no function words to stay.
+    what is inside needs no function words to stay. ``listed``: the page's language has a
+    list of function words. If not, length and the share of links decide.
     """
     if block.around or (framed and not block.inside):
         return BAD
     share = block.linked / len(block.text)
     if share > LINKS:
         return OPEN if block.inside and share < 1 else BAD
-    if len(block.text) < SHORT or block.heading:
+    if block.heading:
+        return OPEN
+    if not framed and not listed:
+        # Scripts without blanks say as much in a third of the characters.
+        least = SHORT if block.text.isascii() or len(block.text.split()) * 12 > len(block.text) else SHORT // 3
+        return GOOD if len(block.text) >= least and share <= LINKS / 2 else OPEN
+    if len(block.text) < SHORT:
         return OPEN
     if block.density >= STOP_HIGH:
         return GOOD
     if block.density >= STOP_LOW:
         return GOOD if len(block.text) >= LONG else OPEN
-    return OPEN if block.inside else BAD
+    return OPEN
 
 
 def main_blocks(page: list[Block]) -> list[Block]:
@@ -326,7 +339,8 @@ def main_blocks(page: list[Block]) -> list[Block]:
     article's blocks are neighbours, and what has none is good.
     """
     framed = any(b.inside and not b.around for b in page)
-    labels = [_first_pass(b, framed) for b in page]
+    listed = framed or _listed(page)
+    labels = [_first_pass(b, framed, listed) for b in page]
     after: list[int | None] = [None] * len(page)
     nearest = None
     for k in range(len(page) - 1, -1, -1):

@@ -52,6 +52,20 @@ def test_names_of_wrappers(html, text):
     assert [t.strip() for t in main_text(html).split("\n\n")] == text.split("\n\n")
 
 
+RUSSIAN = "Учёные института опубликовали результаты многолетних наблюдений, которые подтверждают прежние выводы."
+CHINESE = "研究人员昨天公布了多年观测的结果,证实了此前关于该地区气候变化的结论,并将继续进行下一步工作。"
+CODE = "for (int k = 0; k < n; k++) { total[k] = values[k] * weights[k]; check(total[k], limits[k]); }"
+
+
+@pytest.mark.parametrize("html, text", [
+    (f"<nav><a>x</a></nav><p>{RUSSIAN}</p><p>{RUSSIAN}</p>", f"{RUSSIAN}\n\n{RUSSIAN}"),
+    (f"<p>{CHINESE}</p><p><a>{CHINESE}</a></p>", CHINESE),
+    (f"<p>{LONG}</p><pre>{CODE}</pre><p>{LONG}</p>", f"{LONG}\n\n{CODE}\n\n{LONG}"),
+])
+def test_unframed_text_without_function_words(html, text):
+    assert main_text(html.replace("k < n", "k &lt; n")) == text
+
+
 def test_nested_names_take_linear_time():
     main_text("<div class=ad>x" * 40_000)
 
