@@ -44,6 +44,37 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+OP11_LEXICAL_SEARCH = r"""
+WITH words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, * FROM documents)
+), item_words AS (
+  SELECT item, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS item, * FROM benchmark)
+), asked AS (SELECT item, item_id, term, count(*) AS times FROM item_words GROUP BY ALL
+), lengths AS (SELECT r, count(*) AS n FROM words GROUP BY r
+), totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths
+), counted AS (
+  SELECT r, doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, totals GROUP BY term, docs
+), worth AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))) AS v
+  FROM counted JOIN lengths USING (r) JOIN weights USING (term), totals
+), scores AS (
+  SELECT item, item_id, r, doc_id, sum(v * times)::BIGINT AS score FROM worth JOIN asked USING (term) GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+  FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def _licenses() -> str:
     """The rules one after the other; each takes its sentences away."""

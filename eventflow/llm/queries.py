@@ -12,6 +12,7 @@ from eventflow.llm.common import fold, read_table
 from eventflow.llm.decontaminate import contamination
 from eventflow.llm.exact_dedup import label_copies
 from eventflow.llm.html import extract
+from eventflow.llm.lexical import search
 from eventflow.llm.licenses import scan
 from eventflow.llm.lm import fit, read_corpus, score
 from eventflow.llm.packing import pack
@@ -134,3 +135,10 @@ def op10_exact_dedup(spark, sf_dir):
         F.col("id").alias("doc_id"), F.col("keep_id"), F.col("group_size").cast("bigint").alias("group_size"), "kept",
         F.col("digest").alias("text_sha256"),
     )
+
+
+@query
+def op11_lexical_search(spark, sf_dir):
+    """The best documents of all for each benchmark item."""
+    found = search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
