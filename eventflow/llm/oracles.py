@@ -76,6 +76,55 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def _crc32_table() -> list[int]:
+    """The checksum of each byte, by its polynomial."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return table
+
+
+OP12_SPELLING_VARIANTS = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc, run, count(*) AS times, hex(doc || ':' || run) AS written FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) AS run
+    FROM documents) GROUP BY ALL
+), hashed AS (
+  SELECT run, times, xor(list_reduce(
+    list_transform(generate_series(1, length(written) - 1, 2), lambda k: ('0x' || substr(written, k, 2))::BIGINT),
+    lambda crc, byte: xor(crc >> 8, list_extract({_crc32_table()}::BIGINT[], (xor(crc, byte) & 255) + 1)),
+    4294967295::BIGINT), 4294967295) AS h FROM runs
+), damaged AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times
+  FROM hashed
+), words AS (
+  SELECT word, sum(times)::BIGINT AS n FROM damaged WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2
+), shorter AS (
+  SELECT word, k, substr(word, 1, k - 1) || substr(word, k + 1) AS rest
+  FROM (SELECT word, unnest(generate_series(1, length(word))) AS k FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.k = b.k AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON s.rest = w.word
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON s.rest = w.word
+), near AS (
+  SELECT p.word, other, o.n AS other_n, count(*) OVER (PARTITION BY p.word) AS n_near,
+         row_number() OVER (PARTITION BY p.word ORDER BY o.n DESC, other) AS place
+  FROM pairs p JOIN words o ON p.other = o.word
+), forms AS (
+  SELECT word, n, n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN (SELECT * FROM near WHERE place = 1) USING (word)
+), chain AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, coalesce(f.n_near, 0)::BIGINT AS n_near, f.form_n
+FROM forms f JOIN chain c USING (word) JOIN forms e ON c.root = e.word WHERE e.form IS NULL
+"""
+
+
 def _licenses() -> str:
     """The rules one after the other; each takes its sentences away."""
     known = ", ".join(f"('{sentence}', '{name}')" for sentence, name in SENTENCES.items())

@@ -20,6 +20,7 @@ from eventflow.llm.pii import KINDS, personal_data
 from eventflow.llm.quality import ACCEPT, fit_quality, labelled_sample, score_quality
 from eventflow.llm.simhash import near_duplicates
 from eventflow.llm.toxicity import fit_toxicity, score_toxicity
+from eventflow.llm.variants import spelling_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -142,3 +143,9 @@ def op11_lexical_search(spark, sf_dir):
     """The best documents of all for each benchmark item."""
     found = search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("item_id", "rank", "doc_id", "score")
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    """The words of all documents, each with the word it is a spelling variant of."""
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
