@@ -19,6 +19,7 @@ from eventflow.llm.packing import pack
 from eventflow.llm.pii import KINDS, personal_data
 from eventflow.llm.quality import ACCEPT, fit_quality, labelled_sample, score_quality
 from eventflow.llm.simhash import near_duplicates
+from eventflow.llm.swaps import pack_whole
 from eventflow.llm.toxicity import fit_toxicity, score_toxicity
 from eventflow.llm.variants import spelling_variants
 
@@ -149,3 +150,11 @@ def op11_lexical_search(spark, sf_dir):
 def op12_spelling_variants(spark, sf_dir):
     """The words of all documents, each with the word it is a spelling variant of."""
     return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_swap_packing(spark, sf_dir):
+    """Packing of all documents, whole where they fit, into few sequences of 2048 tokens."""
+    return pack_whole(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )

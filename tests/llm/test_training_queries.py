@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_operators_and_the_pipeline_are_registered():
     names = set(entry_points.queries())
-    assert {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d", n)} == {f"op{k}" for k in range(1, 13)}
+    assert {re.match(r"op\d+", n)[0] for n in names if re.match(r"op\d", n)} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and [n for n, _ in corpus_pipeline.STAGES][-1] == "packing"
 
 
