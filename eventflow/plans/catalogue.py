@@ -11,6 +11,7 @@ from eventflow import schemas
 from eventflow.functions.numbers import cents, epoch_micros
 from eventflow.functions.text import escaped_row, event_key, event_sequence, render_line, scenario_id
 from eventflow.operators.filters import bad_integers, select_runs
+from eventflow.operators.hashtree import tree_diff
 from eventflow.operators.running import nth_event, running_counts
 from eventflow.operators.runs import add_metrics, roll_up, summary_lines
 from eventflow.operators.summary import (
@@ -448,6 +449,25 @@ def stream_batch_diff(spark, sf_dir):
     return key_diff(_stream_counts(spark, sf_dir, "update"), batch, ["event_type"], ["event_count"])
 
 
+@query
+def lineitem_diff(spark, sf_dir):
+    """VER-2 for tables of any size: the largest table against a changed copy of it."""
+    table = derived.lineitem_exact(derived.lineitem(spark, sf_dir))
+    columns = ["quantity", "price", "line", "shipped"]
+    return tree_diff(table, derived.lineitem_changed(table), ["l_orderkey", "l_linenumber"], columns, ("kept", "copy"))
+
+
+@query
+def stream_batch_tree_diff(spark, sf_dir):
+    """VER-7 for results of any size: the stream's counts per user and type, and a batch's of all but some events."""
+    keys, work = ["user_id", "event_type"], work_dir(spark, "tree-diff")
+    events = stream_table(spark, f"{sf_dir}/events.parquet", schemas.EVENTS, max_bytes=BATCH_BYTES)
+    run_to_end(start_counter(events, out=f"{work}/out", checkpoint=f"{work}/checkpoint", keys=keys), STREAM_TIMEOUT)
+    streamed = SnapshotStore(spark, f"{work}/out/counts", key_counts(events, keys).schema).read()
+    batch = key_counts(derived.events(spark, sf_dir).filter("event_id % 50 <> 7"), keys)
+    return tree_diff(streamed, batch, keys, ["event_count"], ("stream", "batch"), rows_per_leaf=64)
+
+
 @query
 def completeness_check(spark, sf_dir):
     """VER-3, VER-4."""

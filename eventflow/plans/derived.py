@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow import schemas
-from eventflow.functions.numbers import cents, interval_millis
+from eventflow.functions.numbers import cents, epoch_micros, interval_millis
 
 # Fixed value: start of the first measured run, the origin for latencies.
 ORIGIN = "timestamp_ntz'2024-01-01 00:00:00'"
@@ -98,6 +98,25 @@ def csv_rows(table: DataFrame) -> DataFrame:
     return table.select(key, F.explode(other).alias("value"), time)
 
 
+def lineitem_exact(table: DataFrame) -> DataFrame:
+    """Keys and some columns as whole numbers and texts."""
+    return table.select(
+        "l_orderkey", "l_linenumber", cents(F.col("l_quantity")).alias("quantity"), cents(F.col("l_extendedprice")).alias("price"),
+        F.col("l_linestatus").alias("line"), epoch_micros(F.col("l_shipdate")).alias("shipped"),
+    )
+
+
+def lineitem_changed(table: DataFrame) -> DataFrame:
+    """``lineitem_exact`` rows with some prices raised, some rows gone and some there once more under a new number."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    copies = F.when((order % 101 == 0) & (line == 2), F.expr("array()").cast("array<int>")).when(
+        (order % 103 == 0) & (line == 3), F.array(F.lit(0), F.lit(100))
+    ).otherwise(F.array(F.lit(0)))
+    raised = F.when((order % 97 == 0) & (line == 1), F.col("price") + 100).otherwise(F.col("price"))
+    changed = table.withColumn("price", raised).withColumn("_more", F.explode(copies))
+    return changed.withColumn("l_linenumber", line + F.col("_more")).drop("_more")
+
+
 def _beside(table: DataFrame, clean: Column, other: Column) -> DataFrame:
     return table.select(F.explode(F.array_compact(F.array(clean, other))).alias("value"))
 

@@ -107,8 +107,44 @@ LINEITEM_LINE = """
     CAST(round(l_discount * 100) AS BIGINT) || ',' || CAST(round(l_tax * 100) AS BIGINT) || ',' ||
     l_returnflag || ',' || l_linestatus || ',' || epoch_us(l_shipdate)"""
 
+EXACT_LINES = """
+    SELECT l_orderkey, l_linenumber, CAST(round(l_quantity * 100) AS BIGINT) AS quantity,
+        CAST(round(l_extendedprice * 100) AS BIGINT) AS price, l_linestatus AS line, epoch_us(l_shipdate) AS shipped
+    FROM lineitem"""
+
 
 ORACLES = {
+    "lineitem_diff": f"""
+        WITH kept AS ({EXACT_LINES}), changed AS (
+            SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 0 AND l_linenumber = 1 THEN price + 100 ELSE price END AS price)
+            FROM kept WHERE NOT (l_orderkey % 101 = 0 AND l_linenumber = 2)
+            UNION ALL
+            SELECT * REPLACE (CAST(l_linenumber + 100 AS INTEGER) AS l_linenumber)
+            FROM kept WHERE l_orderkey % 103 = 0 AND l_linenumber = 3
+        ), a AS (SELECT *, count(*) AS n FROM kept GROUP BY ALL), b AS (SELECT *, count(*) AS n FROM changed GROUP BY ALL),
+        rows AS (
+            SELECT l_orderkey, l_linenumber, quantity, price, line, shipped, coalesce(a.n, 0) - coalesce(b.n, 0) AS surplus
+            FROM a FULL OUTER JOIN b USING (l_orderkey, l_linenumber, quantity, price, line, shipped)
+            WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)
+        ), by_key AS (
+            SELECT l_orderkey, l_linenumber, max({{'q': quantity, 'p': price, 'l': line, 's': shipped}}) FILTER (WHERE surplus > 0) AS l,
+                max({{'q': quantity, 'p': price, 'l': line, 's': shipped}}) FILTER (WHERE surplus < 0) AS r,
+                CAST(coalesce(sum(surplus) FILTER (WHERE surplus > 0), 0) AS BIGINT) AS kept_rows,
+                CAST(coalesce(-sum(surplus) FILTER (WHERE surplus < 0), 0) AS BIGINT) AS copy_rows
+            FROM rows GROUP BY l_orderkey, l_linenumber
+        )
+        SELECT l_orderkey, l_linenumber, l.q AS kept_quantity, l.p AS kept_price, l.l AS kept_line, l.s AS kept_shipped,
+            r.q AS copy_quantity, r.p AS copy_price, r.l AS copy_line, r.s AS copy_shipped,
+            CASE WHEN copy_rows = 0 THEN 'kept_only' WHEN kept_rows = 0 THEN 'copy_only' ELSE 'different' END AS status,
+            kept_rows, copy_rows
+        FROM by_key""",
+    "stream_batch_tree_diff": """
+        WITH s AS (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY ALL),
+        b AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE event_id % 50 <> 7 GROUP BY ALL)
+        SELECT user_id, event_type, s.n AS stream_event_count, b.n AS batch_event_count,
+            CASE WHEN b.n IS NULL THEN 'stream_only' WHEN s.n IS NULL THEN 'batch_only' ELSE 'different' END AS status,
+            CAST(s.n IS NOT NULL AS BIGINT) AS stream_rows, CAST(b.n IS NOT NULL AS BIGINT) AS batch_rows
+        FROM s FULL OUTER JOIN b USING (user_id, event_type) WHERE s.n IS DISTINCT FROM b.n""",
     "batch_summary": f"""
         SELECT event_type, CAST(sum({CENTS}) AS BIGINT) AS total_cents, count(*) AS event_count,
             max(ts) AS max_ts
