@@ -46,6 +46,16 @@ def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     return found
 
 
+def lines(spark: SparkSession, path: str) -> list[str]:
+    """The lines of a small file."""
+    fs, p = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)

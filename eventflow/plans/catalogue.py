@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,9 @@ from eventflow.operators.verify import (
     partition_rule,
 )
 from eventflow.plans import derived, jobs
-from eventflow.session import work_dir
+from eventflow.session import setting, work_dir
 from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
-from eventflow.sinks.tables import publish_csv, write_handoff
+from eventflow.sinks.tables import publish_csv, write_handoff, write_segment
 from eventflow.sources import generators
 from eventflow.sources.delimited import (
     accounting,
@@ -54,6 +55,7 @@ from eventflow.streaming.counter import (
     start_counter,
     wait_for_total,
 )
+from eventflow.streaming.rescale import rescale_counter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,7 +65,7 @@ NTH = 1000
 SEED, LOW, HIGH = 42, 1, 100
 STREAM_TIMEOUT = 3600.0
 # A backlog is worked off in micro-batches of this size, so that a failure repeats one of them.
-BATCH_BYTES = 1 << 40
+BATCH_BYTES = 4 << 30
 
 
 def query(build: Query) -> Query:
@@ -274,6 +276,46 @@ def stream_restart(spark, sf_dir):
     return SnapshotStore(spark, f"{work}/out/counts").read()
 
 
+def _log(spark: SparkSession, work: str, start: str = "earliest") -> DataFrame:
+    return parse_messages(read_messages(spark, f"{work}/log", format="landing", start=start))
+
+
+def _segment(spark: SparkSession, sf_dir: str, work: str, number: int, of: int) -> list[str]:
+    """A share of the event table as the next segment of a landing log."""
+    share = derived.events(spark, sf_dir).filter(F.col("event_id") % of == number)
+    return write_segment(as_messages(share), f"{work}/log", number)
+
+
+@query
+def counts_from_position(spark, sf_dir):
+    """SRC-2: a stream that starts at a position of a log, ends, and goes on when more has come."""
+    work = work_dir(spark, "position")
+    _segment(spark, sf_dir, work, 0, 3)
+    start = json.dumps({"file": min(_segment(spark, sf_dir, work, 1, 3)), "bytes": 0})
+    for more in (None, 2):
+        if more:
+            _segment(spark, sf_dir, work, more, 3)
+        started = start_counter(_log(spark, work, start), out=f"{work}/out", checkpoint=f"{work}/checkpoint")
+        run_to_end(started, STREAM_TIMEOUT)
+    return SnapshotStore(spark, f"{work}/out/counts").read()
+
+
+@query
+def rescaled_counts(spark, sf_dir):
+    """STR-8: half of the messages counted with 4 state partitions, the rest by a run that goes on with 8."""
+    work = work_dir(spark, "rescaled")
+    _segment(spark, sf_dir, work, 0, 2)
+    with setting(spark, "spark.sql.shuffle.partitions", "4"):
+        run_to_end(start_counter(_log(spark, work), out=f"{work}/old", checkpoint=f"{work}/old/checkpoint"), STREAM_TIMEOUT)
+    _segment(spark, sf_dir, work, 1, 2)
+    started = rescale_counter(
+        spark, lambda start: _log(spark, work, start), 8,
+        old_out=f"{work}/old", old_checkpoint=f"{work}/old/checkpoint", out=f"{work}/new", checkpoint=f"{work}/new/checkpoint",
+    )
+    run_to_end(started, STREAM_TIMEOUT)
+    return SnapshotStore(spark, f"{work}/new/counts").read()
+
+
 @query
 def stream_until_complete(spark, sf_dir):
     """STR-6: a stream without an end, stopped once its counts have the table's total and keys."""

@@ -114,6 +114,8 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "counts_from_position": "SELECT event_type, count(*) AS event_count FROM events WHERE event_id % 3 IN (1, 2) GROUP BY event_type",
+    "rescaled_counts": COUNTS,
     "lineitem_diff": f"""
         WITH kept AS ({EXACT_LINES}), changed AS (
             SELECT * REPLACE (CASE WHEN l_orderkey % 97 = 0 AND l_linenumber = 1 THEN price + 100 ELSE price END AS price)

@@ -3,7 +3,8 @@
 Each micro-batch overwrites a folder of its own, so writing a batch again after a failure
 changes nothing. ``full/batch_id=N`` holds every key as of batch N, ``delta/batch_id=N``
 only the keys that batch N changed. A reader takes the newest finished full folder and the
-finished deltas after it, and of each key the row of the highest batch.
+finished deltas after it, and of each key the row of the highest batch. ``base`` holds what an
+earlier run has counted; it is added when the store is read.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from eventflow import files, schemas
 from eventflow.functions.text import render_line
 
-FULL, DELTA = "full", "delta"
+FULL, DELTA, BASE = "full", "delta", "base"
 
 
 class SnapshotStore:
@@ -44,7 +45,20 @@ class SnapshotStore:
 
     def read(self, before: int | None = None) -> DataFrame:
         """Latest count of every key, as of the batches below ``before`` if given."""
-        return self._latest(before, before)
+        latest, base = self._latest(before, before), self.base()
+        if base is None:
+            return latest
+        return latest.unionByName(base).groupBy(*self.keys).agg(F.sum("event_count").alias("event_count"))
+
+    def write_base(self, counts: DataFrame) -> None:
+        """What an earlier run has counted; written once, before the first batch."""
+        if self.base() is None:
+            counts.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.mode("overwrite").parquet(f"{self.path}/{BASE}")
+
+    def base(self) -> DataFrame | None:
+        if not files.exists(self.spark, f"{self.path}/{BASE}/_SUCCESS"):
+            return None
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{BASE}")
 
     def _latest(self, fulls_before: int | None, deltas_before: int | None) -> DataFrame:
         fulls = [b for b in self._batches(FULL) if fulls_before is None or b < fulls_before]

@@ -46,6 +46,26 @@ def write_messages(messages: DataFrame, path: str | None = None, *, format: str
         raise ValueError(f"unknown message format: {format}")
 
 
+def write_segment(messages: DataFrame, path: str, number: int) -> list[str]:
+    """Messages as the next files of a landing log, whose names rise with ``number``; returns the names.
+
+    They are written beside the log and put in place by renaming, so a reader sees whole files.
+    A segment that is written again replaces nothing: the number must be new.
+    """
+    spark, prefix = messages.sparkSession, f"{number:012d}-"
+    if any(name.startswith(prefix) for name in files.children(spark, path)):
+        raise ValueError(f"{path} has a segment {number}")
+    staging = f"{path.rstrip('/')}_staging/{number:012d}"
+    messages.select("value").write.mode("overwrite").text(staging)
+    names = []
+    for part in files.children(spark, staging):
+        if part.startswith("part-"):
+            names.append(prefix + part)
+            files.move(spark, f"{staging}/{part}", f"{path.rstrip('/')}/{names[-1]}")
+    files.remove(spark, staging)
+    return names
+
+
 def write_handoff(counts: DataFrame, path: str, format: str = "csv") -> None:
     """Counts re-shaped for the batch stage (SNK-5)."""
     handoff(counts).write.mode("overwrite").option("header", True).format(format).save(path)

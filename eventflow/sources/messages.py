@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventflow.functions.text import message
+from eventflow.sources import landing
 
 
 def read_messages(
@@ -29,6 +30,8 @@ def read_messages(
     ``start`` is then the position of a run without a checkpoint. ``format="text"`` reads a
     landing folder: with ``start="latest"`` only files written at or after ``since`` count.
     ``since`` is an argument, not the clock, so that a restart keeps the first run's start.
+    ``format="landing"`` reads a folder whose files have rising names, as a stream; ``start`` is
+    then a position too (``eventflow.sources.landing``), and a micro-batch is all there is.
     ``max_files`` and ``max_bytes`` bound one micro-batch while a backlog is worked off.
     """
     reader = spark.readStream if streaming else spark.read
@@ -39,6 +42,11 @@ def read_messages(
         if streaming and (max_files or max_bytes):
             raise ValueError("a topic's micro-batches are bounded by its options maxOffsetsPerTrigger or maxBytesPerTrigger")
         return reader.format("kafka").option(position, start).load().select(F.col("value").cast("string"))
+    if format == landing.FORMAT:
+        if not streaming or max_files or max_bytes:
+            raise ValueError("a landing log is read as a stream, and its micro-batches are not bounded")
+        spark.dataSource.register(landing.Landing)
+        return reader.format(format).option("start", start).load(path)
     if format != "text":
         raise ValueError(f"unknown message format: {format}")
     if start not in ("earliest", "latest"):
