@@ -53,8 +53,8 @@ from eventflow.streaming.counter import (
     run_to_end,
     start_changelog,
     start_counter,
-    wait_for_total,
 )
+from eventflow.streaming.progress import RunProgress, completion
 from eventflow.streaming.rescale import rescale_counter
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,20 +318,36 @@ def rescaled_counts(spark, sf_dir):
 
 @query
 def stream_until_complete(spark, sf_dir):
-    """STR-6: a stream without an end, stopped once its counts have the table's total and keys."""
+    """STR-6: a stream without an end, stopped once it has worked off as many events as the table has."""
     work = work_dir(spark, "until-complete")
-    facts = _counts(spark, sf_dir).agg(F.sum("event_count").alias("n"), F.count(F.lit(1)).alias("keys")).first()
-    parsed = parse_messages(_stream(spark, sf_dir))
-    running = start_counter(
-        parsed, out=f"{work}/out", checkpoint=f"{work}/checkpoint", trigger={"processingTime": "1 second"}
+    with RunProgress(spark, parse_messages(_stream(spark, sf_dir))) as progress:
+        running = start_counter(
+            progress.events, out=f"{work}/out", checkpoint=f"{work}/checkpoint", trigger={"processingTime": "1 second"}
+        )
+        try:
+            if not progress.wait_for(derived.events(spark, sf_dir).count(), running, STREAM_TIMEOUT):
+                raise TimeoutError("the stream's counts stayed incomplete")
+        finally:
+            running.stop()
+    return SnapshotStore(spark, f"{work}/out/counts").read()
+
+
+@query
+def batch_progress(spark, sf_dir):
+    """STR-6, MET-1: the micro-batches of a run over a log that grows three times, and when it was half through."""
+    work = work_dir(spark, "progress")
+    half = derived.events(spark, sf_dir).count() // 2
+    with RunProgress(spark, _log(spark, work)) as progress:
+        for number in range(4):
+            _segment(spark, sf_dir, work, number, 4)
+            started = start_counter(progress.events, out=f"{work}/out", checkpoint=f"{work}/checkpoint")
+            progress.wait_for_end(started, STREAM_TIMEOUT)
+        batches = progress.table()
+    reached = completion(batches, half)
+    return batches.select(
+        "batch_id", "rows", "rows_before", (F.col("batch_id") == reached.select("batch_id").scalar()).alias("reaches_half"),
+        ((F.col("milliseconds") >= 0) & (reached.select("latency_ms").scalar() >= 0)).alias("timed"),
     )
-    store = SnapshotStore(spark, f"{work}/out/counts")
-    try:
-        if not wait_for_total(store, facts.n or 0, STREAM_TIMEOUT, keys=facts["keys"]):
-            raise TimeoutError("the stream's counts stayed incomplete")
-    finally:
-        running.stop()
-    return store.read()
 
 
 @query

@@ -114,6 +114,11 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "batch_progress": """
+        WITH b AS (SELECT event_id % 4 AS batch_id, count(*) AS rows FROM events GROUP BY 1),
+        s AS (SELECT *, CAST(coalesce(sum(rows) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+            AS rows_before, sum(rows) OVER () // 2 AS half FROM b)
+        SELECT batch_id, rows, rows_before, rows_before < half AND rows_before + rows >= half AS reaches_half, true AS timed FROM s""",
     "counts_from_position": "SELECT event_type, count(*) AS event_count FROM events WHERE event_id % 3 IN (1, 2) GROUP BY event_type",
     "rescaled_counts": COUNTS,
     "lineitem_diff": f"""
