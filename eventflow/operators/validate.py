@@ -6,10 +6,14 @@ documents in one pass.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.functions.json import parse_document
+from eventflow.session import work_dir
+from eventflow.sources.large_json import element_value
 
 # The rules in the order in which they are applied. Rules 6 to 10 run element
 # by element, so among them the element's position comes before the rule's number.
@@ -91,24 +95,103 @@ def _judged(documents: DataFrame) -> DataFrame:
         F.try_variant_get(F.col("scenarios"), "$", "array<variant>"), F.array().cast("array<variant>")
     )
     facts = found.withColumn("elements", F.transform(_members(elements), _facts))
+    each = F.flatten(F.transform("elements", _element_violations))
+    passed = F.size(F.filter("elements", lambda e: e["passed"]))
+    judged = facts.withColumns({"penalty": _penalty(), "stop": _stop()}).withColumn(
+        "violations",
+        F.when(F.col("stop").isNotNull(), F.array("stop")).otherwise(F.concat(each, _second_uses(), _totals(passed, F.col("penalty")))),
+    )
+    return judged.select("submission", F.array_sort("violations").alias("violations"))
+
+
+def _stop() -> Column:
+    """The violation that stops the reading of a document, rules 1 to 5."""
     missing = F.array_compact(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name in REQUIRED]))
-    stop = (
+    return (
         F.when(F.col("text").isNull(), _violation(1))
         .when(F.col("unreadable"), _violation(2))
         .when(~F.col("is_object"), _violation(3))
         .when(F.size(missing) > 0, _violation(4, stated=F.concat(F.lit("missing: "), F.array_join(missing, ", "))))
         .when(~_kind(F.col("scenarios")).startswith("ARRAY"), _violation(5, stated=_kind(F.col("scenarios"))))
     )
-    passed = F.size(F.filter("elements", lambda e: e["passed"]))
-    totals = F.array_compact(F.array(
+
+
+def _totals(passed: Column, penalty: Column) -> Column:
+    """Rules 11 and 12."""
+    return F.array_compact(F.array(
         F.when(~_states("scenarios_passed", passed), _violation(11, stated=_text(F.col("scenarios_passed")), computed=passed.cast("string"))),
-        F.when(~_states("penalty_ms", F.col("penalty")), _violation(12, stated=_text(F.col("penalty_ms")), computed=F.col("penalty").cast("string"))),
+        F.when(~_states("penalty_ms", penalty), _violation(12, stated=_text(F.col("penalty_ms")), computed=penalty.cast("string"))),
     ))
-    each = F.flatten(F.transform("elements", _element_violations))
-    judged = facts.withColumns({"penalty": _penalty(), "stop": stop}).withColumn(
-        "violations", F.when(F.col("stop").isNotNull(), F.array("stop")).otherwise(F.concat(each, _second_uses(), totals))
+
+
+def large_violations(documents: DataFrame, elements: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """``all_violations`` of documents of any size, as ``read_large_documents`` gives them.
+
+    A document's elements are rows of many tasks: rules on one element look at its row, the
+    others at sums and first positions per id, which combine on the map side. ``expected``
+    (column ``document``) adds those that should be there and are not. ``submission`` is the
+    document. The kind of a large part, where that is stated, is the one of its outline.
+    """
+    blank = F.col("text").rlike(r"^[\x20\x09\x0A\x0D]*$")
+    value = element_value(F.col("text"), F.col("bracket"))
+    path = work_dir(documents.sparkSession, "json-elements")
+    looked_up = F.struct(
+        (F.col("number") - F.col("part")).cast("int").alias("position"), _kind(F.col("value")).alias("kind"),
+        *[_member(F.col("value"), name).alias(name) for name in ("id", "passed", "elapsed_ms")],
+    )
+    elements.withColumn("value", value).select(
+        F.col("document").alias("submission"), "part", blank.alias("blank"), F.col("value").isNull().alias("unreadable"),
+        F.when(F.col("value").isNotNull(), _facts(looked_up)).alias("e"),
+    ).write.parquet(path)
+    rows = documents.sparkSession.read.parquet(path)
+
+    parts = rows.groupBy("submission", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("blank").alias("blanks"), F.count_if(F.col("unreadable") & ~F.col("blank")).alias("faults")
+    )
+    # An empty part has one element of blanks; nowhere else may there be one.
+    broken = parts.groupBy("submission").agg(
+        F.bool_or((F.col("faults") > 0) | ((F.col("blanks") > 0) & (F.col("n") > 1))).alias("broken")
+    )
+    texts = documents.select(F.col("document").alias("submission"), "readable", F.coalesce("outline", F.lit("")).alias("text"))
+    if expected is not None:
+        names = expected.select(F.col("document").alias("submission")).distinct()
+        texts = names.join(texts, "submission", "full_outer")
+    doc = F.col("doc")
+    read = texts.join(broken, "submission", "left").select(
+        "submission", "text",
+        F.when(F.col("readable") & ~F.coalesce("broken", F.lit(False)), parse_document(F.col("text"))).alias("doc"),
+    )
+    outlines = read.select(
+        "submission", "text", doc.isNull().alias("unreadable"),
+        F.coalesce(_kind(doc).startswith("OBJECT"), F.lit(False)).alias("is_object"),
+        *[_member(doc, name).alias(name) for name in REQUIRED],
+    ).withColumn("stop", _stop())
+    checked = outlines.where(F.col("stop").isNull()).select(
+        "submission", F.try_variant_get("scenarios", "$[0]", "bigint").alias("part")
+    )
+    runs = rows.where(~F.col("blank")).join(checked, ["submission", "part"]).select("submission", "e")
+
+    ids = runs.where(F.col("e.id").isNotNull()).select("submission", F.col("e.id").alias("id"), F.col("e.position").alias("position"))
+    used = ids.groupBy("submission", "id").agg(F.min("position").alias("earliest"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    again = ids.join(used, ["submission", "id"]).where(F.col("position") > F.col("earliest"))
+    sums = runs.groupBy("submission").agg(
+        F.count_if("e.passed").alias("passed"),
+        F.sum(F.when(~F.col("e.passed"), F.coalesce("e.elapsed_ms", F.lit(0).cast("decimal(38,0)")))).alias("penalty"),
+    )
+    none = F.lit(0).cast("decimal(38,0)")
+    summed = outlines.where(F.col("stop").isNull()).join(sums, "submission", "left").withColumns({
+        "passed": F.coalesce("passed", F.lit(0)), "penalty": F.coalesce(F.col("penalty").cast("decimal(38,0)"), none),
+    })
+    found = [
+        outlines.where(F.col("stop").isNotNull()).select("submission", F.col("stop").alias("v")),
+        runs.select("submission", F.explode(_element_violations(F.col("e"))).alias("v")),
+        again.select("submission", _violation(8, F.col("position"), F.col("id")).alias("v")),
+        summed.select("submission", F.explode(_totals(F.col("passed"), F.col("penalty"))).alias("v")),
+    ]
+    violations = reduce(DataFrame.unionByName, found)
+    return violations.select(
+        "submission", "v.position", "v.rule", _described(F.col("v.rule")).alias("detail"), "v.stated", "v.computed"
     )
-    return judged.select("submission", F.array_sort("violations").alias("violations"))
 
 
 def _members(elements: Column) -> Column:

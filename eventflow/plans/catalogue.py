@@ -23,7 +23,7 @@ from eventflow.operators.summary import (
     parse_messages,
     row_count,
 )
-from eventflow.operators.validate import all_violations, first_violations
+from eventflow.operators.validate import all_violations, first_violations, large_violations
 from eventflow.operators.verify import (
     canonical_digest,
     completeness,
@@ -35,6 +35,7 @@ from eventflow.operators.verify import (
 )
 from eventflow.plans import derived, jobs
 from eventflow.session import setting, work_dir
+from eventflow.sinks.records import write_single_text
 from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
 from eventflow.sinks.tables import publish_csv, write_handoff, write_segment
 from eventflow.sources import generators
@@ -46,6 +47,7 @@ from eventflow.sources.delimited import (
     parse_snapshot_lines,
     read_event_csv,
 )
+from eventflow.sources.large_json import read_large_documents
 from eventflow.sources.messages import as_messages, read_messages, stream_table
 from eventflow.sources.records import parse_run_records
 from eventflow.streaming.counter import (
@@ -544,6 +546,16 @@ def all_violations_of_documents(spark, sf_dir):
     return all_violations(derived.documents(derived.events(spark, sf_dir)))
 
 
+@query
+def large_document_violations(spark, sf_dir):
+    """VER-6, SRC-7, SNK-7: one document with a run per event, written, read in ranges and checked by many tasks."""
+    path = f"{work_dir(spark, 'large-document')}/result.json"
+    lines = derived.large_document(derived.events(spark, sf_dir))
+    write_single_text(lines.orderBy("section", "event_id").select(F.col("line").alias("value")), path)
+    found = read_large_documents(spark, path)
+    return large_violations(found.documents, found.elements).drop("submission")
+
+
 # Run records
 
 

@@ -164,6 +164,30 @@ def run_texts(table: DataFrame) -> DataFrame:
     )
 
 
+def large_document(table: DataFrame) -> DataFrame:
+    """Lines of one summary document with a run per event, in the order ``section``, ``event_id``.
+
+    Of five hundred runs one has a number as its id, one a text as ``passed``, one a fraction as
+    its time, one is a number itself, and one has the id of others; both totals are 0.
+    """
+    kind, id_ = F.col("event_id") % 500, F.col("event_id").cast("string")
+    quoted = F.concat(F.lit('"'), id_, F.lit('"'))
+    run = F.concat(
+        F.lit(',{"id":'), F.when(kind == 7, id_).when(kind == 11, F.lit('"x"')).otherwise(quoted),
+        F.lit(',"name":"'), F.col("event_type"),
+        F.lit('","passed":'), F.when(kind == 8, F.lit('"yes"')).otherwise((F.col("event_type") != "error").cast("string")),
+        F.lit(',"elapsed_ms":'), F.when(kind == 9, F.lit("1.5")).otherwise(cents(F.col("value")).cast("string")),
+        F.lit(',"more":{"a":["}",{}]}}'),
+    )
+    opening = '{"scenarios_passed":0,"scenarios_total":0,"penalty_ms":0,"scenarios":[{"id":"first","passed":true,"elapsed_ms":0}'
+    ends = F.array(*[
+        F.struct(F.lit(section).alias("section"), F.lit(None).cast("bigint").alias("event_id"), F.lit(text).alias("line"))
+        for section, text in ((0, opening), (2, "]}"))
+    ])
+    runs = table.select(F.lit(1).alias("section"), "event_id", F.when(kind == 10, F.lit(",5")).otherwise(run).alias("line"))
+    return runs.unionByName(table.sparkSession.range(1).select(F.inline(ends)))
+
+
 def documents(table: DataFrame) -> DataFrame:
     """One summary document of three runs per event, each seventeenth kind breaking another rule."""
     kind, ms = F.col("event_id") % 17, cents(F.col("value"))

@@ -114,6 +114,27 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "large_document_violations": f"""
+        WITH r AS (
+            SELECT CAST(row_number() OVER (ORDER BY event_id) AS INTEGER) AS position, event_id % 500 AS kind, event_id,
+                CASE event_id % 500 WHEN 7 THEN NULL WHEN 10 THEN NULL WHEN 11 THEN 'x' ELSE CAST(event_id AS VARCHAR) END AS id,
+                CASE WHEN event_id % 500 NOT IN (8, 10) THEN event_type <> 'error' END AS passed,
+                CASE WHEN event_id % 500 NOT IN (9, 10) THEN {CENTS} ELSE 0 END AS ms
+            FROM events
+        ), v AS (
+            SELECT position, CASE kind WHEN 7 THEN 7 WHEN 8 THEN 9 WHEN 9 THEN 10 ELSE 6 END AS rule,
+                CASE kind WHEN 7 THEN CAST(event_id AS VARCHAR) WHEN 8 THEN 'yes' WHEN 9 THEN '1.5' ELSE 'BIGINT' END AS stated,
+                NULL AS computed
+            FROM r WHERE kind IN (7, 8, 9, 10)
+            UNION ALL
+            SELECT position, 8, id, NULL
+            FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY position) AS use FROM r WHERE id IS NOT NULL) WHERE use > 1
+            UNION ALL
+            SELECT NULL, 11, '0', CAST(count(*) FILTER (WHERE passed) + 1 AS VARCHAR) FROM r
+            UNION ALL
+            SELECT NULL, 12, '0', CAST(CAST(sum(ms) AS BIGINT) AS VARCHAR) FROM r WHERE NOT passed
+        )
+        SELECT position, CAST(rule AS INTEGER) AS rule, {DETAIL} AS detail, stated, computed FROM v""",
     "batch_progress": """
         WITH b AS (SELECT event_id % 4 AS batch_id, count(*) AS rows FROM events GROUP BY 1),
         s AS (SELECT *, CAST(coalesce(sum(rows) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)

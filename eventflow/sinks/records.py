@@ -25,16 +25,26 @@ def write_run(spark: SparkSession, folder: str, record: dict[str, Any]) -> str:
     return target
 
 
-def write_summary(runs: DataFrame, path: str) -> None:
-    """The summary document of ``read_run_records`` rows, one file as its readers expect.
+def write_summary(runs: DataFrame, path: str, single_file: bool = True) -> None:
+    """The summary document of ``read_run_records`` rows.
 
-    Its lines are ordered by all tasks and written by one, which holds none of them.
+    Its readers expect one file: its lines are ordered by all tasks and written by one, which
+    holds none of them. Unless ``single_file``, it is a folder whose parts, written by many
+    tasks, are the document if put together by name.
     """
     record = F.coalesce(F.to_json("record"), F.to_json(F.struct("id", "error", "passed")))
     lines = summary_lines(runs.withColumn("record_json", record))
     text = lines.orderBy("section", "id", "place").select(F.col("line").alias("value"))
-    text.coalesce(1).write.mode("overwrite").text(f"{path}_parts")
-    _single_part(runs.sparkSession, f"{path}_parts", path)
+    if single_file:
+        write_single_text(text, path)
+    else:
+        text.write.mode("overwrite").text(path)
+
+
+def write_single_text(lines: DataFrame, path: str) -> None:
+    """Ordered lines as one file."""
+    lines.coalesce(1).write.mode("overwrite").text(f"{path}_parts")
+    _single_part(lines.sparkSession, f"{path}_parts", path)
 
 
 def _single_part(spark: SparkSession, folder: str, target: str) -> None:
