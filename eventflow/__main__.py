@@ -11,13 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventflow import schemas
-from eventflow.operators.summary import grouped_summary
 from eventflow.operators.validate import first_violations
 from eventflow.plans import jobs
 from eventflow.session import build_session, work_dir
 from eventflow.sinks.tables import write_messages
 from eventflow.sources import generators
-from eventflow.sources.delimited import good_rows, read_event_csv, read_snapshot_text
+from eventflow.sources.delimited import read_event_csv, read_snapshot_text
 from eventflow.sources.messages import read_messages
 from eventflow.sources.records import read_submissions
 
@@ -55,8 +54,11 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, Any]:
         messages, injected, expected = _messages(spark, args)
         result = jobs.pipeline(spark, messages, args.out, expected, injected, args.timeout, args.digest)
     elif args.job == "compare":
+        expected = args.expected and read_snapshot_text(spark, args.expected).select("event_type", "event_count")
+        source = {"format": args.format, "start": args.start, "options": json.loads(args.options)}
         result = jobs.compare_stream_batch(
-            spark, args.path, args.out, args.timeout, args.digest, max_files=args.max_files, max_bytes=args.max_bytes
+            spark, args.path, args.out, args.timeout, args.digest, expected or None, source,
+            max_files=args.max_files, max_bytes=args.max_bytes,
         )
     elif args.job == "batch-summary":
         expected = args.expected and spark.read.schema(schemas.SUMMARY).option("header", True).csv(args.expected)
@@ -64,9 +66,10 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> dict[str, Any]:
             spark, args.path, args.out, expected or None, args.single_file, args.timeout, args.digest
         )
     elif args.job == "partitions":
+        expected = args.expected and spark.read.schema(schemas.SUMMARY).option("header", True).csv(args.expected)
         result = jobs.compare_partitions(
-            spark, lambda s: good_rows(read_event_csv(s, args.path)), grouped_summary, args.count, args.baseline,
-            args.at_most, timeout=args.timeout, digest=args.digest,
+            spark, lambda s: read_event_csv(s, args.path), jobs.summary_of_good_rows, args.count, args.baseline,
+            args.at_most, timeout=args.timeout, digest=args.digest, expected=expected or None,
         )
     elif args.job == "run-all":
         ids = args.scenarios.split(",") if args.scenarios else None
@@ -112,7 +115,7 @@ def _parser() -> argparse.ArgumentParser:
         added.add_argument("--path")
         added.add_argument("--out", required=name != "partitions")
         added.add_argument("--timeout", type=float, default=timeout)
-        added.add_argument("--digest", default=jobs.CANONICAL, choices=[jobs.CANONICAL, jobs.MULTISET])
+        added.add_argument("--digest", default=jobs.MULTISET, choices=[jobs.CANONICAL, jobs.MULTISET])
         return added
 
     def streaming(added: argparse.ArgumentParser) -> argparse.ArgumentParser:
@@ -138,6 +141,7 @@ def _parser() -> argparse.ArgumentParser:
     partitions = job("partitions", "compare shuffle partition counts on an event CSV", 90)
     partitions.add_argument("--count", type=int, required=True)
     partitions.add_argument("--baseline", type=int, default=jobs.BASELINE_PARTITIONS)
+    partitions.add_argument("--expected", help="a summary CSV to compare with, besides the baseline's result")
     partitions.add_argument("--at-most", type=int, default=jobs.MOST_PARTITIONS)
 
     everything = commands.add_parser("run-all", help="run the jobs on generated events and write the summary")

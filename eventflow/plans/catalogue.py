@@ -34,6 +34,7 @@ from eventflow.operators.verify import (
     partition_rule,
 )
 from eventflow.plans import derived, jobs
+from eventflow.plans.measured import measured
 from eventflow.session import setting, work_dir
 from eventflow.sinks.records import write_single_text
 from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
@@ -168,6 +169,13 @@ def csv_quarantine(spark, sf_dir):
     return bad.groupBy("event_type", "bad_field").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query
+def csv_rejected_lines(spark, sf_dir):
+    """JOB-2, SRC-4: the lines in quarantine as they were read, and what is wrong with each."""
+    bad = bad_rows(_event_csv(spark, sf_dir))
+    return bad.select("line", F.array_join("bad_fields", ",").alias("bad_fields"), F.col("file").isNotNull().alias("has_file"))
+
+
 @query
 def csv_accounting(spark, sf_dir):
     """SRC-4, JOB-2: every row read is summed, without a value, or rejected."""
@@ -556,6 +564,20 @@ def large_document_violations(spark, sf_dir):
     return large_violations(found.documents, found.elements).drop("submission")
 
 
+@query
+def partitions_used(spark, sf_dir):
+    """MET-6: a summary with 200 partitions set; adaptive execution runs fewer."""
+    path = work_dir(spark, "partitions")
+    table = _cents(derived.events(spark, sf_dir))
+    with setting(spark, "spark.sql.shuffle.partitions", "200"), measured(spark) as moved:
+        grouped_summary(table, ["user_id", "event_type"], time="ts").write.parquet(path)
+    groups = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("groups"))
+    return groups.select(
+        "groups", F.lit(moved.configured).cast("bigint").alias("configured"),
+        F.lit(0 < moved.used < moved.configured).alias("fewer_ran"), F.lit(moved.written_bytes > 0).alias("moved"),
+    )
+
+
 # Run records
 
 

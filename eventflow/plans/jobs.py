@@ -21,6 +21,7 @@ from eventflow.operators.runs import roll_up
 from eventflow.operators.summary import grouped_summary, handoff, parse_messages
 from eventflow.operators.validate import first_violations
 from eventflow.operators.verify import canonical_digest, key_diff, multiset_digest
+from eventflow.plans.measured import Shuffles, measured, shuffle_partitions
 from eventflow.sinks.records import write_run, write_summary
 from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
 from eventflow.sinks.tables import publish_csv, write_handoff, write_messages
@@ -90,7 +91,7 @@ def batch_summary(
     clock = _Clock()
     seen = Observation()
     quarantine = f"{out.rstrip('/')}_quarantine"
-    with _limit(spark, timeout):
+    with _limit(spark, timeout), measured(spark) as moved:
         typed = read_event_csv(spark, path)
         observed = typed.observe(seen, F.count(F.lit(1)).alias("rows"))
         publish_csv(grouped_summary(good_rows(observed)), out, single_file=single_file)
@@ -104,20 +105,30 @@ def batch_summary(
         "02", good + rejected == rows and (expected is None or found == wanted), clock,
         rows_read=rows, rows_processed=good, rows_rejected=rejected,
         rows_per_second=int(_value(spark, per_second(F.lit(rows), F.lit(job_ms), 0))),
-        shuffle_partitions_used=shuffle_partitions(spark), job_time_ms=job_ms,
-        digest=digest, output_sha256=found, expected_sha256=wanted,
+        shuffle_partitions_used=moved.configured, shuffle_partitions_run=moved.used, shuffle_bytes=moved.written_bytes,
+        job_time_ms=job_ms, digest=digest, output_sha256=found, expected_sha256=wanted,
     )
 
 
 def compare_stream_batch(
-    spark: SparkSession, landing: str, work: str, timeout: float = 120.0, digest: str = MULTISET, **bounds: int | None
+    spark: SparkSession,
+    landing: str | None,
+    work: str,
+    timeout: float = 120.0,
+    digest: str = MULTISET,
+    expected: DataFrame | None = None,
+    source: dict[str, Any] | None = None,
+    **bounds: int | None,
 ) -> dict[str, Any]:
     """JOB-3: the same messages as a stream and as a batch; passes if every key agrees (VER-7).
 
+    The counts also have to be those of ``expected`` if that is given. ``source`` holds what
+    ``read_messages`` takes besides the folder: the format, its options, where to start.
     ``max_files`` and ``max_bytes`` bound a micro-batch.
     """
     clock = _Clock()
-    messages = read_messages(spark, landing, **bounds)
+    source = source or {}
+    messages = read_messages(spark, landing, **source, **bounds)
     run_to_end(
         start_counter(parse_messages(messages), out=f"{work}/stream", checkpoint=f"{work}/checkpoint"), timeout
     )
@@ -126,7 +137,7 @@ def compare_stream_batch(
 
     batch_clock = _Clock()
     seen = Observation()
-    bounded = parse_messages(read_messages(spark, landing, streaming=False)).withColumn("value", F.lit(1))
+    bounded = parse_messages(read_messages(spark, landing, streaming=False, **source)).withColumn("value", F.lit(1))
     bounded = bounded.observe(seen, F.count(F.lit(1)).alias("rows"))
     publish_csv(grouped_summary(bounded, time=None), f"{work}/stream_result.csv")
     batch_ms, events = batch_clock.ms(), seen.get["rows"]
@@ -134,13 +145,14 @@ def compare_stream_batch(
     batch = spark.read.schema(schemas.NARROW_SUMMARY).option("header", True).csv(f"{work}/stream_result.csv")
     diff = key_diff(counts, batch, ["event_type"], ["event_count"])
     agree = diff.filter("status <> 'same'").isEmpty()
+    found, wanted = result_digest(counts, digest), result_digest(expected, digest)
     return _record(
-        "03", agree, clock,
+        "03", agree and (expected is None or found == wanted), clock,
         events_count=events, flink_latency_ms=stream_ms, spark_job_time_ms=batch_ms,
         latency_ratio=_value(spark, latency_ratio(F.lit(batch_ms), F.lit(stream_ms))),
         flink_events_per_second=_value(spark, per_second(F.lit(events), F.lit(stream_ms), 1)),
         spark_events_per_second=_value(spark, per_second(F.lit(events), F.lit(batch_ms), 1)),
-        digest=digest, flink_output_sha256=result_digest(counts, digest),
+        digest=digest, flink_output_sha256=found, expected_sha256=wanted,
         spark_output_sha256=result_digest(batch, digest, ","),
     )
 
@@ -156,12 +168,16 @@ def compare_partitions(
     adaptive: bool = False,
     timeout: float = 90.0,
     digest: str = MULTISET,
+    expected: DataFrame | None = None,
 ) -> dict[str, Any]:
     """JOB-4: one query at the baseline and at another shuffle partition count.
 
     Both run once to warm up and then in turn, ``runs`` times each; the medians are compared.
-    The rows of ``source`` are counted while they are read. A baseline that fails or takes
-    too long counts as -1 ms, and the comparison goes on without it. Each setting has a session
+    The rows of ``source`` are counted while they are read, and of typed rows those with
+    ``bad_fields``, which the query leaves out. The result has to be ``expected``, if that is
+    given, and the baseline's, if that could run; without either there is nothing to compare
+    with, and the job has not passed. A baseline that fails or takes too long counts as -1 ms,
+    and the job goes on without it. Each setting has a session
     of its own, so the caller's settings stay as they are. Adaptive execution is off by
     default because it would merge the partitions compared here.
     """
@@ -173,15 +189,19 @@ def compare_partitions(
         session.conf.set("spark.sql.adaptive.enabled", adaptive)
         return session
 
-    def timed(session: SparkSession) -> tuple[int, int]:
+    def timed(session: SparkSession) -> tuple[int, dict[str, int], Shuffles]:
         seen, run = Observation(), _Clock()
-        with _limit(spark, timeout):
-            read = source(session).observe(seen, F.count(F.lit(1)).alias("rows"))
-            query(read).write.format("noop").mode("overwrite").save()
-        return run.ms(), seen.get["rows"]
+        with _limit(spark, timeout), measured(session) as moved:
+            read = source(session)
+            counted = [F.count(F.lit(1)).alias("rows")]
+            if "bad_fields" in read.columns:
+                counted.append(F.count_if(F.size("bad_fields") > 0).alias("rejected"))
+            query(read.observe(seen, *counted)).write.format("noop").mode("overwrite").save()
+            took = run.ms()
+        return took, {"rejected": 0} | seen.get, moved
 
     usual, other = session_of(baseline), session_of(partitions)
-    usual_digest, usual_times, times, processed = None, [], [], 0
+    usual_digest, usual_times, times = None, [], []
     try:
         with _limit(spark, timeout):
             usual_digest = result_digest(query(source(usual)), digest, ",")
@@ -195,17 +215,21 @@ def compare_partitions(
                 usual_times.append(timed(usual)[0])
             except Exception:  # as above
                 usual = None
-        took, processed = timed(other)
+        took, seen, moved = timed(other)
         times.append(took)
     baseline_ms = int(statistics.median(usual_times)) if usual is not None else -1
     job_ms, used = int(statistics.median(times)), shuffle_partitions(other)
+    wanted = result_digest(expected, digest, ",")
+    compared = [d for d in (wanted, usual_digest) if d is not None]
+    processed = seen["rows"] - seen["rejected"]
     return _record(
-        "04", (usual_digest is None or found == usual_digest) and used <= at_most, clock,
-        shuffle_partitions_used=used, rows_processed=processed,
+        "04", bool(compared) and all(found == d for d in compared) and used <= at_most, clock,
+        shuffle_partitions_used=used, shuffle_partitions_run=moved.used, shuffle_bytes=moved.written_bytes,
+        rows_read=seen["rows"], rows_processed=processed, rows_rejected=seen["rejected"],
         rows_per_second=int(_value(spark, per_second(F.lit(processed), F.lit(job_ms), 0))),
         job_time_ms=job_ms, baseline_time_ms=baseline_ms,
         speedup_factor=_value(spark, speedup(F.lit(baseline_ms), F.lit(job_ms))),
-        digest=digest, output_sha256=found, expected_sha256=usual_digest,
+        digest=digest, output_sha256=found, expected_sha256=compared[0] if compared else None,
     )
 
 
@@ -282,8 +306,8 @@ def run_all(
         ),
         "03": lambda: compare_stream_batch(spark, landing, f"{work}/03", timeout, CANONICAL),
         "04": lambda: compare_partitions(
-            spark, lambda s: good_rows(read_event_csv(s, table)), grouped_summary, MOST_PARTITIONS,
-            timeout=timeout, digest=CANONICAL,
+            spark, lambda s: read_event_csv(s, table), summary_of_good_rows, MOST_PARTITIONS,
+            timeout=timeout, digest=CANONICAL, expected=grouped_summary(events),
         ),
         "05": lambda: pipeline(spark, read_messages(spark, landing), f"{work}/05", expected, n, timeout, CANONICAL),
     }
@@ -307,6 +331,10 @@ def run_all(
     return summarise_runs(runs).first().asDict()
 
 
+def summary_of_good_rows(typed: DataFrame) -> DataFrame:
+    return grouped_summary(good_rows(typed))
+
+
 def result_digest(result: DataFrame | None, kind: str = MULTISET, sep: str = "\t") -> str | None:
     """Digest of a result's lines, of the kind the caller names; None of None.
 
@@ -346,11 +374,6 @@ def _limit(spark: SparkSession, seconds: float) -> Iterator[None]:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    """Shuffle partitions of the running session (MET-6)."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 class _Clock:
     def __init__(self) -> None:
         self._start = time.monotonic()

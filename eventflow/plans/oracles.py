@@ -114,6 +114,17 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "csv_rejected_lines": f"""
+        SELECT CASE event_id % 10
+                WHEN 1 THEN event_type || ',' || {CENTS} || ',' || (event_id + 1700000000) || ',more'
+                WHEN 2 THEN event_type || ',5'
+                WHEN 7 THEN event_type || ',n' || event_id || ',' || (event_id + 1700000000)
+                ELSE 'event_type,value,timestamp' END AS line,
+            CASE event_id % 10 WHEN 5 THEN 'value,timestamp' WHEN 7 THEN 'value' ELSE '<line>' END AS bad_fields, true AS has_file
+        FROM events WHERE event_id % 10 IN (1, 2, 5, 7)""",
+    "partitions_used": """
+        SELECT count(*) AS groups, CAST(200 AS BIGINT) AS configured, true AS fewer_ran, true AS moved
+        FROM (SELECT DISTINCT user_id, event_type FROM events)""",
     "large_document_violations": f"""
         WITH r AS (
             SELECT CAST(row_number() OVER (ORDER BY event_id) AS INTEGER) AS position, event_id % 500 AS kind, event_id,

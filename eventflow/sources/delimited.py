@@ -17,6 +17,8 @@ from eventflow.operators.filters import require_columns, two_fields
 # Stands for the whole line in ``bad_fields``: it has more or fewer fields than the header.
 LINE = "<line>"
 CORRUPT = "_line"
+# The text of a line, if it is known, and the file that it comes from.
+TEXT, FILE = "_text", "_file"
 
 
 def read_event_csv(
@@ -57,23 +59,30 @@ def read_event_csv(
     reader = spark.read.schema(fields).option("header", header).option("enforceSchema", False)
     # Without pruning every line is split whole, so that its fields can be counted.
     raw = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(paths)
-    return type_rows(raw, schema)
+    return type_rows(raw.withColumn(FILE, F.col("_metadata.file_path")), schema)
 
 
 def parse_event_lines(lines: DataFrame, schema: T.StructType = schemas.EVENT_TABLE) -> DataFrame:
     """CSV lines in a column ``value`` to typed rows; the same rules as ``read_event_csv``."""
     fields = ", ".join(f"`{name}` string" for name in [*schema.fieldNames(), CORRUPT])
     parsed = F.from_csv(F.col("value"), fields, {"columnNameOfCorruptRecord": CORRUPT})
-    return type_rows(lines.select(parsed.alias("f")).select("f.*"), schema)
+    return type_rows(lines.select(parsed.alias("f"), F.col("value").alias(TEXT)).select("f.*", TEXT), schema)
 
 
 def type_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Typed columns plus ``bad_fields``, the names of the fields that hold no valid value.
 
     An empty field is a null, which is no fault. A line whose number of fields is not the
-    header's has ``LINE`` among its ``bad_fields``.
+    header's has ``LINE`` among its ``bad_fields``. ``line`` is the text that was read, so that
+    a rejected row is kept as it was, and ``file`` where it was read, null for lines of a
+    table. The text of a line of the right number of fields is put together from them again,
+    with the quotes that a writer would set.
     """
     typed, bad = [], []
+    fields = [c for c in raw.columns if c not in (CORRUPT, TEXT, FILE)]
+    again = F.to_csv(F.struct(*fields), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    line = [F.col(c) for c in (TEXT, CORRUPT) if c in raw.columns]
+    file = F.col(FILE) if FILE in raw.columns else F.lit(None).cast("string")
     if CORRUPT in raw.columns:
         bad.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(LINE)))
     for field in schema.fields:
@@ -84,15 +93,17 @@ def type_rows(raw: DataFrame, schema: T.StructType) -> DataFrame:
         value = column.try_cast(field.dataType)
         typed.append(value.alias(field.name))
         bad.append(F.when(value.isNull() & (column != ""), F.lit(field.name)))
-    return raw.select(*typed, F.array_compact(F.array(*bad)).alias("bad_fields"))
+    return raw.select(
+        *typed, F.array_compact(F.array(*bad)).alias("bad_fields"), F.coalesce(*line, again).alias("line"), file.alias("file")
+    )
 
 
 def good_rows(typed: DataFrame) -> DataFrame:
-    return typed.filter(F.size("bad_fields") == 0).drop("bad_fields")
+    return typed.filter(F.size("bad_fields") == 0).drop("bad_fields", "line", "file")
 
 
 def bad_rows(typed: DataFrame) -> DataFrame:
-    """Rows for the quarantine table."""
+    """Rows for the quarantine table, with their text and file."""
     return typed.filter(F.size("bad_fields") > 0)
 
 

@@ -10,7 +10,7 @@ from eventflow.operators.summary import grouped_summary
 from eventflow.plans import jobs
 from eventflow.sinks.tables import publish_csv, write_messages
 from eventflow.sources import generators
-from eventflow.sources.delimited import good_rows, read_event_csv
+from eventflow.sources.delimited import bad_rows, good_rows, read_event_csv
 from eventflow.sources.messages import read_messages
 
 
@@ -64,6 +64,27 @@ def test_every_row_of_a_batch_is_accounted_for(spark, folder):
     assert open(f"{folder}/result.csv").read().splitlines()[1:] == ["x,1,2,1700000009"]
     kept = spark.read.json(f"{folder}/result.csv_quarantine").collect()
     assert sorted((r.event_type, r.bad_fields) for r in kept) == [("x", ["value"]), ("y", ["<line>"]), ("y", ["<line>"])]
+    assert sorted(r.line for r in kept) == ["x,bad,1700000010", "y,5,1700000001,EXTRA", "y,6"]
+    assert {r.file.rsplit("/", 1)[1] for r in kept} == {"events.csv"}
+    assert record["shuffle_bytes"] > 0 and 0 < record["shuffle_partitions_run"] <= record["shuffle_partitions_used"]
+
+
+def test_partitions_count_what_they_reject(spark, folder):
+    with open(f"{folder}/events.csv", "w") as f:
+        f.write("event_type,value,timestamp\nx,1,1700000000\nx,bad,1700000010\ny,6\n")
+    record = jobs.compare_partitions(
+        spark, lambda s: read_event_csv(s, f"{folder}/events.csv"), jobs.summary_of_good_rows, 2, 4, runs=1
+    )
+    assert record["passed"] and (record["rows_read"], record["rows_processed"], record["rows_rejected"]) == (3, 1, 2)
+    assert record["shuffle_partitions_run"] == 2 and record["shuffle_bytes"] > 0
+
+
+def test_rejected_text_is_what_was_read(spark, folder):
+    lines = ["a,n12,3", "b,1,2,EXTRA", "c, 4 x,5", '"d,e",z,1', "f", ",q,"]
+    with open(f"{folder}/events.csv", "w") as f:
+        f.write("event_type,value,timestamp\ngood,1,2\n" + "\n".join(lines) + "\n")
+    rows = bad_rows(read_event_csv(spark, f"{folder}/events.csv")).collect()
+    assert sorted(r.line for r in rows) == sorted(lines)
 
 
 def test_results_are_published_as_ordered_parts(spark, folder):
@@ -102,8 +123,13 @@ def test_compare_partitions(spark, folder):
             raise RuntimeError("no resources")
         return source(session)
 
+    # Nothing to compare with is no pass; a result of its own to compare with is enough.
     record = jobs.compare_partitions(spark, fails_at_baseline, grouped_summary, 4, 10, runs=1)
-    assert record["passed"] and (record["baseline_time_ms"], record["speedup_factor"]) == (-1, 0)
+    assert not record["passed"] and (record["baseline_time_ms"], record["speedup_factor"]) == (-1, 0)
+    right = grouped_summary(source(spark))
+    assert jobs.compare_partitions(spark, fails_at_baseline, grouped_summary, 4, 10, runs=1, expected=right)["passed"]
+    wrong = right.withColumn("event_count", F.col("event_count") + 1)
+    assert not jobs.compare_partitions(spark, source, grouped_summary, 4, 10, runs=1, expected=wrong)["passed"]
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
@@ -145,14 +171,22 @@ def test_command_line(spark, folder, monkeypatch, capsys):
 
     code, generated = call("generate", "--path", f"{folder}/landing", "--count", "1000")
     assert code == 0 and generated["sha256_of_expected_output"].startswith("f6ff1613")
-    code, record = call("stream-counts", "--path", f"{folder}/landing", "--out", f"{folder}/o", "--checkpoint", f"{folder}/c")
+    code, record = call(
+        "stream-counts", "--path", f"{folder}/landing", "--out", f"{folder}/o", "--checkpoint", f"{folder}/c", "--digest", "canonical"
+    )
     assert code == 0 and record["output_sha256"] == generated["sha256_of_expected_output"]
     code, record = call("batch-summary", "--path", table(folder, 100), "--out", f"{folder}/r.csv")
     assert code == 0 and record["rows_processed"] == 100
     code, record = call("batch-summary", "--path", table(folder, 100), "--out", f"{folder}/r2.csv", "--expected", f"{folder}/r.csv")
     assert code == 0 and record["expected_sha256"] == record["output_sha256"]
     code, record = call("compare", "--path", f"{folder}/landing", "--out", f"{folder}/compared", "--max-bytes", "1000")
-    assert code == 0 and record["events_count"] == 1000
+    assert code == 0 and record["events_count"] == 1000 and record["digest"] == "multiset"
+    with open(f"{folder}/wrong.txt", "w") as f:
+        f.write("event_type_0\t1\n")
+    code, record = call("compare", "--path", f"{folder}/landing", "--out", f"{folder}/compared2", "--expected", f"{folder}/wrong.txt")
+    assert code == 1 and not record["passed"]
+    with pytest.raises(ValueError, match="unknown message format"):
+        call("compare", "--path", f"{folder}/landing", "--out", f"{folder}/compared3", "--format", "letters")
     code, record = call("pipeline", "--path", f"{folder}/landing", "--out", f"{folder}/piped")
     assert code == 0 and record["events_injected"] == 1000
     code, record = call("partitions", "--path", table(folder, 100), "--count", "4", "--baseline", "6")
