@@ -59,6 +59,7 @@ from eventflow.streaming.counter import (
 )
 from eventflow.streaming.progress import RunProgress, completion
 from eventflow.streaming.rescale import rescale_counter
+from eventflow.streaming.sessions import read_ended, read_open, session_counts, start_session_counter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -360,6 +361,18 @@ def batch_progress(spark, sf_dir):
     )
 
 
+@query
+def idle_keys(spark, sf_dir):
+    """STR-1: counts per user and type that end when idle for a day; the ended ones as written, the others in the state."""
+    work, keys, at = work_dir(spark, "idle"), ["user_id", "event_type"], F.col("ts").cast("timestamp").alias("at")
+    events = stream_table(spark, f"{sf_dir}/events.parquet", schemas.EVENTS, max_bytes=BATCH_BYTES).select(*keys, at)
+    checkpoint, idle = f"{work}/checkpoint", "1 day"
+    run_to_end(start_session_counter(events, out=work, checkpoint=checkpoint, keys=keys, time="at", idle=idle), STREAM_TIMEOUT)
+    ended = read_ended(spark, work, session_counts(events, keys, "at", idle).schema)
+    found = ended.withColumn("ended", F.lit(True)).unionByName(read_open(spark, checkpoint, keys).withColumn("ended", F.lit(False)))
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("started", "last_seen")})
+
+
 @query
 def count_changelog(spark, sf_dir):
     """STR-5 in batch."""

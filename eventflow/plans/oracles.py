@@ -114,6 +114,17 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "idle_keys": """
+        WITH g AS (
+            SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 1 DAY, true) AS begins FROM events
+            WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)
+        ), n AS (
+            SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS part FROM g
+        )
+        SELECT user_id, event_type, min(ts) AS started, max(ts) AS last_seen, count(*) AS event_count,
+            max(ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) AS ended
+        FROM n GROUP BY user_id, event_type, part""",
     "csv_rejected_lines": f"""
         SELECT CASE event_id % 10
                 WHEN 1 THEN event_type || ',' || {CENTS} || ',' || (event_id + 1700000000) || ',more'
