@@ -48,6 +48,7 @@ from eventflow.sources.delimited import (
     parse_snapshot_lines,
     read_event_csv,
 )
+from eventflow.sources.inference import infer_types
 from eventflow.sources.large_json import read_large_documents
 from eventflow.sources.messages import as_messages, read_messages, stream_table
 from eventflow.sources.records import parse_run_records
@@ -177,6 +178,19 @@ def csv_rejected_lines(spark, sf_dir):
     return bad.select("line", F.array_join("bad_fields", ",").alias("bad_fields"), F.col("file").isNotNull().alias("has_file"))
 
 
+@query
+def csv_types(spark, sf_dir):
+    """SRC-4: types of the columns of CSV lines, if none or a quarter of the values may be misfits."""
+    lines = derived.csv_lines(derived.events(spark, sf_dir)).filter(F.trim("value") != "")
+    parsed = parse_event_lines(lines, schemas.EVENT_TEXTS)
+    rows = parsed.filter(F.size("bad_fields") == 0)
+    found = [
+        infer_types(rows, schemas.EVENT_TEXTS.fieldNames(), tolerance=tolerance).withColumn("tolerance", F.lit(tolerance))
+        for tolerance in (0.0, 0.25)
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query
 def csv_accounting(spark, sf_dir):
     """SRC-4, JOB-2: every row read is summed, without a value, or rejected."""

@@ -114,6 +114,26 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "csv_types": f"""
+        WITH l AS (
+            SELECT event_type, CAST({CENTS} AS VARCHAR) AS value, CAST(event_id + 1700000000 AS VARCHAR) AS timestamp FROM events
+            UNION ALL
+            SELECT CASE event_id % 10 WHEN 5 THEN 'event_type' ELSE event_type END,
+                CASE event_id % 10 WHEN 5 THEN 'value' WHEN 7 THEN 'n' || event_id END,
+                CASE event_id % 10 WHEN 5 THEN 'timestamp' ELSE CAST(event_id + 1700000000 AS VARCHAR) END
+            FROM events WHERE event_id % 10 IN (3, 5, 7)
+        ), c AS (
+            SELECT 0 AS position, 'event_type' AS column, event_type AS v FROM l
+            UNION ALL SELECT 1, 'value', value FROM l UNION ALL SELECT 2, 'timestamp', timestamp FROM l
+        ), t AS (
+            SELECT position, "column", tolerance, count(v) AS n, count(*) - count(v) AS empty,
+                count(v) FILTER (WHERE NOT regexp_full_match(v, '[0-9]+')) AS texts, min(v) FILTER (WHERE NOT regexp_full_match(v, '[0-9]+')) AS least
+            FROM c, (VALUES (0.0::DOUBLE), (0.25::DOUBLE)) AS q(tolerance) GROUP BY ALL
+        )
+        SELECT CAST(position AS INTEGER) AS position, "column", CASE WHEN texts <= n * tolerance THEN 'bigint' ELSE 'string' END AS type,
+            n AS values, empty, CASE WHEN texts <= n * tolerance THEN texts ELSE 0 END AS misfits,
+            CASE WHEN texts <= n * tolerance THEN least END AS misfit, tolerance
+        FROM t""",
     "idle_keys": """
         WITH g AS (
             SELECT *, coalesce(ts - lag(ts) OVER w > INTERVAL 1 DAY, true) AS begins FROM events

@@ -15,6 +15,9 @@ EVENT_TABLE = T.StructType([
     T.StructField("timestamp", T.IntegerType()),
 ])
 
+# The same columns before they have types.
+EVENT_TEXTS = T.StructType([T.StructField(f.name, T.StringType()) for f in EVENT_TABLE.fields])
+
 NARROW_EVENT_TABLE = T.StructType(EVENT_TABLE.fields[:2])
 
 SUMMARY = T.StructType([
