@@ -25,6 +25,20 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
+def written(spark: SparkSession, path: str) -> dict[str, float]:
+    """When each child of a folder was last written, in seconds of the epoch, by its name."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return {}
+    return {status.getPath().getName(): status.getModificationTime() / 1000 for status in fs.listStatus(p)}
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file; its parent folders are made."""
+    fs, p = _path(spark, path)
+    fs.create(p).close()
+
+
 def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
     """The first line of every data file at these files, folders or patterns, by its path."""
     found = {}

@@ -5,11 +5,17 @@ changes nothing. ``full/batch_id=N`` holds every key as of batch N, ``delta/batc
 only the keys that batch N changed. A reader takes the newest finished full folder and the
 finished deltas after it, and of each key the row of the highest batch. ``base`` holds what an
 earlier run has counted; it is added when the store is read.
+
+A reader beside a running stream pins what it reads: an empty file below ``pins`` names the
+newest full folder that there was, and no folder from that one on is removed while it is there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +24,11 @@ from pyspark.sql import types as T
 from eventflow import files, schemas
 from eventflow.functions.text import render_line
 
-FULL, DELTA, BASE = "full", "delta", "base"
+FULL, DELTA, BASE, PINS = "full", "delta", "base", "pins"
+# Named by a pin if there is no full folder yet.
+NOTHING = -2
+# A pin that is older was left behind by a reader that has died.
+LEASE_SECONDS = 24 * 3600.0
 
 
 class SnapshotStore:
@@ -50,6 +60,22 @@ class SnapshotStore:
             return latest
         return latest.unionByName(base).groupBy(*self.keys).agg(F.sum("event_count").alias("event_count"))
 
+    @contextmanager
+    def pinned(self) -> Iterator[DataFrame]:
+        """``read`` for a reader beside a running stream: what it reads stays until it leaves.
+
+        The pin is set before the folders are listed. A writer that does not see it yet has listed
+        them earlier, and removes only what is older than the newest full folder of that moment,
+        which this reader no longer takes.
+        """
+        newest = max(self._batches(FULL), default=NOTHING)
+        pin = f"{self.path}/{PINS}/{newest}_{uuid.uuid4().hex}"
+        files.touch(self.spark, pin)
+        try:
+            yield self.read()
+        finally:
+            files.remove(self.spark, pin)
+
     def write_base(self, counts: DataFrame) -> None:
         """What an earlier run has counted; written once, before the first batch."""
         if self.base() is None:
@@ -96,16 +122,29 @@ class SnapshotStore:
         return sorted(int(n.split("=", 1)[1]) for n in done)
 
     def _drop_obsolete(self) -> None:
-        """Folders older than the last full folder but one, which a batch run again may still need."""
+        """Folders older than the last full folder but one, which a batch run again may still need,
+        and older than any that a reader has pinned."""
         fulls = self._batches(FULL)
         if len(fulls) < 2:
             return
+        oldest = min(fulls[-2], *self._pinned())
         for kind in (FULL, DELTA):
             for batch in self._batches(kind):
-                if batch < fulls[-2]:
+                if batch < oldest:
                     files.remove(self.spark, f"{self.path}/{kind}/batch_id={batch}")
 
 
+    def _pinned(self) -> list[int]:
+        """Full folders that readers have named; pins beyond their lease are removed."""
+        held = [max(self._batches(FULL))]
+        for name, at in files.written(self.spark, f"{self.path}/{PINS}").items():
+            if time.time() - at > LEASE_SECONDS:
+                files.remove(self.spark, f"{self.path}/{PINS}/{name}")
+            elif not name.startswith("."):
+                held.append(int(name.split("_")[0]))
+        return held
+
+
 def write_snapshot_text(counts: DataFrame, path: str) -> None:
     """The snapshot as sorted lines ``key<TAB>count`` (SRT-2)."""
     line = render_line(F.col("event_type"), F.col("event_count"))

@@ -130,7 +130,8 @@ def wait_for_total(store: SnapshotStore, n: int, timeout: float, poll: float = 1
     """Whether the counts of a running stream reach ``n`` events, of ``keys`` keys at least, in time (STR-6)."""
     deadline = time.monotonic() + timeout
     while True:
-        found = store.read().agg(F.sum("event_count").alias("total"), F.count(F.lit(1)).alias("keys")).first()
+        with store.pinned() as counts:
+            found = counts.agg(F.sum("event_count").alias("total"), F.count(F.lit(1)).alias("keys")).first()
         if (found.total or 0) >= n and found["keys"] >= keys:
             return True
         if time.monotonic() >= deadline:
