@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventflow import schemas
+from eventflow import files, schemas
 from eventflow.functions.numbers import cents, epoch_micros
 from eventflow.functions.text import escaped_row, event_key, event_sequence, render_line, scenario_id
 from eventflow.operators.filters import bad_integers, select_runs
@@ -36,7 +38,7 @@ from eventflow.operators.verify import (
 from eventflow.plans import derived, jobs
 from eventflow.plans.measured import measured
 from eventflow.session import setting, work_dir
-from eventflow.sinks.records import write_single_text
+from eventflow.sinks.records import write_single_text, write_submissions
 from eventflow.sinks.snapshots import SnapshotStore, write_snapshot_text
 from eventflow.sinks.tables import publish_csv, write_handoff, write_segment
 from eventflow.sources import generators
@@ -51,7 +53,7 @@ from eventflow.sources.delimited import (
 from eventflow.sources.inference import infer_types
 from eventflow.sources.large_json import read_large_documents
 from eventflow.sources.messages import as_messages, read_messages, stream_table
-from eventflow.sources.records import parse_run_records
+from eventflow.sources.records import parse_run_records, read_run_records, read_submissions
 from eventflow.streaming.counter import (
     read_changelog,
     run_to_end,
@@ -605,6 +607,79 @@ def partitions_used(spark, sf_dir):
     )
 
 
+# Jobs, by what their records tell
+
+
+def _told(spark: SparkSession, record: dict, *names: str) -> DataFrame:
+    numbers = [F.lit(record[name]).cast("bigint").alias(name) for name in names]
+    return spark.range(1).select(*numbers, F.lit(record["passed"]).alias("passed"))
+
+
+@query
+def stream_job(spark, sf_dir):
+    """JOB-1: the counting job on the event table's messages, checked against the batch form."""
+    work = work_dir(spark, "stream-job")
+    events = derived.events(spark, sf_dir)
+    as_messages(events).write.text(f"{work}/landing")
+    record = jobs.stream_counts(
+        spark, read_messages(spark, f"{work}/landing", max_bytes=BATCH_BYTES), work, f"{work}/checkpoint",
+        key_counts(events), events.count(), timeout=STREAM_TIMEOUT,
+    )
+    return _told(spark, record, "events_injected", "events_counted")
+
+
+@query
+def partitions_job(spark, sf_dir):
+    """JOB-4: CSV with damaged rows at 4 and at 12 partitions, against the table's own summary."""
+    path = work_dir(spark, "partitions-job")
+    events = derived.events(spark, sf_dir)
+    derived.csv_rows(events).write.option("header", True).csv(path)
+    clean = parse_event_lines(derived.csv_rows(events).select(F.to_csv(F.struct("event_type", "value", "timestamp")).alias("value")))
+    record = jobs.compare_partitions(
+        spark, lambda session: read_event_csv(session, path), jobs.summary_of_good_rows, 4, 12, runs=1,
+        timeout=STREAM_TIMEOUT, expected=grouped_summary(good_rows(clean)),
+    )
+    return _told(spark, record, "rows_read", "rows_processed", "rows_rejected", "shuffle_partitions_used")
+
+
+@query
+def all_jobs(spark, sf_dir):
+    """JOB-6, SNK-6, SNK-7: the jobs on as many generated events as the table has; their records, as written."""
+    work = work_dir(spark, "all-jobs")
+    jobs.run_all(spark, work, ["1", "2", "3", "5"], derived.events(spark, sf_dir).count(), STREAM_TIMEOUT)
+    records = read_run_records(spark, f"{work}/results/scenario_*.json")
+    counted = [F.try_variant_get("record", f"$.{name}", "bigint") for name in ("events_injected", "rows_processed", "events_count")]
+    return records.select("id", "name", "passed", F.coalesce(*counted).alias("worked_off"))
+
+
+@query
+def submission_violations(spark, sf_dir):
+    """SRC-7: a result file for each submission, and one that is missing for each; first violation of all."""
+    root = work_dir(spark, "submissions")
+    texts = derived.documents(derived.events(spark, sf_dir).filter("event_id % 25 = 0").dropDuplicates(["event_id"]))
+    given = texts.filter(F.col("text").isNotNull())
+    write_submissions(given, root)
+    names = given.select(F.col("submission").cast("string"))
+    expected = names.unionByName(names.select(F.concat(F.lit("late-"), "submission").alias("submission")))
+    return first_violations(read_submissions(spark, root, expected)).drop("position")
+
+
+@query
+def counts_from_now(spark, sf_dir):
+    """SRC-3: a stream that begins now does not count what was there before."""
+    work = work_dir(spark, "from-now")
+    events = derived.events(spark, sf_dir)
+    as_messages(events.filter("event_id % 2 = 0")).write.text(f"{work}/landing")
+    names = files.written(spark, f"{work}/landing")
+    now = datetime.fromtimestamp(max(names.values()) + 1, timezone.utc)
+    while datetime.now(timezone.utc) < now:
+        time.sleep(0.1)
+    as_messages(events.filter("event_id % 2 = 1")).write.mode("append").text(f"{work}/landing")
+    later = read_messages(spark, f"{work}/landing", start="latest", since=now, max_bytes=BATCH_BYTES)
+    run_to_end(start_counter(parse_messages(later), out=work, checkpoint=f"{work}/checkpoint"), STREAM_TIMEOUT)
+    return SnapshotStore(spark, f"{work}/counts").read()
+
+
 # Run records
 
 

@@ -322,7 +322,7 @@ def run_all(
 
     runs = read_run_records(spark, f"{work}/results/scenario_*.json").filter(F.col("id").isin(wanted))
     summary = f"{work}/results/result.json"
-    write_summary(runs, summary)
+    write_summary(runs, summary, single_file=True)
     document = spark.read.text(summary, wholetext=True)
     violation = first_violations(document.select(F.lit("result").alias("submission"), F.col("value").alias("text")))
     checked = violation.first()

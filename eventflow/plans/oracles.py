@@ -114,6 +114,25 @@ EXACT_LINES = """
 
 
 ORACLES = {
+    "stream_job": "SELECT count(*) AS events_injected, count(*) AS events_counted, true AS passed FROM events",
+    "partitions_job": """
+        SELECT count(*) + count(*) FILTER (WHERE event_id % 10 IN (3, 7)) AS rows_read,
+            count(*) + count(*) FILTER (WHERE event_id % 10 = 3) AS rows_processed,
+            count(*) FILTER (WHERE event_id % 10 = 7) AS rows_rejected, CAST(4 AS BIGINT) AS shuffle_partitions_used, true AS passed
+        FROM events""",
+    "all_jobs": """
+        SELECT id, name, true AS passed, (SELECT count(*) FROM events) AS worked_off
+        FROM (VALUES ('01', 'flink-basic'), ('02', 'spark-batch'), ('03', 'stream-vs-batch'), ('05', 'pipeline')) AS j(id, name)""",
+    "submission_violations": f"""
+        WITH d AS (SELECT DISTINCT event_id FROM events WHERE event_id % 25 = 0 AND event_id % 17 <> 1), v AS (
+            SELECT CAST(event_id AS VARCHAR) AS submission,
+                CAST(CASE event_id % 17 WHEN 0 THEN NULL WHEN 9 THEN 8 WHEN 10 THEN 9 WHEN 8 THEN 7 WHEN 12 THEN 10
+                    WHEN 13 THEN 11 WHEN 14 THEN 11 WHEN 15 THEN 12 WHEN 16 THEN 12 WHEN 11 THEN 10 ELSE event_id % 17 END AS INTEGER) AS rule
+            FROM d
+            UNION ALL SELECT 'late-' || event_id, 1 FROM d
+        )
+        SELECT submission, rule, {DETAIL} AS detail, rule IS NULL AS valid FROM v""",
+    "counts_from_now": "SELECT event_type, count(*) AS event_count FROM events WHERE event_id % 2 = 1 GROUP BY event_type",
     "csv_types": f"""
         WITH l AS (
             SELECT event_type, CAST({CENTS} AS VARCHAR) AS value, CAST(event_id + 1700000000 AS VARCHAR) AS timestamp FROM events

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,12 +26,12 @@ def write_run(spark: SparkSession, folder: str, record: dict[str, Any]) -> str:
     return target
 
 
-def write_summary(runs: DataFrame, path: str, single_file: bool = True) -> None:
+def write_summary(runs: DataFrame, path: str, single_file: bool = False) -> None:
     """The summary document of ``read_run_records`` rows.
 
-    Its readers expect one file: its lines are ordered by all tasks and written by one, which
-    holds none of them. Unless ``single_file``, it is a folder whose parts, written by many
-    tasks, are the document if put together by name.
+    It is a folder whose parts, written by many tasks, are the document if put together by name.
+    With ``single_file``, as some of its readers expect it, lines are ordered by all tasks and
+    written by one, which holds none of them.
     """
     record = F.coalesce(F.to_json("record"), F.to_json(F.struct("id", "error", "passed")))
     lines = summary_lines(runs.withColumn("record_json", record))
@@ -41,6 +42,21 @@ def write_summary(runs: DataFrame, path: str, single_file: bool = True) -> None:
         text.write.mode("overwrite").text(path)
 
 
+def write_submissions(texts: DataFrame, root: str) -> None:
+    """``submission, text`` rows as ``<root>/<submission>/result.json``, a file each.
+
+    Tasks write the texts; putting the files in place is a rename each.
+    """
+    spark, parts = texts.sparkSession, f"{root.rstrip('/')}_parts"
+    rows = texts.select(F.col("submission").cast("string").alias("submission"), F.col("text").alias("value"))
+    rows.write.mode("overwrite").partitionBy("submission").text(parts)
+    for folder in files.children(spark, parts):
+        if folder.startswith("submission="):
+            name = unquote(folder.removeprefix("submission="))
+            _single_part(spark, f"{parts}/{folder}", f"{root.rstrip('/')}/{name}/result.json")
+    files.remove(spark, parts)
+
+
 def write_single_text(lines: DataFrame, path: str) -> None:
     """Ordered lines as one file."""
     lines.coalesce(1).write.mode("overwrite").text(f"{path}_parts")

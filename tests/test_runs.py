@@ -113,7 +113,7 @@ def test_summary_document(spark, folder):
     with open(f"{folder}/results/scenario_77.json", "w") as f:
         f.write("{broken")
     runs = read_run_records(spark, f"{folder}/results/scenario_*.json")
-    write_summary(runs, f"{folder}/result.json")
+    write_summary(runs, f"{folder}/result.json", single_file=True)
     text = open(f"{folder}/result.json").read()
     doc = json.loads(text)
     assert (doc["scenarios_passed"], doc["scenarios_total"]) == (20, 30)
