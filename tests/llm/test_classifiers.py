@@ -36,7 +36,9 @@ def test_edges_have_scores(spark, score):
     rows = score(documents(spark, EDGES), weights).collect()
     name = "quality_score" if score is quality.score_quality else "toxicity"
     assert all(0 <= r[name] <= 1 for r in rows) and len(rows) == len(EDGES)
-    assert rows[0][name] == pytest.approx(1 / (1 + np.e)) == rows[1][name] == rows[2][name] or True
+    # Texts without words have the score of the bias alone.
+    empty = [r[name] for r in rows if r.doc_id in (0, 1, 2)]
+    assert empty == pytest.approx([1 / (1 + np.e)] * 3)
     assert score(documents(spark, []), weights).count() == 0
 
 
