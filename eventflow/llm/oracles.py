@@ -1,6 +1,6 @@
 """The same results in DuckDB's SQL, where SQL can express them."""
 
-from eventflow.llm.licenses import RULES, SENTENCES, pattern
+from eventflow.llm.licenses import RULES, SAID, SEE, SENTENCES, pattern
 
 OP10_EXACT_DEDUP = r"""
 WITH d AS (
@@ -137,9 +137,12 @@ def _licenses() -> str:
         for k, (name, rule) in enumerate(RULES)
     )
     return rf"""
-WITH d AS (
-  SELECT doc_id, row_number() OVER () AS r, string_split(regexp_replace(coalesce(text, ''),
-    '([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n', '\1' || chr(1), 'g'), chr(1)) AS parts FROM documents
+WITH v AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_replace(coalesce(text, ''),
+    '\b([vV]|[vV]er)\.([\x20\x09-\x0D]+[0-9])', '\1' || chr(2) || '\2', 'g') AS text FROM documents
+), d AS (
+  SELECT doc_id, r, list_transform(string_split(regexp_replace(text,
+    '([.!?;:])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n', '\1' || chr(1), 'g'), chr(1)), lambda p: replace(p, chr(2), '.')) AS parts FROM v
 ), c AS (
   SELECT doc_id, r, flatten(list_transform(parts, lambda p: CASE WHEN contains(p, chr(10))
     THEN list_concat([p], string_split(p, chr(10))) ELSE [p] END)) AS parts FROM d
@@ -149,9 +152,13 @@ WITH d AS (
   SELECT r, place, regexp_replace(regexp_replace(
     translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9.]+', ' ', 'g'),
     '^[ .]+|[ .]+$', '', 'g') AS sentence FROM e
+), p AS (
+  SELECT *, regexp_replace(regexp_replace(sentence, '{SAID}', 'licensed under '), '{SEE}', '') AS plain FROM n
 ), k(sentence, name) AS (VALUES {known}
 ), f AS (
-  SELECT r, string_agg(name, ',' ORDER BY place) AS sentence_ids FROM n JOIN k USING (sentence) GROUP BY r
+  SELECT r, string_agg(coalesce(k.name, l.name), ',' ORDER BY place) AS sentence_ids
+  FROM p LEFT JOIN k USING (sentence) LEFT JOIN k AS l ON p.plain = l.sentence
+  WHERE k.name IS NOT NULL OR l.name IS NOT NULL GROUP BY r
 ), s0 AS (
   SELECT doc_id, r, coalesce(sentence_ids, '') AS sentence_ids, []::VARCHAR[] AS names,
          ',' || coalesce(sentence_ids, '') || ',' AS rest FROM d LEFT JOIN f USING (r)

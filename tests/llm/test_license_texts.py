@@ -1,9 +1,14 @@
 import re
 
+import duckdb
+import pyarrow as pa
 import pytest
+from compare import difference
+from pyspark.sql import functions as F
 from tables import EDGES, documents
 
 from eventflow.llm.licenses import SENTENCES, TRIGGERS, scan
+from eventflow.llm.queries import ORACLE_SQL
 
 MIT = """MIT License
 
@@ -98,6 +103,19 @@ def test_standard_notices_as_they_are(spark):
     assert [r.licenses for r in rows] == [n if isinstance(n, list) else [n] for n in names]
 
 
+def test_sql_says_what_the_query_says(spark):
+    """On all notices, alone and among other text, with stops after "v." and "ver." in several places."""
+    texts = [*NOTICES.values(), *PHRASES]
+    texts += [f"Some text v. 2 here, see ver. 3. {t} More ver. x.\n\nv.\n\n2. End" for t in texts]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": range(len(texts)), "text": texts}))
+    found = scan(documents(spark, texts)).select(
+        "doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses")
+    )
+    assert difference(found, con.sql(ORACLE_SQL["op8_licenses"])) is None
+    assert found.where("licenses <> ''").count() > len(texts) / 2
+
+
 def test_edges_and_repeated_rows(spark):
     rows = scan(documents(spark, EDGES + ["MIT License"] * 2, [*range(len(EDGES)), 70, 70])).collect()
     assert [r.licenses for r in rows] == [[]] * len(EDGES) + [["MIT"], ["MIT"]]
