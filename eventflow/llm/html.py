@@ -20,7 +20,7 @@ BLOCKS = frozenset(
 )
 # Elements whose content is no text of the page.
 SILENT = frozenset(
-    "applet audio button canvas datalist embed head iframe map math noframes noscript object option script select style "
+    "applet audio button canvas datalist embed head iframe map noframes noscript object option script select style "
     "svg template textarea title video".split()
 )
 # Of these, elements whose content is not markup.
@@ -28,7 +28,9 @@ RAW = frozenset("iframe noframes noscript script style textarea title".split())
 # Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Elements around what is not the article, and those around the article.
-AROUND = frozenset("aside dialog footer form menu nav".split())
+AROUND = frozenset("aside footer menu nav".split())
+# Elements around what is not the article, unless they hold the page's article.
+HOLDERS = frozenset("dialog form".split())
 INSIDE = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of class and id names, and of roles, that mark such surroundings.
@@ -260,10 +262,10 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID or attributes.endswith("/") and tag not in BLOCKS:
             continue
         around = tag in AROUND or (tag == "header" and not depth["inside"])
-        marks: set[str] = set()
+        marks: set[str] = {tag} if tag in HOLDERS else set()
         if not around and attributes and tag not in ("html", "body") and (tag not in INSIDE or depth["inside"] > 0):
             around = _hidden(attributes)
-            marks = _marks(attributes)
+            marks |= _marks(attributes)
             if depth["inside"]:
                 marks = set() if tag in HEADINGS or tag in ("header", "hgroup") and marks <= {"header", "banner"} else marks - {"header"}
         if tag in RAW:
@@ -336,7 +338,8 @@ def main_blocks(page: list[Block]) -> list[Block]:
     First each block is judged by its surroundings, length, share of links and density of
     function words. Then those left open get the label of the nearest decided neighbours:
     good if either is; a heading that of the next. Inside of a marked article only that
-    article's blocks are neighbours, and what has none is good.
+    article's blocks are neighbours, and what has none is good. On a page without a good block
+    those left open are the text.
     """
     framed = any(b.inside and not b.around for b in page)
     listed = framed or _listed(page)
@@ -362,7 +365,7 @@ def main_blocks(page: list[Block]) -> list[Block]:
             before = label
         if label == GOOD:
             kept.append(block)
-    return kept
+    return kept or [b for b, label in zip(page, labels) if label is OPEN]
 
 
 def main_text(html: str) -> str:
@@ -373,9 +376,9 @@ def main_text(html: str) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """The rows with ``text``, the page's main text, and ``n_chars``, its code points.
 
-    Null html is an empty page, with empty text. Pages are independent: nothing is
-    shuffled, repeated rows get equal results, and other columns but ``text`` and
-    ``n_chars`` stay.
+    Null html is an empty page, with empty text; an empty table gives no rows; very long pages
+    are read whole, in one pass. Pages are independent: nothing is shuffled, repeated rows get
+    equal results, and other columns but ``text`` and ``n_chars`` stay.
     """
 
     @F.pandas_udf("string")
