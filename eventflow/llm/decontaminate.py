@@ -190,7 +190,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     inside an occurrence of a window of an item), n_items, item_ids (as strings, sorted).
     Null text has no words; a document or item without words has no hits. Items of one id
     count once; an item without id marks words but is not listed. Repeated rows get equal
-    results, one each. Empty tables give no rows, or rows without hits.
+    results, one each. Empty tables give no rows, or rows without hits. Very long texts are
+    read whole; other columns are not looked at.
     """
     words = stored(benchmark_words(benchmark), "words")
     index = build_index(docs, words)

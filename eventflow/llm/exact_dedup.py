@@ -63,7 +63,8 @@ def label_copies(
     digest, keep_id, group_size, kept. Of equal texts the longest original stays, then the
     smallest id (no id comes last), then, for rows equal in both, the first row read; so
     exactly one row of a group is kept. Null text is empty text, and all empty texts are
-    equal. An empty table gives an empty result. Other columns are not looked at.
+    equal. Very long texts are hashed whole. An empty table gives an empty result. Other columns
+    are not looked at.
 
     Digests that more than one row in ``SUPPORT`` has are found by Misra-Gries counters and
     verified by exact counting; their winners, at most ``SUPPORT`` rows, are broadcast, so

@@ -137,7 +137,8 @@ def scan(docs: DataFrame) -> DataFrame:
     then tried in order of precedence, each takes its sentences away, so that parts of a
     licence do not count as another. Everything happens inside of the row, nothing is
     shuffled. Null and empty texts have neither; repeated rows get equal results, and other
-    columns are not looked at.
+    columns are not looked at. Very long texts are read whole, an empty table gives no rows; of
+    rules that would fit the same sentences the first one listed takes them.
     """
     text = text_or_empty()
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])

@@ -180,8 +180,10 @@ def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
 
     Returns a row per input row: doc_id, n_tokens, n_known (tokens seen in training),
     base_score, score. Null text is empty text, which has its end alone; ids may be null,
-    repeated rows get equal results each. Without training tokens each token has probability
-    1 under the counts. Frequent words are looked up in the task; the others, one row per
+    repeated rows get equal results each; very long texts are scored whole; other columns are not
+    looked at; an empty table gives no rows. Of words of equal counts the first in byte order is
+    in the vocabulary. The weights, and so the scores, depend on how the table is dealt to
+    tasks. Without training tokens each token has probability 1 under the counts. Frequent words are looked up in the task; the others, one row per
     document and word, are joined with the counts.
     """
     spark = docs.sparkSession

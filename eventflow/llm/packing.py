@@ -122,8 +122,10 @@ def pack(
     sequence. The rest is dealt evenly to tasks, about ``pieces`` rows of a few numbers each,
     and packed there by best fit, longest first; only these rows move, never texts. Each task
     leaves little padding but in its last sequences. Null text is empty and has one token.
-    Repeated rows are packed as often as they come; ids may be null. An empty table gives
-    no sequences.
+    Repeated rows are packed as often as they come; ids may be null; very long texts are
+    tokenised whole. Pieces of equal length are interchangeable: which window each gets depends
+    on the order in which they reach a task. Other columns are not looked at. An empty table
+    gives no sequences.
     """
     table = stored(cut(docs, window, vocabulary, with_ids), "pieces")
     full = table.where(F.col("length") == window).select(

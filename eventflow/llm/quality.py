@@ -105,8 +105,9 @@ def fit_quality(sample: DataFrame) -> np.ndarray:
 def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """The rows with a ``quality_score`` from 0 to 1, of the whole text.
 
-    Null text is empty text, whose score is that of the bias alone. All columns stay,
-    but one that is called ``quality_score`` before.
+    Null text is empty text, whose score is that of the bias alone; very long texts are read
+    whole. Rows are scored each by itself: repeated rows get equal scores, an empty table gives
+    no rows. All columns stay, but one that is called ``quality_score`` before.
     """
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 

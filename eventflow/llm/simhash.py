@@ -249,7 +249,8 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS,
     one included), keep_row (the row of that id; the first read, if the id repeats). Texts of
     equal fingerprints are linked. Null text is empty; texts without words have fingerprint
     0 and are linked like any other. Rows without id take part in links; their component is
-    null only if none of it has an id. An empty table gives an empty result.
+    null only if none of it has an id. Very long texts are read whole; columns that are not
+    named are not looked at. An empty table gives an empty result.
     """
     rows = _rows(docs, size, carry)
     return rows.join(_classes(rows, radius), "fingerprint")
