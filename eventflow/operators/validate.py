@@ -156,10 +156,14 @@ def large_violations(documents: DataFrame, elements: DataFrame, expected: DataFr
     if expected is not None:
         names = expected.select(F.col("document").alias("submission")).distinct()
         texts = names.join(texts, "submission", "full_outer")
+    # A row per document, small enough to be joined by broadcasting, read more than once.
+    whole = work_dir(documents.sparkSession, "json-outlines")
+    texts.join(broken, "submission", "left").select(
+        "submission", "text", (F.col("readable") & ~F.coalesce("broken", F.lit(False))).alias("readable")
+    ).write.parquet(whole)
     doc = F.col("doc")
-    read = texts.join(broken, "submission", "left").select(
-        "submission", "text",
-        F.when(F.col("readable") & ~F.coalesce("broken", F.lit(False)), parse_document(F.col("text"))).alias("doc"),
+    read = documents.sparkSession.read.parquet(whole).select(
+        "submission", "text", F.when(F.col("readable"), parse_document(F.col("text"))).alias("doc")
     )
     outlines = read.select(
         "submission", "text", doc.isNull().alias("unreadable"),

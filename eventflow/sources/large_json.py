@@ -264,9 +264,9 @@ def _assembled(size: DataFrame, states: DataFrame, pieces: DataFrame) -> LargeDo
     complete = states.groupBy("document").agg(F.bool_and("complete").alias("complete"))
     documents = size.select("document").join(outlines, "document", "left").join(ends, "document", "left").join(complete, "document", "left")
     readable = F.col("balanced") & F.col("complete") & F.col("outline").isNotNull()
-    return LargeDocuments(
-        documents.select("document", F.coalesce(readable, F.lit(False)).alias("readable"), "outline"), elements
-    )
+    # A row per document, read more than once.
+    outlined = documents.select("document", F.coalesce(readable, F.lit(False)).alias("readable"), "outline")
+    return LargeDocuments(_stored(outlined, "json-documents"), elements)
 
 
 def _joined(pieces: DataFrame, keys: list[str]) -> DataFrame:
