@@ -41,3 +41,8 @@ def test_entry(spark):
     result = entry_points.entry(spark)
     assert result.columns == ["event_type", "total_cents", "event_count", "max_ts"]
     assert [r.event_type for r in result.collect()] == ["click", "error", "purchase", "signup", "view"]
+
+
+@pytest.mark.parametrize("name", ["summary_violations", "all_violations_of_documents"])
+def test_documents_of_one_file_are_judged_by_many_tasks(spark, name):
+    assert QUERIES[name](spark, SF_DIR).rdd.getNumPartitions() > 8
