@@ -3,11 +3,12 @@ import json
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from eventflow import files
 from eventflow.functions.json import parse_document
 from eventflow.operators.runs import roll_up, summary_lines
 from eventflow.operators.validate import RULES, all_violations, first_violations
-from eventflow.sinks.records import append_run, write_run, write_summary
-from eventflow.sources.records import read_run_records
+from eventflow.sinks.records import append_run, write_run, write_submissions, write_summary
+from eventflow.sources.records import read_run_records, read_submissions
 
 SLOW = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -147,6 +148,21 @@ def test_documents_are_parsed_once_and_not_described_whole(spark, folder):
         assert plan.count("lengthOfJsonArray") == 1 and "schemaOfVariant(doc" not in plan
 
 
+def test_submissions_are_put_in_place_by_tasks(spark, folder, monkeypatch):
+    def refused(*_):
+        raise AssertionError("a file moved by the driver")
+
+    monkeypatch.setattr(files, "move", refused)
+    root, given = f"{folder}/a b%20c", [("1", "one\ntwo"), ("x y%", "é"), (None, ""), ("null", None)]
+    for changed in ("", "more"):
+        rows = [(n, None if t is None else t + changed) for n, t in given]
+        write_submissions(spark.createDataFrame(rows, "submission string, text string"), root)
+        found = {r.submission: r.text for r in spark.read.text(f"{folder}/a b%20c/*/result.json", wholetext=True).selectExpr(
+            "regexp_extract(_metadata.file_path, '([^/]+)/result.json$', 1) AS submission", "value AS text").collect()}
+        assert found["1"] == "one\ntwo" + changed + "\n" and found["__HIVE_DEFAULT_PARTITION__"] == changed + "\n"
+    assert read_submissions(spark, root).count() == len(found)
+
+
 def test_append_run(spark, folder):
     for i in range(3):
         append_run(spark, f"{folder}/runs", {"id": str(i), "passed": True})
