@@ -33,8 +33,7 @@ LOOSE = {
 MAY_HOLD = r"[0-9@]|[(\[]at[)\]]"
 DOCUMENT = "document"
 CONTEXT = 24
-# Bound of the labelled candidates that the trees are fitted on; share held back for thresholds.
-MOST_ROWS = 20_000
+# Share of the labelled candidates that is held back for thresholds.
 HELD_BACK = 4
 PRECISION = 0.95
 TREES, DEPTH = 10, 4
@@ -199,27 +198,29 @@ def _scored(spans: DataFrame, trees: GBTClassificationModel) -> DataFrame:
     )
 
 
-def fit(spans: DataFrame, most_rows: int = MOST_ROWS) -> Judge:
-    """Trees on at most ``most_rows`` labelled spans, chosen by a hash; thresholds on a part held back.
+def fit(spans: DataFrame) -> Judge:
+    """Trees on all labelled spans but those held back by a hash, which the thresholds come from.
 
+    Spans of equal features and label are one row with their number as its weight, so what the
+    trees are fitted on grows with the different forms only.
     A kind's threshold is the least score (in hundredths) from which spans held back are
     right with ``PRECISION``. Without both labels there are no trees, and nothing is added.
     """
-    key = F.xxhash64("kind", "found", "left")
-    sample = stored(
-        spans.where(F.col("label").isNotNull()).withColumn("key", key).orderBy("key", "row", "start", "kind").limit(most_rows),
-        "labelled",
+    labelled, names = features(spans.where(F.col("label").isNotNull()))
+    held_back = (F.pmod(F.xxhash64("kind", "found", "left"), F.lit(HELD_BACK)) == 0).alias("held")
+    forms = stored(
+        labelled.groupBy(held_back, "kind", "label", *names).agg(F.count(F.lit(1)).cast("double").alias("n")), "labelled"
     )
-    held = F.pmod(F.col("key"), F.lit(HELD_BACK)) == 0
-    if sample.where(~held).select("label").distinct().count() < 2:
+    held = F.col("held")
+    if forms.where(~held).select("label").distinct().count() < 2:
         return Judge(None, {})
-    made, names = features(sample.where(~held))
-    given = VectorAssembler(inputCols=names, outputCol="features").transform(made)
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(given)
+    given = VectorAssembler(inputCols=names, outputCol="features").transform(forms)
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, weightCol="n").fit(given.where(~held))
+    scored = trees.transform(given.where(held)).withColumn("score", vector_to_array("probability")[1])
     # At most a hundred rows a kind.
     counts = (
-        _scored(sample.where(held), trees).groupBy("kind", F.floor(F.col("score") * 100).alias("bin"))
-        .agg(F.sum("label").alias("right"), F.count(F.lit(1)).alias("n"))
+        scored.groupBy("kind", F.floor(F.col("score") * 100).alias("bin"))
+        .agg(F.sum(F.col("label") * F.col("n")).alias("right"), F.sum("n").alias("n"))
     )
     above = Window.partitionBy("kind").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
     enough = counts.withColumns({"right": F.sum("right").over(above), "n": F.sum("n").over(above)}).where(

@@ -87,6 +87,21 @@ def test_chains_of_overlapping_spans_keep_all_that_fit(spark, monkeypatch):
     assert sorted((r.row, r.start) for r in found) == [(1, 0), (1, 29), (1, 40), (2, 5), (3, 4)]
 
 
+def test_trees_and_thresholds_come_from_all_labelled_spans(spark, monkeypatch):
+    """Of 60,000 labelled spans all count, each equal form as often as it occurs."""
+    fitted = []
+    train = pii.GBTClassifier.fit
+    monkeypatch.setattr(pii.GBTClassifier, "fit", lambda self, rows: fitted.append(rows.select(self.getWeightCol())) or train(self, rows))
+    spans = spark.range(60_000).select(
+        F.col("id").alias("row"), F.lit("phone").alias("kind"), F.lit(0).alias("start"), F.lit(12).alias("end"),
+        F.concat(F.lit("+"), F.lpad(F.col("id").cast("string"), 11, "1")).alias("found"),
+        F.lit("call ").alias("left"), F.lit("").alias("right"), (F.col("id") % 2).cast("double").alias("label"),
+    ).withColumn("found", F.when(F.col("label") == 0, F.concat("found", F.lit("a"))).otherwise(F.col("found")))
+    judge = pii.fit(spans)
+    held = spans.where(F.pmod(F.xxhash64("kind", "found", "left"), F.lit(pii.HELD_BACK)) == 0).count()
+    assert fitted[0].agg(F.sum(fitted[0].columns[0])).first()[0] == 60_000 - held and judge.thresholds["phone"] >= 0.5
+
+
 def test_luhn(spark):
     values = ["4111111111111111", "4111111111111112", "0", "", None, "79927398713"]
     found = spark.createDataFrame([(v,) for v in values], "v string").select(F.coalesce(pii.luhn(F.col("v")), F.lit(False)).alias("x"))
