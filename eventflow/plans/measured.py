@@ -46,8 +46,11 @@ def measured(spark: SparkSession) -> Iterator[Shuffles]:
     store, tracker = scala.statusStore(), scala.statusTracker()
     stages = {stage for job in tracker.getJobIdsForTag(tag) for stage in tracker.getJobInfo(job).get().stageIds()}
     for stage in sorted(stages):
+        # A stage whose shuffle files were there already is skipped: it has moved nothing. The
+        # session forgets skipped stages before any other.
+        if not tracker.getStageInfo(stage).isDefined():
+            continue
         data = store.lastStageAttempt(stage)
-        # A stage whose shuffle files were there already is skipped: it has moved nothing.
         if data.status().toString() == "SKIPPED":
             continue
         found.written_bytes += data.shuffleWriteBytes()
