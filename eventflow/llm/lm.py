@@ -22,6 +22,8 @@ END = b"\n"
 START_DOCUMENTS, START_PASSES = 512, 4
 # Distinct words that a task holds before it hands their counts on.
 HELD = 500_000
+# Weights that are averaged in one row.
+TOGETHER = 1 << 10
 
 
 def words_of(text: str) -> list[bytes]:
@@ -109,7 +111,7 @@ def fit(docs: DataFrame, training: Column, corpus: Corpus) -> LanguageModel:
     corpus has, as far as they are listed as frequent; others are one class, in which their
     smoothed counts tell them apart. One task trains a start on a bounded number of
     documents. From there each task trains on all of its own documents, and the weights are
-    averaged by tokens with partial aggregation: what comes to the driver is one set.
+    averaged by tokens, each block of them in one task: what comes to the driver is one set.
     """
     known = [(w, c) for w, c in corpus.frequent if w != END][: recurrent.vocabulary_size(corpus.words) - 1]
     ends = next((c for w, c in corpus.frequent if w == END), 0)
@@ -131,6 +133,17 @@ def _trained(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: dict[b
     """Weights after each task's training on its own documents, averaged by tokens."""
     shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
 
+    def blocks(values, tokens):
+        starts = np.append(np.arange(0, len(values), TOGETHER), len(values))
+        rows = len(starts) - 1
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.arange(rows)), pa.array(np.full(rows, tokens, np.int64)),
+                pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values.astype(np.float32))),
+            ],
+            ["block", "tokens", "value"],
+        )
+
     def train(batches):
         single_threaded()
         start, known = shared.value
@@ -158,23 +171,32 @@ def _trained(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: dict[b
             for part in kept:
                 trainer.learn(part)
         if tokens:
-            values = recurrent.flat(trainer.weights).astype(np.float64) * tokens
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(values))), pa.array(values), pa.array(np.full(len(values), float(tokens)))],
-                ["at", "value", "tokens"],
-            )
+            yield blocks(recurrent.flat(trainer.weights), tokens)
 
-    summed = docs.select("text").mapInArrow(train, "at long, value double, tokens double").groupBy("at").agg(
-        (F.sum("value") / F.sum("tokens")).alias("value")
-    )
-    found = summed.toArrow()
+    shares = docs.select("text").mapInArrow(train, "block long, tokens long, value array<float>")
+    found = shares.repartition("block").mapInArrow(_averages, "block long, value array<double>").toArrow()
     if not found.num_rows:
         return weights
     values = recurrent.flat(weights).astype(np.float64)
-    values[found["at"].to_numpy()] = found["value"].to_numpy()
+    for block, value in zip(found["block"].to_pylist(), found["value"]):
+        values[block * TOGETHER :][: len(value)] = value.values.to_numpy()
     return recurrent.like(values, weights)
 
 
+def _averages(batches):
+    """Of each block its mean by tokens; what is held is a sum for each block of the task."""
+    sums, tokens = {}, Counter()
+    for batch in batches:
+        for block, n, value in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("block", "tokens", "value"))):
+            block, n = block.as_py(), n.as_py()
+            value = value.values.to_numpy().astype(np.float64) * n
+            sums[block] = sums[block] + value if block in sums else value
+            tokens[block] += n
+    for block, total in sums.items():
+        value = pa.ListArray.from_arrays(pa.array([0, len(total)], pa.int32()), pa.array(total / tokens[block]))
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), value], ["block", "value"])
+
+
 def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
     """The log10-likelihood of each whole text under the smoothed counts and under the model.
 

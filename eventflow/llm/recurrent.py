@@ -18,6 +18,13 @@ RATE = 0.004
 # Position of the end of a text in the vocabulary.
 END = 0
 FLOOR = np.float32(-1e9)
+# Scores under which no maximum is taken off; the most that a step moves a weight, as a multiple of
+# its rate: the root of the sum of (0.9 * 0.9 / 0.99)**k over all k, by Cauchy and Schwarz.
+SMALL, MOST_STEP = 40, (1 - 0.9 * 0.9 / 0.99) ** -0.5
+# Rows and values that are worked on at once, and states that are held until they are scored.
+BLOCK, HELD, SCORED = 512, 1 << 15, 1 << 16
+# Weights of which a window has few rows.
+LARGE = ("inputs", "words", "word_bias")
 
 
 @dataclass
@@ -94,14 +101,14 @@ def _step(given: np.ndarray, state: np.ndarray, recurrent: np.ndarray):
     return update, reset, candidate, moved, candidate + update * (state - candidate)
 
 
-def _limits(weights: dict[str, np.ndarray]) -> bool:
-    """Whether no score can be too large to be raised without taking the maximum off first.
+def _limit(weights: dict[str, np.ndarray]) -> float:
+    """What no score exceeds. States lie between -1 and 1, so a score is at most its weights' sum and its bias.
 
-    States lie between -1 and 1, so a score is at most its weights' sum and its bias.
+    Below ``SMALL`` scores can be raised without taking the maximum off first.
     """
     by_class = np.abs(weights["classes"]).sum(axis=0) + weights["class_bias"]
     by_word = np.abs(weights["words"]).sum(axis=2) + weights["word_bias"]
-    return max(float(by_class.max()), float(by_word.max())) < 40
+    return max(float(by_class.max()), float(by_word.max()))
 
 
 def _segments(classes: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
@@ -110,22 +117,31 @@ def _segments(classes: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]
     return order, np.searchsorted(classes[order], np.arange(number + 1))
 
 
-def log_probabilities(states: np.ndarray, targets: np.ndarray, weights: dict[str, np.ndarray]) -> np.ndarray:
+def _with_ones(states: np.ndarray) -> np.ndarray:
+    """States with a one behind each, which takes up a bias."""
+    return np.concatenate([states, np.ones((len(states), 1), states.dtype)], axis=1)
+
+
+def log_probabilities(
+    states: np.ndarray, targets: np.ndarray, weights: dict[str, np.ndarray], small: bool | None = None
+) -> np.ndarray:
     """Natural logarithms of the targets' probabilities; for a rare word, of being one."""
     rare = len(weights["inputs"]) - 1
     number, size = weights["word_bias"].shape
-    small = _limits(weights)
+    small = _limit(weights) < SMALL if small is None else small
     classes = np.where(targets == rare, number, targets // size)
-    scores = states @ weights["classes"]
-    scores += weights["class_bias"]
-    out = _picked(scores, classes, small)
+    states = _with_ones(states)
+    head = np.concatenate([weights["classes"], weights["class_bias"][None]])
+    out = np.empty(len(targets), states.dtype)
+    for first in range(0, len(targets), BLOCK):
+        part = slice(first, first + BLOCK)
+        out[part] = _picked(states[part] @ head, classes[part], small)
     order, starts = _segments(classes, number)
-    for k in range(number):
-        mine = order[starts[k] : starts[k + 1]]
-        if len(mine):
-            inner = states[mine] @ weights["words"][k].T
-            inner += weights["word_bias"][k]
-            out[mine] += _picked(inner, targets[mine] % size, small)
+    for k in np.flatnonzero(np.diff(starts)).tolist():
+        own = np.concatenate([weights["words"][k], weights["word_bias"][k][:, None]], axis=1).T
+        for first in range(starts[k], starts[k + 1], BLOCK):
+            mine = order[first : min(first + BLOCK, starts[k + 1])]
+            out[mine] += _picked(states[mine] @ own, targets[mine] - k * size, small)
     return out
 
 
@@ -141,44 +157,56 @@ def _picked(scores: np.ndarray, which: np.ndarray, small: bool) -> np.ndarray:
 def score_texts(texts: list[np.ndarray], weights: dict[str, np.ndarray], side_by_side: int = 2048) -> np.ndarray:
     """Natural log-likelihood of each whole sequence of word positions, each ended by ``END``.
 
-    Texts of similar length go through side by side. The state is carried from window to
-    window, so memory does not depend on the length of a text.
+    Texts of similar length go through side by side. The state is carried from step to
+    step, and states are scored some at a time, so memory does not depend on the length of a text.
     """
     out = np.zeros(len(texts))
     table = weights["inputs"] @ weights["gates"] + weights["bias"]
+    small = _limit(weights) < SMALL
     order = np.argsort([-len(t) for t in texts], kind="stable")
+    states, targets, owners, held = [], [], [], 0
+
+    def scored():
+        found = log_probabilities(np.concatenate(states), np.concatenate(targets), weights, small)
+        return np.bincount(np.concatenate(owners), weights=found, minlength=len(texts))
+
     for first in range(0, len(order), side_by_side):
         group = order[first : first + side_by_side]
         lengths = np.array([len(texts[k]) for k in group])
+        every, starts = np.concatenate([texts[k] for k in group]), np.cumsum(lengths) - lengths
+        # How many texts, the longest first, go on at each step.
+        active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist()
         state = np.zeros((len(group), STATE), np.float32)
         before = np.full(len(group), END)
-        for start in range(0, int(lengths[0]) if len(lengths) else 0, STEPS):
-            states, targets, owners = [], [], []
-            active = int(np.searchsorted(-lengths, -start, side="left"))
-            window = np.full((active, STEPS), END)
-            for k in range(active):
-                part = texts[group[k]][start : start + STEPS]
-                window[k, : len(part)] = part
-            for t in range(min(STEPS, int(lengths[0]) - start)):
-                active = int(np.searchsorted(-lengths, -(start + t), side="left"))
-                state = _step(table[before[:active]], state[:active], weights["recurrent"])[-1]
-                states.append(state)
-                before = window[:active, t]
-                targets.append(before)
-                owners.append(group[:active])
-            found = log_probabilities(np.concatenate(states), np.concatenate(targets), weights)
-            out += np.bincount(np.concatenate(owners), weights=found, minlength=len(texts))
-    return out
+        for t, n in enumerate(active):
+            state = _step(table[before[:n]], state[:n], weights["recurrent"])[-1]
+            before = every[starts[:n] + t]
+            states.append(state)
+            targets.append(before)
+            owners.append(group[:n])
+            held += n
+            if held >= SCORED:
+                out += scored()
+                states, targets, owners, held = [], [], [], 0
+    return out + scored() if held else out
 
 
 class Trainer:
-    """Truncated back-propagation with adaptive steps."""
+    """Truncated back-propagation with adaptive steps.
+
+    Steps are sparse: rows of ``inputs`` whose word and classes of ``words`` of which no target
+    is in a window keep their weights and both moments in it. So a window costs what occurs in it.
+    """
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float = RATE):
         self.weights = {k: w.copy() for k, w in weights.items()}
         self.rate, self.count = rate, 0
         self.mean = {k: np.zeros_like(w) for k, w in weights.items()}
         self.square = {k: np.zeros_like(w) for k, w in weights.items()}
+        # Gradients of the large weights, zero but for the rows that the last window had.
+        self.large = {k: np.zeros_like(weights[k]) for k in LARGE}
+        self.present = {k: np.zeros(0, np.int64) for k in LARGE}
+        self.limit = _limit(weights)
 
     def learn(self, tokens: np.ndarray) -> float:
         """One pass over texts written one after the other, each ended by ``END``; mean log-likelihood.
@@ -199,49 +227,62 @@ class Trainer:
             total += gained
         return total / max(1, len(tokens))
 
+    def _set(self, name: str, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The gradient of a large weight, which is zero in all other rows."""
+        large = self.large[name]
+        large[self.present[name]] = 0
+        large[rows] = values
+        self.present[name] = rows
+        return large
+
     def _window(self, before: np.ndarray, targets: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, float]:
         w = self.weights
-        table = w["inputs"] @ w["gates"] + w["bias"]
-        steps = before.shape[1]
-        kept, states = [], []
+        streams, steps = before.shape
+        past = np.maximum(before.T, 0)
+        goes_on = (past != END).astype(np.float32)[:, :, None]
+        order = np.argsort(past.ravel(), kind="stable")
+        ordered = past.ravel()[order]
+        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        present = ordered[starts]
+        at = np.empty(len(order), np.int64)
+        at[order] = np.repeat(np.arange(len(present)), np.diff(np.append(starts, len(order))))
+        inputs = w["inputs"][present]
+        given = (inputs @ w["gates"] + w["bias"])[at].reshape(steps, streams, 3 * STATE)
+        kept = []
         for t in range(steps):
-            past = np.maximum(before[:, t], 0)
-            goes_on = (past != END).astype(np.float32)[:, None]
-            entered = state * goes_on
-            update, reset, candidate, moved, state = _step(table[past], entered, w["recurrent"])
-            kept.append((past, goes_on, entered, update, reset, candidate, moved))
-            states.append(state)
+            entered = state * goes_on[t]
+            *gates, state = _step(given[t], entered, w["recurrent"])
+            kept.append((entered, *gates, state))
+        entered, update, reset, candidate, moved, every = map(np.stack, zip(*kept))
         wanted = targets.T.ravel()
         counted = wanted >= 0
-        every = np.concatenate(states)
+        every = every.reshape(-1, STATE)
         gradients, d_every, gained = self._output(every[counted], wanted[counted])
         d_states = np.zeros_like(every)
         d_states[counted] = d_every
-        d_states = d_states.reshape(steps, *state.shape)
-        d_table = np.zeros_like(table)
-        d_recurrent = np.zeros_like(w["recurrent"])
+        d_states = d_states.reshape(steps, streams, STATE)
+        by_candidate = (1 - update) * (1 - candidate * candidate)
+        by_update = (entered - candidate) * update * (1 - update)
+        by_reset = moved[:, :, 2 * STATE :] * reset * (1 - reset)
+        d_given = np.empty((steps, streams, 3 * STATE), every.dtype)
+        d_moved = np.empty_like(d_given)
         d_state = np.zeros_like(state)
-        given, at = [], []
+        back = w["recurrent"].T
         for t in range(steps - 1, -1, -1):
-            past, goes_on, entered, update, reset, candidate, moved = kept[t]
             d_state = d_state + d_states[t]
-            d_candidate = d_state * (1 - update) * (1 - candidate * candidate)
-            d_update = d_state * (entered - candidate) * update * (1 - update)
-            d_reset = d_candidate * moved[:, 2 * STATE :] * reset * (1 - reset)
-            d_given = np.concatenate([d_update, d_reset, d_candidate], axis=1)
-            d_moved = d_given.copy()
-            d_moved[:, 2 * STATE :] *= reset
-            d_recurrent += entered.T @ d_moved
-            d_state = (d_state * update + d_moved @ w["recurrent"].T) * goes_on
-            given.append(d_given)
-            at.append(past)
-        at, given = np.concatenate(at), np.concatenate(given)
-        order = np.argsort(at, kind="stable")
-        present, starts = np.unique(at[order], return_index=True)
-        d_table[present] = np.add.reduceat(given[order], starts, axis=0)
+            d_candidate = d_state * by_candidate[t]
+            np.multiply(d_state, by_update[t], out=d_moved[t, :, :STATE])
+            np.multiply(d_candidate, by_reset[t], out=d_moved[t, :, STATE : 2 * STATE])
+            np.multiply(d_candidate, reset[t], out=d_moved[t, :, 2 * STATE :])
+            d_given[t, :, 2 * STATE :] = d_candidate
+            d_state *= update[t]
+            d_state += d_moved[t] @ back
+            d_state *= goes_on[t]
+        d_given[:, :, : 2 * STATE] = d_moved[:, :, : 2 * STATE]
+        d_table = np.add.reduceat(d_given.reshape(-1, 3 * STATE)[order], starts, axis=0)
         gradients |= {
-            "inputs": d_table @ w["gates"].T, "gates": w["inputs"].T @ d_table,
-            "recurrent": d_recurrent, "bias": d_table.sum(axis=0),
+            "inputs": self._set("inputs", present, d_table @ w["gates"].T), "gates": inputs.T @ d_table,
+            "recurrent": entered.reshape(-1, STATE).T @ d_moved.reshape(-1, 3 * STATE), "bias": d_table.sum(axis=0),
         }
         self._apply(gradients)
         return state, gained
@@ -251,51 +292,95 @@ class Trainer:
         w = self.weights
         n, (number, size), rare = max(1, len(targets)), w["word_bias"].shape, len(w["inputs"]) - 1
         classes = np.where(targets == rare, number, targets // size)
-        small = _limits(w)
-        scores = self._shares(states, w["classes"], w["class_bias"], small)
-        here = np.arange(len(targets))
-        gained = float(np.log(np.maximum(scores[here, classes], 1e-30)).sum())
-        scores[here, classes] -= 1
-        scores /= n
-        d_states = scores @ w["classes"].T
-        d_words, d_word_bias = np.zeros_like(w["words"]), np.zeros_like(w["word_bias"])
+        if self.limit >= SMALL:
+            self.limit = _limit(w)
+        small = self.limit < SMALL
+        own = _with_ones(states)
+        head = np.concatenate([w["classes"], w["class_bias"][None]])
+        d_head, d_states, gained = np.zeros_like(head), np.empty_like(states), 0.0
+        for first in range(0, len(targets), BLOCK):
+            part = slice(first, first + BLOCK)
+            scores = own[part] @ head
+            gained += float(self._differences(scores, classes[part], small, n).sum())
+            d_states[part] = scores @ w["classes"].T
+            d_head += own[part].T @ scores
         order, starts = _segments(classes, number)
-        for k in range(number):
-            mine = order[starts[k] : starts[k + 1]]
-            if len(mine):
-                own = states[mine]
-                inner = self._shares(own, w["words"][k].T, w["word_bias"][k], small)
-                places = np.arange(len(mine)), targets[mine] % size
-                gained += float(np.log(np.maximum(inner[places], 1e-30)).sum())
-                inner[places] -= 1
-                inner /= n
-                d_words[k] = inner.T @ own
-                d_word_bias[k] = inner.sum(axis=0)
-                d_states[mine] += inner @ w["words"][k]
+        counts = np.diff(starts)
+        present = np.flatnonzero(counts)
+        d_words = np.empty((len(present), size, STATE + 1), own.dtype)
+        for some in _alike(counts[present], size):
+            which = present[some]
+            width = np.arange(counts[which[0]])
+            real = width < counts[which][:, None]
+            rows = order[np.where(real, starts[which][:, None] + width, 0)]
+            # Rows that only fill up are zero, with the one behind, and so add nothing.
+            mine = own[rows]
+            mine[~real] = 0
+            weights = np.concatenate([w["words"][which], w["word_bias"][which][:, :, None]], axis=2)
+            inner = mine @ weights.transpose(0, 2, 1)
+            places = np.where(real, targets[rows] % size, 0).ravel()
+            logs = self._differences(inner.reshape(-1, size), places, small, n)
+            gained += float(logs[real.ravel()].sum())
+            d_words[some] = inner.transpose(0, 2, 1) @ mine
+            d_states[rows[real]] += (inner @ weights[:, :, :-1])[real]
         return {
-            "classes": states.T @ scores, "class_bias": scores.sum(axis=0), "words": d_words, "word_bias": d_word_bias,
+            "classes": d_head[:-1], "class_bias": d_head[-1],
+            "words": self._set("words", present, d_words[:, :, :-1]),
+            "word_bias": self._set("word_bias", present, d_words[:, :, -1]),
         }, d_states, gained
 
     @staticmethod
-    def _shares(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, small: bool) -> np.ndarray:
-        scores = states @ weights
-        scores += bias
+    def _differences(scores: np.ndarray, which: np.ndarray, small: bool, n: int) -> np.ndarray:
+        """Turns scores into a ``n``-th of the difference of shares and targets; logarithms of the targets' shares."""
         if not small:
             scores -= scores.max(axis=1, keepdims=True)
+        here = np.arange(len(which))
         np.exp(scores, out=scores)
-        scores *= (1 / (scores @ np.ones(scores.shape[1], scores.dtype)))[:, None]
-        return scores
+        total = scores @ np.ones(scores.shape[1], scores.dtype)
+        logs = np.log(np.maximum(scores[here, which] / total, 1e-30))
+        scores *= (1 / (n * total))[:, None]
+        scores[here, which] -= 1 / n
+        return logs
 
     def _apply(self, gradients: dict[str, np.ndarray]) -> None:
         self.count += 1
-        length = np.sqrt(sum(float(np.vdot(g, g)) for g in gradients.values()))
+        rows = {name: self.present.get(name, np.arange(len(g))) for name, g in gradients.items()}
+        length = math.sqrt(sum(float(np.vdot(p, p)) for name, g in gradients.items() for p in (g[rows[name]],)))
         shrink = min(1.0, 1.0 / max(length, 1e-9))
-        rate = self.rate * np.sqrt(1 - 0.99**self.count) / (1 - 0.9**self.count)
-        for name, g in gradients.items():
-            g = g * np.float32(shrink)
-            mean, square = self.mean[name], self.square[name]
-            mean *= 0.9
-            mean += 0.1 * g
-            square *= 0.99
-            square += 0.01 * g * g
-            self.weights[name] -= (rate * mean / (np.sqrt(square) + 1e-6)).astype(np.float32)
+        rate = self.rate * math.sqrt(1 - 0.99**self.count) / (1 - 0.9**self.count)
+        for name, gradient in gradients.items():
+            weights, means, squares = self.weights[name], self.mean[name], self.square[name]
+            # Some rows at a time, which stay in the processor's cache.
+            some = max(1, HELD // gradient[0].size)
+            for first in range(0, len(rows[name]), some):
+                at = rows[name][first : first + some]
+                # Neighbouring rows are changed in place.
+                together = len(at) > 0 and at[-1] - at[0] == len(at) - 1
+                at = slice(at[0], at[-1] + 1) if together else at
+                g = gradient[at] * shrink
+                mean, square = means[at], squares[at]
+                mean *= 0.9
+                mean += 0.1 * g
+                g *= g
+                g *= 0.01
+                square *= 0.99
+                square += g
+                if not together:
+                    means[at], squares[at] = mean, square
+                root = np.sqrt(square, out=g)
+                root += 1e-6
+                np.divide(mean, root, out=root)
+                root *= rate
+                weights[at] -= root
+        self.limit += (STATE + 1) * MOST_STEP * rate
+
+
+def _alike(counts: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places of classes by falling count, cut where the next has under half the first's or they grow large."""
+    order, out, first = np.argsort(-counts, kind="stable"), [], 0
+    for k in range(1, len(order) + 1):
+        most = counts[order[first]]
+        if k == len(order) or 2 * counts[order[k]] < most or (k + 1 - first) * most * size > HELD * 4:
+            out.append(order[first:k])
+            first = k
+    return out

@@ -123,3 +123,80 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
     model = lm.fit(nothing, F.lit(True), corpus)
     assert lm.score(nothing, model, corpus).count() == 0
     assert [r.base_score for r in lm.score(docs, model, corpus).collect()] == [0.0] * 4
+
+
+def test_sparse_steps_follow_their_rule():
+    """Rows that a window does not have keep weights and moments; all others take dense steps by the window's gradient."""
+    start, rng = small_weights(5000), np.random.default_rng(8)
+    windows = [np.append(rng.integers(first, first + 400, 60), 0) for first in (1, 300, 4000)]
+    trainer, taken = recurrent.Trainer(start), []
+    apply = trainer._apply
+    trainer._apply = lambda g: (taken.append({k: v.copy() for k, v in g.items()}), apply(g))
+    want = {k: w.astype(float) for k, w in start.items()}
+    mean, square = ({k: np.zeros(w.shape) for k, w in start.items()} for _ in range(2))
+    count = 0
+    for tokens in windows:
+        trainer.learn(tokens)
+        assert len(taken) > count
+        for g in taken[count:]:
+            count += 1
+            shrink = min(1.0, 1 / math.sqrt(sum((v.astype(float) ** 2).sum() for v in g.values())))
+            rate = trainer.rate * math.sqrt(1 - 0.99**count) / (1 - 0.9**count)
+            for k, v in g.items():
+                rows = np.abs(v).reshape(len(v), -1).max(axis=1) > 0
+                if k not in ("inputs", "words", "word_bias"):
+                    rows[:] = True
+                mean[k][rows] = 0.9 * mean[k][rows] + 0.1 * shrink * v[rows]
+                square[k][rows] = 0.99 * square[k][rows] + 0.01 * (shrink * v[rows].astype(float)) ** 2
+                want[k][rows] -= rate * mean[k][rows] / (np.sqrt(square[k][rows]) + 1e-6)
+    untouched = ~np.isin(np.arange(5001), np.concatenate(windows))
+    assert (trainer.weights["inputs"][untouched] == start["inputs"][untouched]).all() and 0 < untouched.sum()
+    for k, w in want.items():
+        fine = w > -1e8
+        assert trainer.weights[k][fine] == pytest.approx(w[fine], abs=2e-4), k
+    assert recurrent._limit(trainer.weights) <= trainer.limit
+
+
+def test_training_and_scoring_in_parts(monkeypatch):
+    """Rows worked on at once and states held until they are scored change no result."""
+    weights, rng = small_weights(), np.random.default_rng(9)
+    texts = [np.append(rng.integers(1, 151, n), 0) for n in (0, 3, 40, 400, 90, 7)]
+    tokens = np.concatenate(texts)
+
+    def run():
+        trainer = recurrent.Trainer(weights)
+        gained = [trainer.learn(tokens) for _ in range(3)]
+        return recurrent.score_texts(texts, weights), gained, recurrent.flat(trainer.weights)
+
+    whole = run()
+    for name, value in (("BLOCK", 3), ("HELD", 50), ("SCORED", 7)):
+        monkeypatch.setattr(recurrent, name, value)
+    for some, every in zip(run(), whole):
+        assert some == pytest.approx(every, rel=1e-3, abs=1e-3)
+
+
+def test_large_scores_are_taken_down():
+    weights = small_weights()
+    weights["words"] *= 200
+    weights["classes"] *= 200
+    tokens = np.append(np.random.default_rng(3).integers(0, 151, 300), 0)
+    assert recurrent._limit(weights) > 88 and np.isfinite(recurrent.score_texts([tokens], weights)).all()
+    trainer = recurrent.Trainer(weights)
+    assert np.isfinite([trainer.learn(tokens) for _ in range(2)]).all()
+    assert all(np.isfinite(w).all() for w in trainer.weights.values())
+
+
+def test_weights_are_averaged_by_tokens_in_blocks(spark):
+    texts = [" ".join(f"w{(k * j) % 50}" for j in range(40 + 20 * k)) for k in range(6)]
+    vocabulary = {b"\n": 0} | {f"w{k}".encode(): k + 1 for k in range(49)}
+    start = recurrent.initial(np.ones(50), 1.0)
+    docs = documents(spark, texts).repartitionByRange(3, "doc_id")
+    parts = [[r.text for r in p] for p in docs.rdd.glom().collect()]
+    want, tokens = 0, 0
+    for part in filter(None, parts):
+        positions = np.concatenate([lm._positions(t, vocabulary) for t in part])
+        trainer = recurrent.Trainer(start)
+        trainer.learn(positions)
+        want, tokens = want + recurrent.flat(trainer.weights).astype(float) * len(positions), tokens + len(positions)
+    found = recurrent.flat(lm._trained(docs, start, vocabulary, 1))
+    assert found == pytest.approx(want / tokens, rel=1e-5, abs=1e-5)
