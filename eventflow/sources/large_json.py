@@ -19,7 +19,9 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,7 +39,10 @@ MOST_RANGES = 200_000
 RANGE = ["document", "first"]
 
 ESCAPES = re.compile(rb"\\.", re.DOTALL)
-TOKENS = re.compile(rb'\\.|["{}\[\],]', re.DOTALL)
+# Characters that are looked at, and by how much they go deeper.
+SIGNS, CHANGES = np.zeros(256, bool), np.zeros(256, np.int64)
+SIGNS[list(b'"{}[],')] = True
+CHANGES[list(b"{[")], CHANGES[list(b"}]")] = 1, -1
 
 SUMMARY = "document string, first long, bytes long, cuts long, top binary, ends_0 long, depth_0 long, ends_1 long, depth_1 long"
 PIECES = (
@@ -86,16 +91,29 @@ def _blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def _ranges(batches: Iterator[pa.RecordBatch], given: Sequence[str] = ()) -> Iterator[tuple[tuple, Iterator[bytes]]]:
-    """The ranges of a task: their key with the given columns, and their blocks."""
+    """The ranges of a task: their key with the given columns, and their blocks, joined some at a time.
 
-    def rows():
+    A key is looked at once for all neighbouring rows that have it, not row by row.
+    """
+
+    def runs():
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                yield from zip(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in (*RANGE, *given, "data")))
+            keys = [batch.column(batch.schema.get_field_index(c)) for c in (*RANGE, *given)]
+            data = batch.column(batch.schema.get_field_index("data"))
+            numbers = [k.dictionary_encode().indices.to_numpy() for k in keys[: len(RANGE)]]
+            changes = [np.flatnonzero(np.diff(n)) + 1 for n in numbers]
+            starts = [0, *np.unique(np.concatenate(changes)).tolist(), batch.num_rows]
+            for start, end in zip(starts, starts[1:]):
+                if end > start:
+                    yield tuple(k[start].as_py() for k in keys), data.slice(start, end - start)
+
+    def joined(data):
+        for start in range(0, len(data), 4096):
+            part = data.slice(start, 4096)
+            yield pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), CUT)[0].as_py()
 
-    for key, group in groupby(rows(), key=lambda row: row[:-1]):
-        yield key, (row[-1] for row in group)
+    for key, group in groupby(runs(), key=lambda run: run[0]):
+        yield key, (blocks for _, data in group for blocks in joined(data))
 
 
 def _chunks(blocks: Iterator[bytes], closed: bool = True) -> Iterator[bytes]:
@@ -112,7 +130,7 @@ def _chunks(blocks: Iterator[bytes], closed: bool = True) -> Iterator[bytes]:
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each range: its bytes and cuts, its first character that is no blank, and for a beginning
+    """Of each range: its bytes and the cuts not among them, its first character that is no blank, and for a beginning
     outside (0) and inside (1) of a text: whether it ends inside one, and by how much it goes deeper."""
     names = [c.strip().split(" ")[0] for c in SUMMARY.split(",")]
     for (document, first), blocks in _ranges(batches):
@@ -186,31 +204,36 @@ class Cutter:
         return kind, self.place, self.number, self.held + data, self.starts, ends, self.bracket, self.part
 
     def __call__(self, chunk: bytes) -> Iterator[tuple]:
+        # Escapes have two characters and mean nothing here.
+        data = np.frombuffer(ESCAPES.sub(b"  ", chunk) if b"\\" in chunk else chunk, np.uint8)
+        places = np.flatnonzero(SIGNS[data])
+        signs = data[places]
+        quotes = np.cumsum(signs == ord('"')) + self.in_text
+        outside = (signs != ord('"')) & (quotes % 2 == 0)
+        places, signs = places[outside], signs[outside]
+        change = CHANGES[signs]
+        depth = self.depth + np.cumsum(change) - change
+        opens = (change > 0) & (depth == self.within - 1)
+        cuts = np.flatnonzero(opens | ((change <= 0) & (depth == self.within)))
         at = 0
-        for token in TOKENS.finditer(chunk):
-            sign = token.group()
-            if sign == b'"':
-                self.in_text = not self.in_text
-            elif self.in_text or len(sign) > 1:
-                continue
-            elif sign in b"{[":
-                if self.depth == self.within - 1:
-                    # The number of the first element follows in the outline.
-                    self.bracket, self.part = sign.decode(), self.number + 1
-                    yield self._piece(chunk[at : token.end()], True)
-                    self.number += 1
-                    at, self.held, self.starts = token.end(), b"", True
-                self.depth += 1
-            elif sign == b",":
-                if self.depth == self.within:
-                    yield self._piece(chunk[at : token.start()], True)
-                    self.number += 1
-                    at, self.held, self.starts = token.end(), b"", True
+        for place, sign, before in zip(places[cuts].tolist(), signs[cuts].tolist(), depth[cuts].tolist()):
+            self.depth = before
+            if CHANGES[sign] > 0:
+                # The number of the first element follows in the outline.
+                self.bracket, self.part = chr(sign), self.number + 1
+                yield self._piece(chunk[at : place + 1], True)
+                self.number += 1
+                at = place + 1
             else:
-                if self.depth == self.within:
-                    yield self._piece(chunk[at : token.start()], True)
-                    at, self.held, self.starts = token.start(), b"", True
-                self.depth -= 1
+                yield self._piece(chunk[at:place], True)
+                comma = sign == ord(",")
+                self.number += comma
+                at = place + comma
+            self.held, self.starts = b"", True
+        if len(places):
+            self.depth = int(depth[-1] + change[-1])
+        if len(quotes):
+            self.in_text = bool(quotes[-1] % 2)
         self.held += chunk[at:]
 
     def rest(self) -> tuple:

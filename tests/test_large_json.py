@@ -2,12 +2,13 @@ import json
 import os
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from eventflow.operators.validate import all_violations, large_violations
 from eventflow.session import setting
-from eventflow.sources.large_json import Cutter, read_large_documents
+from eventflow.sources.large_json import Cutter, _pieces, _ranges, _summaries, read_large_documents
 
 
 def put(folder, name, text):
@@ -153,3 +154,34 @@ def test_cutter_goes_on_inside_a_part():
         ("element", 0, b'a,]"}', False, True, None, None), ("element", 1, b'{"b":[1,2]}', True, True, None, None),
         ("outline", 1, b'],"c":{', True, True, "{", 2), ("element", 2, b'"d":', True, False, "{", 2),
     ]
+
+
+def batches_of(blocks, first, rows):
+    names = ["a.json"] * len(blocks)
+    given = {"in_text": [False] * len(blocks), "depth": [0] * len(blocks), "within": [2] * len(blocks), "closed": [False] * len(blocks)}
+    every = pa.RecordBatch.from_pydict({"document": names, "first": first, "data": pa.array(blocks, pa.binary())} | given)
+    return [every.slice(at, rows) for at in range(0, len(blocks), rows)]
+
+
+def test_blocks_of_a_range_come_joined():
+    blocks, first = [b"%d" % k for k in range(9000)], [0] * 4500 + [7] * 4500
+    found = [(key, list(parts)) for key, parts in _ranges(iter(batches_of(blocks, first, 5000)))]
+    assert [key for key, _ in found] == [("a.json", 0), ("a.json", 7)]
+    assert [b"}".join(parts).split(b"}") for _, parts in found] == [blocks[:4500], blocks[4500:]]
+    # A few values for thousands of blocks.
+    assert all(len(parts) <= 4 for _, parts in found)
+
+
+@pytest.mark.parametrize("rows", [1, 3, 10_000])
+def test_pieces_do_not_depend_on_batches(rows):
+    text = json.dumps({"a": [{"x": "}\\\"{"}, [1, {"b": ["]", {}]}], "é,"] * 50, "b": {"c": {"d": "\\"}, "e": []}, "f": 1}).encode()
+    blocks = text.split(b"}")
+    batches = batches_of(blocks, [0] * len(blocks), rows)
+    whole = [*(cutter := Cutter(False, 0, 2))(text), cutter.rest()]
+    found = [r for b in _pieces(iter(batches)) for r in b.to_pylist()]
+    assert [(r["kind"], r["number"], r["text"], r["starts"], r["ends"], r["bracket"], r["part"]) for r in found] == [
+        (p[0], *p[2:]) for p in whole
+    ]
+    assert len(found) == 150 + 2 + 3 and (cutter.depth, cutter.in_text) == (0, False)
+    summary = next(_summaries(iter(batches))).to_pylist()[0]
+    assert summary["bytes"] + summary["cuts"] == len(text) + 1 and (summary["depth_0"], summary["ends_0"]) == (-1, 0)
