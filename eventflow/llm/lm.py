@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventflow.llm import recurrent
-from eventflow.llm.common import rows_of, single_threaded, stored, text_or_empty
+from eventflow.llm.common import single_threaded, stored, text_or_empty
 
 # Words whose counts every task holds; counts of others are joined.
 FREQUENT = 1 << 17
@@ -22,15 +24,41 @@ END = b"\n"
 START_DOCUMENTS, START_PASSES = 512, 4
 # Distinct words that a task holds before it hands their counts on.
 HELD = 500_000
+# Bytes of text whose words a task looks up at once; one text more may be among them.
+TEXT = 1 << 22
+# Tokens that a task holds before it scores them: few steps are for the longest texts alone.
+SCORED = 1 << 22
 # Weights that are averaged in one row.
 TOGETHER = 1 << 10
 
 
 def words_of(text: str) -> list[bytes]:
-    """Words between blanks (space, and the controls 9 to 13), A to Z in lower case."""
+    """Words between blanks (space, and the controls 9 to 13), A to Z in lower case: the plain form of ``split_words``."""
     return text.encode().lower().split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as ``words_of`` has them, one text after the other, and where each text's begin and end."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, starts = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy()
+    starts = starts - starts[0]
+    # Blanks at both ends of a text leave empty words there.
+    real = pc.binary_length(words).to_numpy() > 0
+    if not real.all():
+        words, starts = words.filter(pa.array(real)), np.append(0, np.cumsum(real))[starts]
+    return words, starts
+
+
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, cut where their texts have ``TEXT`` bytes."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(batch.schema.get_field_index("text"))).to_numpy().astype(np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // TEXT)) + 1
+        for first, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if end > first:
+                yield batch.slice(first, end - first)
+
+
 @dataclass
 class Corpus:
     """Counts of all training tokens: per word, their sum, and the number of words."""
@@ -46,20 +74,26 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         single_threaded()
-        held = Counter()
-
-        def out():
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "count"]
-            )
-
-        for (text,) in rows_of(batches, ["text"]):
-            held.update(words_of(text))
-            held[END] += 1
-            if len(held) > HELD:
-                yield out()
-                held.clear()
-        yield out()
+        names = ["word", "count"]
+        held, rows = [], 0
+
+        def merged():
+            counted = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("count", "sum")])
+            return counted.rename_columns({"count_sum": "count"}).select(names)
+
+        for part in parts_of(batches):
+            words, _ = split_words(part.column(part.schema.get_field_index("text")))
+            held.append(pa.Table.from_arrays(words.value_counts().flatten(), names))
+            held.append(pa.table([pa.array([END], pa.binary()), pa.array([part.num_rows], pa.int64())], names))
+            rows += len(held[-2]) + 1
+            if rows > 2 * HELD:
+                held = [merged()]
+                rows = len(held[0])
+                if rows > HELD:
+                    yield from held[0].to_batches()
+                    held, rows = [], 0
+        if held:
+            yield from merged().to_batches()
 
     counted = docs.select(text_or_empty().alias("text")).mapInArrow(count, "word binary, count long")
     return counted.groupBy("word").agg(F.sum("count").alias("count"))
@@ -98,12 +132,20 @@ class LanguageModel:
 
 
 def _positions(text: str, vocabulary: dict[bytes, int]) -> np.ndarray:
+    """The plain form of ``positions_of``, for one text."""
     rare = len(vocabulary)
     found = [vocabulary.get(w, rare) for w in words_of(text)]
     found.append(recurrent.END)
     return np.array(found, np.int32)
 
 
+def positions_of(texts: pa.Array, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_positions`` gives for each of the texts, one after the other, and where each begins and ends."""
+    found, starts = split_words(texts)
+    at = pc.index_in(found, value_set=words).fill_null(len(words)).to_numpy()
+    return np.insert(at, starts[1:], recurrent.END), starts + np.arange(len(starts))
+
+
 def fit(docs: DataFrame, training: Column, corpus: Corpus) -> LanguageModel:
     """The recurrent model, trained on all documents for which ``training`` holds.
 
@@ -131,7 +173,7 @@ def fit(docs: DataFrame, training: Column, corpus: Corpus) -> LanguageModel:
 
 def _trained(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: dict[bytes, int], passes: int) -> dict:
     """Weights after each task's training on its own documents, averaged by tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
+    shared = docs.sparkSession.sparkContext.broadcast((weights, sorted(vocabulary, key=vocabulary.get)))
 
     def blocks(values, tokens):
         starts = np.append(np.arange(0, len(values), TOGETHER), len(values))
@@ -147,6 +189,7 @@ def _trained(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: dict[b
     def train(batches):
         single_threaded()
         start, known = shared.value
+        known = pa.array(known, pa.binary())
         trainer, tokens = recurrent.Trainer(start), 0
         kept = []
 
@@ -154,15 +197,17 @@ def _trained(docs: DataFrame, weights: dict[str, np.ndarray], vocabulary: dict[b
             trainer.learn(np.concatenate(held))
 
         held, size = [], 0
-        for (text,) in rows_of(batches, ["text"]):
-            held.append(_positions(text, known))
-            size += len(held[-1])
-            if size >= 1 << 18:
-                learn(held)
-                tokens += size
-                if passes > 1:
-                    kept.append(np.concatenate(held))
-                held, size = [], 0
+        for part in parts_of(batches):
+            positions, starts = positions_of(part.column(0), known)
+            for first, end in zip(starts, starts[1:]):
+                held.append(positions[first:end])
+                size += int(end - first)
+                if size >= 1 << 18:
+                    learn(held)
+                    tokens += size
+                    if passes > 1:
+                        kept.append(np.concatenate(held))
+                    held, size = [], 0
         if size:
             learn(held)
             tokens += size
@@ -215,7 +260,7 @@ def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
         number.setdefault(word, len(number))
     counts = dict(corpus.frequent)
     logs = np.array([np.log10(counts[w] + SMOOTHING) if w in counts else np.nan for w in number])
-    shared = spark.sparkContext.broadcast((number, logs, model.weights, len(model.vocabulary)))
+    shared = spark.sparkContext.broadcast((list(number), logs, model.weights, len(model.vocabulary)))
     base_sum = np.log10(corpus.tokens + SMOOTHING * (corpus.words + 1))
     rare_sum = np.log10(model.rare_tokens + SMOOTHING * (model.rare_words + 1))
     schema = (
@@ -225,54 +270,59 @@ def score(docs: DataFrame, model: LanguageModel, corpus: Corpus) -> DataFrame:
 
     def parts(batches):
         single_threaded()
-        number, logs, weights, known = shared.value
-        find = number.get
-
-        def rows(some):
-            positions, out, sizes = [], [], [0]
-            flat, times = [], []
-            for row, doc_id, text in some:
-                words = words_of(text)
-                words.append(END)
-                at = np.array([find(w, -1) for w in words], np.int32)
-                listed = at >= 0
-                value = logs[at[listed]]
-                # The end may be in the vocabulary without being frequent.
-                counted = ~np.isnan(value)
-                in_model = (at >= 0) & (at < known)
-                positions.append(np.where(in_model, at, known))
-                rare = logs[at[listed & ~in_model]]
-                left = np.flatnonzero(~listed).tolist()
-                others = Counter(words[k] for k in left)
-                if not counted.all():
-                    others[END] += int((~counted).sum())
-                flat += others
-                times += others.values()
-                sizes.append(len(flat))
-                base = float(value[counted].sum()) - int(counted.sum()) * base_sum
-                out.append((row, doc_id, len(words), int(counted.sum()), base, float(rare.sum()) - len(rare) * rare_sum))
-            scores = recurrent.score_texts(positions, weights) / np.log(10)
-            columns = list(zip(*out))
-            offsets = pa.array(sizes, pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [
-                    *[pa.array(c, pa.int64()) for c in columns[:4]], pa.array(columns[4], pa.float64()),
-                    pa.array(np.array(columns[5]) + scores),
-                    pa.ListArray.from_arrays(offsets, pa.array(flat, pa.binary())),
-                    pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
-                ],
-                [c.split()[0] for c in schema.split(", ")],
-            )
-
-        some, size = [], 0
-        for row in rows_of(batches, ["row", "doc_id", "text"]):
-            some.append(row)
-            size += len(row[2])
-            if len(some) >= 4096 or size >= 1 << 24:
-                yield rows(some)
-                some, size = [], 0
-        if some:
-            yield rows(some)
+        listed, logs, weights, known = shared.value
+        listed = pa.array(listed, pa.binary())
+        # The end is in the vocabulary, as its first word, and may be there without being frequent.
+        end = logs[recurrent.END]
+        counts_end = not np.isnan(end)
+
+        def columns(part):
+            """All columns but the score, of which the words that are not in the model's vocabulary; positions of each text."""
+            n = part.num_rows
+            row, doc_id, text = (part.column(part.schema.get_field_index(c)) for c in ("row", "doc_id", "text"))
+            words, starts = split_words(text)
+            at = pc.index_in(words, value_set=listed).fill_null(-1).to_numpy()
+            owner = np.repeat(np.arange(n), np.diff(starts))
+            found = at >= 0
+            value = np.where(found, logs[at], 0)
+            n_known = np.bincount(owner[found], minlength=n) + counts_end
+            base = np.bincount(owner, weights=value, minlength=n) - n_known * base_sum + (end if counts_end else 0)
+            rare = at >= known
+            rare_score = np.bincount(owner[rare], weights=value[rare] - rare_sum, minlength=n)
+            positions = np.insert(np.where(found & ~rare, at, known), starts[1:], recurrent.END)
+            limits = starts + np.arange(n + 1)
+            texts = [positions[a:b] for a, b in zip(limits, limits[1:])]
+            # Words that are not listed, once for each text.
+            left = words.filter(pa.array(~found)).dictionary_encode()
+            kinds = len(left.dictionary) + 1
+            keys = owner[~found] * kinds + left.indices.to_numpy()
+            if not counts_end:
+                keys = np.append(keys, np.arange(n) * kinds + kinds - 1)
+            keys, times = np.unique(keys, return_counts=True)
+            names = pa.concat_arrays([left.dictionary, pa.array([END], pa.binary())])
+            offsets = pa.array(np.searchsorted(keys, np.arange(n + 1) * kinds), pa.int32())
+            return [
+                row, doc_id.cast(pa.int64()), pa.array(np.diff(limits), pa.int64()), pa.array(n_known, pa.int64()),
+                pa.array(base), rare_score,
+                pa.ListArray.from_arrays(offsets, names.take(pa.array(keys % kinds))),
+                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+            ], texts
+
+        def scored(held):
+            scores = recurrent.score_texts([t for _, texts in held for t in texts], weights) / np.log(10)
+            for out, texts in held:
+                out[5], scores = pa.array(out[5] + scores[: len(texts)]), scores[len(texts) :]
+                yield pa.RecordBatch.from_arrays(out, [c.split()[0] for c in schema.split(", ")])
+
+        held, size = [], 0
+        for part in parts_of(batches):
+            held.append(columns(part))
+            size += sum(map(len, held[-1][1]))
+            if size >= SCORED:
+                yield from scored(held)
+                held, size = [], 0
+        if held:
+            yield from scored(held)
 
     given = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_or_empty().alias("text"))
     found = stored(given.mapInArrow(parts, schema), "scores")

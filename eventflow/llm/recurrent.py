@@ -18,13 +18,15 @@ RATE = 0.004
 # Position of the end of a text in the vocabulary.
 END = 0
 FLOOR = np.float32(-1e9)
+# Scores are in bits while they are worked on, for powers of two take half the time of others.
+BITS = np.float32(1 / math.log(2))
 # Scores under which no maximum is taken off; the most that a step moves a weight, as a multiple of
 # its rate: the root of the sum of (0.9 * 0.9 / 0.99)**k over all k, by Cauchy and Schwarz.
 SMALL, MOST_STEP = 40, (1 - 0.9 * 0.9 / 0.99) ** -0.5
-# Rows and values that are worked on at once, and states that are held until they are scored.
-BLOCK, HELD, SCORED = 512, 1 << 15, 1 << 16
+# Rows that are worked on and that are summed at once, values of a step, and states held until they are scored.
+BLOCK, SUMMED, HELD, SCORED = 1024, 256, 1 << 15, 1 << 16
 # Weights of which a window has few rows.
-LARGE = ("inputs", "words", "word_bias")
+LARGE = ("inputs", "own")
 
 
 @dataclass
@@ -88,17 +90,35 @@ def like(values: np.ndarray, weights: dict[str, np.ndarray]) -> dict[str, np.nda
     return out
 
 
-def _step(given: np.ndarray, state: np.ndarray, recurrent: np.ndarray):
-    """One step of the gated unit from projected inputs: (update, reset, candidate, moved, new state)."""
-    moved = state @ recurrent
-    gates = given[:, : 2 * STATE] + moved[:, : 2 * STATE]
-    np.negative(gates, out=gates)
-    np.exp(np.minimum(gates, 30, out=gates), out=gates)
-    gates += 1
-    np.reciprocal(gates, out=gates)
-    update, reset = gates[:, :STATE], gates[:, STATE:]
-    candidate = np.tanh(given[:, 2 * STATE :] + reset * moved[:, 2 * STATE :])
-    return update, reset, candidate, moved, candidate + update * (state - candidate)
+def _planes(given: np.ndarray, recurrent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Projected inputs and recurrent weights as one plane each for update, reset and candidate.
+
+    Those of the gates are halved, for 1 / (1 + exp(-x)) is (1 + tanh(x / 2)) / 2.
+    """
+    both = [w.reshape(len(w), 3, STATE).transpose(1, 0, 2).copy() for w in (given, recurrent)]
+    for planes in both:
+        planes[:2] *= 0.5
+    return tuple(both)
+
+
+def _step(given: np.ndarray, state: np.ndarray, recurrent: np.ndarray, gates=None, candidate=None) -> np.ndarray:
+    """The state after one step of the gated unit from planes of inputs.
+
+    ``gates`` take update, reset and what moves the candidate, ``candidate`` the candidate.
+    """
+    gates = np.matmul(state, recurrent, out=gates)
+    both = gates[:2]
+    both += given[:2]
+    np.tanh(both, out=both)
+    both *= 0.5
+    both += 0.5
+    candidate = np.multiply(both[1], gates[2], out=candidate)
+    candidate += given[2]
+    np.tanh(candidate, out=candidate)
+    new = state - candidate
+    new *= both[0]
+    new += candidate
+    return new
 
 
 def _limit(weights: dict[str, np.ndarray]) -> float:
@@ -111,47 +131,108 @@ def _limit(weights: dict[str, np.ndarray]) -> float:
     return max(float(by_class.max()), float(by_word.max()))
 
 
-def _segments(classes: np.ndarray, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order that puts equal classes together, and where each of them begins."""
-    order = np.argsort(classes, kind="stable")
-    return order, np.searchsorted(classes[order], np.arange(number + 1))
+def _with_ones(states: np.ndarray, factor: float = 1) -> np.ndarray:
+    """States with a one behind each, which takes up a bias; all times a factor."""
+    out = np.empty((len(states), states.shape[1] + 1), states.dtype)
+    np.multiply(states, factor, out=out[:, :-1])
+    out[:, -1] = factor
+    return out
+
+
+def _joined(weights: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Weights with their biases as a last row, in new arrays."""
+    words = np.ascontiguousarray(weights["words"].transpose(0, 2, 1))
+    return {
+        "inputs": weights["inputs"].copy(),
+        "unit": np.concatenate([weights["gates"], weights["bias"][None]]),
+        "recurrent": weights["recurrent"].copy(),
+        "head": np.concatenate([weights["classes"], weights["class_bias"][None]]),
+        "own": np.ascontiguousarray(np.concatenate([words, weights["word_bias"][:, None]], axis=1)),
+    }
+
+
+def _named(joined: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Views of joined weights by the names that ``initial`` gives them."""
+    unit, head, own = joined["unit"], joined["head"], joined["own"]
+    return {
+        "inputs": joined["inputs"], "gates": unit[:-1], "recurrent": joined["recurrent"], "bias": unit[-1],
+        "classes": head[:-1], "class_bias": head[-1],
+        "words": own[:, :-1].transpose(0, 2, 1), "word_bias": own[:, -1],
+    }
 
 
-def _with_ones(states: np.ndarray) -> np.ndarray:
-    """States with a one behind each, which takes up a bias."""
-    return np.concatenate([states, np.ones((len(states), 1), states.dtype)], axis=1)
+def _pieces(classes: np.ndarray, number: int):
+    """Of ordered classes, at most ``BLOCK`` rows at once and the classes among them: (from, to, [(k, from, to)])."""
+    starts = np.searchsorted(classes, np.arange(number + 1)).tolist()
+    first, some = 0, []
+    for k, (start, end) in enumerate(zip(starts, starts[1:])):
+        while start < end:
+            stop = min(end, first + BLOCK)
+            some.append((k, start, stop))
+            start = stop
+            if stop - first == BLOCK:
+                yield first, stop, some
+                first, some = stop, []
+    if some:
+        yield first, starts[-1], some
 
 
 def log_probabilities(
-    states: np.ndarray, targets: np.ndarray, weights: dict[str, np.ndarray], small: bool | None = None
+    states: np.ndarray, targets: np.ndarray, weights: dict[str, np.ndarray], small: bool | None = None,
+    joined: dict[str, np.ndarray] | None = None,
 ) -> np.ndarray:
     """Natural logarithms of the targets' probabilities; for a rare word, of being one."""
     rare = len(weights["inputs"]) - 1
     number, size = weights["word_bias"].shape
     small = _limit(weights) < SMALL if small is None else small
+    joined = _joined(weights) if joined is None else joined
+    # Rare words are the last, so this orders the classes too.
+    order = np.argsort(targets)
+    targets = targets[order]
     classes = np.where(targets == rare, number, targets // size)
-    states = _with_ones(states)
-    head = np.concatenate([weights["classes"], weights["class_bias"][None]])
-    out = np.empty(len(targets), states.dtype)
+    states = _with_ones(states.take(order, axis=0), BITS)
+    found = np.empty(len(targets), states.dtype)
+    scores = np.empty((BLOCK, max(size, number + 1)), states.dtype)
     for first in range(0, len(targets), BLOCK):
         part = slice(first, first + BLOCK)
-        out[part] = _picked(states[part] @ head, classes[part], small)
-    order, starts = _segments(classes, number)
-    for k in np.flatnonzero(np.diff(starts)).tolist():
-        own = np.concatenate([weights["words"][k], weights["word_bias"][k][:, None]], axis=1).T
-        for first in range(starts[k], starts[k + 1], BLOCK):
-            mine = order[first : min(first + BLOCK, starts[k + 1])]
-            out[mine] += _picked(states[mine] @ own, targets[mine] - k * size, small)
+        mine = states[part]
+        outer = np.matmul(mine, joined["head"], out=_front(scores, len(mine), number + 1))
+        found[part] = _picked(outer, classes[part], small)
+    for first, end, some in _pieces(classes, number):
+        inner = _front(scores, end - first, size)
+        for k, start, stop in some:
+            np.matmul(states[start:stop], joined["own"][k], out=inner[start - first : stop - first])
+        found[first:end] += _picked(inner, targets[first:end] - classes[first:end] * size, small)
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
+def _front(room: np.ndarray, *shape: int) -> np.ndarray:
+    """The first values of a room as an array without gaps."""
+    return room.ravel()[: math.prod(shape)].reshape(shape)
+
+
+def _places(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
+    return np.arange(len(which)) * scores.shape[1] + which
+
+
 def _picked(scores: np.ndarray, which: np.ndarray, small: bool) -> np.ndarray:
-    """The logarithm of each row's normalised score at the place picked. Overwrites the scores."""
+    """The logarithm of each row's normalised score, in bits, at the place picked. Overwrites the scores."""
     if not small:
         scores -= scores.max(axis=1, keepdims=True)
-    picked = scores[np.arange(len(which)), which]
-    np.exp(scores, out=scores)
-    return picked - np.log(scores @ np.ones(scores.shape[1], scores.dtype))
+    picked = scores.ravel().take(_places(scores, which))
+    np.exp2(scores, out=scores)
+    picked -= np.log2(scores @ np.ones(scores.shape[1], scores.dtype))
+    picked /= BITS
+    return picked
+
+
+def _summed(left: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
+    """Sets the product of turned rows and rows, some rows at a time, which the library multiplies as they lie."""
+    np.dot(left[:SUMMED].T, right[:SUMMED], out)
+    for first in range(SUMMED, len(left), SUMMED):
+        out += np.dot(left[first : first + SUMMED].T, right[first : first + SUMMED])
 
 
 def score_texts(texts: list[np.ndarray], weights: dict[str, np.ndarray], side_by_side: int = 2048) -> np.ndarray:
@@ -161,13 +242,13 @@ def score_texts(texts: list[np.ndarray], weights: dict[str, np.ndarray], side_by
     step, and states are scored some at a time, so memory does not depend on the length of a text.
     """
     out = np.zeros(len(texts))
-    table = weights["inputs"] @ weights["gates"] + weights["bias"]
-    small = _limit(weights) < SMALL
+    table, recurrent = _planes(weights["inputs"] @ weights["gates"] + weights["bias"], weights["recurrent"])
+    small, joined = _limit(weights) < SMALL, _joined(weights)
     order = np.argsort([-len(t) for t in texts], kind="stable")
     states, targets, owners, held = [], [], [], 0
 
     def scored():
-        found = log_probabilities(np.concatenate(states), np.concatenate(targets), weights, small)
+        found = log_probabilities(np.concatenate(states), np.concatenate(targets), weights, small, joined)
         return np.bincount(np.concatenate(owners), weights=found, minlength=len(texts))
 
     for first in range(0, len(order), side_by_side):
@@ -179,7 +260,7 @@ def score_texts(texts: list[np.ndarray], weights: dict[str, np.ndarray], side_by
         state = np.zeros((len(group), STATE), np.float32)
         before = np.full(len(group), END)
         for t, n in enumerate(active):
-            state = _step(table[before[:n]], state[:n], weights["recurrent"])[-1]
+            state = _step(table.take(before[:n], axis=1), state[:n], recurrent)
             before = every[starts[:n] + t]
             states.append(state)
             targets.append(before)
@@ -199,14 +280,29 @@ class Trainer:
     """
 
     def __init__(self, weights: dict[str, np.ndarray], rate: float = RATE):
-        self.weights = {k: w.copy() for k, w in weights.items()}
         self.rate, self.count = rate, 0
-        self.mean = {k: np.zeros_like(w) for k, w in weights.items()}
-        self.square = {k: np.zeros_like(w) for k, w in weights.items()}
-        # Gradients of the large weights, zero but for the rows that the last window had.
-        self.large = {k: np.zeros_like(weights[k]) for k in LARGE}
+        # What belongs to the same weights lies in one large array, which the system can keep in large pages.
+        kept = {k: np.zeros((4, *w.shape), w.dtype) for k, w in _joined(weights).items()}
+        # Sums of gradients and of their squares, which fade; means are the tenth and the hundredth of them.
+        self.joined, self.gradient, self.mean, self.square = ({k: w[part] for k, w in kept.items()} for part in range(4))
+        self.weights = weights
+        # The classes' weights, without biases, and their gradients: items of lists are found faster.
+        own = self.joined["own"]
+        self.classes = list(own), list(own[:, :-1].transpose(0, 2, 1)), list(self.gradient["own"])
+        # Rows of the large weights that the last window had; in all others their gradients are zero.
         self.present = {k: np.zeros(0, np.int64) for k in LARGE}
         self.limit = _limit(weights)
+        self.rooms = {}
+
+    @property
+    def weights(self) -> dict[str, np.ndarray]:
+        return self._weights
+
+    @weights.setter
+    def weights(self, weights: dict[str, np.ndarray]) -> None:
+        for name, values in _joined(weights).items():
+            self.joined[name][:] = values
+        self._weights = _named(self.joined)
 
     def learn(self, tokens: np.ndarray) -> float:
         """One pass over texts written one after the other, each ended by ``END``; mean log-likelihood.
@@ -220,167 +316,205 @@ class Trainer:
         padded[: len(tokens)] = tokens
         targets = padded.reshape(streams, length)
         before = np.concatenate(([END], padded[:-1])).reshape(streams, length)
-        state = np.zeros((streams, STATE), np.float32)
+        state = np.zeros((streams, STATE), self.joined["unit"].dtype)
         total = 0.0
         for start in range(0, length, STEPS):
             state, gained = self._window(before[:, start : start + STEPS], targets[:, start : start + STEPS], state)
             total += gained
         return total / max(1, len(tokens))
 
-    def _set(self, name: str, rows: np.ndarray, values: np.ndarray) -> np.ndarray:
-        """The gradient of a large weight, which is zero in all other rows."""
-        large = self.large[name]
-        large[self.present[name]] = 0
-        large[rows] = values
+    def _room(self, name: str, *shape: int) -> np.ndarray:
+        """An array of any values that is used again by each window, for fresh memory costs time."""
+        size, dtype = math.prod(shape), self.joined["unit"].dtype
+        if name not in self.rooms or self.rooms[name].size < size or self.rooms[name].dtype != dtype:
+            self.rooms[name] = np.empty(size, dtype)
+        return _front(self.rooms[name], *shape)
+
+    def _cleared(self, name: str, rows: np.ndarray) -> np.ndarray:
+        """The gradient of a large weight, zero in rows that were set before and that the window lacks."""
+        gradient = self.gradient[name]
+        lacks = np.ones(len(gradient), bool)
+        lacks[rows] = False
+        gone = self.present[name]
+        gradient[gone[lacks[gone]]] = 0
         self.present[name] = rows
-        return large
+        return gradient
 
     def _window(self, before: np.ndarray, targets: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, float]:
-        w = self.weights
+        w, gradient = self.joined, self.gradient
         streams, steps = before.shape
         past = np.maximum(before.T, 0)
-        goes_on = (past != END).astype(np.float32)[:, :, None]
-        order = np.argsort(past.ravel(), kind="stable")
+        ended = np.flatnonzero(past.ravel() == END)
+        ends = np.split(ended % streams, np.searchsorted(ended, np.arange(1, steps) * streams))
+        order = np.argsort(past.ravel())
         ordered = past.ravel()[order]
         starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
         present = ordered[starts]
         at = np.empty(len(order), np.int64)
         at[order] = np.repeat(np.arange(len(present)), np.diff(np.append(starts, len(order))))
-        inputs = w["inputs"][present]
-        given = (inputs @ w["gates"] + w["bias"])[at].reshape(steps, streams, 3 * STATE)
-        kept = []
+        inputs = _with_ones(w["inputs"].take(present, axis=0))
+        table, recurrent = _planes(inputs @ w["unit"], w["recurrent"])
+        given = self._room("given", 3, steps, streams, STATE)
+        table.take(at, axis=1, out=given.reshape(3, -1, STATE), mode="clip")
+        gates = self._room("gates", steps, 3, streams, STATE)
+        entered, candidate, every = self._room("steps", 3, steps, streams, STATE)
         for t in range(steps):
-            entered = state * goes_on[t]
-            *gates, state = _step(given[t], entered, w["recurrent"])
-            kept.append((entered, *gates, state))
-        entered, update, reset, candidate, moved, every = map(np.stack, zip(*kept))
+            entered[t] = state
+            entered[t][ends[t]] = 0
+            every[t] = state = _step(given[:, t], entered[t], recurrent, gates[t], candidate[t])
+        update, reset, moved = gates.swapaxes(0, 1)
         wanted = targets.T.ravel()
-        counted = wanted >= 0
-        every = every.reshape(-1, STATE)
-        gradients, d_every, gained = self._output(every[counted], wanted[counted])
-        d_states = np.zeros_like(every)
-        d_states[counted] = d_every
-        d_states = d_states.reshape(steps, streams, STATE)
-        by_candidate = (1 - update) * (1 - candidate * candidate)
-        by_update = (entered - candidate) * update * (1 - update)
-        by_reset = moved[:, :, 2 * STATE :] * reset * (1 - reset)
-        d_given = np.empty((steps, streams, 3 * STATE), every.dtype)
-        d_moved = np.empty_like(d_given)
+        d_states, gained = self._output(every.reshape(-1, STATE), wanted)
+        d_states = d_states.reshape(every.shape)
+        by_candidate, by_update, by_reset, rest, d_given = self._room("back", 5, *every.shape)
+        np.subtract(1, update, out=rest)
+        np.multiply(candidate, candidate, out=by_candidate)
+        np.subtract(1, by_candidate, out=by_candidate)
+        by_candidate *= rest
+        np.subtract(entered, candidate, out=by_update)
+        by_update *= update
+        by_update *= rest
+        np.subtract(1, reset, out=by_reset)
+        by_reset *= reset
+        by_reset *= moved
+        d_moved = self._room("moved", *given.shape)
         d_state = np.zeros_like(state)
-        back = w["recurrent"].T
+        back = np.ascontiguousarray(w["recurrent"].reshape(STATE, 3, STATE).transpose(1, 2, 0))
         for t in range(steps - 1, -1, -1):
-            d_state = d_state + d_states[t]
-            d_candidate = d_state * by_candidate[t]
-            np.multiply(d_state, by_update[t], out=d_moved[t, :, :STATE])
-            np.multiply(d_candidate, by_reset[t], out=d_moved[t, :, STATE : 2 * STATE])
-            np.multiply(d_candidate, reset[t], out=d_moved[t, :, 2 * STATE :])
-            d_given[t, :, 2 * STATE :] = d_candidate
+            d_state += d_states[t]
+            d_candidate = np.multiply(d_state, by_candidate[t], out=d_given[t])
+            np.multiply(d_state, by_update[t], out=d_moved[0, t])
+            np.multiply(d_candidate, by_reset[t], out=d_moved[1, t])
+            np.multiply(d_candidate, reset[t], out=d_moved[2, t])
             d_state *= update[t]
-            d_state += d_moved[t] @ back
-            d_state *= goes_on[t]
-        d_given[:, :, : 2 * STATE] = d_moved[:, :, : 2 * STATE]
-        d_table = np.add.reduceat(d_given.reshape(-1, 3 * STATE)[order], starts, axis=0)
-        gradients |= {
-            "inputs": self._set("inputs", present, d_table @ w["gates"].T), "gates": inputs.T @ d_table,
-            "recurrent": entered.reshape(-1, STATE).T @ d_moved.reshape(-1, 3 * STATE), "bias": d_table.sum(axis=0),
-        }
-        self._apply(gradients)
+            for moves in d_moved[:, t] @ back:
+                d_state += moves
+            d_state[ends[t]] = 0
+        planes = [d.reshape(-1, STATE) for d in (d_moved[0], d_moved[1], d_given)]
+        d_inputs = sum(d @ u.T for d, u in zip(planes, np.split(w["unit"][:-1], 3, axis=1)))
+        summed = np.add.reduceat(d_inputs.take(order, axis=0), starts, axis=0)
+        self._cleared("inputs", present)[present] = summed
+        read = inputs.take(at, axis=0)
+        for plane, d in enumerate(planes):
+            gradient["unit"][:, plane * STATE : (plane + 1) * STATE] = read.T @ d
+        by_plane = entered.reshape(-1, STATE).T @ d_moved.reshape(3, -1, STATE)
+        gradient["recurrent"][:] = by_plane.transpose(1, 0, 2).reshape(STATE, 3 * STATE)
+        self._apply(_named(gradient))
         return state, gained
 
-    def _output(self, states: np.ndarray, targets: np.ndarray) -> tuple[dict, np.ndarray, float]:
-        """Gradients of the mean loss by the output weights and the states; the sum of log-likelihoods."""
-        w = self.weights
-        n, (number, size), rare = max(1, len(targets)), w["word_bias"].shape, len(w["inputs"]) - 1
-        classes = np.where(targets == rare, number, targets // size)
+    def _output(self, states: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, float]:
+        """Sets gradients of the mean loss by the output weights; those by the states, and the sum of log-likelihoods.
+
+        Targets below zero are none.
+        """
+        w, (number, size), rare = self.joined, self.weights["word_bias"].shape, len(self.joined["inputs"]) - 1
+        d_head = self.gradient["head"]
+        # Rare words are the last, so this orders the classes too.
+        order = np.argsort(targets)
+        order = order[np.searchsorted(targets[order], 0) :]
+        targets = targets[order]
+        n, classes = max(1, len(targets)), np.where(targets == rare, number, targets // size)
         if self.limit >= SMALL:
-            self.limit = _limit(w)
+            self.limit = _limit(self.weights)
         small = self.limit < SMALL
-        own = _with_ones(states)
-        head = np.concatenate([w["classes"], w["class_bias"][None]])
-        d_head, d_states, gained = np.zeros_like(head), np.empty_like(states), 0.0
+        own = _with_ones(states.take(order, axis=0))
+        in_bits = own * BITS
+        gained, d_head[:], sums = 0.0, 0, np.empty_like(d_head)
+        turned = np.ascontiguousarray(w["head"][:-1].T)
+        d_own_states = self._room("states", len(order), STATE)
+        room = self._room("scores", BLOCK, max(size, number + 1))
         for first in range(0, len(targets), BLOCK):
-            part = slice(first, first + BLOCK)
-            scores = own[part] @ head
-            gained += float(self._differences(scores, classes[part], small, n).sum())
-            d_states[part] = scores @ w["classes"].T
-            d_head += own[part].T @ scores
-        order, starts = _segments(classes, number)
-        counts = np.diff(starts)
-        present = np.flatnonzero(counts)
-        d_words = np.empty((len(present), size, STATE + 1), own.dtype)
-        for some in _alike(counts[present], size):
-            which = present[some]
-            width = np.arange(counts[which[0]])
-            real = width < counts[which][:, None]
-            rows = order[np.where(real, starts[which][:, None] + width, 0)]
-            # Rows that only fill up are zero, with the one behind, and so add nothing.
-            mine = own[rows]
-            mine[~real] = 0
-            weights = np.concatenate([w["words"][which], w["word_bias"][which][:, :, None]], axis=2)
-            inner = mine @ weights.transpose(0, 2, 1)
-            places = np.where(real, targets[rows] % size, 0).ravel()
-            logs = self._differences(inner.reshape(-1, size), places, small, n)
-            gained += float(logs[real.ravel()].sum())
-            d_words[some] = inner.transpose(0, 2, 1) @ mine
-            d_states[rows[real]] += (inner @ weights[:, :, :-1])[real]
-        return {
-            "classes": d_head[:-1], "class_bias": d_head[-1],
-            "words": self._set("words", present, d_words[:, :, :-1]),
-            "word_bias": self._set("word_bias", present, d_words[:, :, -1]),
-        }, d_states, gained
+            mine = own[first : first + BLOCK]
+            scores = _front(room, len(mine), number + 1)
+            np.matmul(in_bits[first : first + BLOCK], w["head"], out=scores)
+            scale, logs = self._differences(scores, classes[first : first + BLOCK], small, n)
+            gained += logs
+            np.multiply(scores @ turned, scale, out=d_own_states[first : first + BLOCK])
+            _summed(mine * scale, scores, sums)
+            d_head += sums
+        present = np.flatnonzero(np.bincount(classes, minlength=number)[:number])
+        self._cleared("own", present)
+        (weights, without, d_own), last = self.classes, -1
+        for first, end, some in _pieces(classes, number):
+            scores = _front(room, end - first, size)
+            for k, start, stop in some:
+                np.dot(in_bits[start:stop], weights[k], scores[start - first : stop - first])
+            scale, logs = self._differences(scores, targets[first:end] - classes[first:end] * size, small, n)
+            gained += logs
+            scaled, d_some = own[first:end] * scale, np.empty((end - first, STATE), own.dtype)
+            turned = scaled.T
+            for k, start, stop in some:
+                part = slice(start - first, stop - first)
+                mine = scores[part]
+                np.dot(mine, without[k], d_some[part])
+                if k == last:
+                    d_own[k] += np.dot(turned[:, part], mine)
+                elif stop - start > SUMMED:
+                    _summed(scaled[part], mine, d_own[k])
+                else:
+                    np.dot(turned[:, part], mine, d_own[k])
+                last = k
+            d_some *= scale
+            d_own_states[first:end] += d_some
+        d_states = np.zeros_like(states)
+        d_states[order] = d_own_states
+        return d_states, gained
 
     @staticmethod
-    def _differences(scores: np.ndarray, which: np.ndarray, small: bool, n: int) -> np.ndarray:
-        """Turns scores into a ``n``-th of the difference of shares and targets; logarithms of the targets' shares."""
+    def _differences(scores: np.ndarray, which: np.ndarray, small: bool, n: int) -> tuple[np.ndarray, float]:
+        """Turns scores in bits into differences of shares and targets, up to a factor for each row.
+
+        Returns the factors for a ``n``-th of the differences, and the sum of the logarithms of the targets' shares.
+        """
         if not small:
             scores -= scores.max(axis=1, keepdims=True)
-        here = np.arange(len(which))
-        np.exp(scores, out=scores)
+        places, values = _places(scores, which), scores.ravel()
+        np.exp2(scores, out=scores)
         total = scores @ np.ones(scores.shape[1], scores.dtype)
-        logs = np.log(np.maximum(scores[here, which] / total, 1e-30))
-        scores *= (1 / (n * total))[:, None]
-        scores[here, which] -= 1 / n
-        return logs
+        picked = values.take(places)
+        values[places] = picked - total
+        return (1 / (n * total))[:, None], float(np.log(np.maximum(picked / total, 1e-30)).sum())
 
     def _apply(self, gradients: dict[str, np.ndarray]) -> None:
+        """A step of all weights by the gradients: views of the joined ones, which are used up where they are not zero."""
         self.count += 1
-        rows = {name: self.present.get(name, np.arange(len(g))) for name, g in gradients.items()}
-        length = math.sqrt(sum(float(np.vdot(p, p)) for name, g in gradients.items() for p in (g[rows[name]],)))
+        parts = []
+        for name, gradient in self.gradient.items():
+            many = max(1, HELD // gradient[0].size)
+            for at in _together(self.present[name], many) if name in LARGE else [slice(None)]:
+                parts.append((name, at, _rows(gradient, at)))
+        length = math.sqrt(sum(float(np.dot(g.ravel(), g.ravel())) for _, _, g in parts))
         shrink = min(1.0, 1.0 / max(length, 1e-9))
         rate = self.rate * math.sqrt(1 - 0.99**self.count) / (1 - 0.9**self.count)
-        for name, gradient in gradients.items():
-            weights, means, squares = self.weights[name], self.mean[name], self.square[name]
-            # Some rows at a time, which stay in the processor's cache.
-            some = max(1, HELD // gradient[0].size)
-            for first in range(0, len(rows[name]), some):
-                at = rows[name][first : first + some]
-                # Neighbouring rows are changed in place.
-                together = len(at) > 0 and at[-1] - at[0] == len(at) - 1
-                at = slice(at[0], at[-1] + 1) if together else at
-                g = gradient[at] * shrink
-                mean, square = means[at], squares[at]
-                mean *= 0.9
-                mean += 0.1 * g
-                g *= g
-                g *= 0.01
-                square *= 0.99
-                square += g
-                if not together:
-                    means[at], squares[at] = mean, square
-                root = np.sqrt(square, out=g)
-                root += 1e-6
-                np.divide(mean, root, out=root)
-                root *= rate
-                weights[at] -= root
+        for name, at, g in parts:
+            weights, mean, square = (_rows(w[name], at) for w in (self.joined, self.mean, self.square))
+            if shrink < 1:
+                g *= shrink
+            mean *= 0.9
+            mean += g
+            g *= g
+            square *= 0.99
+            square += g
+            root = np.sqrt(square, out=g)
+            root += 1e-5
+            np.divide(mean, root, out=root)
+            root *= rate
+            weights -= root
+            if not isinstance(at, slice):
+                self.joined[name][at], self.mean[name][at], self.square[name][at] = weights, mean, square
         self.limit += (STATE + 1) * MOST_STEP * rate
 
 
-def _alike(counts: np.ndarray, size: int) -> list[np.ndarray]:
-    """Places of classes by falling count, cut where the next has under half the first's or they grow large."""
-    order, out, first = np.argsort(-counts, kind="stable"), [], 0
-    for k in range(1, len(order) + 1):
-        most = counts[order[first]]
-        if k == len(order) or 2 * counts[order[k]] < most or (k + 1 - first) * most * size > HELD * 4:
-            out.append(order[first:k])
-            first = k
-    return out
+def _rows(values: np.ndarray, at) -> np.ndarray:
+    return values[at] if isinstance(at, slice) else values.take(at, axis=0)
+
+
+def _together(rows: np.ndarray, most: int) -> list:
+    """Places of at most so many rows, which stay in the processor's cache; neighbours as slices, if most rows are."""
+    ends = np.flatnonzero(np.diff(rows) != 1) + 1
+    if 4 * len(ends) > len(rows):
+        return [rows[first : first + most] for first in range(0, len(rows), most)]
+    return [
+        slice(int(first), min(int(first) + most, int(run[-1]) + 1))
+        for run in np.split(rows, ends) if len(run) for first in range(run[0], run[-1] + 1, most)
+    ]

@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tables import EDGES, documents
@@ -200,3 +202,34 @@ def test_weights_are_averaged_by_tokens_in_blocks(spark):
         want, tokens = want + recurrent.flat(trainer.weights).astype(float) * len(positions), tokens + len(positions)
     found = recurrent.flat(lm._trained(docs, start, vocabulary, 1))
     assert found == pytest.approx(want / tokens, rel=1e-5, abs=1e-5)
+
+
+def test_words_are_split_as_in_their_plain_form(monkeypatch):
+    texts = [t or "" for t in EDGES] + ["", " \t", "\x0bA\x0c b\r\nC\x1c\x85\u00a0\u2003d ", "\u00c4\u0130 \x00 a", "the the", " x" * 50]
+    vocabulary = {b"\n": 0, b"the": 1, b"a": 2, b"x": 3}
+    plain = [lm._positions(t, vocabulary).tolist() for t in texts]
+    batch = pa.record_batch({"row": pa.array(range(len(texts))), "text": pa.array(texts)})
+    for size in (1 << 24, 8, 1):
+        monkeypatch.setattr(lm, "TEXT", size)
+        parts = list(lm.parts_of(iter([batch.slice(0, 3), batch.slice(3)])))
+        assert pa.Table.from_batches(parts) == pa.Table.from_batches([batch]) and (size > 8 or len(parts) > 4)
+        found, positions = [], []
+        for part in parts:
+            words, starts = lm.split_words(part["text"])
+            found += [words[a:b].to_pylist() for a, b in zip(starts, starts[1:])]
+            every, starts = lm.positions_of(part["text"], pa.array(list(vocabulary), pa.binary()))
+            positions += [every[a:b].tolist() for a, b in zip(starts, starts[1:])]
+        assert found == [lm.words_of(t) for t in texts] and positions == plain
+
+
+def test_windows_take_little_new_memory():
+    """What a window works on stays with the trainer: what is new is under 16 states a token."""
+    rng = np.random.default_rng(11)
+    trainer = recurrent.Trainer(small_weights(3000))
+    tokens = rng.integers(0, 3001, 4 * recurrent.STEPS * recurrent.STREAMS)
+    trainer.learn(tokens)
+    tracemalloc.start()
+    trainer.learn(tokens)
+    peak = tracemalloc.get_traced_memory()[1] - 2 * 8 * len(tokens)
+    tracemalloc.stop()
+    assert peak < 16 * 4 * recurrent.STATE * recurrent.STEPS * recurrent.STREAMS
