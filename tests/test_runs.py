@@ -1,4 +1,5 @@
 import json
+import os
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -163,6 +164,24 @@ def test_submissions_are_put_in_place_by_tasks(spark, folder, monkeypatch):
     assert read_submissions(spark, root).count() == len(found)
 
 
+def test_submissions_that_are_there_keep_what_else_they_hold(spark, folder):
+    root = f"{folder}/all"
+    for name in ("1", "2"):
+        os.makedirs(f"{root}/{name}/conf")
+    for name in ("1/REPORT.md", "1/result.json", "1/.result.json.crc"):
+        with open(f"{root}/{name}", "w") as f:
+            f.write("old")
+    os.makedirs(f"{root}/4")
+    rows = [(str(n), f"{n}") for n in range(200)] + [("a/b", "x"), ("3", "3")]
+    write_submissions(spark.createDataFrame(rows, "submission string, text string").repartition(7), root)
+    assert sorted(os.listdir(root)) == sorted({n.split("/")[0] for n, _ in rows})
+    assert sorted(os.listdir(f"{root}/1")) == ["REPORT.md", "conf", "result.json"] and os.listdir(f"{root}/4") == ["result.json"]
+    assert sorted(os.listdir(f"{root}/2")) == ["conf", "result.json"]
+    for name, text in rows:
+        with open(f"{root}/{name}/result.json") as f:
+            assert f.read() == text + "\n"
+
+
 def test_append_run(spark, folder):
     for i in range(3):
         append_run(spark, f"{folder}/runs", {"id": str(i), "passed": True})

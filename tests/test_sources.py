@@ -5,6 +5,7 @@ import random
 import time
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from eventflow import schemas
@@ -13,7 +14,7 @@ from eventflow.operators.filters import bad_integers, data_lines, select_runs
 from eventflow.operators.summary import grouped_summary, key_counts, parse_messages
 from eventflow.operators.verify import canonical_digest
 from eventflow.sinks.tables import show_stream
-from eventflow.sources import generators
+from eventflow.sources import generators, records
 from eventflow.sources.delimited import (
     accounting, bad_rows, good_rows, parse_event_lines, parse_snapshot_lines, read_event_csv, read_snapshot_text,
 )
@@ -220,3 +221,35 @@ def test_submissions(spark, folder):
     assert sorted(r.submission for r in read_submissions(spark, folder).collect()) == ["ann", "bob"]
     rows = {r.submission: r.text for r in read_submissions(spark, folder, expected).collect()}
     assert rows == {"ann": '{"a":1}', "bob": "{\n}\n", "eve": None}
+
+
+def test_submissions_are_read_by_tasks_that_are_dealt_names(spark, folder, monkeypatch):
+    monkeypatch.setattr(records, "BLOCK_BYTES", 100)
+    root = f"{folder}/a b%20c"
+    texts = {f"n{n}": "x" * n for n in range(1, 100)} | {"x y%": '{"a":1}', "a#b?": "é\n", ".h": "[1]", "é": "{}", "_u": "1"}
+    for name, text in texts.items():
+        write(f"{root}/{name}/result.json", text)
+    write(f"{root}/empty/result.json", "")
+    write(f"{root}/nested/result.json/part-0", "no file")
+    write(f"{root}/bare/conf/result.json", "too deep")
+    write(f"{root}/result.json", "no submission")
+    wanted = ["n1", "x y%", "x y%", "empty", "nested", "bare", "late", "", "result.json", "../a b%20c/n1", None, None]
+    expected = spark.createDataFrame([(name,) for name in wanted], "submission string")
+    rows = read_submissions(spark, root)
+    assert sorted(map(tuple, rows.collect())) == sorted(texts.items())
+    key = lambda row: (row[0] or "", row[0] is None)
+    both = read_submissions(spark, f"{root}/", expected)
+    want = texts | {name: None for name in wanted if name not in texts}
+    assert sorted(map(tuple, both.collect()), key=key) == sorted(want.items(), key=key)
+    # No file is in the plan, and each is opened once.
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Join" not in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_submissions_of_several_folders_and_of_none(spark, folder):
+    for name in ("one/ann", "two/bob"):
+        write(f"{folder}/{name}/result.json", name)
+    assert {r.submission: r.text for r in read_submissions(spark, f"{folder}/*").collect()} == {"ann": "one/ann", "bob": "two/bob"}
+    for missing in (f"{folder}/three", folder, f"{folder}/one/ann/result.json"):
+        with pytest.raises(AnalysisException):
+            read_submissions(spark, missing)
